@@ -272,6 +272,120 @@ CTES["classed"] = """
 """
 
 
+# --- documents ---
+CTES["docs"] = """
+    SELECT doc_id, lpad(doc_id::VARCHAR, 12, '0') AS file_name, md5(text) AS file_hash, n_chars, text FROM documents
+"""
+CTES["known"] = """
+    SELECT doc_id, file_name, CASE WHEN toxic = 0 THEN file_hash ELSE 'changed' END AS file_hash,
+           CASE WHEN quality = 1 THEN 'SUCCESS' ELSE 'FAILED' END AS processing_status
+    FROM docs JOIN labels USING (doc_id)
+"""
+CTES["fresh"] = """
+    SELECT * FROM docs WHERE NOT EXISTS (SELECT 1 FROM known WHERE known.processing_status = 'SUCCESS'
+        AND known.file_name = docs.file_name AND known.file_hash = docs.file_hash)
+"""
+CTES["doc_state"] = """
+    SELECT *, CASE WHEN length(text) > 0 AND length(regexp_replace(text, '[^\\p{L}]', '', 'g')) * 100 >= length(text) * 60
+                   THEN 'SUCCESS' ELSE 'FAILED' END AS processing_status
+    FROM docs
+"""
+CTES["field_values"] = """
+    SELECT doc_id, nullif(trim(regexp_extract(text, '^\\s*(?:#+ )?([^\\n]+)', 1)), '') AS title,
+           nullif(trim(regexp_extract(text, '(?i)under (?:the )?([a-z0-9 \\-]+license)', 1)), '') AS issuing_authority,
+           nullif(trim(regexp_extract(text, '\\b([0-9]{16})\\b', 1)), '') AS reference_number,
+           try_cast(nullif(regexp_extract(text, '\\b([0-9]{4}-[0-9]{2}-[0-9]{2})\\b', 1), '') AS DATE) AS effective_date,
+           CASE WHEN contains(low, 'npa') OR contains(low, 'asset classification') OR contains(low, 'sub-standard')
+                    THEN 'ASSET_CLASSIFICATION'
+                WHEN contains(low, 'provision') THEN 'PROVISIONING'
+                WHEN contains(low, 'capital') OR contains(low, 'basel') THEN 'CAPITAL_ADEQUACY'
+                WHEN contains(low, 'exposure') THEN 'EXPOSURE_LIMITS'
+                WHEN contains(low, 'resolution') THEN 'RESOLUTION'
+                WHEN contains(low, 'insolven') OR contains(low, 'bankrupt') THEN 'INSOLVENCY' END AS category
+    FROM (SELECT *, lower(text) AS low FROM documents)
+"""
+CTES["pieces"] = """
+    SELECT doc_id, file_name, unnest(string_split(text, '## ')) AS piece,
+           generate_subscripts(string_split(text, '## '), 1) - 1 AS piece_index
+    FROM docs
+"""
+CTES["sections"] = """
+    SELECT doc_id, file_name, piece_index, trim(nullif(regexp_extract(piece, '^[^\\n]+'), '')) AS section,
+           trim(nullif(regexp_extract(piece, '(?s)\\n(.+)', 1), '')) AS content
+    FROM pieces WHERE length(trim(piece)) > 10
+"""
+CTES["usable"] = """
+    SELECT * FROM sections JOIN field_values USING (doc_id) WHERE title IS NOT NULL AND content IS NOT NULL
+"""
+CTES["policies"] = """
+    SELECT *, 'REG' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') AS policy_id
+    FROM (SELECT *, row_number() OVER (ORDER BY file_name, piece_index) AS n FROM usable)
+"""
+
+# --- feed ---
+CTES["feed_days"] = "SELECT DISTINCT report_date FROM macro_economic_indicators WHERE indicator_name <> 'CPI_GENERAL'"
+
+# --- search ---
+CTES["doc_words"] = """
+    SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word
+                              FROM documents) WHERE word <> ''
+"""
+CTES["doc_sizes"] = """
+    SELECT doc_id, count(word) AS size FROM documents LEFT JOIN doc_words USING (doc_id) GROUP BY 1
+"""
+CTES["word_counts"] = "SELECT doc_id, word, count(*) AS times FROM doc_words GROUP BY 1, 2"
+CTES["word_rarity"] = """
+    SELECT word, ln(1 + ((SELECT count(*) FROM documents) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS rarity
+    FROM word_counts GROUP BY 1
+"""
+CTES["word_weights"] = """
+    SELECT doc_id, word, rarity * times * 2.2::DOUBLE / (times + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size
+               / (SELECT avg(size) FROM doc_sizes))) AS weight
+    FROM word_counts JOIN doc_sizes USING (doc_id) JOIN word_rarity USING (word)
+"""
+CTES["benchmark_words"] = """
+    SELECT DISTINCT query_id, word FROM (
+        SELECT item_id AS query_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word FROM benchmark)
+    WHERE word <> ''
+"""
+CTES["benchmark_hits"] = """
+    SELECT query_id, doc_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+    FROM (SELECT query_id, doc_id, round(sum(weight), 6) AS score FROM word_weights JOIN benchmark_words USING (word)
+          GROUP BY 1, 2)
+"""
+CTES["appraisal_hits"] = """
+    SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
+    FROM (SELECT doc_id, round(sum(weight), 6) AS score FROM word_weights WHERE word IN ('the', 'and', 'of') GROUP BY 1)
+"""
+CTES["regulations"] = """
+    SELECT left(string_agg(source || ': ' || left(text, 2000), chr(10) ORDER BY rank), 2000) AS context
+    FROM appraisal_hits JOIN documents USING (doc_id) WHERE rank <= 2
+"""
+CTES["centres"] = """
+    SELECT label, list(x ORDER BY place) AS centre
+    FROM (SELECT label, place, sum(x::DOUBLE::DECIMAL(20, 12))::DOUBLE AS x
+          FROM (SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS place FROM embeddings)
+          GROUP BY 1, 2)
+    GROUP BY 1
+"""
+CTES["assessed"] = """
+    SELECT *,
+        'Revenue: ' || crore(revenue_cents) || ' Cr, EBITDA: ' || crore(ebitda_cents) || ' Cr, D/E: ' || de::VARCHAR
+            || ', ICR: ' || icr::VARCHAR || 'x, NPM: ' || (npm_thousandths / 10.0)::DECIMAL(10, 2)::VARCHAR
+            || '%, FCF: ' || crore(fcf_cents) || ' Cr' AS financials,
+        'Payments: ' || payments || ' total, On-time: ' || on_time || ', Max overdue: ' || max_overdue || ' days'
+            AS repayment,
+        'Outlook: ' || outlook || ', Default Rate: ' || default_rate_pct || '%, Growth: ' || sector_growth_pct || '%'
+            AS industry_outlook,
+        'CPI: ' || latest_cpi || '%, Repo: ' || latest_repo_rate || '%' AS macro_text,
+        CASE WHEN tenths >= 800 THEN 0.95 WHEN tenths >= 600 THEN 0.85 WHEN tenths >= 400 THEN 0.7 ELSE 0.6
+             END::DOUBLE AS confidence_score
+    FROM classed
+""".replace("crore(revenue_cents)", "((2 * revenue_cents + 10000000) // 20000000 / 100.0)::DECIMAL(18, 2)::VARCHAR").replace(
+    "crore(ebitda_cents)", "((2 * ebitda_cents + 10000000) // 20000000 / 100.0)::DECIMAL(18, 2)::VARCHAR"
+).replace("crore(fcf_cents)", "((2 * fcf_cents + 10000000) // 20000000 / 100.0)::DECIMAL(18, 2)::VARCHAR")
+
+
 def with_ctes(sql: str) -> str:
     """Prefix a statement with the CTEs it names, and the ones those name, in definition order."""
     needed: set[str] = set()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lendscope import fixed
 from lendscope.checks.derivation_sql import with_ctes
 
 SQL: dict[str, str] = {}
@@ -328,5 +329,274 @@ SQL["dq_domain"] = """
 """
 
 
+# --- scalar functions ---
+SQL["scalar_functions"] = """
+    SELECT o_orderkey,
+        CASE WHEN cents > 20000000 THEN 'big' WHEN cents > 10000000 THEN 'mid' ELSE 'small' END AS case_when,
+        CASE WHEN o_orderkey % 2 = 1 THEN o_orderkey ELSE -1 END AS coalesced,
+        nullif(o_orderstatus, 'O') AS nulled,
+        ((cents + 50) // 100)::DOUBLE AS rounded,
+        (2 * cents + 100 - 100 * o_orderkey) / 100.0::DOUBLE AS arithmetic,
+        (cents >= 100000 AND (o_orderkey > 5 OR o_orderkey = 0))::BIGINT AS compared,
+        (o_orderpriority IN ('1-URGENT', '2-HIGH'))::BIGINT AS in_list,
+        (o_orderpriority LIKE '%LOW')::BIGINT AS like_match,
+        o_orderpriority || '/' || o_orderstatus AS joined,
+        nullif(o_orderstatus, 'O') || 'x' AS joined_null,
+        (cents / 100.0)::DECIMAL(18, 2)::VARCHAR AS number_text,
+        format('{:,}', (cents + 50) // 100) AS grouped_text,
+        strftime(o_orderdate, '%Y%m%d') AS date_text,
+        left(c_name, 5) AS left_text,
+        c_name AS trimmed,
+        length(c_name) AS name_length,
+        lpad(o_orderkey::VARCHAR, 8, '0') AS padded,
+        replace(c_name, 'Customer#', 'C-') AS replaced,
+        split_part(c_name, '#', 2) AS split_part,
+        regexp_extract(c_name, '[0-9]+') AS regexp_part,
+        regexp_extract(o_orderpriority, '^([0-9])-(.+)$', 2) AS regexp_group,
+        upper(c_name) AS upper_text,
+        lower(o_orderpriority) AS lower_text,
+        contains(upper(o_orderpriority), 'SPEC')::BIGINT AS contained,
+        least(o_orderkey, 500) AS least_value,
+        (o_orderdate::DATE + 30)::DATE AS date_added,
+        try_cast('2024-01-' || lpad((o_orderkey % 40)::VARCHAR, 2, '0') AS DATE) AS date_tried,
+        try_cast(left(o_orderpriority, 1) AS BIGINT) AS number_tried,
+        CASE WHEN o_orderstatus = 'O' THEN 'z' ELSE o_orderstatus || '; z' END AS array_text,
+        o_orderkey AS json_path,
+        'x' AS json_item,
+        'y' AS json_parsed,
+        ('0x' || substr(md5(c_name), 1, 8))::BIGINT % 9000 + 1000 AS hash_suffix
+    FROM (SELECT *, round(o_totalprice * 100)::BIGINT AS cents FROM orders) JOIN customer ON o_custkey = c_custkey
+"""
+
+# --- documents and policies ---
+SQL["doc_listing"] = """
+    SELECT doc_id, octet_length(encode(text)) + 1 AS file_size, md5(text || chr(10)) AS file_hash FROM documents
+"""
+SQL["doc_incremental"] = "SELECT doc_id, file_hash FROM fresh"
+SQL["doc_replace"] = """
+    SELECT doc_id, file_hash, 'read' AS action FROM fresh
+    UNION ALL SELECT doc_id, file_hash, 'kept' FROM known WHERE doc_id NOT IN (SELECT doc_id FROM fresh)
+"""
+SQL["doc_recent"] = "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+SQL["doc_chunks"] = """
+    SELECT doc_id, 500 * step AS range_start, least(500 * step + 500, n_chars) AS range_end
+    FROM (SELECT doc_id, n_chars, unnest(range((n_chars + 499) // 500)) AS step FROM documents)
+"""
+SQL["doc_reassemble"] = """
+    SELECT doc_id, length(whole) AS text_length, md5(whole) AS text_hash
+    FROM (SELECT doc_id, CASE WHEN n_chars <= 500 THEN text ELSE (
+                 SELECT string_agg(chr(10) || chr(10) || substr(text, 500 * step + 1, 500), '' ORDER BY step)
+                 FROM (SELECT unnest(range((n_chars + 499) // 500)) AS step)) END AS whole
+          FROM documents WHERE n_chars > 0)
+"""
+SQL["doc_status"] = """
+    SELECT doc_id, processing_status, CASE WHEN processing_status = 'FAILED'
+           THEN 'less than 60 percent of the text is letters' END AS error_message FROM doc_state
+"""
+SQL["doc_fields"] = """
+    SELECT doc_id, title, issuing_authority, reference_number, effective_date, category FROM field_values
+"""
+PAGE = "html"
+for _pattern in (r"(?is)<script\b.*?</script>", r"(?is)<style\b.*?</style>", "(?s)<!--.*?-->", "(?s)<[^>]*>"):
+    PAGE = f"regexp_replace({PAGE}, '{_pattern}', ' ', 'g')"
+TITLE = "regexp_extract(html, '(?is)<title>(.*?)</title>', 1)"
+
+
+def readable(text: str) -> str:
+    for entity, character in (
+        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"),
+        ("&middot;", "·"), ("&amp;", "&"),
+    ):
+        text = f"replace({text}, '{entity}', '{character}')"
+    return f"trim(regexp_replace({text}, '[ \\t\\r\\n]+', ' ', 'g'))"
+
+
+SQL["page_text"] = f"""
+    SELECT page_id, nullif({readable(TITLE)}, '') AS title, length(body) AS text_length, md5(body) AS text_hash
+    FROM (SELECT *, {readable(PAGE)} AS body FROM pages)
+"""
+SQL["doc_errors"] = """
+    SELECT n // 100 AS part, string_agg(line, ' | ' ORDER BY n) AS error_summary
+    FROM (SELECT file_name || ': less than 60 percent of the text is letters' AS line,
+                 row_number() OVER (ORDER BY file_name) - 1 AS n
+          FROM doc_state WHERE processing_status = 'FAILED')
+    GROUP BY 1
+"""
+SQL["doc_run_log"] = """
+    SELECT 'run-2' AS run_id, files_detected, files_new, files_processed, files_failed, policies_loaded,
+           CASE WHEN files_failed > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status,
+           'Run run-2 complete. Detected: ' || files_detected || ' | New: ' || files_new || ' | Processed: '
+               || files_processed || ' | Failed: ' || files_failed || ' | Policies loaded: ' || policies_loaded AS result
+    FROM (SELECT (SELECT count(*) FROM documents) AS files_detected, count(*) AS files_new,
+                 count(*) FILTER (processing_status = 'SUCCESS') AS files_processed,
+                 count(*) FILTER (processing_status = 'FAILED') AS files_failed,
+                 (SELECT count(*) FROM usable WHERE doc_id IN (SELECT doc_id FROM doc_state SEMI JOIN fresh USING (doc_id)
+                      WHERE processing_status = 'SUCCESS')) AS policies_loaded
+          FROM doc_state SEMI JOIN fresh USING (doc_id))
+"""
+SQL["policy_sections"] = "SELECT doc_id, piece_index, section, content FROM sections"
+SQL["policy_quarantine"] = """
+    SELECT doc_id, piece_index, section FROM sections JOIN field_values USING (doc_id)
+    WHERE title IS NULL OR content IS NULL
+"""
+SQL["policy_ids"] = "SELECT policy_id, doc_id, piece_index FROM policies"
+SQL["policy_replace"] = """
+    SELECT policy_id, doc_id, piece_index, md5(title) AS title_hash
+    FROM (
+        WITH existing AS (SELECT *, row_number() OVER (ORDER BY file_name, piece_index) AS n FROM usable
+                          WHERE doc_id IN (SELECT doc_id FROM known WHERE processing_status = 'SUCCESS')),
+        added AS (SELECT *, row_number() OVER (ORDER BY file_name, piece_index) AS n FROM usable
+                  WHERE doc_id IN (SELECT doc_id FROM fresh)),
+        kept AS (SELECT * FROM existing WHERE title NOT IN (SELECT title FROM added)),
+        numbered AS (SELECT n, doc_id, piece_index, title FROM kept
+                     UNION ALL SELECT n + (SELECT coalesce(max(n), 0) FROM kept), doc_id, piece_index, title FROM added)
+        SELECT *, 'REG' || lpad(n::VARCHAR, greatest(3, length(n::VARCHAR))::INT, '0') AS policy_id FROM numbered)
+"""
+SQL["policy_library"] = """
+    SELECT policy_id, title, issuing_authority, category, section, left(content, 200) || '...' AS content_preview,
+           effective_date FROM policies
+"""
+SQL["policy_kpis"] = """
+    SELECT count(*) AS policies, count(DISTINCT issuing_authority) AS authorities,
+           count(DISTINCT category) AS categories FROM policies
+"""
+SQL["policies_filtered"] = """
+    SELECT policy_id, category FROM policies WHERE category IS NULL OR category = 'ASSET_CLASSIFICATION'
+"""
+
+# --- feed ---
+SQL["feed_load"] = """
+    SELECT indicator_id, 0 AS is_broken FROM macro_economic_indicators
+    UNION ALL SELECT 'typed-' || report_date, 0 FROM feed_days
+    UNION ALL SELECT NULL, 1 FROM feed_days
+"""
+SQL["feed_parse"] = """
+    SELECT indicator_id, indicator_name, indicator_category, value, previous_value, change_pct, unit, report_date,
+           frequency, source, region FROM macro_economic_indicators
+"""
+SQL["feed_quarantine"] = """
+    SELECT '{"indicator_id": "broken-' || report_date || '"' AS text, 'not JSON' AS reason FROM feed_days
+    UNION ALL
+    SELECT '{"indicator_id": "typed-' || report_date || '", "value": "high"}', 'missing or mistyped column' FROM feed_days
+"""
+SQL["stream_refresh"] = RISK_SCORES
+SQL["latest_macro_stream"] = SQL["latest_macro"]
+
+# --- search, routing, assessments ---
+SQL["search_bm25"] = "SELECT query_id, rank, doc_id, score FROM benchmark_hits WHERE rank <= 5"
+SIMILARITY = "round(list_cosine_similarity(embedding::DOUBLE[], centre), 6)"
+SQL["search_topk"] = f"""
+    SELECT label AS query_id, vec_id, similarity, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id)
+               AS rank
+    FROM (SELECT c.label, vec_id, {SIMILARITY} AS similarity FROM embeddings CROSS JOIN centres c)
+    QUALIFY rank <= 5
+"""
+SQL["search_filtered"] = f"""
+    SELECT label AS query_id, vec_id, similarity, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id)
+               AS rank
+    FROM (SELECT label, vec_id, {SIMILARITY} AS similarity FROM embeddings JOIN centres USING (label))
+    QUALIFY rank <= 3
+"""
+
+
+def any_word(text: str, words: tuple) -> str:
+    return "(" + " OR ".join(f"contains(lower({text}), '{word}')" for word in words) + ")"
+
+
+FIRST = " ".join(f"WHEN {any_word('text', words)} THEN '{name}'" for name, words in fixed.ROUTES_FIRST)
+SQL["route_first"] = f"SELECT conv_id, turn, CASE {FIRST} END AS dataset FROM conversations WHERE role = 'user'"
+
+
+def all_routes(text: str) -> str:
+    found = ", ".join(f"CASE WHEN {any_word(text, words)} THEN '{name}' END" for name, words in fixed.ROUTES_ALL)
+    return f"coalesce(nullif(concat_ws(',', {found}), ''), 'risk_scores')"
+
+
+SQL["route_all"] = f"SELECT conv_id, turn, {all_routes('text')} AS datasets FROM conversations WHERE role = 'user'"
+SQL["reply_cleanup"] = "SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'"
+
+
+def dataset(heading: str, columns: str, line: str, source: str, order: str) -> str:
+    """Heading, CSV head and the sorted lines of one dataset, cut to 2500 characters."""
+    return f"""(SELECT left('{heading}' || chr(10) || '{columns}' || chr(10) || string_agg({line}, chr(10) ORDER BY {order})
+        || chr(10), 2500) FROM {source})"""
+
+
+def amount(cents: str) -> str:
+    return f"coalesce(({cents} / 100.0)::DECIMAL(18, 2)::VARCHAR, '')"
+
+
+DATASETS = {
+    "risk_scores": dataset(
+        "PORTFOLIO RISK SCORES:", "company_name,sector,composite_score,risk_grade,key_risk_drivers",
+        "company_name || ',' || sector || ',' || score_text || ',' || risk_grade || ',' || key_risk_drivers", "graded",
+        "tenths, customer_id",
+    ),
+    "loan_exposure": dataset(
+        "LOAN EXPOSURE DATA:", "company_name,sector,loan_type,outstanding_balance,collateral_value,loan_status",
+        f"company_name || ',' || sector || ',' || loan_type || ',' || {amount('outstanding_cents')} || ',' || "
+        f"{amount('collateral_cents')} || ',' || loan_status",
+        "loan_history JOIN customers USING (customer_id)", "outstanding_cents DESC, loan_id",
+    ),
+    "applications": dataset(
+        "APPLICATION PIPELINE:",
+        "company_name,loan_type,requested_amount,application_status,ai_recommendation,ai_recommendation_reason",
+        f"company_name || ',' || loan_type || ',' || {amount('requested_cents')} || ',' || application_status || ',' || "
+        "coalesce(ai_recommendation, '') || ',' || ai_recommendation_reason",
+        "loan_applications JOIN customers USING (customer_id)", "application_date DESC, application_id",
+    ),
+    "macro": dataset(
+        "MACRO INDICATORS:", "indicator_name,value,change_pct,report_date",
+        "indicator_name || ',' || value || ',' || coalesce(change_pct::VARCHAR, '') || ',' || report_date",
+        "newest_macro", "indicator_name",
+    ),
+}
+CONTEXT = " || ".join(
+    f"CASE WHEN list_contains(string_split(datasets, ','), '{name}') THEN {text} || chr(10) ELSE '' END"
+    for name, text in DATASETS.items()
+)
+SQL["question_context"] = f"""
+    SELECT query_id, datasets, left({CONTEXT}, 2500) AS data_context, coalesce(context, '') AS context
+    FROM (SELECT item_id AS query_id, {all_routes('text')} AS datasets FROM benchmark)
+    LEFT JOIN (SELECT query_id, left(string_agg('[' || source || ']: ' || left(text, 600) || chr(10) || chr(10), ''
+                                     ORDER BY rank), 1500) AS context
+               FROM benchmark_hits JOIN documents USING (doc_id) WHERE rank <= 3 GROUP BY 1) USING (query_id)
+"""
+
+
+def assessment_id(date: str) -> str:
+    return (
+        f"'CA-{date.replace('-', '')}-' || customer_id || '-' || "
+        f"(('0x' || substr(md5(customer_id || '{date}'), 1, 8))::BIGINT % 9000 + 1000)"
+    )
+
+
+NARRATIVE = """
+    '## Executive Summary' || chr(10) || company_name || ' (' || industry || ') scores ' || score_text || ' (grade '
+    || risk_grade || ', ' || sma_category || ').' || chr(10) || '## Financial Analysis' || chr(10)
+    || coalesce(financials, 'N/A') || chr(10) || '## Risk Factors' || chr(10) || key_risk_drivers || chr(10)
+    || '## Regulatory Compliance' || chr(10) || coalesce(repayment, 'N/A') || '; ' || coalesce(industry_outlook, 'N/A')
+    || '; ' || coalesce(macro_text, 'N/A') || chr(10) || '## Recommendation' || chr(10) || recommendation
+"""
+SQL["assessments"] = f"""
+    SELECT {assessment_id('2024-03-31')} AS assessment_id, customer_id, confidence_score, recommendation,
+           context AS regulatory_citations, {NARRATIVE} AS narrative,
+           'Write a credit assessment as a senior credit analyst. Borrower: ' || company_name || ' (' || industry
+           || '). Risk score: ' || score_text || ' of 108 (grade ' || risk_grade || '). Overdue category: '
+           || sma_category || '. Risk drivers: ' || key_risk_drivers || '. Financials: ' || coalesce(financials, 'N/A')
+           || '. Repayment: ' || coalesce(repayment, 'N/A') || '. Industry: ' || coalesce(industry_outlook, 'N/A')
+           || '. Macro: ' || coalesce(macro_text, 'N/A') || '. Regulations: ' || left(coalesce(context, ''), 1500)
+           || '. Sections: executive summary, financial analysis, risk factors, regulatory compliance, recommendation.'
+               AS prompt
+    FROM assessed CROSS JOIN regulations
+"""
+SQL["latest_assessment"] = f"""
+    SELECT {assessment_id('2024-06-30')} AS assessment_id, customer_id, DATE '2024-06-30' AS assessment_date,
+           composite_score AS risk_score, risk_grade, sma_category, recommendation, confidence_score,
+           {NARRATIVE} AS narrative
+    FROM assessed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in SQL.items()}

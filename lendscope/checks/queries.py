@@ -9,10 +9,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope import fixed
+from lendscope.functions.numbers import grouped, money
+from lendscope.functions.text import clean_reply, markup_text, markup_title
+from lendscope.operators import search
+from lendscope.operators.maintenance import append, new_files, replace_by_key
 from lendscope.operators.quality import InSet, MaxLength, NotNull, Reference, Unique, check_rules
-from lendscope.plans import applications, borrowers, market, portfolio, scoring, semantic, signals
+from lendscope.operators.sections import join_ranges, plan_ranges
+from lendscope.plans import (
+    advisor,
+    applications,
+    assessments,
+    borrowers,
+    ingestion,
+    library,
+    market,
+    portfolio,
+    scoring,
+    semantic,
+    signals,
+)
+from lendscope.session import run_folder
 from lendscope.sources.derived import derived_book
+from lendscope.sources.documents import FieldRules, list_documents, parse_text
 from lendscope.sources.tables import Book
+from lendscope.streaming import macro_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -216,3 +236,423 @@ def dq_domain(book: Book) -> DataFrame:
             ("documents", [InSet("lang", ("en", "fr", "de")), MaxLength("text", 2000)]),
         ],
     )
+
+
+# --- scalar functions ---
+
+
+@on_book("scalar_functions")
+def scalar_functions(book: Book) -> DataFrame:
+    """Each deterministic scalar function once, over all orders with their customer."""
+    key, priority, price = F.col("o_orderkey"), F.col("o_orderpriority"), money(F.col("o_totalprice"))
+    day, name = F.to_date("o_orderdate"), F.col("c_name")
+    odd_key = F.when(key % 2 == 1, key)
+    json = F.concat(F.lit('{"a":{"b":'), key.cast("string"), F.lit('},"l":["x","y"]}'))
+    return (
+        book["orders"]
+        .join(book["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            key,
+            F.when(price > 200000, "big").when(price > 100000, "mid").otherwise("small").alias("case_when"),
+            F.coalesce(odd_key, F.lit(-1)).alias("coalesced"),
+            F.nullif("o_orderstatus", F.lit("O")).alias("nulled"),
+            F.round(price, 0).alias("rounded"),
+            (price * 2 + 1 - key).alias("arithmetic"),
+            ((price >= 1000) & ((key > 5) | (key == 0))).cast("int").alias("compared"),
+            priority.isin("1-URGENT", "2-HIGH").cast("int").alias("in_list"),
+            priority.like("%LOW").cast("int").alias("like_match"),
+            F.concat(priority, F.lit("/"), "o_orderstatus").alias("joined"),
+            F.concat(F.nullif("o_orderstatus", F.lit("O")), F.lit("x")).alias("joined_null"),
+            price.cast("string").alias("number_text"),
+            grouped(price).alias("grouped_text"),
+            F.date_format(day, "yyyyMMdd").alias("date_text"),
+            F.left(name, F.lit(5)).alias("left_text"),
+            F.trim(F.concat(F.lit("  "), name, F.lit(" "))).alias("trimmed"),
+            F.length(name).alias("name_length"),
+            F.lpad(key.cast("string"), 8, "0").alias("padded"),
+            F.replace(name, F.lit("Customer#"), F.lit("C-")).alias("replaced"),
+            F.element_at(F.split(name, "#"), 2).alias("split_part"),
+            F.regexp_substr(name, F.lit("[0-9]+")).alias("regexp_part"),
+            F.regexp_extract(priority, r"^([0-9])-(.+)$", 2).alias("regexp_group"),
+            F.upper(name).alias("upper_text"),
+            F.lower(priority).alias("lower_text"),
+            F.upper(priority).contains("SPEC").cast("int").alias("contained"),
+            F.least(key, F.lit(500)).alias("least_value"),
+            F.date_add(day, 30).alias("date_added"),
+            F.try_to_date(F.concat(F.lit("2024-01-"), (key % 40).cast("string")), "yyyy-MM-d").alias("date_tried"),
+            F.replace(F.substring(priority, 1, 2), F.lit("-"), F.lit("")).try_cast("long").alias("number_tried"),
+            F.array_join(
+                F.array_compact(F.array(F.nullif("o_orderstatus", F.lit("O")), F.lit("z"))), "; "
+            ).alias("array_text"),
+            F.variant_get(F.parse_json(json), "$.a.b", "long").alias("json_path"),
+            F.variant_get(F.parse_json(json), "$.l[0]", "string").alias("json_item"),
+            F.element_at(F.from_json(json, "a struct<b:long>, l array<string>")["l"], 2).alias("json_parsed"),
+            (F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("long") % 9000 + 1000).alias("hash_suffix"),
+        )
+    )
+
+
+# --- documents and policies ---
+
+
+def documents(book: Book) -> DataFrame:
+    """The documents as files: name in the order of doc_id, hash, page count (one character is a page)."""
+    return book["documents"].select(
+        "doc_id",
+        F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("file_name"),
+        F.md5("text").alias("file_hash"),
+        F.col("n_chars").alias("page_count"),
+        "text",
+    )
+
+
+def known_documents(book: Book) -> DataFrame:
+    """Earlier reads: labelled documents. Good quality was a success, and a toxic document has changed since."""
+    read = documents(book).join(book["labels"], "doc_id")
+    return read.select(
+        "doc_id",
+        "file_name",
+        F.when(F.col("toxic") == 0, F.col("file_hash")).otherwise("changed").alias("file_hash"),
+        F.when(F.col("quality") == 1, "SUCCESS").otherwise("FAILED").alias("processing_status"),
+        "text",
+    )
+
+
+# Rules that find something in the invented prose of the documents.
+PROSE_RULES = FieldRules(
+    issuing_authority=r"(?i)under (?:the )?([a-z0-9 \-]+license)",
+    reference_number=r"\b([0-9]{16})\b",
+    effective_date=r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b",
+)
+
+
+def parsed_documents(book: Book) -> DataFrame:
+    return parse_text(documents(book), "text", markup=False)
+
+
+def described_sections(docs: DataFrame) -> DataFrame:
+    """Sections of whole document texts with the document's fields."""
+    return ingestion.policy_sections(ingestion.with_fields(docs.withColumnRenamed("text", "parsed_text"), PROSE_RULES))
+
+
+def policies(book: Book) -> DataFrame:
+    """The policies of all documents, numbered from 1."""
+    usable = described_sections(documents(book)).filter(~ingestion.unusable())
+    return ingestion.assign_policy_ids(book.spark, usable, None, ["file_name", "piece_index"])
+
+
+POLICY_KEY = ("policy_id", "doc_id", "piece_index")
+
+
+@on_book("doc_listing")
+def doc_listing(book: Book) -> DataFrame:
+    """Every document written as a file of its own, then listed with size and hash."""
+    folder = run_folder(book.spark, "documents")
+    book["documents"].select("doc_id", "text").write.partitionBy("doc_id").text(f"{folder}/policies")
+    found = list_documents(book.spark, folder, "policies/", "*.txt")
+    number = F.regexp_extract("file_name", r"^policies/doc_id=([0-9]+)/", 1).cast("long")
+    return found.select(number.alias("doc_id"), "file_size", "file_hash")
+
+
+@on_book("doc_incremental")
+def doc_incremental(book: Book) -> DataFrame:
+    return new_files(documents(book), known_documents(book)).select("doc_id", "file_hash")
+
+
+@on_book("doc_replace")
+def doc_replace(book: Book) -> DataFrame:
+    old = known_documents(book).select("doc_id", "file_hash", F.lit("kept").alias("action"))
+    new = new_files(documents(book), known_documents(book)).select("doc_id", "file_hash", F.lit("read").alias("action"))
+    return replace_by_key(old, new, "doc_id")
+
+
+@on_book("doc_recent")
+def doc_recent(book: Book) -> DataFrame:
+    """Labelled documents were read in an earlier run, the others in this one."""
+    read = documents(book).join(book["labels"].withColumn("run_id", F.lit("run-1")), "doc_id", "left")
+    runs = read.withColumn("run_id", F.coalesce("run_id", F.lit("run-2")))
+    return ingestion.in_run(runs, "run-2").select("doc_id")
+
+
+@on_book("doc_chunks")
+def doc_chunks(book: Book) -> DataFrame:
+    return plan_ranges(documents(book), "page_count").select("doc_id", "range_start", "range_end")
+
+
+@on_book("doc_reassemble")
+def doc_reassemble(book: Book) -> DataFrame:
+    """Each range of every document on its own, put together again."""
+    start = F.col("range_start").cast("int")
+    part = F.substr("text", start + 1, F.col("range_end").cast("int") - start)
+    parts = plan_ranges(documents(book), "page_count").select("doc_id", "range_start", part.alias("part"))
+    whole = join_ranges(parts, "doc_id", "range_start", "part", "text")
+    return whole.select("doc_id", F.length("text").alias("text_length"), F.md5("text").alias("text_hash"))
+
+
+@on_book("doc_status")
+def doc_status(book: Book) -> DataFrame:
+    return parsed_documents(book).select("doc_id", "processing_status", "error_message")
+
+
+@on_book("doc_fields")
+def doc_fields(book: Book) -> DataFrame:
+    docs = documents(book).withColumnRenamed("text", "parsed_text")
+    return ingestion.with_fields(docs, PROSE_RULES).select("doc_id", *fixed.DOCUMENT_FIELDS)
+
+
+@on_book("page_text")
+def page_text(book: Book) -> DataFrame:
+    text = markup_text(F.col("html"))
+    return book["pages"].select(
+        "page_id",
+        markup_title(F.col("html")).alias("title"),
+        F.length(text).alias("text_length"),
+        F.md5(text).alias("text_hash"),
+    )
+
+
+@on_book("doc_errors")
+def doc_errors(book: Book) -> DataFrame:
+    return ingestion.error_rows(book.spark, parsed_documents(book))
+
+
+@on_book("doc_run_log")
+def doc_run_log(book: Book) -> DataFrame:
+    """The run that reads what is new: counts, status, result text."""
+    detected = book["documents"].agg(F.count(F.lit(1))).scalar()
+    fresh = parse_text(new_files(documents(book), known_documents(book)), "text", markup=False)
+    sections = described_sections(fresh.filter(F.col("processing_status") == "SUCCESS").drop("parsed_text"))
+    loaded = sections.filter(~ingestion.unusable()).agg(F.count(F.lit(1))).scalar()
+    return ingestion.run_summary(detected, fresh, "run-2", loaded)
+
+
+@on_book("policy_sections")
+def policy_sections(book: Book) -> DataFrame:
+    docs = documents(book).withColumnRenamed("text", "parsed_text")
+    return ingestion.policy_sections(docs).select("doc_id", "piece_index", "section", "content")
+
+
+@on_book("policy_quarantine")
+def policy_quarantine(book: Book) -> DataFrame:
+    """Sections without content or title, which do not become policies."""
+    return described_sections(documents(book)).filter(ingestion.unusable()).select("doc_id", "piece_index", "section")
+
+
+@on_book("policy_ids")
+def policy_ids(book: Book) -> DataFrame:
+    return policies(book).select(*POLICY_KEY)
+
+
+@on_book("policy_replace")
+def policy_replace(book: Book) -> DataFrame:
+    """The policies of the earlier successful reads, after the new and changed documents were read."""
+    order = ["file_name", "piece_index"]
+    earlier = known_documents(book).filter(F.col("processing_status") == "SUCCESS")
+    old = described_sections(earlier.drop("processing_status")).filter(~ingestion.unusable())
+    existing = ingestion.assign_policy_ids(book.spark, old, None, order)
+    new = described_sections(new_files(documents(book), known_documents(book))).filter(~ingestion.unusable())
+    return ingestion.replace_policies(book.spark, existing, new, order).select(*POLICY_KEY, F.md5("title").alias("title_hash"))
+
+
+@on_book("policy_library")
+def policy_library(book: Book) -> DataFrame:
+    return library.policy_list(policies(book))
+
+
+@on_book("policy_kpis")
+def policy_kpis(book: Book) -> DataFrame:
+    return library.policy_kpis(policies(book))
+
+
+@on_book("policies_filtered")
+def policies_filtered(book: Book) -> DataFrame:
+    return library.policies_filtered(policies(book), ["ASSET_CLASSIFICATION", None]).select("policy_id", "category")
+
+
+# --- macro feed ---
+
+
+def feed_folder(book: Book) -> str:
+    """The derived indicators as feed files: one array of records per day, and single objects and broken lines.
+
+    A day has one record per indicator. Every day's broken line carries its date, and
+    every day has one record whose value is no number.
+    """
+    folder = run_folder(book.spark, "feed")
+    keys = [
+        F.col(column).alias(key) if column != "region" else F.nullif("region", F.lit(fixed.REGION_DEFAULT)).alias(key)
+        for key, column, _ in macro_feed.FEED_FIELDS
+    ]
+    indicators = book["macro_economic_indicators"]
+    cpi = F.col("indicator_name") == fixed.CPI_NAME
+    record = F.to_json(F.struct(*keys))
+    days = indicators.filter(~cpi).groupBy("report_date").agg(F.sort_array(F.collect_list(record)).alias("records"))
+    arrays = days.select(F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value"))
+    objects = indicators.filter(cpi).select(record.alias("value"))
+    date = F.col("report_date").cast("string")
+    broken = days.select(
+        F.explode(
+            F.array(
+                F.concat(F.lit('{"indicator_id": "broken-'), date, F.lit('"')),
+                F.concat(F.lit('{"indicator_id": "typed-'), date, F.lit('", "value": "high"}')),
+            )
+        ).alias("value")
+    )
+    arrays.unionByName(objects).unionByName(broken).write.text(folder)
+    return folder
+
+
+@on_book("feed_load")
+def feed_load(book: Book) -> DataFrame:
+    """Records of the landing table: the id where the record is JSON, and its text length."""
+    raw = macro_feed.read_feed(book.spark, feed_folder(book))
+    return raw.select(
+        F.try_variant_get("raw_data", "$.indicator_id", "string").alias("indicator_id"),
+        F.col("raw_data").isNull().cast("int").alias("is_broken"),
+    )
+
+
+@on_book("feed_parse")
+def feed_parse(book: Book) -> DataFrame:
+    """The typed indicators after one run of the streaming job over the feed files."""
+    tables = macro_feed.run_feed(book.spark, feed_folder(book), run_folder(book.spark, "feed-tables"))
+    return tables.indicators().drop("batch")
+
+
+@on_book("feed_quarantine")
+def feed_quarantine(book: Book) -> DataFrame:
+    tables = macro_feed.run_feed(book.spark, feed_folder(book), run_folder(book.spark, "feed-tables"))
+    return book.spark.read.parquet(tables.quarantine_path).select("text", "reason")
+
+
+@on_book("stream_refresh")
+def stream_refresh(book: Book) -> DataFrame:
+    """The score table that the streaming job published after it read the feed."""
+    tables = macro_feed.run_feed(
+        book.spark,
+        feed_folder(book),
+        run_folder(book.spark, "feed-tables"),
+        refresh=lambda indicators: scoring.risk_scores(book.replaced(macro_economic_indicators=indicators)),
+    )
+    return tables.scores.read()
+
+
+@on_book("latest_macro_stream")
+def latest_macro_stream(book: Book) -> DataFrame:
+    """Newest report per indicator, kept as streaming state over the feed files."""
+    spark, target = book.spark, run_folder(book.spark, "latest")
+    stream = macro_feed.good_indicators(macro_feed.stream_feed(spark, feed_folder(book)))
+    query = (
+        macro_feed.latest_per_indicator(stream)
+        .writeStream.outputMode("complete")
+        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{target}/table"))
+        .option("checkpointLocation", f"{target}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{target}/table").select(
+        "indicator_name", "indicator_category", "value", "previous_value", "change_pct", "unit", "report_date", "source"
+    )
+
+
+# --- search, routing, assessments ---
+
+
+def benchmark_questions(book: Book) -> DataFrame:
+    return book["benchmark"].select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+
+
+@on_book("search_bm25")
+def search_bm25(book: Book) -> DataFrame:
+    return search.bm25(book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE)
+
+
+def label_centres(book: Book) -> DataFrame:
+    """One query per label: the sum of its vectors, which points the same way as their mean."""
+    items = book["embeddings"].select("label", F.posexplode("embedding").alias("place", "x"))
+    sums = items.groupBy("label", "place").agg(F.sum(F.col("x").cast("decimal(20,12)")).cast("double").alias("x"))
+    ordered = F.array_sort(F.collect_list(F.struct("place", "x")))
+    return sums.groupBy("label").agg(F.transform(ordered, lambda item: item["x"]).alias("query_vector")).select(
+        F.col("label").cast("long").alias("query_id"), "label", "query_vector"
+    )
+
+
+@on_book("search_topk")
+def search_topk(book: Book) -> DataFrame:
+    return search.nearest(book["embeddings"], label_centres(book), fixed.HITS_POLICY_PAGE, "vec_id", "embedding")
+
+
+@on_book("search_filtered")
+def search_filtered(book: Book) -> DataFrame:
+    return search.nearest_within(
+        book["embeddings"], label_centres(book), fixed.HITS_ADVISOR, "vec_id", "embedding", "label"
+    )
+
+
+def questions(book: Book) -> DataFrame:
+    return book["conversations"].filter(F.col("role") == "user").select("conv_id", "turn", "text")
+
+
+@on_book("route_first")
+def route_first(book: Book) -> DataFrame:
+    return questions(book).select("conv_id", "turn", advisor.route_first(F.col("text")).alias("dataset"))
+
+
+@on_book("route_all")
+def route_all(book: Book) -> DataFrame:
+    datasets = F.array_join(advisor.route_all(F.col("text")), ",")
+    return questions(book).select("conv_id", "turn", datasets.alias("datasets"))
+
+
+@on_book("reply_cleanup")
+def reply_cleanup(book: Book) -> DataFrame:
+    """Replies whose line breaks arrive as the two characters backslash and n."""
+    escaped = F.replace("text", F.lit("\n"), F.lit("\\n"))
+    return (
+        book["conversations"]
+        .filter(F.col("role") == "assistant")
+        .select("conv_id", "turn", clean_reply(escaped).alias("text"))
+    )
+
+
+@on_book("question_context")
+def question_context(book: Book) -> DataFrame:
+    corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
+    result = advisor.question_context(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
+    return result.select(
+        "query_id", F.array_join("datasets", ",").alias("datasets"), "data_context", "context"
+    )
+
+
+SEARCH_TEXT = "the and of"
+
+
+def document_assessments(book: Book, run_date: str) -> DataFrame:
+    corpus = book["documents"].select(
+        F.col("doc_id").alias("policy_id"), F.col("source").alias("title"), F.col("text").alias("content")
+    )
+    return assessments.assessments(book, corpus, run_date, SEARCH_TEXT)
+
+
+ASSESSMENT = (
+    "assessment_id", "customer_id", "prompt", "narrative", "confidence_score", "recommendation", "regulatory_citations"
+)
+
+
+@on_book("assessments")
+def all_assessments(book: Book) -> DataFrame:
+    return document_assessments(book, "2024-03-31").select(*ASSESSMENT)
+
+
+@on_book("latest_assessment")
+def latest_assessment(book: Book) -> DataFrame:
+    """Two runs appended to the audit table, then the newest row per customer."""
+    target = run_folder(book.spark, "assessments")
+    for run_date in ("2024-03-31", "2024-06-30"):
+        append(document_assessments(book, run_date).drop("prompt"), target)
+    stored = assessments.latest_assessment(book.spark.read.parquet(target))
+    return stored.select(
+        "assessment_id", "customer_id", "assessment_date", "risk_score", "risk_grade", "sma_category", "recommendation",
+        "confidence_score", "narrative",
+    )
