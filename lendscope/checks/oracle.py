@@ -461,7 +461,7 @@ SQL["policy_kpis"] = """
            count(DISTINCT category) AS categories FROM policies
 """
 SQL["policies_filtered"] = """
-    SELECT policy_id, category FROM policies WHERE category IS NULL OR category = 'ASSET_CLASSIFICATION'
+    SELECT policy_id, category FROM policies WHERE category IS NULL OR category = 'PROVISIONING'
 """
 
 # --- feed ---

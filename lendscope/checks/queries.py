@@ -175,7 +175,7 @@ def apps_filtered(book: Book) -> DataFrame:
 @on_book("semantic_query")
 def semantic_query(book: Book) -> DataFrame:
     result = semantic.query(
-        book,
+        scoring.with_stored_scores(book),
         measures=[
             "customers.total_borrowers", "risk_scores.avg_risk_score", "loan_history.total_outstanding",
             "loan_history.active_loan_count", "loan_applications.total_applications",
@@ -348,7 +348,7 @@ POLICY_KEY = ("policy_id", "doc_id", "piece_index")
 def doc_listing(book: Book) -> DataFrame:
     """Every document written as a file of its own, then listed with size and hash."""
     folder = run_folder(book.spark, "documents")
-    book["documents"].select("doc_id", "text").write.partitionBy("doc_id").text(f"{folder}/policies")
+    book["documents"].select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(f"{folder}/policies")
     found = list_documents(book.spark, folder, "policies/", "*.txt")
     number = F.regexp_extract("file_name", r"^policies/doc_id=([0-9]+)/", 1).cast("long")
     return found.select(number.alias("doc_id"), "file_size", "file_hash")
@@ -466,7 +466,7 @@ def policy_kpis(book: Book) -> DataFrame:
 
 @on_book("policies_filtered")
 def policies_filtered(book: Book) -> DataFrame:
-    return library.policies_filtered(policies(book), ["ASSET_CLASSIFICATION", None]).select("policy_id", "category")
+    return library.policies_filtered(policies(book), ["PROVISIONING", None]).select("policy_id", "category")
 
 
 # --- macro feed ---

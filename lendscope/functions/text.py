@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,15 +12,24 @@ from pyspark.sql import functions as F
 from lendscope import fixed
 
 
-def fill(template: str, **fields: Column) -> Column:
-    """Put columns into ``{name}`` places; the result is NULL when any field is NULL."""
+def fill_sql(template: str, **fields: str) -> str:
+    """SQL text that puts expressions into ``{name}`` places; NULL when any of them is NULL."""
     parts = re.split(r"\{(\w+)\}", template)
-    pieces = [fields[part] if place % 2 else F.lit(part) for place, part in enumerate(parts) if place % 2 or part]
-    return F.concat(*[piece.cast("string") for piece in pieces])
+    pieces = [
+        f"CAST({fields[part]} AS STRING)" if place % 2 else "'" + part.replace("'", "\\'") + "'"
+        for place, part in enumerate(parts)
+        if place % 2 or part
+    ]
+    return f"concat({', '.join(pieces)})"
 
 
-def or_missing(value: Column, otherwise: str = fixed.MISSING) -> Column:
-    return F.coalesce(value.cast("string"), F.lit(otherwise))
+def fill(template: str, **fields: str) -> Column:
+    return F.expr(fill_sql(template, **fields))
+
+
+def or_missing(value: str, otherwise: str = fixed.MISSING) -> str:
+    """SQL text of a value as a string, or of a word for NULL."""
+    return f"coalesce(CAST({value} AS STRING), '{otherwise}')"
 
 
 def preview(value: Column, length: int = fixed.PREVIEW_LENGTH) -> Column:
@@ -73,10 +84,7 @@ def markup_title(html: Column) -> Column:
     return F.nullif(squeeze(unescape(title)), F.lit(""))
 
 
-def route_words(question: Column, words: tuple) -> Column:
-    """True when any of the words occurs anywhere in the lower-cased question."""
-    lowered = F.lower(question)
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | lowered.contains(word)
-    return hit
+def route_words(text: Column | str, words: tuple) -> Column:
+    """True when any of the words occurs anywhere in the lower-cased text."""
+    lowered = F.lower(text)
+    return F.coalesce(reduce(operator.or_, [lowered.contains(word) for word in words]), F.lit(False))

@@ -12,32 +12,38 @@ _PLACE_BITS = 33
 
 
 def number_rows(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Adds 1, 2, 3, ... in the given order, which must be unique.
+    """Adds 1, 2, 3, ... in the given order, whose columns must identify a row and not be NULL.
 
-    Rows are range-partitioned and sorted, so every partition holds one stretch of
-    the order. Place and partition are written once; the rows before a partition are
-    then summed over partitions, of which there are few.
+    The rows are written once, so that whatever computes them runs once. Only their
+    order columns are then range-partitioned and sorted: every partition holds one
+    stretch of the order, and a row's number is its place plus the rows of the
+    stretches before, of which there are as many as partitions. The stretches are
+    written too, because a second range-partitioning could cut elsewhere.
     """
-    tagged = (
-        df.repartitionByRange(*order)
+    rows = materialize(spark, df, "rows")
+    tag = F.monotonically_increasing_id()
+    stretches = materialize(
+        spark,
+        rows.select(*order)
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_tag", F.monotonically_increasing_id())
-        .withColumn("_part", F.shiftright("_tag", _PLACE_BITS))
-        .withColumn("_place", F.col("_tag").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)))
-        .drop("_tag")
+        .select(
+            *order,
+            F.shiftright(tag, _PLACE_BITS).alias("_part"),
+            tag.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
+        ),
+        "stretches",
     )
-    stretches = materialize(spark, tagged, "numbering")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         stretches.groupBy("_part")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    return (
-        stretches.join(F.broadcast(before), "_part")
-        .withColumn(name, F.col("_before") + F.col("_place") + 1)
-        .drop("_part", "_place", "_before")
+    numbers = stretches.join(F.broadcast(before), "_part").select(
+        *order, (F.col("_before") + F.col("_place") + 1).alias(name)
     )
+    return rows.join(numbers, order)
 
 
 def padded_id(prefix: str, number: Column, digits: int) -> Column:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope.operators.latest import ranked
+from lendscope.session import materialize
 
 # --- fixed values: BM25 parameters and the digits a score is compared by ---
 SATURATION = 1.2
@@ -22,9 +23,12 @@ MAX_QUERIES = 1000
 MAX_VOCABULARY = 500_000
 
 
+NO_WORD = r"[^\p{L}\p{N}]+"
+
+
 def words(text: Column) -> Column:
     """Lower-case words: runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda word: word != "")
+    return F.array_remove(F.split(F.lower(text), NO_WORD), "")
 
 
 def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -36,17 +40,23 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
     words and counts the rest per document before anything is shuffled. A larger one
     is joined by shuffle, after the words have been counted per document.
     """
-    tokens = corpus.select(key, words(F.col(text)).alias("_words"))
-    size = F.size("_words")
-    totals = tokens.agg(F.struct(F.count(F.lit(1)).alias("docs"), F.avg(size).alias("mean")))
+    spark = corpus.sparkSession
     asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("_word"))
     vocabulary = asked.select("_word").distinct()
     small = vocabulary.count() <= MAX_VOCABULARY
 
-    per_word = tokens.select(key, size.alias("_size"), F.explode("_words").alias("_word"))
+    pieces = corpus.select(key, F.split(F.lower(text), NO_WORD).alias("_words"))
+    # Only the first and the last piece of a text can be empty.
+    ends = (F.element_at("_words", 1) == "").cast("int") + (F.element_at("_words", -1) == "").cast("int")
+    tokens = pieces.withColumn("_size", F.greatest(F.size("_words") - ends, F.lit(0)))
+    totals = tokens.agg(F.struct(F.count(F.lit(1)).alias("docs"), F.avg("_size").alias("mean")))
+    per_word = tokens.select(key, "_size", F.explode("_words").alias("_word")).filter(F.col("_word") != "")
     if small:
         per_word = per_word.join(F.broadcast(vocabulary), "_word", "left_semi")
-    counts = per_word.groupBy(key, "_size", "_word").agg(F.count(F.lit(1)).alias("_times"))
+    # Read twice below, for the rarity of a word and for its weights: written once.
+    counts = materialize(
+        spark, per_word.groupBy(key, "_size", "_word").agg(F.count(F.lit(1)).alias("_times")), "word-counts"
+    )
     holding = counts.groupBy("_word").agg(F.count(F.lit(1)).alias("_holding"))
     total = F.col("_total")
     rarity = F.log(F.lit(1.0) + (total["docs"] - F.col("_holding") + 0.5) / (F.col("_holding") + 0.5))
@@ -152,9 +162,8 @@ def nearest(
             keep = _best_of_batches([row["query_id"] for row in held], vectors, k, key, exclude_own)
             parts.append(rows.mapInPandas(keep, schema))
     if not parts:
-        return rows.sparkSession.createDataFrame([], schema.add("rank", "int")).select(
-            "query_id", "rank", key, "similarity"
-        )
+        none = rows.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
+        return none.select("query_id", "rank", key, "similarity")
     scored = parts[0]
     for part in parts[1:]:
         scored = scored.unionByName(part)

@@ -48,11 +48,12 @@ def split_sections(df: DataFrame, text: str, mark: str = fixed.SECTION_MARK) ->
     piece without a line break has NULL content.
     """
     pieces = F.split(F.col(text), re.escape(mark))
+    broken = F.locate("\n", F.col("_piece"))
     others = [column for column in df.columns if column != text]
     return (
         df.select(*others, F.posexplode(pieces).alias("piece_index", "_piece"))
         .filter(F.length(F.trim("_piece")) > fixed.SECTION_MIN_LENGTH)
-        .withColumn("section", F.trim(_or_null(F.regexp_extract("_piece", r"^[^\n]+", 0))))
-        .withColumn("content", F.trim(_or_null(F.regexp_extract("_piece", r"(?s)\n(.+)", 1))))
+        .withColumn("section", F.trim(_or_null(F.substring_index("_piece", "\n", 1))))
+        .withColumn("content", F.trim(_or_null(F.when(broken > 0, F.substr("_piece", broken + 1)))))
         .drop("_piece")
     )

@@ -11,7 +11,7 @@ from lendscope.functions.text import fill, or_missing
 from lendscope.operators.latest import latest, newest
 from lendscope.operators.search import bm25
 from lendscope.plans.scoring import scored_customers
-from lendscope.plans.signals import classified, margin_percent
+from lendscope.plans.signals import MARGIN_PERCENT, classified
 from lendscope.providers import Provider, complete
 from lendscope.sources.tables import Book
 
@@ -45,33 +45,25 @@ def search_context(
 
 def input_texts() -> dict[str, Column]:
     """The four input sentences; each is NULL when one of its values is."""
-    crore = F.lit(fixed.CRORE).cast("decimal(10,0)")
 
-    def in_crore(column: str) -> Column:
-        return F.round(F.col(column) / crore, 2).cast("decimal(18,2)")
+    def crore(column: str) -> str:
+        return f"CAST(round({column} / {fixed.CRORE}, 2) AS DECIMAL(18,2))"
 
     return {
         "financials": fill(
             fixed.FINANCIALS_FORMAT,
-            revenue=in_crore("revenue"),
-            ebitda=in_crore("ebitda"),
-            de=F.col("debt_to_equity_ratio"),
-            icr=F.col("interest_coverage_ratio"),
-            npm=margin_percent(),
-            fcf=in_crore("free_cash_flow"),
-        ),
-        "repayment": fill(
-            fixed.REPAYMENT_FORMAT, payments=F.col("payments"), on_time=F.col("on_time"), overdue=F.col("max_overdue")
+            revenue=crore("revenue"),
+            ebitda=crore("ebitda"),
+            de="debt_to_equity_ratio",
+            icr="interest_coverage_ratio",
+            npm=MARGIN_PERCENT,
+            fcf=crore("free_cash_flow"),
         ),
+        "repayment": fill(fixed.REPAYMENT_FORMAT, payments="payments", on_time="on_time", overdue="max_overdue"),
         "industry_outlook": fill(
-            fixed.INDUSTRY_FORMAT,
-            outlook=F.col("outlook"),
-            default_rate=F.col("default_rate_pct"),
-            growth=F.col("sector_growth_pct"),
-        ),
-        "macro_text": fill(
-            fixed.MACRO_FORMAT, cpi=F.col("macro.latest_cpi"), repo=F.col("macro.latest_repo_rate")
+            fixed.INDUSTRY_FORMAT, outlook="outlook", default_rate="default_rate_pct", growth="sector_growth_pct"
         ),
+        "macro_text": fill(fixed.MACRO_FORMAT, cpi="macro.latest_cpi", repo="macro.latest_repo_rate"),
     }
 
 
@@ -98,18 +90,18 @@ def assessments(
     rows = classified(scored).withColumns(input_texts())
     rows = rows.withColumn("_regulations", search_context(policies, query, fixed.HITS_ASSESSMENT).scalar())
     shared = {
-        "company": F.col("company_name"),
-        "industry": F.col("industry"),
-        "score": F.col("composite_score"),
-        "grade": F.col("risk_grade"),
-        "overdue": F.col("sma_category"),
-        "drivers": F.coalesce("key_risk_drivers", F.lit("None")),
-        "financials": or_missing(F.col("financials")),
-        "repayment": or_missing(F.col("repayment")),
-        "industry_outlook": or_missing(F.col("industry_outlook")),
-        "macro": or_missing(F.col("macro_text")),
+        "company": "company_name",
+        "industry": "industry",
+        "score": "composite_score",
+        "grade": "risk_grade",
+        "overdue": "sma_category",
+        "drivers": or_missing("key_risk_drivers", "None"),
+        "financials": or_missing("financials"),
+        "repayment": or_missing("repayment"),
+        "industry_outlook": or_missing("industry_outlook"),
+        "macro": or_missing("macro_text"),
     }
-    regulations = F.left(F.coalesce("_regulations", F.lit("")), F.lit(fixed.POLICY_CONTEXT_LENGTH))
+    regulations = f"left(coalesce(_regulations, ''), {fixed.POLICY_CONTEXT_LENGTH})"
     rows = rows.withColumn("prompt", fill(PROMPT, **shared, regulations=regulations))
     audit = rows.select(
         assessment_id(run_date).alias("assessment_id"),
@@ -120,9 +112,9 @@ def assessments(
         "sma_category",
         F.col("lending_recommendation").alias("recommendation"),
         "prompt",
-        fill(NARRATIVE, **shared, recommendation=F.col("lending_recommendation")).alias("_template"),
+        fill(NARRATIVE, **shared, recommendation="lending_recommendation").alias("_template"),
         F.left("_regulations", F.lit(fixed.CITATION_LENGTH)).alias("regulatory_citations"),
-        band(F.col("composite_score"), fixed.CONFIDENCE).cast("double").alias("confidence_score"),
+        band("composite_score", fixed.CONFIDENCE).cast("double").alias("confidence_score"),
         F.lit(model).alias("model_used"),
     )
     if provider is None:

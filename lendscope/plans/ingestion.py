@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope import fixed
-from lendscope.functions.text import fill
+from lendscope.functions.text import fill, or_missing
 from lendscope.operators.maintenance import append, new_files, read_or_empty, surviving
 from lendscope.operators.numbering import number_rows, padded_id
 from lendscope.operators.sections import split_sections
@@ -27,7 +27,7 @@ def with_fields(
 ) -> DataFrame:
     """Adds the document fields, by column rules or by a provider."""
     if provider is None:
-        return docs.withColumns(document_fields(F.col("parsed_text"), rules))
+        return docs.withColumns(document_fields("parsed_text", rules))
     found = extract_fields(docs, "parsed_text", fixed.DOCUMENT_FIELDS, provider)
     return found.withColumn("effective_date", F.try_to_date("effective_date", "yyyy-MM-dd"))
 
@@ -85,7 +85,7 @@ def error_rows(spark: SparkSession, docs: DataFrame, per_row: int = ERRORS_PER_R
     """
     failed = docs.filter(F.col("processing_status") == "FAILED").select("file_name", "error_message")
     numbered = number_rows(spark, failed, ["file_name"], "_number")
-    line = fill(fixed.ERROR_FORMAT, file=F.col("file_name"), error=F.coalesce("error_message", F.lit("")))
+    line = fill(fixed.ERROR_FORMAT, file="file_name", error=or_missing("error_message", ""))
     lines = F.array_sort(F.collect_list(F.struct("_number", line.alias("line"))))
     text = F.array_join(F.transform(F.col("_lines"), lambda item: item["line"]), fixed.ERROR_SEPARATOR)
     return (
@@ -114,12 +114,12 @@ def run_summary(detected: Column | int, docs: DataFrame, run_id: str, policies:
     )
     result = fill(
         fixed.RUN_RESULT_FORMAT,
-        run=F.col("run_id"),
-        detected=F.col("files_detected"),
-        new=F.col("files_new"),
-        processed=F.col("files_processed"),
-        failed=F.col("files_failed"),
-        policies=F.col("policies_loaded"),
+        run="run_id",
+        detected="files_detected",
+        new="files_new",
+        processed="files_processed",
+        failed="files_failed",
+        policies="policies_loaded",
     )
     return row.withColumn("result", result)
 

@@ -70,7 +70,7 @@ def sma_breakdown(book: Book) -> DataFrame:
     """Customers per overdue category, by delay alone."""
     worst = book["loan_repayment"].groupBy("customer_id").agg(F.max("days_overdue").alias("days"))
     return (
-        worst.groupBy(band(F.col("days"), fixed.OVERDUE_CATEGORY_REPORT).alias("category"))
+        worst.groupBy(band("days", fixed.OVERDUE_CATEGORY_REPORT).alias("category"))
         .agg(F.count(F.lit(1)).alias("customers"))
         .orderBy(F.desc("customers"), "category")
     )

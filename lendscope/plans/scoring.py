@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope import fixed
-from lendscope.functions.banding import band, exact, label_score
-from lendscope.functions.numbers import SCORE, ratio, share
-from lendscope.functions.text import fill, or_missing
+from lendscope.functions.banding import band, label_score
+from lendscope.functions.numbers import SCORE, share
+from lendscope.functions.text import fill_sql, or_missing
 from lendscope.operators.latest import latest, newest
+from lendscope.session import materialize
 from lendscope.sources.tables import Book
 
 FINANCIAL_ORDER = ("fiscal_year", "fiscal_quarter", "financial_id")
@@ -38,10 +39,10 @@ def statement_scores(statements: DataFrame) -> DataFrame:
     """The four ratio scores of every statement."""
     return statements.withColumns(
         {
-            "de_score": band(F.col("debt_to_equity_ratio"), fixed.DEBT_TO_EQUITY),
-            "cr_score": band(F.col("current_ratio"), fixed.CURRENT_RATIO),
-            "icr_score": band(F.col("interest_coverage_ratio"), fixed.INTEREST_COVERAGE),
-            "npm_score": band(F.col("net_profit_margin"), fixed.NET_PROFIT_MARGIN),
+            "de_score": band("debt_to_equity_ratio", fixed.DEBT_TO_EQUITY),
+            "cr_score": band("current_ratio", fixed.CURRENT_RATIO),
+            "icr_score": band("interest_coverage_ratio", fixed.INTEREST_COVERAGE),
+            "npm_score": band("net_profit_margin", fixed.NET_PROFIT_MARGIN),
         }
     )
 
@@ -69,7 +70,7 @@ def repayment_scores(book: Book) -> DataFrame:
     scored = repayment_summary(book).withColumns(
         {
             "ontime_score": share(F.col("on_time"), F.col("payments"), fixed.ONTIME_MAXIMUM),
-            "overdue_score": band(F.col("max_overdue"), fixed.OVERDUE_DAYS),
+            "overdue_score": band("max_overdue", fixed.OVERDUE_DAYS),
         }
     )
     return scored.withColumn("repayment_score", (F.col("ontime_score") + F.col("overdue_score")).cast(SCORE))
@@ -87,16 +88,16 @@ def cashflow_scores(book: Book) -> DataFrame:
             F.count_if(F.col("running_balance") < 0).alias("negative_rows"),
         )
     )
-    flow = ratio(F.col("credit"), F.col("debit"))
-    steady = ratio(F.col("min_balance"), F.col("avg_balance"))
+    flow = "credit / nullif(debit, 0)"
+    steady = "min_balance / nullif(avg_balance, 0)"
     scored = sums.select(
         "customer_id",
         band(flow, fixed.CREDIT_TO_DEBIT).alias("net_flow_score"),
         F.when(F.col("min_balance") <= 0, 0)
         .otherwise(band(steady, fixed.BALANCE_STABILITY))
         .alias("balance_stability_score"),
-        band(F.col("negative_rows"), fixed.NEGATIVE_BALANCES).alias("stress_score"),
-        F.round(flow, 2).cast("decimal(18,2)").alias("credit_debit_ratio"),
+        band("negative_rows", fixed.NEGATIVE_BALANCES).alias("stress_score"),
+        F.round(F.expr(flow), 2).cast("decimal(18,2)").alias("credit_debit_ratio"),
         "min_balance",
     )
     total = F.col("net_flow_score") + F.col("balance_stability_score") + F.col("stress_score")
@@ -115,7 +116,7 @@ def collateral_scores(book: Book) -> DataFrame:
         )
         .withColumn(
             "collateral_score",
-            band(ratio(F.col("total_collateral"), F.col("total_outstanding")), fixed.COLLATERAL_COVER),
+            band("total_collateral / nullif(total_outstanding, 0)", fixed.COLLATERAL_COVER),
         )
     )
 
@@ -123,9 +124,9 @@ def collateral_scores(book: Book) -> DataFrame:
 def rating_scores(book: Book) -> DataFrame:
     scored = latest_rating(book).withColumns(
         {
-            "rating_num_score": label_score(F.col("rating"), fixed.RATING_SCORE, fixed.RATING_SCORE_OTHERWISE),
+            "rating_num_score": label_score("rating", fixed.RATING_SCORE, fixed.RATING_SCORE_OTHERWISE),
             "outlook_score": label_score(
-                F.col("rating_outlook"), fixed.RATING_OUTLOOK_SCORE, fixed.RATING_OUTLOOK_OTHERWISE
+                "rating_outlook", fixed.RATING_OUTLOOK_SCORE, fixed.RATING_OUTLOOK_OTHERWISE
             ),
         }
     )
@@ -135,11 +136,11 @@ def rating_scores(book: Book) -> DataFrame:
 def industry_scores(book: Book) -> DataFrame:
     scored = latest_industry(book).withColumns(
         {
-            "default_rate_score": band(F.col("default_rate_pct"), fixed.DEFAULT_RATE),
+            "default_rate_score": band("default_rate_pct", fixed.DEFAULT_RATE),
             "industry_outlook_score": label_score(
-                F.col("outlook"), fixed.INDUSTRY_OUTLOOK_SCORE, fixed.INDUSTRY_OUTLOOK_OTHERWISE
+                "outlook", fixed.INDUSTRY_OUTLOOK_SCORE, fixed.INDUSTRY_OUTLOOK_OTHERWISE
             ),
-            "reg_risk_score": band(F.col("regulatory_risk_score"), fixed.REGULATORY_RISK),
+            "reg_risk_score": band("regulatory_risk_score", fixed.REGULATORY_RISK),
         }
     )
     total = F.col("default_rate_score") + F.col("industry_outlook_score") + F.col("reg_risk_score")
@@ -173,11 +174,11 @@ def macro_scores(book: Book) -> DataFrame:
         indicator(fixed.FX_NAME, "change_pct").alias("fx_change"),
     )
     scored = values.select(
-        band(F.col("latest_cpi"), fixed.CPI).alias("cpi_score"),
-        band(F.col("latest_repo_rate"), fixed.REPO_RATE).alias("repo_score"),
-        band(F.col("credit_growth"), fixed.CREDIT_GROWTH).alias("credit_growth_score"),
-        band(F.col("latest_npa_ratio"), fixed.SYSTEM_NPA).alias("system_npa_score"),
-        band(F.col("fx_change"), fixed.FX_CHANGE).alias("fx_score"),
+        band("latest_cpi", fixed.CPI).alias("cpi_score"),
+        band("latest_repo_rate", fixed.REPO_RATE).alias("repo_score"),
+        band("credit_growth", fixed.CREDIT_GROWTH).alias("credit_growth_score"),
+        band("latest_npa_ratio", fixed.SYSTEM_NPA).alias("system_npa_score"),
+        band("fx_change", fixed.FX_CHANGE).alias("fx_score"),
         "latest_cpi",
         "latest_repo_rate",
         "latest_npa_ratio",
@@ -203,27 +204,19 @@ def with_macro(book: Book, df: DataFrame) -> DataFrame:
 
 def drivers() -> Column:
     """Sentences of the risk drivers that apply, in fixed order; an empty string when none does."""
-
-    def low(column: str, at_most) -> Column:
-        return F.coalesce(F.col(column), F.lit(0)) <= exact(at_most)
-
-    delays = F.coalesce(F.col("ontime_score"), F.lit(0)) < F.lit(10)
-    sentences = [
-        (low("de_score", 4), fill(fixed.DRIVER_LEVERAGE, de=or_missing(F.col("debt_to_equity_ratio")))),
-        (low("icr_score", 3), fill(fixed.DRIVER_COVERAGE, icr=or_missing(F.col("interest_coverage_ratio")))),
-        (delays, fill(fixed.DRIVER_DELAYS, days=or_missing(F.col("max_overdue"), "0"))),
-        (low("net_flow_score", 1), fill(fixed.DRIVER_OUTFLOWS, ratio=or_missing(F.col("credit_debit_ratio")))),
-        (low("stress_score", 0), F.lit(fixed.DRIVER_STRESS)),
-        (low("collateral_score", 4), F.lit(fixed.DRIVER_COLLATERAL)),
-        (low("industry_outlook_score", 1), fill(fixed.DRIVER_INDUSTRY, outlook=or_missing(F.col("outlook")))),
-        (low("rating_num_score", 3), fill(fixed.DRIVER_RATING, rating=or_missing(F.col("rating")))),
-        (
-            F.coalesce(F.col("macro.cpi_score"), F.lit(0)) == 0,
-            fill(fixed.DRIVER_INFLATION, cpi=or_missing(F.col("macro.latest_cpi"))),
-        ),
-    ]
-    applying = F.array_compact(F.array(*[F.when(condition, sentence) for condition, sentence in sentences]))
-    return F.array_join(applying, fixed.DRIVER_SEPARATOR)
+    sentences = (
+        ("coalesce(de_score, 0) <= 4", fill_sql(fixed.DRIVER_LEVERAGE, de=or_missing("debt_to_equity_ratio"))),
+        ("coalesce(icr_score, 0) <= 3", fill_sql(fixed.DRIVER_COVERAGE, icr=or_missing("interest_coverage_ratio"))),
+        ("coalesce(ontime_score, 0) < 10", fill_sql(fixed.DRIVER_DELAYS, days=or_missing("max_overdue", "0"))),
+        ("coalesce(net_flow_score, 0) <= 1", fill_sql(fixed.DRIVER_OUTFLOWS, ratio=or_missing("credit_debit_ratio"))),
+        ("coalesce(stress_score, 0) = 0", fill_sql(fixed.DRIVER_STRESS)),
+        ("coalesce(collateral_score, 0) <= 4", fill_sql(fixed.DRIVER_COLLATERAL)),
+        ("coalesce(industry_outlook_score, 0) <= 1", fill_sql(fixed.DRIVER_INDUSTRY, outlook=or_missing("outlook"))),
+        ("coalesce(rating_num_score, 0) <= 3", fill_sql(fixed.DRIVER_RATING, rating=or_missing("rating"))),
+        ("coalesce(macro.cpi_score, 0) = 0", fill_sql(fixed.DRIVER_INFLATION, cpi=or_missing("macro.latest_cpi"))),
+    )
+    applying = ", ".join(f"CASE WHEN {condition} THEN {sentence} END" for condition, sentence in sentences)
+    return F.array_join(F.array_compact(F.expr(f"array({applying})")), fixed.DRIVER_SEPARATOR)
 
 
 def scored_customers(book: Book) -> DataFrame:
@@ -250,7 +243,7 @@ def scored_customers(book: Book) -> DataFrame:
     return (
         wide.withColumns(components)
         .withColumn("composite_score", F.round(total, 1).cast(SCORE))
-        .withColumn("risk_grade", band(F.col("composite_score"), fixed.RISK_GRADE))
+        .withColumn("risk_grade", band("composite_score", fixed.RISK_GRADE))
     )
 
 
@@ -279,3 +272,8 @@ def risk_scores(book: Book) -> DataFrame:
 
 def stamped(scores: DataFrame) -> DataFrame:
     return scores.withColumn("scored_at", F.current_timestamp().cast("timestamp_ntz"))
+
+
+def with_stored_scores(book: Book) -> Book:
+    """The book with the score table computed once and written, for queries that read it several times."""
+    return book.replaced(risk_scores=materialize(book.spark, risk_scores(book), "risk-scores"))

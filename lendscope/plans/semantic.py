@@ -8,7 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lendscope.plans.scoring import risk_scores
 from lendscope.sources.tables import Book
 
 
@@ -67,10 +66,6 @@ def _split(name: str) -> tuple[str, str]:
     return table, column
 
 
-def _rows(book: Book, table: str) -> DataFrame:
-    return risk_scores(book) if table == "risk_scores" else book[table]
-
-
 def _label(name: str) -> str:
     return name.replace(".", "_")
 
@@ -81,13 +76,13 @@ def _with_dimensions(book: Book, table: str, names: list[str]) -> DataFrame:
     for name in names:
         owner, column = _split(name)
         wanted.setdefault(owner, []).append(column)
-    rows = _rows(book, table)
+    rows = book[table]
     for column in wanted.pop(table, []):
         rows = rows.withColumn(_label(f"{table}.{column}"), F.col(column))
     for owner, columns in wanted.items():
         if not MODEL[owner].one_per_customer:
             raise ValueError(f"{owner} has many rows per customer and cannot describe {table}")
-        side = _rows(book, owner).select(
+        side = book[owner].select(
             "customer_id", *[F.col(column).alias(_label(f"{owner}.{column}")) for column in columns]
         )
         rows = rows.join(side, "customer_id")
@@ -101,7 +96,8 @@ def query(
 
     Each table is aggregated to the requested dimensions on its own and the
     results are then put side by side, so a measure is never multiplied by rows of
-    another table. ``filters`` maps a dimension to its allowed values.
+    another table. The book must hold ``risk_scores`` when its columns are asked
+    for. ``filters`` maps a dimension to its allowed values.
     """
     filters = filters or {}
     asked: dict[str, list[str]] = {}

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscope import fixed
 from lendscope.functions.banding import band, level
-from lendscope.functions.numbers import grouped, scaled
-from lendscope.functions.text import fill, or_missing
+from lendscope.functions.text import fill, fill_sql, or_missing
 from lendscope.plans.scoring import scored_customers
 from lendscope.providers import Provider, classify, extract_fields
 from lendscope.sources.tables import Book
@@ -16,35 +15,33 @@ from lendscope.sources.tables import Book
 IDENTITY = ("customer_id", "company_name", "sector", "industry")
 
 
-def _crore(column: str) -> Column:
-    return F.coalesce(F.concat(grouped(F.col(column) / F.lit(fixed.CRORE).cast("decimal(10,0)")), F.lit(" Cr")), F.lit(fixed.MISSING))
+def crore_text(column: str) -> str:
+    """SQL text of an amount in whole crore with thousands separators, or the word for a missing one."""
+    return f"coalesce(concat(format_number(round({column} / {fixed.CRORE}, 0), 0), ' Cr'), '{fixed.MISSING}')"
 
 
-def margin_percent() -> Column:
-    return F.round(F.col("net_profit_margin") * 100, 2).cast("decimal(10,2)")
+MARGIN_PERCENT = "CAST(round(net_profit_margin * 100, 2) AS DECIMAL(10,2))"
 
 
 def profile_text() -> Column:
     """One paragraph per borrower; NULL when the company name or the industry is NULL."""
-    payments = fill(
-        fixed.PROFILE_PAYMENTS_FORMAT, on_time=F.col("on_time_pct").cast("string"), overdue=F.col("max_overdue").cast("string")
-    )
+    payments = fill_sql(fixed.PROFILE_PAYMENTS_FORMAT, on_time="on_time_pct", overdue="max_overdue")
     return fill(
         fixed.PROFILE_FORMAT,
-        company=F.col("company_name"),
-        industry=F.col("industry"),
-        revenue=_crore("revenue"),
-        ebitda=_crore("ebitda"),
-        de=or_missing(F.col("debt_to_equity_ratio")),
-        icr=or_missing(F.col("interest_coverage_ratio")),
-        cr=or_missing(F.col("current_ratio")),
-        npm=or_missing(margin_percent()),
-        fcf=_crore("free_cash_flow"),
-        outstanding=_crore("total_outstanding"),
-        collateral=_crore("total_collateral"),
-        payments=F.coalesce(payments, F.lit(fixed.PROFILE_NO_PAYMENTS)),
-        outlook=or_missing(F.col("outlook")),
-        default_rate=or_missing(F.col("default_rate_pct")),
+        company="company_name",
+        industry="industry",
+        revenue=crore_text("revenue"),
+        ebitda=crore_text("ebitda"),
+        de=or_missing("debt_to_equity_ratio"),
+        icr=or_missing("interest_coverage_ratio"),
+        cr=or_missing("current_ratio"),
+        npm=or_missing(MARGIN_PERCENT),
+        fcf=crore_text("free_cash_flow"),
+        outstanding=crore_text("total_outstanding"),
+        collateral=crore_text("total_collateral"),
+        payments=f"coalesce({payments}, '{fixed.PROFILE_NO_PAYMENTS}')",
+        outlook=or_missing("outlook"),
+        default_rate=or_missing("default_rate_pct"),
     )
 
 
@@ -55,16 +52,12 @@ def borrower_profiles(book: Book, scored: DataFrame | None = None) -> DataFrame:
 
 def signal_rules() -> dict[str, Column]:
     """Default signals: bands over the scores behind the profile."""
-
-    def points(column: str) -> Column:
-        return F.coalesce(F.col(column), F.lit(0))
-
     return {
-        "debt_sustainability": level(points("de_score"), 2, 6),
-        "liquidity_risk": level(points("cr_score"), 2, 4),
-        "repayment_risk": level(points("overdue_score"), 2, 6),
-        "collateral_adequacy": level(points("collateral_score"), 4, 7),
-        "revenue_stability": level(points("npm_score"), 1, 3),
+        "debt_sustainability": level("de_score", 2, 6),
+        "liquidity_risk": level("cr_score", 2, 4),
+        "repayment_risk": level("overdue_score", 2, 6),
+        "collateral_adequacy": level("collateral_score", 4, 7),
+        "revenue_stability": level("npm_score", 1, 3),
         "overall_risk_narrative": F.col("key_risk_drivers"),
     }
 
@@ -83,25 +76,24 @@ def risk_signals(book: Book, provider: Provider | None = None, scored: DataFrame
 
 def overdue_category() -> Column:
     """NPA and SMA steps by days overdue; any delay or a stressed score is SMA_0; a NULL score is no stress."""
-    days = F.coalesce(F.col("max_overdue"), F.lit(0))
-    stressed = (days > 0) | (F.col("composite_score") < fixed.STRESSED_SCORE)
+    stressed = (F.coalesce("max_overdue", F.lit(0)) > 0) | (F.col("composite_score") < fixed.STRESSED_SCORE)
     return F.coalesce(
-        band(days, fixed.OVERDUE_CATEGORY), F.when(stressed, F.lit("SMA_0")).otherwise(F.lit("STANDARD"))
+        band("coalesce(max_overdue, 0)", fixed.OVERDUE_CATEGORY), F.when(stressed, "SMA_0").otherwise("STANDARD")
     )
 
 
 def classification_text() -> Column:
     return fill(
         fixed.CLASSIFICATION_FORMAT,
-        company=F.col("company_name"),
-        industry=F.col("industry"),
-        score=or_missing(F.col("composite_score")),
-        grade=or_missing(F.col("risk_grade")),
-        overdue=or_missing(F.col("max_overdue"), "0"),
-        de=or_missing(F.col("debt_to_equity_ratio")),
-        icr=or_missing(F.col("interest_coverage_ratio")),
-        on_time=or_missing(F.col("on_time_pct"), "0"),
-        drivers=F.coalesce("key_risk_drivers", F.lit("None identified")),
+        company="company_name",
+        industry="industry",
+        score=or_missing("composite_score"),
+        grade=or_missing("risk_grade"),
+        overdue=or_missing("max_overdue", "0"),
+        de=or_missing("debt_to_equity_ratio"),
+        icr=or_missing("interest_coverage_ratio"),
+        on_time=or_missing("on_time_pct", "0"),
+        drivers=or_missing("key_risk_drivers", "None identified"),
     )
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lendscope import fixed
-from lendscope.functions.text import markup_text
+from lendscope.functions.text import markup_text, route_words
 
 Parser = Callable[[bytes], str]
 
@@ -117,19 +117,13 @@ def _group(text: Column, pattern: str) -> Column:
     return F.nullif(F.trim(F.regexp_extract(text, pattern, 1)), F.lit(""))
 
 
-def document_fields(text: Column, rules: FieldRules = FieldRules()) -> dict[str, Column]:
+def document_fields(text: str, rules: FieldRules = FieldRules()) -> dict[str, Column]:
     """The five document fields as columns: the title is the first line that is not blank, without heading marks."""
-    lowered = F.lower(text)
-    category = F
-    for label, words in rules.categories:
-        hit = F.lit(False)
-        for word in words:
-            hit = hit | lowered.contains(word)
-        category = category.when(hit, F.lit(label))
+    categories = F.array(*[F.when(route_words(text, words), F.lit(label)) for label, words in rules.categories])
     return {
-        "title": _group(text, r"^\s*(?:#+ )?([^\n]+)"),
-        "issuing_authority": _group(text, rules.issuing_authority),
-        "reference_number": _group(text, rules.reference_number),
-        "effective_date": F.try_to_date(_group(text, rules.effective_date), "yyyy-MM-dd"),
-        "category": category.otherwise(F.lit(None).cast("string")),
+        "title": _group(F.col(text), r"^\s*(?:#+ )?([^\n]+)"),
+        "issuing_authority": _group(F.col(text), rules.issuing_authority),
+        "reference_number": _group(F.col(text), rules.reference_number),
+        "effective_date": F.try_to_date(_group(F.col(text), rules.effective_date), "yyyy-MM-dd"),
+        "category": F.get(F.array_compact(categories), F.lit(0)),
     }
