@@ -297,7 +297,7 @@ SQL["dq_pk"] = """
         ('loan_repayment', 'unique', 'repayment_id', (SELECT count(*) FROM (
             SELECT 1 FROM loan_repayment GROUP BY repayment_id HAVING count(*) > 1))),
         ('customers', 'unique', 'customer_id', (SELECT count(*) - count(DISTINCT customer_id) FROM customers)),
-        ('documents', 'unique', 'text', (SELECT count(*) FROM (
+        ('documents', 'unique', 'file_hash', (SELECT count(*) FROM (
             SELECT 1 FROM documents GROUP BY text HAVING count(*) > 1)))
     ) AS checks(table_name, rule, column_name, violations)
 """

@@ -196,12 +196,12 @@ def _all_rules(book: Book, rules: list[tuple[str, list]]) -> DataFrame:
 @on_book("dq_pk")
 def dq_pk(book: Book) -> DataFrame:
     return _all_rules(
-        book,
+        book.replaced(documents=documents(book)),
         [
             ("lineitem", [Unique("l_orderkey,l_linenumber")]),
             ("loan_repayment", [Unique("repayment_id")]),
             ("customers", [Unique("customer_id")]),
-            ("documents", [Unique("text")]),
+            ("documents", [Unique("file_hash")]),
         ],
     )
 
@@ -348,7 +348,8 @@ POLICY_KEY = ("policy_id", "doc_id", "piece_index")
 def doc_listing(book: Book) -> DataFrame:
     """Every document written as a file of its own, then listed with size and hash."""
     folder = run_folder(book.spark, "documents")
-    book["documents"].select("doc_id", "text").repartition("doc_id").write.partitionBy("doc_id").text(f"{folder}/policies")
+    tasks = int(book.spark.conf.get("spark.sql.shuffle.partitions"))
+    book["documents"].select("doc_id", "text").repartition(tasks, "doc_id").write.partitionBy("doc_id").text(f"{folder}/policies")
     found = list_documents(book.spark, folder, "policies/", "*.txt")
     number = F.regexp_extract("file_name", r"^policies/doc_id=([0-9]+)/", 1).cast("long")
     return found.select(number.alias("doc_id"), "file_size", "file_hash")

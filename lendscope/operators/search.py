@@ -18,9 +18,10 @@ SATURATION = 1.2
 LENGTH_WEIGHT = 0.75
 SCORE_DIGITS = 6
 
-# Queries and query words are counted before they are sent to every task.
+# Queries, query words and hits are counted before they are sent to every task.
 MAX_QUERIES = 1000
-MAX_VOCABULARY = 500_000
+MAX_QUERY_WORDS = 500_000
+MAX_HITS = 500_000
 
 
 NO_WORD = r"[^\p{L}\p{N}]+"
@@ -36,14 +37,17 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
 
     ``queries`` has query_id and query. Only documents that share a word with the
     query are ranked; equal scores go by ``key``. The query words are counted first:
-    a vocabulary of bounded size is sent to every task, which drops all other corpus
-    words and counts the rest per document before anything is shuffled. A larger one
-    is joined by shuffle, after the words have been counted per document.
+    a bounded set is sent to every task, which drops all other corpus words and
+    counts the rest per document before anything is shuffled. A larger set is joined
+    by shuffle, after the words have been counted per document. The counts are then
+    brought together by document, so that a document's score needs no further
+    shuffle and every task sends on only its best ``k`` per query.
     """
     spark = corpus.sparkSession
     asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("_word"))
+    small = asked.count() <= MAX_QUERY_WORDS
+    bounded = F.broadcast if small else (lambda df: df)
     vocabulary = asked.select("_word").distinct()
-    small = vocabulary.count() <= MAX_VOCABULARY
 
     pieces = corpus.select(key, F.split(F.lower(text), NO_WORD).alias("_words"))
     # Only the first and the last piece of a text can be empty.
@@ -52,7 +56,7 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
     totals = tokens.agg(F.struct(F.count(F.lit(1)).alias("docs"), F.avg("_size").alias("mean")))
     per_word = tokens.select(key, "_size", F.explode("_words").alias("_word")).filter(F.col("_word") != "")
     if small:
-        per_word = per_word.join(F.broadcast(vocabulary), "_word", "left_semi")
+        per_word = per_word.join(bounded(vocabulary), "_word", "left_semi")
     # Read twice below, for the rarity of a word and for its weights: written once.
     counts = materialize(
         spark, per_word.groupBy(key, "_size", "_word").agg(F.count(F.lit(1)).alias("_times")), "word-counts"
@@ -61,21 +65,34 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
     total = F.col("_total")
     rarity = F.log(F.lit(1.0) + (total["docs"] - F.col("_holding") + 0.5) / (F.col("_holding") + 0.5))
     weights = (
-        vocabulary.join(holding, "_word")
+        asked.join(holding, "_word")
         .withColumn("_total", totals.scalar())
-        .select("_word", rarity.alias("_rarity"), total["mean"].alias("_mean"))
+        .select("_word", "query_id", rarity.alias("_rarity"), total["mean"].alias("_mean"))
     )
     length = F.lit(1 - LENGTH_WEIGHT) + F.lit(LENGTH_WEIGHT) * F.col("_size") / F.col("_mean")
     weight = F.col("_rarity") * F.col("_times") * (SATURATION + 1) / (F.col("_times") + SATURATION * length)
-    weighted = counts.join(F.broadcast(weights) if small else weights, "_word").select(key, "_word", weight.alias("_weight"))
+    by_document = counts.repartition(key) if small else counts
     scores = (
-        weighted.join(asked, "_word")
+        by_document.join(bounded(weights), "_word")
         .groupBy("query_id", key)
-        .agg(F.round(F.sum("_weight"), SCORE_DIGITS).alias("score"))
+        .agg(F.round(F.sum(weight), SCORE_DIGITS).alias("score"))
     )
     return ranked(scores, ["query_id"], [F.desc("score"), F.asc(key)], k).select("query_id", "rank", key, "score")
 
 
+def hit_rows(found: DataFrame, queries: DataFrame, k: int, corpus: DataFrame, key: str, columns: list) -> DataFrame:
+    """The hits with columns of their documents.
+
+    There are at most ``k`` hits per query, so a bounded number of them is sent to
+    the corpus instead of moving the corpus; beyond the bound the two are shuffled,
+    with only the asked columns.
+    """
+    wanted = corpus.select(key, *columns)
+    if queries.count() * k <= MAX_HITS:
+        found = F.broadcast(found)
+    return wanted.join(found, key)
+
+
 def unit(vector: Column) -> Column:
     """The vector as doubles, scaled to length 1; a zero vector stays zero."""
     doubles = F.transform(vector, lambda x: x.cast("double"))

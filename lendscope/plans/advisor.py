@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscope import fixed
 from lendscope.functions.text import route_words
-from lendscope.operators.search import bm25
+from lendscope.operators.search import bm25, hit_rows
 from lendscope.plans.scoring import latest_macro, risk_scores
 from lendscope.sources.tables import Book
 
@@ -45,11 +45,13 @@ def csv_line(*columns: Column) -> Column:
 def _dataset_text(df: DataFrame, dataset: str, columns: list[str], order: list[str]) -> DataFrame:
     """One row: heading, CSV head and the first lines, cut to the data context.
 
-    Every line is at least one character and its break, so no more lines than
-    characters can be used; taking that many sorted rows loses nothing.
+    A line has at least the commas between its columns and its break, so the limit
+    cannot be reached by more than limit / columns lines; taking that many sorted rows
+    loses nothing.
     """
+    enough = fixed.DATA_CONTEXT_LENGTH // len(columns) + 1
     line = csv_line(*[F.col(column) for column in columns])
-    first = df.orderBy(*order).limit(fixed.DATA_CONTEXT_LENGTH).select(F.struct(*order).alias("key"), line.alias("line"))
+    first = df.orderBy(*order).limit(enough).select(F.struct(*order).alias("key"), line.alias("line"))
     items = F.array_sort(F.collect_list(F.struct("key", "line")))
     body = F.array_join(F.transform(items, lambda item: item["line"]), "\n")
     head = f"{fixed.ROUTE_HEADINGS[dataset]}\n{','.join(columns)}\n"
@@ -119,7 +121,7 @@ def policy_context(
     """query_id and ``context``: ``[title]: text`` of the best hits by rank, each hit and the whole cut to its limit."""
     found = bm25(corpus, questions, hits, key, text)
     line = F.concat(F.lit("["), title, F.lit("]: "), F.left(text, F.lit(fixed.HIT_LENGTH)), F.lit("\n\n"))
-    lines = found.join(corpus, key).select("query_id", "rank", line.alias("line"))
+    lines = hit_rows(found, questions, hits, corpus, key, [line.alias("line")])
     items = F.transform(F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda item: item["line"])
     context = F.left(F.array_join(items, ""), F.lit(fixed.POLICY_CONTEXT_LENGTH))
     return lines.groupBy("query_id").agg(context.alias("context"))

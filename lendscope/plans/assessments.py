@@ -9,7 +9,7 @@ from lendscope import fixed
 from lendscope.functions.banding import band
 from lendscope.functions.text import fill, or_missing
 from lendscope.operators.latest import latest, newest
-from lendscope.operators.search import bm25
+from lendscope.operators.search import bm25, hit_rows
 from lendscope.plans.scoring import scored_customers
 from lendscope.plans.signals import MARGIN_PERCENT, classified
 from lendscope.providers import Provider, complete
@@ -37,8 +37,8 @@ def search_context(
     asked = policies.sparkSession.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
     found = bm25(policies, asked, hits, key, text)
     # Only the first characters of a hit can reach the citation.
-    line = F.concat(title, F.lit(": "), F.left(text, F.lit(fixed.CITATION_LENGTH)))
-    best = found.join(policies.select(key, title, text), key).select("rank", line.alias("line"))
+    line = F.concat(title, F.lit(": "), F.left(text, F.lit(fixed.CITATION_LENGTH))).alias("line")
+    best = hit_rows(found, asked, hits, policies, key, [line])
     lines = F.transform(F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda item: item["line"])
     return best.agg(F.left(F.array_join(lines, "\n"), F.lit(fixed.CITATION_LENGTH)).alias("context"))
 

@@ -53,11 +53,22 @@ def test_bm25(spark):
     check_bm25(spark)
 
 
-def test_bm25_with_a_large_vocabulary(spark, monkeypatch):
-    monkeypatch.setattr(search, "MAX_VOCABULARY", 1)
+def test_bm25_with_many_query_words(spark, monkeypatch):
+    monkeypatch.setattr(search, "MAX_QUERY_WORDS", 1)
     check_bm25(spark)
 
 
+def test_documents_of_hits_stay_where_they_are(spark, capsys, monkeypatch):
+    corpus_rows = spark.range(2000).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    queries = spark.createDataFrame([(1, "word 5")], "query_id long, query string")
+    found = search.bm25(corpus_rows, queries, 3)
+    search.hit_rows(found, queries, 3, corpus_rows, "doc_id", ["text"]).explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    monkeypatch.setattr(search, "MAX_HITS", 1)
+    both = search.hit_rows(found, queries, 3, corpus_rows, "doc_id", ["text"])
+    assert sorted((row["rank"], row["text"]) for row in both.collect())[0] == (1, "word 5")
+
+
 def vectors(rng, count):
     made = [(place, [rng.uniform(-1, 1) for _ in range(6)], place % 3) for place in range(count)]
     return made + [(count, made[0][1], 0), (count + 1, [0.0] * 6, 1)]
