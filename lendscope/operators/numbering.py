@@ -11,16 +11,19 @@ from lendscope.session import materialize
 _PLACE_BITS = 33
 
 
-def number_rows(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> DataFrame:
+def number_rows(
+    spark: SparkSession, df: DataFrame, order: list[str], name: str, written: bool = False
+) -> DataFrame:
     """Adds 1, 2, 3, ... in the given order, whose columns must identify a row and not be NULL.
 
-    The rows are written once, so that whatever computes them runs once. Only their
+    The rows are written once, so that whatever computes them runs once (``written``
+    says that they are read from a table already). Only their
     order columns are then range-partitioned and sorted: every partition holds one
     stretch of the order, and a row's number is its place plus the rows of the
     stretches before, of which there are as many as partitions. The stretches are
     written too, because a second range-partitioning could cut elsewhere.
     """
-    rows = materialize(spark, df, "rows")
+    rows = df if written else materialize(spark, df, "rows")
     tag = F.monotonically_increasing_id()
     stretches = materialize(
         spark,

@@ -12,21 +12,24 @@ def running_total(
     """Running sum of ``amount`` per ``key`` in ``order``.
 
     ``slice_by`` must not decrease along ``order`` (an hour of the timestamp, for
-    example). Each (key, slice) is summed on its own; what came before a slice is
-    added from the totals of the earlier slices. A hot key is thereby spread over
-    all its slices, and only its slice totals meet in one task.
+    example). Each (key, slice) is summed on its own, starting from the totals of the
+    earlier slices. A hot key is thereby spread over all its slices, and only its
+    slice totals meet in one task.
     """
     rows = df.withColumn("_slice", slice_by).withColumn("_amount", amount)
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # What the earlier slices add up to enters each slice as a row before its first.
     carried = (
         rows.groupBy(key, "_slice")
-        .agg(F.sum("_amount").alias("_total"))
-        .select(key, "_slice", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_carried"))
+        .agg(F.sum("_amount").alias("_amount"))
+        .withColumn("_amount", F.coalesce(F.sum("_amount").over(before), F.lit(0)))
+        .withColumn("_own", F.lit(False))
     )
-    inside = Window.partitionBy(key, "_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(key, "_slice").orderBy("_own", *order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        rows.withColumn("_inside", F.sum("_amount").over(inside))
-        .join(carried, [key, "_slice"])
-        .withColumn(name, F.col("_carried") + F.col("_inside"))
-        .drop("_slice", "_amount", "_inside", "_carried")
+        rows.withColumn("_own", F.lit(True))
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn(name, F.sum("_amount").over(inside))
+        .filter("_own")
+        .drop("_slice", "_amount", "_own")
     )

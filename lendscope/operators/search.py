@@ -47,20 +47,21 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
     asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("_word"))
     small = asked.count() <= MAX_QUERY_WORDS
     bounded = F.broadcast if small else (lambda df: df)
-    vocabulary = asked.select("_word").distinct()
-
-    pieces = corpus.select(key, F.split(F.lower(text), NO_WORD).alias("_words"))
-    # Only the first and the last piece of a text can be empty.
-    ends = (F.element_at("_words", 1) == "").cast("int") + (F.element_at("_words", -1) == "").cast("int")
-    tokens = pieces.withColumn("_size", F.greatest(F.size("_words") - ends, F.lit(0)))
-    totals = tokens.agg(F.struct(F.count(F.lit(1)).alias("docs"), F.avg("_size").alias("mean")))
-    per_word = tokens.select(key, "_size", F.explode("_words").alias("_word")).filter(F.col("_word") != "")
+    # Every document also holds the empty word once: that row carries its size, so that the
+    # number of documents and their mean size need no second pass over the texts.
+    vocabulary = asked.select("_word").unionByName(spark.range(1).select(F.lit("").alias("_word"))).distinct()
+
+    tokens = corpus.select(key, words(F.col(text)).alias("_words")).withColumn("_size", F.size("_words"))
+    per_word = tokens.select(key, "_size", F.explode(F.array_append("_words", F.lit(""))).alias("_word"))
     if small:
         per_word = per_word.join(bounded(vocabulary), "_word", "left_semi")
-    # Read twice below, for the rarity of a word and for its weights: written once.
+    # Read several times below: written once.
     counts = materialize(
         spark, per_word.groupBy(key, "_size", "_word").agg(F.count(F.lit(1)).alias("_times")), "word-counts"
     )
+    totals = counts.filter(F.col("_word") == "").agg(
+        F.struct(F.count(F.lit(1)).alias("docs"), F.avg("_size").alias("mean"))
+    )
     holding = counts.groupBy("_word").agg(F.count(F.lit(1)).alias("_holding"))
     total = F.col("_total")
     rarity = F.log(F.lit(1.0) + (total["docs"] - F.col("_holding") + 0.5) / (F.col("_holding") + 0.5))

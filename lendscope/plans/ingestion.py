@@ -59,10 +59,10 @@ def highest_number(policies: DataFrame) -> Column:
 
 
 def assign_policy_ids(
-    spark: SparkSession, sections: DataFrame, existing: DataFrame | None, order: list[str]
+    spark: SparkSession, sections: DataFrame, existing: DataFrame | None, order: list[str], written: bool = False
 ) -> DataFrame:
     """Running ids in the order of file and piece, continuing after the highest existing one."""
-    numbered = number_rows(spark, sections, order, "_number")
+    numbered = number_rows(spark, sections, order, "_number", written)
     number = F.col("_number")
     if existing is not None:
         numbered = numbered.withColumn("_highest", highest_number(existing))
@@ -73,8 +73,9 @@ def assign_policy_ids(
 
 def replace_policies(spark: SparkSession, existing: DataFrame, sections: DataFrame, order: list[str]) -> DataFrame:
     """Policies without those whose title is in the new batch, plus the new batch under new ids."""
-    kept = surviving(existing, sections, "title")
-    return kept.unionByName(assign_policy_ids(spark, sections, kept, order), allowMissingColumns=True)
+    batch = materialize(spark, sections, "batch")
+    kept = surviving(existing, batch, "title")
+    return kept.unionByName(assign_policy_ids(spark, batch, kept, order, written=True), allowMissingColumns=True)
 
 
 def error_rows(spark: SparkSession, docs: DataFrame, per_row: int = ERRORS_PER_ROW) -> DataFrame:
@@ -201,9 +202,10 @@ def ingest(
     provider: Provider | None = None,
     run_id: str | None = None,
 ) -> str:
-    """One ingestion run over a listing (file_name, file_size, file_hash and what ``parse`` reads).
+    """One ingestion run over a listing (file_name, file_size, file_hash).
 
-    Only new or changed files are parsed, and only their batch is written. A failed
+    ``parse`` gets the listed rows of the new files, reads their contents and adds
+    parsed_text, processing_status and error_message. Only new or changed files are parsed, and only their batch is written. A failed
     file keeps its earlier text and policies and comes again in the next run. The
     documents are recorded last: a run that dies before is repeated by the next one,
     whose batch then replaces the half-written titles. A run that fails is logged as
@@ -214,7 +216,9 @@ def ingest(
     now = F.current_timestamp().cast("timestamp_ntz")
     try:
         batch = F.lit(library.next_batch()).cast("long")
-        fresh = parse(new_files(listing, library.known_files())).withColumn("processed_at", now)
+        # The list of new files is written, so that its true size decides how it meets the contents.
+        todo = materialize(spark, new_files(listing, library.known_files()), "new-files")
+        fresh = parse(todo).withColumn("processed_at", now)
         # Parsing and extraction may call a provider: run each once and keep the result.
         parsed = materialize(spark, fresh, "parsed")
         good = parsed.filter(F.col("processing_status") == "SUCCESS")

@@ -188,12 +188,17 @@ def macro_scores(book: Book) -> DataFrame:
 
 
 def with_industry(book: Book) -> DataFrame:
-    """Customers with the newest trend of their sector and industry, where there is one."""
+    """Customers with the newest trend of their sector and industry, where there is one.
+
+    The newest trends are written first. Spark then knows their true size: as long as
+    it is below the broadcast limit they are sent to the customers, and otherwise
+    both are shuffled, where a hot sector is split by the skew-join rule.
+    """
     trends = industry_scores(book).select(
         "sector", "industry", "outlook", "default_rate_pct", "sector_growth_pct", "industry_outlook_score",
         "industry_score",
     )
-    return book["customers"].join(trends, ["sector", "industry"], "left")
+    return book["customers"].join(materialize(book.spark, trends, "trends"), ["sector", "industry"], "left")
 
 
 def with_macro(book: Book, df: DataFrame) -> DataFrame:
