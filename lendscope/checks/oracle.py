@@ -470,6 +470,10 @@ SQL["feed_load"] = """
     UNION ALL SELECT 'typed-' || report_date, 0 FROM feed_days
     UNION ALL SELECT NULL, 1 FROM feed_days
 """
+SQL["feed_raw"] = """
+    SELECT indicator_id, value FROM macro_economic_indicators
+    UNION ALL SELECT 'typed-' || report_date, NULL FROM feed_days
+"""
 SQL["feed_parse"] = """
     SELECT indicator_id, indicator_name, indicator_category, value, previous_value, change_pct, unit, report_date,
            frequency, source, region FROM macro_economic_indicators
@@ -564,6 +568,27 @@ SQL["question_context"] = f"""
 """
 
 
+def shorter(sql: str, order: str) -> str:
+    """The dataset text from its first 15 rows."""
+    start, source = sql[: sql.rindex(" FROM ")], sql[sql.rindex(" FROM ") + 6 : -1]
+    return f"{start} FROM (SELECT * FROM {source} ORDER BY {order} LIMIT 15))"
+
+
+FIRST_TEXTS = " ".join(
+    f"WHEN '{name}' THEN {text if name == 'macro' else shorter(text, order)}"
+    for (name, text), order in zip(
+        DATASETS.items(),
+        ("tenths, customer_id", "outstanding_cents DESC, loan_id", "application_date DESC, application_id", ""),
+    )
+)
+SQL["question_context_first"] = f"""
+    SELECT query_id, dataset, coalesce(CASE dataset {FIRST_TEXTS} END, '') AS data_context, coalesce(context, '') AS context
+    FROM (SELECT conv_id || '-' || turn AS query_id, CASE {FIRST} END AS dataset FROM conversations WHERE role = 'user')
+    LEFT JOIN (SELECT query_id, left(string_agg(source || ': ' || left(text, 500), chr(10) ORDER BY rank), 1500) AS context
+               FROM turn_hits JOIN documents USING (doc_id) WHERE rank <= 2 GROUP BY 1) USING (query_id)
+"""
+
+
 def assessment_id(date: str) -> str:
     return (
         f"'CA-{date.replace('-', '')}-' || customer_id || '-' || "

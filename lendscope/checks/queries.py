@@ -513,6 +513,16 @@ def feed_load(book: Book) -> DataFrame:
     )
 
 
+@on_book("feed_raw")
+def feed_raw(book: Book) -> DataFrame:
+    """The stored landing table of the streaming job: raw records by path, also the rejected ones."""
+    tables = macro_feed.run_feed(book.spark, feed_folder(book), run_folder(book.spark, "feed-tables"))
+    return tables.raw().select(
+        F.try_variant_get("raw_data", "$.indicator_id", "string").alias("indicator_id"),
+        F.try_variant_get("raw_data", "$.value", "double").alias("value"),
+    )
+
+
 @on_book("feed_parse")
 def feed_parse(book: Book) -> DataFrame:
     """The typed indicators after one run of the streaming job over the feed files."""
@@ -626,6 +636,17 @@ def question_context(book: Book) -> DataFrame:
     )
 
 
+@on_book("question_context_first")
+def question_context_first(book: Book) -> DataFrame:
+    """The user turns as questions, so that some of them match a dataset."""
+    asked = questions(book).select(
+        F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("text").alias("query")
+    )
+    corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
+    result = advisor.question_context_first(book, asked, corpus, "doc_id", "title", "text")
+    return result.select("query_id", "dataset", "data_context", "context")
+
+
 SEARCH_TEXT = "the and of"
 
 

@@ -134,6 +134,7 @@ SIGNAL_FIELDS = (
 RECOMMENDATIONS = ("APPROVE", "CONDITIONAL_APPROVE", "ESCALATE", "REJECT")
 DOCUMENT_FIELDS = ("title", "issuing_authority", "reference_number", "effective_date", "category")
 DOCUMENT_TYPE = "Master Circular"
+RELEVANCE_FORMAT = "Production pipeline | Run: {run}"
 APPRAISAL_QUERY = "credit appraisal provisioning norms capital adequacy"
 OPEN_APPLICATION_STATUSES = ("PENDING", "UNDER_REVIEW", "ESCALATED")
 
@@ -183,8 +184,10 @@ CITATION_LENGTH = 2000
 DATA_CONTEXT_LENGTH = 2500
 POLICY_CONTEXT_LENGTH = 1500
 HIT_LENGTH = 600
+HIT_LENGTH_FIRST = 500
 HITS_ASSESSMENT = 2
 HITS_ADVISOR = 3
+HITS_ADVISOR_FIRST = 2
 HITS_POLICY_PAGE = 5
 WORST_ROWS = 15
 REGION_DEFAULT = "India"

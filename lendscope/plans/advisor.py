@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lendscope import fixed
-from lendscope.functions.text import route_words
+from lendscope.functions.text import fill, route_words
 from lendscope.operators.search import bm25, hit_rows
 from lendscope.plans.scoring import latest_macro, risk_scores
 from lendscope.sources.tables import Book
@@ -42,14 +42,16 @@ def csv_line(*columns: Column) -> Column:
     return F.concat(*parts)
 
 
-def _dataset_text(df: DataFrame, dataset: str, columns: list[str], order: list[str]) -> DataFrame:
-    """One row: heading, CSV head and the first lines, cut to the data context.
+def _dataset_text(
+    df: DataFrame, dataset: str, columns: list[str], order: list[str], rows: int | None = None
+) -> DataFrame:
+    """One row: heading, CSV head and the first lines (at most ``rows``), cut to the data context.
 
     A line has at least the commas between its columns and its break, so the limit
     cannot be reached by more than limit / columns lines; taking that many sorted rows
     loses nothing.
     """
-    enough = fixed.DATA_CONTEXT_LENGTH // len(columns) + 1
+    enough = min(rows or fixed.DATA_CONTEXT_LENGTH, fixed.DATA_CONTEXT_LENGTH // len(columns) + 1)
     line = csv_line(*[F.col(column) for column in columns])
     first = df.orderBy(*order).limit(enough).select(F.struct(*order).alias("key"), line.alias("line"))
     items = F.array_sort(F.collect_list(F.struct("key", "line")))
@@ -59,8 +61,8 @@ def _dataset_text(df: DataFrame, dataset: str, columns: list[str], order: list[s
     return first.agg(text.alias("text"))
 
 
-def dataset_texts(book: Book) -> dict[str, DataFrame]:
-    """The text of each dataset a question can be routed to, as one-row DataFrames."""
+def dataset_texts(book: Book, rows: int | None = None) -> dict[str, DataFrame]:
+    """The text of each dataset a question can be routed to, as one-row DataFrames; macro always has all rows."""
     names = book["customers"].select("customer_id", "company_name", "sector")
     scores = risk_scores(book).select(
         "company_name", "sector", "composite_score", "risk_grade", "key_risk_drivers", "customer_id"
@@ -81,12 +83,14 @@ def dataset_texts(book: Book) -> dict[str, DataFrame]:
             "risk_scores",
             ["company_name", "sector", "composite_score", "risk_grade", "key_risk_drivers"],
             ["composite_score", "customer_id"],
+            rows,
         ),
         "loan_exposure": _dataset_text(
             loans,
             "loan_exposure",
             ["company_name", "sector", "loan_type", "outstanding_balance", "collateral_value", "loan_status"],
             ["_falling", "loan_id"],
+            rows,
         ),
         "applications": _dataset_text(
             applications,
@@ -94,6 +98,7 @@ def dataset_texts(book: Book) -> dict[str, DataFrame]:
             ["company_name", "loan_type", "requested_amount", "application_status", "ai_recommendation",
              "ai_recommendation_reason"],
             ["_falling", "application_id"],
+            rows,
         ),
         "macro": _dataset_text(
             latest_macro(book),
@@ -116,23 +121,49 @@ def data_context(book: Book, questions: DataFrame, question: str = "question") -
 
 
 def policy_context(
-    questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str, hits: int = fixed.HITS_ADVISOR
+    questions: DataFrame,
+    corpus: DataFrame,
+    key: str,
+    title: str,
+    text: str,
+    hits: int = fixed.HITS_ADVISOR,
+    length: int = fixed.HIT_LENGTH,
+    form: str = "[{title}]: {text}\n\n",
+    separator: str = "",
 ) -> DataFrame:
-    """query_id and ``context``: ``[title]: text`` of the best hits by rank, each hit and the whole cut to its limit."""
+    """query_id and ``context``: the best hits by rank in the given form, each hit and the whole cut to its limit."""
     found = bm25(corpus, questions, hits, key, text)
-    line = F.concat(F.lit("["), title, F.lit("]: "), F.left(text, F.lit(fixed.HIT_LENGTH)), F.lit("\n\n"))
+    line = fill(form, title=title, text=f"left({text}, {length})")
     lines = hit_rows(found, questions, hits, corpus, key, [line.alias("line")])
     items = F.transform(F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda item: item["line"])
-    context = F.left(F.array_join(items, ""), F.lit(fixed.POLICY_CONTEXT_LENGTH))
+    context = F.left(F.array_join(items, separator), F.lit(fixed.POLICY_CONTEXT_LENGTH))
     return lines.groupBy("query_id").agg(context.alias("context"))
 
 
+def _with_context(questions: DataFrame, contexts: DataFrame) -> DataFrame:
+    joined = questions.join(contexts, "query_id", "left")
+    return joined.withColumn("context", F.coalesce("context", F.lit("")))
+
+
 def question_context(
     book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str
 ) -> DataFrame:
     """query_id, query, datasets, data_context and policy context ('' without a hit) of every question."""
     with_data = data_context(book, questions, "query")
-    return (
-        with_data.join(policy_context(questions, corpus, key, title, text), "query_id", "left")
-        .withColumn("context", F.coalesce("context", F.lit("")))
+    return _with_context(with_data, policy_context(questions, corpus, key, title, text))
+
+
+def question_context_first(
+    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str
+) -> DataFrame:
+    """The shorter form: the first matching dataset with its first rows (none without a match) and two hits."""
+    routed = questions.withColumn("dataset", route_first(F.col("query")))
+    data = F.lit("")
+    for dataset, one_row in dataset_texts(book, fixed.WORST_ROWS).items():
+        routed = routed.withColumn(f"_{dataset}", one_row.scalar())
+        data = F.when(F.col("dataset") == dataset, F.col(f"_{dataset}")).otherwise(data)
+    with_data = routed.withColumn("data_context", data).select(*questions.columns, "dataset", "data_context")
+    contexts = policy_context(
+        questions, corpus, key, title, text, fixed.HITS_ADVISOR_FIRST, fixed.HIT_LENGTH_FIRST, "{title}: {text}", "\n"
     )
+    return _with_context(with_data, contexts)

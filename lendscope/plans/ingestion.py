@@ -266,5 +266,5 @@ def _policy_columns(sections: DataFrame, run_id: str) -> DataFrame:
         "effective_date",
         "reference_number",
         "category",
-        F.lit(f"Production pipeline | Run: {run_id}").alias("relevance_to_lending"),
+        F.lit(fixed.RELEVANCE_FORMAT.replace("{run}", run_id)).alias("relevance_to_lending"),
     )

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from lendscope import fixed
 from lendscope.functions.text import markup_text, route_words
+from lendscope.operators.sections import join_ranges, plan_ranges
 
-Parser = Callable[[bytes], str]
+Parser = Callable[..., str]
 
 
 def list_documents(spark: SparkSession, folder: str, below: str = "policies/", name: str = "*.pdf") -> DataFrame:
@@ -47,32 +48,66 @@ def read_contents(spark: SparkSession, folder: str, name: str = "*") -> DataFram
     )
 
 
-def parse_with(df: DataFrame, content: str, parser: Parser) -> DataFrame:
-    """Adds parsed_text, processing_status and error_message.
-
-    ``parser`` turns the bytes of one document into text. A document it cannot read
-    becomes FAILED with the message; the others go on.
-    """
-    added = [
+_ADDED = T.StructType(
+    [
         T.StructField("parsed_text", T.StringType()),
         T.StructField("processing_status", T.StringType()),
         T.StructField("error_message", T.StringType()),
     ]
-    schema = T.StructType([field for field in df.schema.fields if field.name != content] + added)
+)
+
+
+def parse_with(df: DataFrame, content: str, parser: Parser, arguments: tuple[str, ...] = ()) -> DataFrame:
+    """Adds parsed_text, processing_status and error_message, and drops the content.
+
+    ``parser`` turns the bytes of one document (and the values of the argument
+    columns) into text. A document it cannot read becomes FAILED with the message;
+    the others go on.
+    """
+    others = [field for field in df.schema.fields if field.name != content]
+    names = [field.name for field in _ADDED.fields]
 
-    def attempt(value) -> tuple:
+    def attempt(value, *more) -> tuple:
         try:
-            return parser(bytes(value)), "SUCCESS", None
+            return parser(bytes(value), *more), "SUCCESS", None
         except Exception as error:  # one bad document must not stop the batch
             return None, "FAILED", str(error)
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            results = [attempt(value) for value in frame[content]]
-            parsed = pd.DataFrame(results, columns=[field.name for field in added], index=frame.index, dtype=object)
+            results = [attempt(*row) for row in zip(frame[content], *(frame[name] for name in arguments))]
+            parsed = pd.DataFrame(results, columns=names, index=frame.index, dtype=object)
             yield pd.concat([frame.drop(columns=[content]), parsed], axis=1)
 
-    return df.mapInPandas(batches, schema)
+    return df.mapInPandas(batches, T.StructType([*others, *_ADDED.fields]))
+
+
+def parse_by_ranges(
+    df: DataFrame, key: str, content: str, pages: str, parser: Parser, size: int = fixed.PAGES_PER_RANGE
+) -> DataFrame:
+    """key, parsed_text, processing_status, error_message; long documents are read in page ranges side by side.
+
+    ``parser`` gets bytes, first page and end page. A document with a range that
+    fails is FAILED with the message of its first such range. A document without
+    pages has no range and is SUCCESS with an empty text.
+    """
+    ranges = plan_ranges(df.select(key, content, pages), pages, size).drop(pages)
+    parts = parse_with(ranges, content, parser, ("range_start", "range_end"))
+    texts = join_ranges(parts, key, "range_start", "parsed_text", "parsed_text")
+    failed = parts.filter(F.col("processing_status") == "FAILED")
+    errors = failed.groupBy(key).agg(F.min_by("error_message", "range_start").alias("error_message"))
+    bad = F.col("error_message").isNotNull()
+    return (
+        df.select(key)
+        .join(texts, key, "left")
+        .join(errors, key, "left")
+        .select(
+            key,
+            F.when(~bad, F.coalesce("parsed_text", F.lit(""))).alias("parsed_text"),
+            F.when(bad, "FAILED").otherwise("SUCCESS").alias("processing_status"),
+            "error_message",
+        )
+    )
 
 
 UNREADABLE = "less than {percent} percent of the text is letters"

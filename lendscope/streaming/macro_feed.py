@@ -109,11 +109,16 @@ class FeedTables:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
+        self.raw_path = f"{base}/macro_economic_raw"
         self.indicators_path = f"{base}/macro_economic_indicators"
         self.quarantine_path = f"{base}/quarantine"
         self.checkpoint = f"{base}/checkpoint"
         self.scores = Versions(spark, f"{base}/risk_scores")
 
+    def raw(self) -> DataFrame:
+        """The landing table: every record that is JSON, with its file."""
+        return read_or_empty(self.spark, self.raw_path, SCHEMAS["macro_economic_raw"])
+
     def indicators(self) -> DataFrame:
         """All accepted indicators, without the batch column."""
         schema = T.StructType(
@@ -131,6 +136,10 @@ class FeedTables:
         """
         batch.persist()
         try:
+            landed = batch.filter(F.col("raw_data").isNotNull()).select(
+                "raw_data", "source_file", F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")
+            )
+            landed.write.mode("overwrite").parquet(f"{self.raw_path}/batch={batch_id}")
             quarantined(batch).write.mode("overwrite").parquet(f"{self.quarantine_path}/batch={batch_id}")
             earlier = self.indicators().filter(F.col("batch") < batch_id).select("indicator_id")
             fresh = one_per_id(good_indicators(batch)).join(earlier, "indicator_id", "left_anti")

@@ -53,6 +53,7 @@ def test_bad_records_go_aside_and_the_rest_counts(spark, feed, tmp_path):
                                             json.dumps(record(3, date="someday")), "[]", "[1]"]))
     tables = run(spark, feed, tmp_path)
     assert [row["indicator_id"] for row in tables.indicators().collect()] == ["i1"]
+    assert tables.raw().filter("source_file = 'a.json'").count() == 4
     reasons = sorted(row["reason"] for row in spark.read.parquet(tables.quarantine_path).collect())
     assert reasons == ["missing or mistyped column"] * 3 + ["not JSON"]
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendscope.plans import ingestion, library
-from lendscope.sources.documents import document_fields, list_documents, parse_text, parse_with, read_contents
+from lendscope.sources.documents import document_fields, list_documents, parse_by_ranges, parse_text, parse_with, read_contents
 
 
 def write(folder, name, text):
@@ -175,6 +175,22 @@ def test_policy_reports(spark):
     assert library.policies_filtered(df, ["C", None]).count() == 2
 
 
+def test_long_documents_are_read_in_ranges(spark):
+    rows = [("a", b"abcdefg", 7), ("b", b"xy", 2), ("c", b"", 0), ("d", b"0123456789", 10)]
+    df = spark.createDataFrame(rows, "file_name string, content binary, page_count long")
+
+    def parser(value, start, end):
+        if value.startswith(b"0") and start >= 3:
+            raise ValueError(f"page {start}")
+        return value[start:end].decode()
+
+    found = {row["file_name"]: row for row in parse_by_ranges(df, "file_name", "content", "page_count", parser, 3).collect()}
+    assert found["a"]["parsed_text"] == "\n\nabc\n\ndef\n\ng" and found["b"]["parsed_text"] == "xy"
+    assert found["c"]["parsed_text"] == "" and found["c"]["processing_status"] == "SUCCESS"
+    assert found["d"]["processing_status"] == "FAILED" and found["d"]["error_message"] == "page 3"
+    assert found["d"]["parsed_text"] is None
+
+
 def test_parser_batches_keep_rows_apart(spark):
     df = spark.createDataFrame([(n, str(n).encode()) for n in range(50)], "id long, content binary")
 
