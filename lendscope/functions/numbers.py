@@ -17,20 +17,9 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
-def ratio(part: Column, whole: Column) -> Column:
-    """part / whole, NULL where whole is zero."""
-    return part / F.nullif(whole, F.lit(0))
-
-
 def share(hits: Column, rows: Column, scale: int) -> Column:
     """``scale`` times the share of hits, rounded half up to one digit."""
-    return F.round(ratio(hits * F.lit(scale).cast("decimal(5,1)"), rows), 1).cast(SCORE)
-
-
-def half_up(value: Column, digits: int) -> Column:
-    """Round a double half up by plain arithmetic, the same in every engine."""
-    factor = 10**digits
-    return F.floor(value * F.lit(float(factor)) + F.lit(0.5)) / F.lit(float(factor))
+    return F.round(hits * F.lit(scale).cast("decimal(5,1)") / F.nullif(rows, F.lit(0)), 1).cast(SCORE)
 
 
 def scaled(value: Column, unit: int, digits: int = 1) -> Column:

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lendscope.functions.numbers import MONEY, RATE, RATIO, half_up, money
 from lendscope.operators.running import running_total
 from lendscope.sources.schemas import DEFAULTS
 from lendscope.sources.tables import Book, with_defaults
@@ -36,71 +35,76 @@ EVENT_INDICATORS = {
 
 
 # Order keys are reduced before they are summed, so that sums stay inside 64 bits at any table size.
-KEY_RANGE = 1_000_000
+KEY = "o_orderkey % 1000000"
+PRICE = "CAST(o_totalprice AS DECIMAL(18,2))"
 
 
-def _whole(value, by: int):
-    """Integer division."""
-    return F.call_function("div", value, F.lit(by))
+def _pick(values: tuple, place: str) -> str:
+    """SQL text for label number ``place`` (from 0) of a fixed list."""
+    listed = ", ".join("NULL" if value is None else f"'{value}'" for value in values)
+    return f"element_at(array({listed}), CAST({place} AS INT) + 1)"
 
 
-def _pick(values: tuple, place):
-    """Label number ``place`` (from 0) of a fixed list."""
-    return F.element_at(F.array(*[F.lit(value) for value in values]), (place + 1).cast("int"))
+def _by_event_type(place: int) -> str:
+    """SQL text that picks one attribute of the indicator of an event type."""
+    steps = " ".join(
+        f"WHEN '{event_type}' THEN {row[place]!r}" for event_type, row in EVENT_INDICATORS.items()
+    )
+    return f"CASE event_type {steps} END"
 
 
 def customers(book: Book) -> DataFrame:
-    tier = F.when(F.col("c_acctbal") < 2000, "HIGH").when(F.col("c_acctbal") < 6000, "MEDIUM").otherwise("LOW")
     return (
         book["customer"]
         .join(book["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
         .join(book["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("company_name"),
-            F.col("c_mktsegment").alias("sector"),
-            F.col("r_name").alias("industry"),
-            F.col("n_name").alias("country"),
-            tier.alias("risk_tier"),
+        .selectExpr(
+            "c_custkey AS customer_id",
+            "c_name AS company_name",
+            "c_mktsegment AS sector",
+            "r_name AS industry",
+            "n_name AS country",
+            "CASE WHEN c_acctbal < 2000 THEN 'HIGH' WHEN c_acctbal < 6000 THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier",
         )
     )
 
 
 def company_financials(book: Book) -> DataFrame:
     """Quarterly statements and, with a NULL quarter, the yearly statement."""
-    orders = book["orders"].select(
-        F.col("o_custkey").alias("customer_id"),
-        F.year("o_orderdate").cast("long").alias("fiscal_year"),
-        F.concat(F.lit("Q"), F.quarter("o_orderdate")).alias("fiscal_quarter"),
-        (F.col("o_orderkey") % KEY_RANGE).alias("k"),
-        money(F.col("o_totalprice")).alias("price"),
+    orders = book["orders"].selectExpr(
+        "o_custkey AS customer_id",
+        "CAST(year(o_orderdate) AS BIGINT) AS fiscal_year",
+        "concat('Q', quarter(o_orderdate)) AS fiscal_quarter",
+        f"{KEY} AS k",
+        f"{PRICE} AS price",
     )
     sums = orders.groupingSets(
         [["customer_id", "fiscal_year", "fiscal_quarter"], ["customer_id", "fiscal_year"]],
         "customer_id",
         "fiscal_year",
         "fiscal_quarter",
-    ).agg(F.sum("k").alias("s"), F.sum("price").cast(MONEY).alias("revenue"))
-    s = F.col("s")
-    margin = ((s * 17 % 250).cast("decimal(8,0)") / F.lit(1000) - F.lit(0.05).cast(RATIO)).cast(RATIO)
+    ).agg(F.expr("sum(k) AS s"), F.expr("CAST(sum(price) AS DECIMAL(18,2)) AS revenue"))
+
+    def part_of_revenue(percent: int) -> str:
+        return f"CAST(revenue * {percent} / 100 AS DECIMAL(18,2))"
 
-    def part_of_revenue(percent: int):
-        return (F.col("revenue") * F.lit(percent).cast("decimal(3,0)") / F.lit(100)).cast(MONEY)
+    def ratio(whole: str, by: int, less: str = "0") -> str:
+        return f"CAST(CAST({whole} AS DECIMAL(8,0)) / {by} - {less} AS DECIMAL(8,4))"
 
-    return sums.select(
-        F.concat_ws("-", "customer_id", "fiscal_year", F.coalesce("fiscal_quarter", F.lit("FY"))).alias("financial_id"),
+    return sums.selectExpr(
+        "concat_ws('-', customer_id, fiscal_year, coalesce(fiscal_quarter, 'FY')) AS financial_id",
         "customer_id",
         "fiscal_year",
         "fiscal_quarter",
         "revenue",
-        part_of_revenue(20).alias("ebitda"),
-        part_of_revenue(8).alias("net_profit"),
-        part_of_revenue(10).alias("free_cash_flow"),
-        F.when(s % 37 != 0, (s % 500).cast("decimal(8,0)") / 100).cast(RATIO).alias("debt_to_equity_ratio"),
-        ((s * 7 % 300).cast("decimal(8,0)") / 100).cast(RATIO).alias("current_ratio"),
-        ((s * 13 % 800).cast("decimal(8,0)") / 100).cast(RATIO).alias("interest_coverage_ratio"),
-        margin.alias("net_profit_margin"),
-        ((s * 19 % 200).cast("decimal(8,0)") / 1000).cast(RATIO).alias("return_on_assets"),
+        f"{part_of_revenue(20)} AS ebitda",
+        f"{part_of_revenue(8)} AS net_profit",
+        f"{part_of_revenue(10)} AS free_cash_flow",
+        f"CASE WHEN s % 37 != 0 THEN {ratio('s % 500', 100)} END AS debt_to_equity_ratio",
+        f"{ratio('s * 7 % 300', 100)} AS current_ratio",
+        f"{ratio('s * 13 % 800', 100)} AS interest_coverage_ratio",
+        f"{ratio('s * 17 % 250', 1000, '0.05')} AS net_profit_margin",
+        f"{ratio('s * 19 % 200', 1000)} AS return_on_assets",
     )
 
 
@@ -108,113 +112,110 @@ def loan_history(book: Book) -> DataFrame:
     pledged = (
         book["lineitem"]
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.sum(money(F.col("l_extendedprice"))).cast(MONEY).alias("collateral_value"))
+        .agg(F.expr("CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS collateral_value"))
     )
-    status = F.col("o_orderstatus")
     return (
         book["orders"]
         .join(pledged, "o_orderkey", "left")
-        .select(
-            F.col("o_orderkey").alias("loan_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderpriority").alias("loan_type"),
-            money(F.col("o_totalprice")).alias("sanctioned_amount"),
-            (money(F.col("o_totalprice")) / 2).cast(MONEY).alias("outstanding_balance"),
-            (F.lit(5) + (F.col("o_orderkey") % 800).cast("decimal(8,0)") / 100).cast(RATE).alias("interest_rate"),
-            F.to_date("o_orderdate").alias("sanction_date"),
+        .selectExpr(
+            "o_orderkey AS loan_id",
+            "o_custkey AS customer_id",
+            "o_orderpriority AS loan_type",
+            f"{PRICE} AS sanctioned_amount",
+            f"CAST({PRICE} / 2 AS DECIMAL(18,2)) AS outstanding_balance",
+            "CAST(5 + CAST(o_orderkey % 800 AS DECIMAL(8,0)) / 100 AS DECIMAL(5,2)) AS interest_rate",
+            "to_date(o_orderdate) AS sanction_date",
             "collateral_value",
-            F.when(status == "O", "ACTIVE").when(status == "F", "CLOSED").when(status == "P", "NPA").alias("loan_status"),
-            F.concat(F.lit("Facility "), "o_orderpriority").alias("purpose"),
-            F.lit("USD").alias("currency"),
+            "CASE o_orderstatus WHEN 'O' THEN 'ACTIVE' WHEN 'F' THEN 'CLOSED' WHEN 'P' THEN 'NPA' END AS loan_status",
+            "concat('Facility ', o_orderpriority) AS purpose",
+            "'USD' AS currency",
         )
     )
 
 
 def loan_repayment(book: Book) -> DataFrame:
-    late = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08)
-    grace = F.col("o_custkey") % 5
+    late = "l_returnflag = 'R' AND l_discount >= 0.08D"
     return (
         book["lineitem"]
         .join(book["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("repayment_id"),
-            F.col("l_orderkey").alias("loan_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.to_date("o_orderdate").alias("due_date"),
-            money(F.col("l_extendedprice")).alias("emi_amount"),
-            F.when(late & (grace > 0), "LATE").otherwise("ON_TIME").alias("payment_status"),
-            F.when(late, F.floor(F.col("l_quantity") * grace / 2)).otherwise(F.lit(0)).cast("long").alias("days_overdue"),
+        .selectExpr(
+            "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS repayment_id",
+            "l_orderkey AS loan_id",
+            "o_custkey AS customer_id",
+            "to_date(o_orderdate) AS due_date",
+            "CAST(l_extendedprice AS DECIMAL(18,2)) AS emi_amount",
+            f"CASE WHEN {late} AND o_custkey % 5 > 0 THEN 'LATE' ELSE 'ON_TIME' END AS payment_status",
+            f"CASE WHEN {late} THEN CAST(floor(l_quantity * (o_custkey % 5) / 2) AS BIGINT) ELSE 0L END AS days_overdue",
         )
     )
 
 
 def bank_transactions(book: Book) -> DataFrame:
-    value = money(F.col("value"))
-    nothing = F.lit(0).cast(MONEY)
-    kind = F.col("event_type")
-    moves = book["events"].select(
-        F.col("event_id").alias("transaction_id"),
-        F.col("user_id").alias("customer_id"),
+    def value_of(*kinds: str) -> str:
+        return f"CAST(CASE WHEN event_type IN {kinds} THEN value ELSE 0 END AS DECIMAL(18,2))"
+
+    moves = book["events"].selectExpr(
+        "event_id AS transaction_id",
+        "user_id AS customer_id",
         "ts",
-        F.to_date("ts").alias("transaction_date"),
-        kind.alias("transaction_type"),
-        F.when(kind.isin("view", "click"), value).otherwise(nothing).alias("debit_amount"),
-        F.when(kind.isin("purchase", "signup"), value).otherwise(nothing).alias("credit_amount"),
+        "to_date(ts) AS transaction_date",
+        "event_type AS transaction_type",
+        f"{value_of('view', 'click')} AS debit_amount",
+        f"{value_of('purchase', 'signup')} AS credit_amount",
     )
     balanced = running_total(
         moves,
         "customer_id",
         ["ts", "transaction_id"],
         F.date_trunc("hour", "ts"),
-        F.col("credit_amount") - F.col("debit_amount"),
+        F.expr("credit_amount - debit_amount"),
         "moved",
     )
-    opening = (F.col("customer_id") % 4) * 300
-    return balanced.withColumn("running_balance", (opening.cast("decimal(10,0)") + F.col("moved")).cast(MONEY)).drop(
+    opening = "CAST(customer_id % 4 * 300 AS DECIMAL(10,0))"
+    return balanced.withColumn("running_balance", F.expr(f"CAST({opening} + moved AS DECIMAL(18,2))")).drop(
         "ts", "moved"
     )
 
 
 def credit_ratings(book: Book) -> DataFrame:
-    key = F.col("o_orderkey")
+    kinds = len(RATING_LABELS)
     return (
         book["orders"]
         .filter(F.col("o_orderpriority") == "1-URGENT")
-        .select(
-            key.alias("rating_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.lit("Agency").alias("rating_agency"),
-            _pick(RATING_LABELS, key % len(RATING_LABELS)).alias("rating"),
-            _pick(RATING_OUTLOOKS, _whole(key, len(RATING_LABELS)) % 4).alias("rating_outlook"),
-            F.to_date("o_orderdate").alias("rating_date"),
+        .selectExpr(
+            "o_orderkey AS rating_id",
+            "o_custkey AS customer_id",
+            "'Agency' AS rating_agency",
+            f"{_pick(RATING_LABELS, f'(o_orderkey % {kinds})')} AS rating",
+            f"{_pick(RATING_OUTLOOKS, f'((o_orderkey div {kinds}) % 4)')} AS rating_outlook",
+            "to_date(o_orderdate) AS rating_date",
         )
     )
 
 
 def industry_trends(book: Book) -> DataFrame:
-    """One row per sector, industry and quarter. Orders are summed per customer first, which the join then needs."""
+    """One row per sector, industry and quarter. Orders are summed per customer before they meet the customers."""
     per_customer = (
         book["orders"]
-        .groupBy(F.col("o_custkey").alias("customer_id"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("q"))
-        .agg(F.sum(F.col("o_orderkey") % KEY_RANGE).alias("s"), F.max(F.to_date("o_orderdate")).alias("report_date"))
+        .groupBy(F.col("o_custkey").alias("customer_id"), F.expr("to_date(date_trunc('quarter', o_orderdate)) AS q"))
+        .agg(F.expr(f"sum({KEY}) AS s"), F.expr("max(to_date(o_orderdate)) AS report_date"))
     )
-    s = F.col("s")
     return (
         per_customer.join(book["customers"].select("customer_id", "sector", "industry"), "customer_id")
         .groupBy("sector", "industry", "q")
         .agg(F.sum("s").alias("s"), F.max("report_date").alias("report_date"))
-        .select(
-            F.concat_ws("-", "sector", "industry", F.col("q").cast("string")).alias("trend_id"),
+        .selectExpr(
+            "concat_ws('-', sector, industry, CAST(q AS STRING)) AS trend_id",
             "sector",
             "industry",
             "report_date",
-            F.concat(F.year("q"), F.lit("Q"), F.quarter("q")).alias("quarter"),
-            (F.pmod(s, F.lit(60)) / F.lit(10.0)).alias("default_rate_pct"),
-            (F.pmod(s, F.lit(70)) / F.lit(10.0)).alias("npa_ratio_pct"),
-            (F.pmod(s, F.lit(90)) / F.lit(10.0)).alias("sector_growth_pct"),
-            (_whole(s, 240) % 8).cast("long").alias("regulatory_risk_score"),
-            _pick(INDUSTRY_OUTLOOKS, _whole(s, 60) % 4).alias("outlook"),
-            F.concat(F.lit("Demand in "), "sector").alias("key_risk_factors"),
+            "concat(year(q), 'Q', quarter(q)) AS quarter",
+            "s % 60 / 10D AS default_rate_pct",
+            "s % 70 / 10D AS npa_ratio_pct",
+            "s % 90 / 10D AS sector_growth_pct",
+            "(s div 240) % 8 AS regulatory_risk_score",
+            f"{_pick(INDUSTRY_OUTLOOKS, '((s div 60) % 4)')} AS outlook",
+            "concat('Demand in ', sector) AS key_risk_factors",
         )
     )
 
@@ -223,55 +224,48 @@ def macro_economic_indicators(book: Book) -> DataFrame:
     """Daily mean per event type. The lag runs over the days of five indicators, not over the events."""
     daily = (
         book["events"]
-        .groupBy("event_type", F.to_date("ts").alias("report_date"))
-        .agg(F.sum(money(F.col("value"))).cast("double").alias("total"), F.count(F.lit(1)).alias("n"))
+        .filter(F.col("event_type").isin(*EVENT_INDICATORS))
+        .groupBy("event_type", F.expr("to_date(ts) AS report_date"))
+        .agg(F.expr("CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS mean"))
     )
-
-    def by_type(place: int):
-        result = F
-        for event_type, row in EVENT_INDICATORS.items():
-            result = result.when(F.col("event_type") == event_type, F.lit(row[place]))
-        return result
-
-    named = daily.filter(F.col("event_type").isin(*EVENT_INDICATORS)).select(
-        by_type(0).alias("indicator_name"),
-        by_type(1).alias("indicator_category"),
-        by_type(2).alias("unit"),
+    named = daily.selectExpr(
+        f"{_by_event_type(0)} AS indicator_name",
+        f"{_by_event_type(1)} AS indicator_category",
+        f"{_by_event_type(2)} AS unit",
         "report_date",
-        half_up(F.col("total") / F.col("n") / by_type(3), 2).alias("value"),
+        f"floor(mean / {_by_event_type(3)} * 100D + 0.5D) / 100D AS value",
     )
     days = Window.partitionBy("indicator_name").orderBy("report_date")
-    previous = F.col("previous_value")
-    rows = named.withColumn("previous_value", F.lag("value").over(days)).select(
-        F.concat_ws("-", "indicator_name", F.col("report_date").cast("string")).alias("indicator_id"),
+    change = "100D * (value - previous_value) / nullif(previous_value, 0D)"
+    rows = named.withColumn("previous_value", F.lag("value").over(days)).selectExpr(
+        "concat_ws('-', indicator_name, CAST(report_date AS STRING)) AS indicator_id",
         "indicator_name",
         "indicator_category",
         "value",
         "previous_value",
-        half_up(F.lit(100.0) * (F.col("value") - previous) / F.nullif(previous, F.lit(0.0)), 2).alias("change_pct"),
+        f"floor({change} * 100D + 0.5D) / 100D AS change_pct",
         "unit",
         "report_date",
-        F.lit("DAILY").alias("frequency"),
-        F.lit("events").alias("source"),
-        F.when(F.col("indicator_name") == "INR_USD", F.lit("Global")).alias("region"),
+        "'DAILY' AS frequency",
+        "'events' AS source",
+        "CASE WHEN indicator_name = 'INR_USD' THEN 'Global' END AS region",
     )
     return with_defaults(rows, DEFAULTS["macro_economic_indicators"])
 
 
 def loan_applications(book: Book) -> DataFrame:
-    key = F.col("o_orderkey")
-    return book["orders"].select(
-        key.alias("application_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.to_date("o_orderdate").alias("application_date"),
-        F.col("o_orderpriority").alias("loan_type"),
-        money(F.col("o_totalprice")).alias("requested_amount"),
-        _pick(APPLICATION_STATUSES, key % 6).alias("application_status"),
-        _pick(APPLICATION_ADVICE, _whole(key, 6) % 5).alias("ai_recommendation"),
-        F.concat(F.lit("Order status "), "o_orderstatus").alias("ai_recommendation_reason"),
-        ((key % 100) / F.lit(100.0)).alias("ai_confidence_score"),
-        _pick(APPLICATION_DECISIONS, _whole(key, 30) % 4).alias("officer_decision"),
-        F.lit("INR").alias("currency"),
+    return book["orders"].selectExpr(
+        "o_orderkey AS application_id",
+        "o_custkey AS customer_id",
+        "to_date(o_orderdate) AS application_date",
+        "o_orderpriority AS loan_type",
+        f"{PRICE} AS requested_amount",
+        f"{_pick(APPLICATION_STATUSES, '(o_orderkey % 6)')} AS application_status",
+        f"{_pick(APPLICATION_ADVICE, '((o_orderkey div 6) % 5)')} AS ai_recommendation",
+        "concat('Order status ', o_orderstatus) AS ai_recommendation_reason",
+        "o_orderkey % 100 / 100D AS ai_confidence_score",
+        f"{_pick(APPLICATION_DECISIONS, '((o_orderkey div 30) % 4)')} AS officer_decision",
+        "'INR' AS currency",
     )
 
 
