@@ -30,3 +30,8 @@ def scaled(value: Column, unit: int, digits: int = 1) -> Column:
 def grouped(value: Column) -> Column:
     """Whole number with thousands separators."""
     return F.format_number(F.round(value, 0), 0)
+
+
+def mean_score(column: str) -> Column:
+    """Mean with enough digits that a later rounding is not a second one."""
+    return F.avg(F.col(column).cast("decimal(20,10)"))

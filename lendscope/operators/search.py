@@ -47,11 +47,14 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
     asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("_word"))
     small = asked.count() <= MAX_QUERY_WORDS
     bounded = F.broadcast if small else (lambda df: df)
-    # Every document also holds the empty word once: that row carries its size, so that the
+    # Every document is given the empty word: its row carries the document's size, so that the
     # number of documents and their mean size need no second pass over the texts.
     vocabulary = asked.select("_word").unionByName(spark.range(1).select(F.lit("").alias("_word"))).distinct()
 
-    tokens = corpus.select(key, words(F.col(text)).alias("_words")).withColumn("_size", F.size("_words"))
+    pieces = corpus.select(key, F.split(F.lower(text), NO_WORD).alias("_words"))
+    # Only the first and the last piece of a text can be empty, and they are no words.
+    ends = (F.element_at("_words", 1) == "").cast("int") + (F.element_at("_words", -1) == "").cast("int")
+    tokens = pieces.withColumn("_size", F.greatest(F.size("_words") - ends, F.lit(0)))
     per_word = tokens.select(key, "_size", F.explode(F.array_append("_words", F.lit(""))).alias("_word"))
     if small:
         per_word = per_word.join(bounded(vocabulary), "_word", "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lendscope import fixed
 from lendscope.functions.banding import band
+from lendscope.functions.numbers import mean_score
 from lendscope.plans.scoring import risk_scores
 from lendscope.sources.tables import Book
 
@@ -29,7 +30,7 @@ def exposure_kpis(book: Book) -> DataFrame:
 def portfolio_kpis(book: Book) -> DataFrame:
     scores = risk_scores(book).agg(
         F.count(F.lit(1)).alias("borrowers"),
-        F.bround(F.avg("composite_score"), 0).cast("long").alias("avg_score"),
+        F.bround(mean_score("composite_score"), 0).cast("long").alias("avg_score"),
         F.count_if(high_risk()).alias("high_risk"),
     )
     loans = exposure_kpis(book).select(
@@ -60,7 +61,7 @@ def grade_distribution(book: Book) -> DataFrame:
         .groupBy("risk_grade")
         .agg(
             F.count_distinct("customer_id").alias("borrower_count"),
-            F.round(F.avg("composite_score"), 1).alias("avg_score"),
+            F.round(mean_score("composite_score"), 1).alias("avg_score"),
         )
         .orderBy("risk_grade")
     )
@@ -84,7 +85,7 @@ def sector_summary(book: Book) -> DataFrame:
         .groupBy("sector")
         .agg(
             F.count("customer_id").alias("borrowers"),
-            F.bround(F.avg("composite_score"), 1).alias("avg_score"),
+            F.bround(mean_score("composite_score"), 1).alias("avg_score"),
             F.min("composite_score").alias("min_score"),
             F.count_if(high_risk()).alias("high_risk"),
         )

@@ -30,15 +30,15 @@ MODEL: dict[str, Entity] = {
     "risk_scores": Entity(
         ("customer_id", "risk_grade", "key_risk_drivers"),
         {
-            "composite_score": "avg(composite_score)",
-            "financial_health_score": "avg(financial_health_score)",
-            "repayment_score": "avg(repayment_score)",
-            "cashflow_behavior_score": "avg(cashflow_behavior_score)",
-            "collateral_score": "avg(collateral_score)",
-            "rating_score": "avg(rating_score)",
-            "industry_score": "avg(industry_score)",
-            "macro_environment_score": "avg(macro_environment_score)",
-            "avg_risk_score": "avg(composite_score)",
+            "composite_score": "avg(CAST(composite_score AS DECIMAL(20,10)))",
+            "financial_health_score": "avg(CAST(financial_health_score AS DECIMAL(20,10)))",
+            "repayment_score": "avg(CAST(repayment_score AS DECIMAL(20,10)))",
+            "cashflow_behavior_score": "avg(CAST(cashflow_behavior_score AS DECIMAL(20,10)))",
+            "collateral_score": "avg(CAST(collateral_score AS DECIMAL(20,10)))",
+            "rating_score": "avg(CAST(rating_score AS DECIMAL(20,10)))",
+            "industry_score": "avg(CAST(industry_score AS DECIMAL(20,10)))",
+            "macro_environment_score": "avg(CAST(macro_environment_score AS DECIMAL(20,10)))",
+            "avg_risk_score": "avg(CAST(composite_score AS DECIMAL(20,10)))",
         },
         one_per_customer=True,
     ),

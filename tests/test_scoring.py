@@ -3,7 +3,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from lendscope.functions.numbers import mean_score
 from lendscope.plans import portfolio, scoring, signals
 
 DAY = dt.date(2024, 1, 15)
@@ -164,3 +166,9 @@ def test_overdue_steps(spark, days, want):
 def test_null_score_is_no_stress(spark):
     df = spark.sql("SELECT 0 AS max_overdue, CAST(NULL AS DECIMAL(6,1)) AS composite_score")
     assert df.select(signals.overdue_category()).first()[0] == "STANDARD"
+
+
+def test_a_mean_is_rounded_once(spark):
+    # 900.4 / 11 = 81.854545...: five digits first would give 81.8546.
+    df = spark.sql("SELECT CAST(CASE WHEN id = 0 THEN 90.4 ELSE 81.0 END AS DECIMAL(6,1)) AS s FROM range(11)")
+    assert str(df.agg(F.round(mean_score("s"), 4)).first()[0]) == "81.8545"
