@@ -353,17 +353,6 @@ CTES["benchmark_hits"] = """
     FROM (SELECT query_id, doc_id, round(sum(weight), 6) AS score FROM word_weights JOIN benchmark_words USING (word)
           GROUP BY 1, 2)
 """
-CTES["turn_words"] = """
-    SELECT DISTINCT query_id, word FROM (
-        SELECT conv_id || '-' || turn AS query_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word
-        FROM conversations WHERE role = 'user')
-    WHERE word <> ''
-"""
-CTES["turn_hits"] = """
-    SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
-    FROM (SELECT query_id, doc_id, round(sum(weight), 6) AS score FROM word_weights JOIN turn_words USING (word)
-          GROUP BY 1, 2)
-"""
 CTES["appraisal_hits"] = """
     SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
     FROM (SELECT doc_id, round(sum(weight), 6) AS score FROM word_weights WHERE word IN ('the', 'and', 'of') GROUP BY 1)

@@ -583,9 +583,13 @@ FIRST_TEXTS = " ".join(
 )
 SQL["question_context_first"] = f"""
     SELECT query_id, dataset, coalesce(CASE dataset {FIRST_TEXTS} END, '') AS data_context, coalesce(context, '') AS context
-    FROM (SELECT conv_id || '-' || turn AS query_id, CASE {FIRST} END AS dataset FROM conversations WHERE role = 'user')
+    FROM (SELECT item_id AS query_id, CASE {FIRST} END AS dataset FROM benchmark)
     LEFT JOIN (SELECT query_id, left(string_agg(source || ': ' || left(text, 500), chr(10) ORDER BY rank), 1500) AS context
-               FROM turn_hits JOIN documents USING (doc_id) WHERE rank <= 2 GROUP BY 1) USING (query_id)
+               FROM benchmark_hits JOIN documents USING (doc_id) WHERE rank <= 2 GROUP BY 1) USING (query_id)
+"""
+SQL["question_data"] = f"""
+    SELECT conv_id, turn, datasets, left({CONTEXT}, 2500) AS data_context
+    FROM (SELECT conv_id, turn, {all_routes('text')} AS datasets FROM conversations WHERE role = 'user')
 """
 
 

@@ -638,15 +638,19 @@ def question_context(book: Book) -> DataFrame:
 
 @on_book("question_context_first")
 def question_context_first(book: Book) -> DataFrame:
-    """The user turns as questions, so that some of them match a dataset."""
-    asked = questions(book).select(
-        F.concat_ws("-", "conv_id", "turn").alias("query_id"), F.col("text").alias("query")
-    )
     corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
-    result = advisor.question_context_first(book, asked, corpus, "doc_id", "title", "text")
+    result = advisor.question_context_first(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
     return result.select("query_id", "dataset", "data_context", "context")
 
 
+@on_book("question_data")
+def question_data(book: Book) -> DataFrame:
+    """The data half of the context for every user turn, some of which name a dataset."""
+    asked = questions(book).withColumnRenamed("text", "query")
+    result = advisor.data_context(book, asked, "query")
+    return result.select("conv_id", "turn", F.array_join("datasets", ",").alias("datasets"), "data_context")
+
+
 SEARCH_TEXT = "the and of"
 
 

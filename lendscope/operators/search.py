@@ -128,16 +128,23 @@ def nearest_within(
     )
 
 
-def _best_of_batches(ids: list, vectors: np.ndarray, k: int, key: str, exclude_own: bool):
+def _best_of_batches(ids: list, queries: list, k: int, key: str, exclude_own: bool):
     """A batch function that keeps, per query, the rows of the batch that can be among its best ``k``."""
 
+    # Kept inside, so that the whole step travels to the workers by value.
+    def unit_rows(vectors: list) -> np.ndarray:
+        matrix = np.array(vectors, dtype=np.float64)
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(length > 0, length, 1.0)
+
+    asked = unit_rows(queries)
+
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             if frame.empty:
                 continue
             keys = frame[key].to_numpy()
-            matrix = np.array(frame["_vector"].tolist(), dtype=np.float64)
-            similarity = np.round(matrix @ vectors.T, SCORE_DIGITS) + 0.0
+            similarity = np.round(unit_rows(frame["_vector"].tolist()) @ asked.T, SCORE_DIGITS) + 0.0
             found = []
             for place, query_id in enumerate(ids):
                 mine = similarity[:, place]
@@ -164,9 +171,9 @@ def nearest(
     Every Arrow batch keeps only rows that can be among a query's best ``k``.
     ``exclude_own`` leaves out the row whose key is the query_id.
     """
-    asked = queries.select("query_id", unit(F.col("query_vector")).alias("query"))
+    asked = queries.select("query_id", F.col("query_vector").alias("query"))
     portions = -(-max(asked.count(), 1) // MAX_QUERIES)
-    rows = corpus.select(key, unit(F.col(vector)).alias("_vector"))
+    rows = corpus.select(key, F.col(vector).alias("_vector"))
     schema = T.StructType(
         [
             T.StructField("query_id", asked.schema["query_id"].dataType),
@@ -178,8 +185,8 @@ def nearest(
     for portion in range(portions):
         mine = asked if portions == 1 else asked.filter(F.pmod(F.xxhash64("query_id"), F.lit(portions)) == portion)
         held = mine.collect()
-        vectors = np.array([row["query"] for row in held], dtype=np.float64)
         if held:
+            vectors = [row["query"] for row in held]
             keep = _best_of_batches([row["query_id"] for row in held], vectors, k, key, exclude_own)
             parts.append(rows.mapInPandas(keep, schema))
     if not parts:

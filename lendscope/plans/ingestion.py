@@ -103,7 +103,10 @@ def run_summary(detected: Column | int, docs: DataFrame, run_id: str, policies:
         F.count_if(F.col("processing_status") == "SUCCESS").alias("files_processed"),
         F.count_if(F.col("processing_status") == "FAILED").alias("files_failed"),
     )
-    as_column = lambda value: value if isinstance(value, Column) else F.lit(value).cast("long")
+
+    def as_column(value: Column | int) -> Column:
+        return value if isinstance(value, Column) else F.lit(value).cast("long")
+
     row = counts.select(
         F.lit(run_id).alias("run_id"),
         as_column(detected).alias("files_detected"),

@@ -31,6 +31,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+def cluster_session(shuffle_partitions: int = 20_000) -> SparkSession:
+    """A session for large tables; the master and spark.checkpoint.dir come from the cluster.
+
+    Shuffles start fine-grained, so that one partition fits into memory at any table
+    size, and the adaptive rules join small partitions and split skewed ones.
+    """
+    return (
+        SparkSession.builder.appName("lendscope")
+        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.files.maxPartitionBytes", "256m")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 

@@ -166,3 +166,12 @@ def test_question_context(spark, book):
     assert "N0,S,T,20.00,,ACTIVE\nN0,S,T,10.00,,ACTIVE" in found[1]["data_context"]
     assert found[1]["context"].startswith("[Capital]: capital adequacy") and len(found[1]["context"]) <= 1500
     assert found[2]["datasets"] == ["risk_scores"] and found[2]["context"] == ""
+
+
+def test_short_question_context(spark, book):
+    questions = spark.createDataFrame([(1, "capital adequacy of loan exposure"), (2, "zzz")], "query_id long, query string")
+    found = {row["query_id"]: row for row in advisor.question_context_first(
+        book, questions, policies(spark), "policy_id", "title", "content").collect()}
+    assert found[1]["dataset"] == "loan_exposure" and "N0,S,T,20.00,,ACTIVE" in found[1]["data_context"]
+    assert found[1]["context"].startswith("Capital: capital adequacy") and len(found[1]["context"]) == 509
+    assert found[2]["dataset"] is None and found[2]["data_context"] == "" and found[2]["context"] == ""
