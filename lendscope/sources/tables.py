@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lendscope.sources.schemas import DEFAULTS, SCHEMAS
+from lendscope.sources.schemas import SCHEMAS
 
 
 class Book:
@@ -32,7 +32,7 @@ class Book:
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
-    """Fill NULL or missing columns with the declared defaults."""
+    """Fill NULL or missing columns with the declared defaults, as rows enter a table."""
     known = set(df.columns)
     return df.withColumns(
         {
@@ -43,13 +43,12 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 
 
 def stored_book(spark: SparkSession, base: str) -> Book:
-    """A book over ``base/<table>`` Parquet folders with the declared schemas."""
+    """A book over ``base/<table>`` Parquet folders with the declared schemas.
 
-    def loader(name: str) -> Callable[[Book], DataFrame]:
-        def load(_: Book) -> DataFrame:
-            df = spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}")
-            return with_defaults(df, DEFAULTS.get(name, {}))
+    Stored NULLs stay NULL: defaults belong to the writing of a row.
+    """
 
-        return load
+    def loader(name: str) -> Callable[[Book], DataFrame]:
+        return lambda _: spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}")
 
     return Book(spark, {name: loader(name) for name in SCHEMAS})

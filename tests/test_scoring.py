@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import mean_score
 from lendscope.plans import portfolio, scoring, signals
+from lendscope.sources.derived import derived_book
+from lendscope.sources.schemas import SCHEMAS
+from lendscope.sources.tables import stored_book
 
 DAY = dt.date(2024, 1, 15)
 
@@ -172,3 +175,27 @@ def test_a_mean_is_rounded_once(spark):
     # 900.4 / 11 = 81.854545...: five digits first would give 81.8546.
     df = spark.sql("SELECT CAST(CASE WHEN id = 0 THEN 90.4 ELSE 81.0 END AS DECIMAL(6,1)) AS s FROM range(11)")
     assert str(df.agg(F.round(mean_score("s"), 4)).first()[0]) == "81.8545"
+
+
+def test_stored_tables_give_the_same_scores(spark, book, tmp_path, rows):
+    base = f"file://{tmp_path}/book"
+    for name in SCHEMAS:
+        if name != "macro_economic_raw":
+            book[name].write.parquet(f"{base}/{name}")
+    stored = rows(scoring.risk_scores(stored_book(spark, base)), "customer_id")
+    assert stored == rows(scoring.risk_scores(book), "customer_id")
+
+
+def test_no_join_without_keys(book, capsys):
+    scoring.risk_scores(book).explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_running_balances_group_by_slice_not_by_customer(spark, capsys):
+    derived_book(spark, "/root/testdata/sf0.001")["bank_transactions"].explain()
+    plan = capsys.readouterr().out
+    # The rows are shuffled once, by customer and hour, and meet no join.
+    assert "Join" not in plan
+    last = plan[plan.index("Exchange") :].splitlines()[0]
+    assert "customer_id" in last and "_slice" in last
