@@ -18,6 +18,7 @@ from lendscope.providers import Provider, extract_fields
 from lendscope.session import materialize
 from lendscope.sources.documents import FieldRules, document_fields
 from lendscope.sources.schemas import SCHEMAS
+from lendscope.sources.tables import shaped
 
 ERRORS_PER_ROW = 100
 
@@ -185,17 +186,6 @@ POLICY_SCHEMA = T.StructType([*SCHEMAS["regulatory_policies"].fields, _BATCH])
 TITLE_SCHEMA = T.StructType([T.StructField("title", T.StringType()), _BATCH])
 
 
-def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The declared columns in their order and type; a missing one is NULL."""
-    known = set(df.columns)
-    return df.select(
-        *[
-            (F.col(field.name) if field.name in known else F.lit(None)).cast(field.dataType).alias(field.name)
-            for field in schema.fields
-        ]
-    )
-
-
 def ingest(
     spark: SparkSession,
     base: str,

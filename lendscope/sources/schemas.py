@@ -127,6 +127,19 @@ DEFAULTS: dict[str, dict[str, object]] = {
     },
 }
 
+# --- fixed values: columns that take the time of the insert ---
+TIME_DEFAULTS: dict[str, tuple[str, ...]] = {
+    "customers": ("created_at", "updated_at"),
+    "industry_trends": ("created_at",),
+    "loan_applications": ("created_at", "updated_at"),
+    "macro_economic_raw": ("loaded_at",),
+    "macro_economic_indicators": ("loaded_at",),
+    "regulatory_policies": ("created_at",),
+    "credit_assessments": ("generated_at",),
+    "regulatory_docs_raw": ("loaded_at",),
+    "pdf_processing_log": ("run_started_at",),
+}
+
 # --- fixed values: keys, references, domains and lengths ---
 RULES: dict[str, list] = {
     "customers": [

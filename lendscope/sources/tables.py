@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lendscope.sources.schemas import SCHEMAS
+from lendscope.operators.maintenance import append
+from lendscope.sources.schemas import DEFAULTS, SCHEMAS, TIME_DEFAULTS
 
 
 class Book:
@@ -52,3 +54,23 @@ def stored_book(spark: SparkSession, base: str) -> Book:
         return lambda _: spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}")
 
     return Book(spark, {name: loader(name) for name in SCHEMAS})
+
+
+def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns in their order and type; a missing one is NULL."""
+    known = set(df.columns)
+    return df.select(
+        *[
+            (F.col(field.name) if field.name in known else F.lit(None)).cast(field.dataType).alias(field.name)
+            for field in schema.fields
+        ]
+    )
+
+
+def insert(df: DataFrame, name: str, base: str) -> None:
+    """Append rows to ``base/<table>``: a missing column gets its declared default, a given NULL stays NULL."""
+    missing = {column: value for column, value in DEFAULTS.get(name, {}).items() if column not in df.columns}
+    now = F.current_timestamp().cast("timestamp_ntz")
+    times = {column: now for column in TIME_DEFAULTS.get(name, ()) if column not in df.columns}
+    rows = df.withColumns({column: F.lit(value) for column, value in missing.items()} | times)
+    append(shaped(rows, SCHEMAS[name]), f"{base}/{name}")

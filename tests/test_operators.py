@@ -11,7 +11,7 @@ from lendscope.operators.numbering import number_rows, padded_id
 from lendscope.operators.quality import InSet, MaxLength, NotNull, Reference, Unique, check_rules
 from lendscope.operators.running import running_total
 from lendscope.operators.sections import join_ranges, plan_ranges, split_sections
-from lendscope.sources.tables import with_defaults
+from lendscope.sources.tables import insert, stored_book, with_defaults
 
 
 def test_latest_takes_null_first(spark):
@@ -142,3 +142,11 @@ def test_section_that_starts_with_a_break(spark):
     df = spark.createDataFrame([("d", "\nonly a body in here\n")], "doc string, text string")
     row = split_sections(df, "text").first()
     assert row["section"] is None and row["content"] == "only a body in here\n"
+
+
+def test_insert_gives_defaults_to_missing_columns_only(spark, tmp_path):
+    base = f"file://{tmp_path}/book"
+    given = spark.createDataFrame([("a", "c", None)], "application_id string, customer_id string, currency string")
+    insert(given, "loan_applications", base)
+    row = stored_book(spark, base)["loan_applications"].first()
+    assert row["application_status"] == "PENDING" and row["currency"] is None and row["created_at"] is not None
