@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lendscope.llm import exact_dedup
+from lendscope.llm import exact_dedup, packing, token_counts
 from lendscope.llm.common import table
+from lendscope.session import run_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,27 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, folder, "documents")).select(*exact_dedup.COLUMNS)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the box keeps a public vocabulary file; it is never copied."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts through a cache of this run's own, so that no earlier run saves it any work."""
+    docs = table(spark, folder, "documents")
+    return token_counts.count_tokens(docs, tokenizer_path(), run_folder(spark, "token-counts"))
+
+
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Query] = {
+    "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 SQL: dict[str, str] = {
