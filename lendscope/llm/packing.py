@@ -133,19 +133,24 @@ def solve(lengths: np.ndarray, counts: np.ndarray, size: int, gap: float = GAP,
     """
     m = len(lengths)
     basis: list[dict[int, int]] = [{} for _ in range(m)]
-    level = np.zeros(m)
-    for pattern, times, gone in _greedy(lengths, counts, size, whole=False):
-        basis[gone], level[gone] = pattern, times
-    for i in range(m):
-        if not basis[i]:  # used up along with another length
-            basis[i] = {i: max(1, size // int(lengths[i]))}
-    matrix = np.zeros((m, m))
-    for column, pattern in enumerate(basis):
+    steps = _greedy(lengths, counts, size, whole=False)
+    done = {gone for _, _, gone in steps}
+    # A length that was used up along with another gets a pattern of its own, at level 0.
+    steps += [({i: max(1, size // int(lengths[i]))}, 0.0, i) for i in range(m) if i not in done]
+    uses: list[list[tuple[int, int]]] = [[] for _ in range(m)]
+    inverse = np.zeros((m, m))
+    # In the order in which lengths are used up the basis is triangular, and is inverted row by row.
+    for pattern, _, gone in steps:
+        basis[gone] = pattern
+        inverse[gone, gone] = 1.0
+        for column, n in uses[gone]:
+            inverse[gone] -= n * inverse[column]
+        inverse[gone] /= pattern[gone]
         for i, n in pattern.items():
-            matrix[i, column] = n
-    inverse = np.linalg.inv(matrix)
-    level = inverse @ counts
-    bound = float(lengths @ counts) / size
+            if i != gone:
+                uses[i].append((gone, n))
+    level = (inverse * counts).sum(axis=1)
+    bound = float((lengths * counts).sum()) / size
     for _ in range(columns):
         value = float(level.sum())
         if value <= (1 + gap) * bound:
@@ -156,7 +161,7 @@ def solve(lengths: np.ndarray, counts: np.ndarray, size: int, gap: float = GAP,
             break
         bound = max(bound, value / worth)
         entering = list(pattern)
-        move = inverse[:, entering] @ np.array([pattern[i] for i in entering], float)
+        move = (inverse[:, entering] * np.array([pattern[i] for i in entering], float)).sum(axis=1)
         ratios = np.full(m, np.inf)
         ratios[move > 1e-9] = np.maximum(level[move > 1e-9], 0) / move[move > 1e-9]
         leaves = int(np.argmin(ratios))
