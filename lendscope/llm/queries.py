@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendscope.llm import exact_dedup, packing, substrings, token_counts
+from lendscope.llm import exact_dedup, jaccard, packing, substrings, token_counts
 from lendscope.llm.common import table
 from lendscope.session import run_folder
 
@@ -34,12 +34,17 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, folder, "documents"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeated(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendscope.llm.common import buckets, texts
+from lendscope.llm.parcels import PARCEL, pack, runs
 from lendscope.llm.wordhash import slices, text_buffers, windows, words
 
 WINDOW = 13
@@ -20,9 +21,6 @@ SHORTEST = 7
 #: Windows of a task that are brought together before they are sent on.
 HELD_WINDOWS = 3_000_000
 
-#: A parcel: entries of one bucket. kind 0: hashes to be compared, with their documents in order;
-#: kind 1: verdicts that a task could reach by itself.
-PARCEL = "bucket int, kind int, docs binary, sizes binary, codes binary, marks binary"
 VERDICTS = "doc_id long, codes binary, marks binary"
 #: What is known of a window of a document: it repeats, as its first place (REPEATED) or a later one (LATER).
 REPEATED, LATER = 1, 2
@@ -36,13 +34,6 @@ def levels(window: int, shortest: int = SHORTEST) -> list[int]:
     return found
 
 
-def _runs(sorted_values: np.ndarray) -> np.ndarray:
-    """The first place of each run of equal values."""
-    head = np.ones(len(sorted_values), bool)
-    head[1:] = sorted_values[1:] != sorted_values[:-1]
-    return np.flatnonzero(head)
-
-
 def judge(codes: np.ndarray, docs: np.ndarray, marks: np.ndarray | None = None):
     """Of (code, document) entries: distinct ones in order, each with its mark, 0 where no other document has the code."""
     order = np.lexsort((docs, codes))
@@ -52,7 +43,7 @@ def judge(codes: np.ndarray, docs: np.ndarray, marks: np.ndarray | None = None):
     starts = np.flatnonzero(fresh)
     merged = np.maximum.reduceat(marks[order], starts) if marks is not None and len(starts) else np.zeros(len(starts), np.uint8)
     codes, docs = codes[starts], docs[starts]
-    heads = _runs(codes)
+    heads = runs(codes)
     sizes = np.diff(np.append(heads, len(codes)))
     lone = np.repeat(sizes == 1, sizes)
     later = np.ones(len(codes), bool)
@@ -61,24 +52,6 @@ def judge(codes: np.ndarray, docs: np.ndarray, marks: np.ndarray | None = None):
     return codes, docs, np.maximum(found, merged)
 
 
-def _parcels(bucket: np.ndarray, kind: np.ndarray, docs: np.ndarray, codes: np.ndarray, marks: np.ndarray, width: int):
-    """Entries as one row per bucket and kind; a document's id is written once for its entries."""
-    order = np.lexsort((docs, kind, bucket))
-    bucket, kind, docs, codes, marks = (x[order] for x in (bucket, kind, docs, codes, marks))
-    stops = np.append(_runs(bucket.astype(np.int64) * 2 + kind), len(bucket))
-    rows = []
-    short = codes.astype(np.uint32) if width == 4 else codes
-    for a, b in zip(stops[:-1].tolist(), stops[1:].tolist()):
-        heads = _runs(docs[a:b])
-        sizes = np.diff(np.append(heads, b - a)).astype(np.uint32)
-        rows.append((int(bucket[a]), int(kind[a]), docs[a:b][heads].tobytes(), sizes.tobytes(), short[a:b].tobytes(), marks[a:b].tobytes()))
-    columns = list(zip(*rows)) if rows else [[] for _ in range(6)]
-    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(x), t) for x, t in zip(columns, types)], ["bucket", "kind", "docs", "sizes", "codes", "marks"]
-    )
-
-
 class _Sender:
     """Gathers a task's windows; duplicates among them are settled before they are sent."""
 
@@ -100,7 +73,7 @@ class _Sender:
         self.codes, self.docs, self.held = [], [], 0
         # The later places of a code are settled here; its first place must still hear from other tasks.
         kind = (marks == LATER).astype(np.int8)
-        yield _parcels(self.bucket(codes), kind, docs, codes, marks, self.width)
+        yield pack(self.bucket(codes), kind, docs, codes, marks, self.width)
 
     def bucket(self, codes: np.ndarray) -> np.ndarray:
         if self.width == 4:  # the lower half was kept as the code
@@ -141,7 +114,7 @@ def compare(width: int):
     def rows(codes, docs, marks):
         order = np.argsort(docs, kind="stable")
         codes, docs, marks = codes[order], docs[order], marks[order]
-        stops = np.append(_runs(docs), len(docs)).tolist()
+        stops = np.append(runs(docs), len(docs)).tolist()
         return pa.RecordBatch.from_arrays(
             [
                 pa.array(docs[stops[:-1]], pa.int64()),
@@ -193,7 +166,7 @@ def _known(codes_parts, marks_parts, kind_of_code):
     marks = np.concatenate([np.frombuffer(part, np.uint8) for part in marks_parts])
     order = np.argsort(codes, kind="stable")
     codes, marks = codes[order], marks[order]
-    heads = _runs(codes)
+    heads = runs(codes)
     return codes[heads], (np.maximum.reduceat(marks, heads) if len(heads) else marks)
 
 
