@@ -77,11 +77,11 @@ def exact_duplicates(docs: DataFrame, leaves: int = LEAVES, fan_in: int = FAN_IN
 
 
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; the stored table must not change meanwhile."""
-    kept = exact_duplicates(docs).where("kept").select(F.col("place").alias("_kept_place"))
+    """The rows of ``docs`` that stay, with all their columns. ``docs`` is a stored table, whose rows keep their places."""
+    gone = exact_duplicates(docs).where("NOT kept").select(F.col("place").alias("_gone_place"))
     return (
         docs.withColumn("_place", F.monotonically_increasing_id())
-        .join(kept, F.col("_place") == F.col("_kept_place"), "left_semi")
+        .join(gone, F.col("_place") == F.col("_gone_place"), "left_anti")
         .drop("_place")
     )
 

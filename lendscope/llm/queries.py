@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendscope.llm import exact_dedup, jaccard, packing, substrings, token_counts
+from lendscope.llm import decontaminate, exact_dedup, jaccard, packing, pii, substrings, token_counts
 from lendscope.llm.common import table
 from lendscope.session import run_folder
 
@@ -34,17 +34,28 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), tokenizer_path())
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that hold a benchmark item, one row per item; clean documents have none."""
+    return decontaminate.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, folder, "documents"))
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digest_columns(pii.personal_data(table(spark, folder, "documents")))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeated(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_pii": op3_pii,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
