@@ -123,12 +123,13 @@ def _entity(kind: str, value: Column) -> Column:
 
 def mentions(found: DataFrame) -> DataFrame:
     """One row per span: place, entity, and the texts next to it with their first places."""
-    every = F.concat(
-        *(
-            F.transform(kind, lambda x, kind=kind: F.struct(_entity(kind, x["value"]).alias("entity"), x["start"].alias("start"), x["end"].alias("end")))
-            for kind in KINDS
+
+    def named(kind):
+        return F.transform(
+            kind, lambda x: F.struct(_entity(kind, x["value"]).alias("entity"), x["start"].alias("start"), x["end"].alias("end"))
         )
-    )
+
+    every = F.concat(*map(named, KINDS))
     begin = F.greatest(F.col("span.start") - NEAR, F.lit(0))
     return found.select("place", "text", F.explode(every).alias("span")).select(
         "place",
@@ -228,17 +229,18 @@ def personal_data(docs: DataFrame, support: int = SUPPORT, generalise: float = G
 
 def _listed(*groups: tuple[str, Column]) -> Column:
     """Spans as kind:start:end, by start and then by kind as given, joined by commas."""
-    parts = [
-        F.transform(
+
+    def shown(rank, kind, spans):
+        return F.transform(
             spans,
-            lambda x, rank=rank, kind=kind: F.struct(
+            lambda x: F.struct(
                 x["start"].alias("start"),
                 F.lit(rank).alias("rank"),
                 F.concat_ws(":", F.lit(kind), x["start"].cast("string"), x["end"].cast("string")).alias("shown"),
             ),
         )
-        for rank, (kind, spans) in enumerate(groups)
-    ]
+
+    parts = [shown(rank, kind, spans) for rank, (kind, spans) in enumerate(groups)]
     return F.array_join(F.transform(F.array_sort(F.concat(*parts)), lambda x: x["shown"]), ",")
 
 
@@ -248,15 +250,15 @@ def sanitised(found: DataFrame) -> Column:
     ``found`` has the columns of `personal_data`. Spans are taken by start; one that overlaps an earlier one only
     extends what is replaced.
     """
-    parts = [
-        F.transform(
-            kind, lambda x, kind=kind: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(f"[{kind}]").alias("by"))
-        )
-        for kind in KINDS
-    ]
-    parts.append(
-        F.transform("terms", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.when(x["removed"], "").otherwise("[term]").alias("by")))
-    )
+
+    def masked(spans, by):
+        return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), by(x).alias("by")))
+
+    def word(kind):
+        return lambda x: F.lit(f"[{kind}]")
+
+    parts = [masked(kind, word(kind)) for kind in KINDS]
+    parts.append(masked("terms", lambda x: F.when(x["removed"], "").otherwise("[term]")))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = found["text"]
     return F.aggregate(
