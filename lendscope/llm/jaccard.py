@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lendscope.llm.common import buckets, texts
 from lendscope.llm.components import components
-from lendscope.llm.parcels import PARCEL, pack, runs
+from lendscope.llm.parcels import PARCEL, owners as entry_owners, pack, runs
 from lendscope.llm.wordhash import mix, slices, text_buffers, windows, words
 from lendscope.session import materialize
 
@@ -181,7 +181,7 @@ def _blocks(batches):
     """Parcels sorted by bucket -> blocks: the n-grams that several sets hold, with the sets' keys."""
 
     def settle(parcels):
-        keys = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(s, np.uint32)) for d, s, _ in parcels])
+        keys = np.concatenate([entry_owners(d, s) for d, s, _ in parcels])
         codes = np.concatenate([np.frombuffer(c, np.uint64) for *_, c in parcels])
         order = np.lexsort((keys, codes))
         codes, keys = codes[order], keys[order]
@@ -445,3 +445,9 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     linked = filled.join(whole, F.col("key") == F.col("set_key")).select("doc_id", "n_shingles", "component_id")
     alone = sets.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone)
+
+
+def drop_near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that name their component, and rows without an id, with all their columns."""
+    gone = jaccard_components(docs, size, percent).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendscope.llm import decontaminate, exact_dedup, jaccard, packing, pii, substrings, token_counts
+from lendscope.llm import decontaminate, exact_dedup, jaccard, langid, packing, pii, quality, substrings, token_counts, toxicity
 from lendscope.llm.common import table
 from lendscope.session import run_folder
 
@@ -47,6 +47,18 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digest_columns(pii.personal_data(table(spark, folder, "documents")))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.languages(table(spark, folder, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeated(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -56,6 +68,9 @@ QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
     "op3_pii": op3_pii,
+    "op4_language_id": op4_language_id,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
     "op7_packing": op7_packing,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,

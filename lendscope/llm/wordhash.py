@@ -104,12 +104,12 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         at = end
 
 
-def words(offsets: np.ndarray, data: np.ndarray, lower: bool) -> Words:
-    """The words of a slice whose texts lie one after the other in ``data``."""
+def words(offsets: np.ndarray, data: np.ndarray, lower: bool, blank: np.ndarray = _BLANK) -> Words:
+    """The words of a slice whose texts lie one after the other in ``data``; ``blank`` tells the bytes between words."""
     if lower:
         data = _LOWER[data]
     length = len(data)
-    solid = ~_BLANK[data]
+    solid = ~blank[data]
     # A text's end also ends its last word.
     edge = np.zeros(length + 1, bool)
     edge[offsets] = True
@@ -138,3 +138,16 @@ def windows(hashes: np.ndarray, first: np.ndarray, length: int) -> tuple[np.ndar
     for step in range(length):
         code = (code + hashes[step : step + len(inside)]) * np.uint64(_ROOT)
     return at, mix(code[at] ^ np.uint64(length))
+
+
+def runs_of_lines(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(lines, distinct lines) of each document of a slice; lines end at a line feed and empty ones don't count."""
+    count = len(offsets) - 1
+    feed = np.zeros(256, bool)
+    feed[0x0A] = True
+    found = words(offsets, data, lower=False, blank=feed)
+    owner = found.owner
+    order = np.lexsort((found.hashes, owner))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (owner[order][1:] != owner[order][:-1]) | (found.hashes[order][1:] != found.hashes[order][:-1])
+    return found.counts, np.bincount(owner[order][fresh], minlength=count)
