@@ -15,7 +15,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) of every row, a null text as the empty one. Other columns, whatever their names, stay behind."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # An id that needs no cast stays the plain column, so that exchanges of these rows can be told to be the same.
+    doc_id = F.col("doc_id") if dict(docs.dtypes)["doc_id"] == "bigint" else F.col("doc_id").cast("long").alias("doc_id")
+    return docs.select(doc_id, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def stored_bytes(df: DataFrame) -> int:
