@@ -8,7 +8,7 @@ bound, and the pairs that survive are verified on their full sets.
 Points alone do not tell distributed tasks which documents to bring together, so trees are
 built within blocks: in an order of all n-grams from rare to frequent, two linked documents
 must share one of the first n - ceil(t * n) + 1. Blocks are worked through twice. First every
-block links its members to its least one, and what passes bound and verification forms first
+block links its members to its hub, and what passes bound and verification forms first
 components. Then only pairs from different components are searched, so a large group of
 near copies costs links in proportion to its size, and no link is lost.
 """
@@ -29,7 +29,9 @@ from lendscope.session import materialize
 SHINGLE = 4
 #: Two documents link at this percentage of shared n-grams.
 PERCENT = 85
-GROUPS = 64
+GROUPS = 256
+#: A point's coordinate from here on is taken as unbounded.
+_WIDEST = 65_535
 #: Hash ranges whose document frequencies order the n-grams.
 RANGES = 1 << 16
 _RANGE_SLICES = 16
@@ -92,7 +94,8 @@ def _profiler(size: int, groups: int):
                 count = end - at
                 n, keys = _keys(owners, hashes, count)
                 group = (hashes % np.uint64(groups)).astype(np.int64)
-                points = np.bincount(owners * groups + group, minlength=count * groups).astype(np.uint32).reshape(count, groups)
+                points = np.bincount(owners * groups + group, minlength=count * groups).reshape(count, groups)
+                points = np.minimum(points, _WIDEST).astype(np.uint16)
                 frequency += np.bincount((hashes >> np.uint64(48)).astype(np.int64), minlength=RANGES)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -217,16 +220,6 @@ def _members(batch):
         yield np.frombuffer(codes, np.uint64), sizes, np.frombuffer(members, np.int64)
 
 
-def _stars(batches):
-    """Blocks -> each member with the least one of its block."""
-    for batch in batches:
-        for _, sizes, members in _members(batch):
-            heads = np.cumsum(sizes) - sizes
-            hub = np.repeat(members[heads], sizes)  # members are in order within a block
-            pairs = np.unique(np.stack([hub, members])[:, hub != members], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in pairs], ["key_a", "key_b"])
-
-
 def _spread(batches):
     """Blocks -> one row per member."""
     for batch in batches:
@@ -236,6 +229,13 @@ def _spread(batches):
             )
 
 
+def point_rows(blobs: list[bytes], groups: int) -> np.ndarray:
+    """Stored points as rows of numbers, whose sums of minima never fall below the true overlap."""
+    points = np.frombuffer(b"".join(blobs), np.uint16).reshape(-1, groups).astype(np.int32)
+    points[points == _WIDEST] = 1 << 24
+    return points
+
+
 def enough(shared, n_a, n_b, percent: int = PERCENT):
     """Whether ``shared`` of two sets' n-grams are the asked percentage of their union."""
     return (100 + percent) * shared >= percent * (n_a + n_b)
@@ -327,7 +327,7 @@ def _search(percent: int, groups: int):
     def step(batches):
         for _, held in _groups_of(batches, ["rep", "component", "n_shingles", "point"]):
             rep, component, size = (np.concatenate([x[i].to_numpy() for x in held]) for i in range(3))
-            points = np.frombuffer(b"".join(p for x in held for p in x[3].to_pylist()), np.uint32).reshape(-1, groups)
+            points = point_rows([p for x in held for p in x[3].to_pylist()], groups)
             for left, right in CountTree(points, size).pairs(percent, component):
                 if len(left):
                     a, b = np.minimum(rep[left], rep[right]), np.maximum(rep[left], rep[right])
@@ -342,9 +342,7 @@ def _bounded(percent: int, groups: int):
     def step(batches):
         for batch in batches:
             if batch.num_rows:
-                p, q = (
-                    np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint32).reshape(-1, groups) for name in ("point_a", "point_b")
-                )
+                p, q = (point_rows(batch.column(name).to_pylist(), groups) for name in ("point_a", "point_b"))
                 shared = np.minimum(p, q).sum(axis=1, dtype=np.int64)
                 keep = enough(shared, batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent)
                 yield batch.select(["a", "b"]).filter(pa.array(keep))
@@ -385,6 +383,18 @@ def _links(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(size, percent), "a long, b long")
 
 
+def _stars(spread: DataFrame) -> DataFrame:
+    """Each member of a block with the block's hub: the member that is in the most blocks.
+
+    Of near copies, the least edited one shares the most n-grams with the others, and is the likeliest to link with them.
+    """
+    counts = spread.groupBy(F.col("key").alias("counted")).agg(F.count(F.lit(1)).alias("n"))
+    weighed = spread.join(counts, F.col("key") == F.col("counted")).select("code", "key", "n")
+    hubs = weighed.groupBy(F.col("code").alias("block")).agg(F.max(F.struct("n", "key")).alias("hub"))
+    pairs = weighed.join(hubs, F.col("code") == F.col("block")).select(F.col("hub.key").alias("key_a"), F.col("key").alias("key_b"))
+    return pairs.where("key_a != key_b").distinct()
+
+
 def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, groups: int = GROUPS) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -411,13 +421,13 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     )
     classes = materialize(spark, classes, "jaccard-classes")
     side = lambda s: classes.select(*(F.col(c).alias(f"{n}_{s}") for c, n in (("key", "k"), ("rep", "rep"), ("n_shingles", "n"), ("point", "point"))))
+    spread = blocks.mapInArrow(_spread, "code long, key long")
     own = materialize(
         spark,
-        blocks.mapInArrow(_stars, "key_a long, key_b long")
-        .distinct()
+        _stars(spread)
         .join(side("a"), F.col("key_a") == F.col("k_a"))
         .join(side("b"), F.col("key_b") == F.col("k_b"))
-        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"), "n_a", "n_b", "point_a", "point_b")
+        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), "n_a", "n_b", "point_a", "point_b")
         .mapInArrow(_bounded(percent, groups), "a long, b long"),
         "jaccard-stars",
     )
@@ -427,7 +437,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, percent: int = PERC
     labelled = classes.join(labels, F.col("rep") == F.col("node"), "left").withColumn(
         "component", F.coalesce("component", "rep")
     )
-    members = blocks.mapInArrow(_spread, "code long, key long").join(labelled.select("key", "component"), "key")
+    members = spread.join(labelled.select("key", "component"), "key")
     mixed = members.repartition("code").sortWithinPartitions("code").mapInArrow(_several_components, "code long, key long")
     points = mixed.join(labelled.select("key", "rep", "component", "n_shingles", "point"), "key")
     pairs = points.repartition("code").sortWithinPartitions("code").mapInArrow(_search(percent, groups), "a long, b long")
