@@ -73,7 +73,7 @@ CTES["credit_ratings"] = """
            ['AAA', 'AA+', 'AA', 'AA-', 'A+', 'A', 'A-', 'BBB+', 'BBB', 'BBB-', 'BB+', 'BB', 'BB-', 'B+', 'B', 'B-',
             'CCC', 'Aa1', 'A2', 'Baa3', 'Ba2'][o_orderkey % 21 + 1] AS rating,
            ['Positive', 'Stable', 'Negative', NULL][o_orderkey // 21 % 4 + 1] AS rating_outlook
-    FROM orders WHERE o_orderpriority = '1-URGENT'
+    FROM orders
 """
 CTES["industry_trends"] = """
     SELECT sector, industry, report_date, q, sector || '-' || industry || '-' || q AS trend_id,
@@ -286,7 +286,7 @@ CTES["fresh"] = """
         AND known.file_name = docs.file_name AND known.file_hash = docs.file_hash)
 """
 CTES["doc_state"] = """
-    SELECT *, CASE WHEN length(text) > 0 AND length(regexp_replace(text, '[^\\p{L}]', '', 'g')) * 100 >= length(text) * 60
+    SELECT *, CASE WHEN length(trim(text, ' ')) > 0 AND NOT contains(text, '***')
                    THEN 'SUCCESS' ELSE 'FAILED' END AS processing_status
     FROM docs
 """
@@ -353,13 +353,30 @@ CTES["benchmark_hits"] = """
     FROM (SELECT query_id, doc_id, round(sum(weight), 6) AS score FROM word_weights JOIN benchmark_words USING (word)
           GROUP BY 1, 2)
 """
+CTES["norm_docs"] = """
+    SELECT doc_id, source, text || chr(10) || ['provisioning norms', 'capital adequacy', 'credit appraisal',
+           'other matters'][doc_id % 4 + 1] AS text FROM documents
+"""
+CTES["norm_words"] = """
+    SELECT doc_id, word FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS word
+                              FROM norm_docs) WHERE word <> ''
+"""
+CTES["norm_sizes"] = "SELECT doc_id, count(*) AS size FROM norm_words GROUP BY 1"
+CTES["norm_counts"] = "SELECT doc_id, word, count(*) AS times FROM norm_words GROUP BY 1, 2"
+CTES["norm_rarity"] = """
+    SELECT word, ln(1 + ((SELECT count(*) FROM documents) - count(*) + 0.5::DOUBLE) / (count(*) + 0.5::DOUBLE)) AS rarity
+    FROM norm_counts GROUP BY 1
+"""
 CTES["appraisal_hits"] = """
     SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank
-    FROM (SELECT doc_id, round(sum(weight), 6) AS score FROM word_weights WHERE word IN ('the', 'and', 'of') GROUP BY 1)
+    FROM (SELECT doc_id, round(sum(rarity * times * 2.2::DOUBLE / (times + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * size
+                     / (SELECT avg(size) FROM norm_sizes)))), 6) AS score
+          FROM norm_counts JOIN norm_sizes USING (doc_id) JOIN norm_rarity USING (word)
+          WHERE word IN ('credit', 'appraisal', 'provisioning', 'norms', 'capital', 'adequacy') GROUP BY 1)
 """
 CTES["regulations"] = """
     SELECT left(string_agg(source || ': ' || left(text, 2000), chr(10) ORDER BY rank), 2000) AS context
-    FROM appraisal_hits JOIN documents USING (doc_id) WHERE rank <= 2
+    FROM appraisal_hits JOIN norm_docs USING (doc_id) WHERE rank <= 2
 """
 CTES["centres"] = """
     SELECT label, list(x ORDER BY place) AS centre
@@ -399,4 +416,6 @@ def with_ctes(sql: str) -> str:
 
     visit(sql)
     parts = [f"{name} AS ({CTES[name]})" for name in CTES if name in needed]
+    if parts and sql.lstrip().startswith("WITH "):
+        return f"WITH {', '.join(parts)}, {sql.lstrip()[5:]}"
     return f"WITH {', '.join(parts)} {sql}" if parts else sql

@@ -391,7 +391,7 @@ SQL["doc_reassemble"] = """
 """
 SQL["doc_status"] = """
     SELECT doc_id, processing_status, CASE WHEN processing_status = 'FAILED'
-           THEN 'less than 60 percent of the text is letters' END AS error_message FROM doc_state
+           THEN 'no readable text' END AS error_message FROM doc_state
 """
 SQL["doc_fields"] = """
     SELECT doc_id, title, issuing_authority, reference_number, effective_date, category FROM field_values
@@ -415,25 +415,56 @@ SQL["page_text"] = f"""
     SELECT page_id, nullif({readable(TITLE)}, '') AS title, length(body) AS text_length, md5(body) AS text_hash
     FROM (SELECT *, {readable(PAGE)} AS body FROM pages)
 """
+ERRORS = "string_agg(file_name || ': no readable text', ' | ' ORDER BY file_name) FILTER (processing_status = 'FAILED')"
 SQL["doc_errors"] = """
-    SELECT n // 100 AS part, string_agg(line, ' | ' ORDER BY n) AS error_summary
-    FROM (SELECT file_name || ': less than 60 percent of the text is letters' AS line,
-                 row_number() OVER (ORDER BY file_name) - 1 AS n
-          FROM doc_state WHERE processing_status = 'FAILED')
-    GROUP BY 1
+    SELECT file_name, file_name || ': no readable text' AS line FROM doc_state WHERE processing_status = 'FAILED'
 """
-SQL["doc_run_log"] = """
+SQL["doc_run_log"] = f"""
     SELECT 'run-2' AS run_id, files_detected, files_new, files_processed, files_failed, policies_loaded,
-           CASE WHEN files_failed > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status,
+           CASE WHEN files_failed > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, error_summary,
            'Run run-2 complete. Detected: ' || files_detected || ' | New: ' || files_new || ' | Processed: '
                || files_processed || ' | Failed: ' || files_failed || ' | Policies loaded: ' || policies_loaded AS result
     FROM (SELECT (SELECT count(*) FROM documents) AS files_detected, count(*) AS files_new,
                  count(*) FILTER (processing_status = 'SUCCESS') AS files_processed,
-                 count(*) FILTER (processing_status = 'FAILED') AS files_failed,
+                 count(*) FILTER (processing_status = 'FAILED') AS files_failed, {ERRORS} AS error_summary,
                  (SELECT count(*) FROM usable WHERE doc_id IN (SELECT doc_id FROM doc_state SEMI JOIN fresh USING (doc_id)
                       WHERE processing_status = 'SUCCESS')) AS policies_loaded
           FROM doc_state SEMI JOIN fresh USING (doc_id))
 """
+RUNS = """
+    WITH read_first AS (SELECT * FROM doc_state SEMI JOIN labels USING (doc_id)),
+    read_second AS (SELECT * FROM doc_state WHERE doc_id NOT IN (
+        SELECT doc_id FROM read_first WHERE processing_status = 'SUCCESS')),
+    first_policies AS (SELECT * FROM usable WHERE doc_id IN (
+        SELECT doc_id FROM read_first WHERE processing_status = 'SUCCESS')),
+    second_policies AS (SELECT * FROM usable WHERE doc_id IN (
+        SELECT doc_id FROM read_second WHERE processing_status = 'SUCCESS')),
+    second_titles AS (SELECT DISTINCT title FROM field_values WHERE title IS NOT NULL AND doc_id IN (
+        SELECT doc_id FROM read_second WHERE processing_status = 'SUCCESS')),
+    live AS (SELECT title, section, content FROM first_policies WHERE title NOT IN (SELECT title FROM second_titles)
+             UNION ALL SELECT title, section, content FROM second_policies),
+"""
+
+
+def run_counts(run: str, docs: str, detected: str, loaded: str) -> str:
+    return f"""SELECT '{run}' AS run_id, (SELECT count(*) FROM {detected}) AS files_detected, count(*) AS files_new,
+        count(*) FILTER (processing_status = 'SUCCESS') AS files_processed,
+        count(*) FILTER (processing_status = 'FAILED') AS files_failed, {loaded} AS policies_loaded,
+        md5({ERRORS}) AS error_hash FROM {docs}"""
+
+
+SQL["ingest_log"] = f"""{RUNS} counts AS (
+    {run_counts('run-1', 'read_first', 'read_first', '(SELECT count(*) FROM first_policies)')} UNION ALL
+    {run_counts('run-2', 'read_second', 'documents', '(SELECT count(*) FROM live) - (SELECT count(*) FROM first_policies)')})
+    SELECT *, CASE WHEN files_failed > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status, true AS is_timed,
+           'Run ' || run_id || ' complete. Detected: ' || files_detected || ' | New: ' || files_new || ' | Processed: '
+               || files_processed || ' | Failed: ' || files_failed || ' | Policies loaded: ' || policies_loaded AS result
+    FROM counts
+"""
+SQL["ingest_policies"] = f"""{RUNS} counted AS (
+    SELECT md5(title) AS title_hash, section, md5(content) AS content_hash, count(*) AS times FROM live GROUP BY ALL)
+    SELECT *, true AS has_distinct_ids FROM counted
+"""
 SQL["policy_sections"] = "SELECT doc_id, piece_index, section, content FROM sections"
 SQL["policy_quarantine"] = """
     SELECT doc_id, piece_index, section FROM sections JOIN field_values USING (doc_id)
@@ -555,32 +586,52 @@ DATASETS = {
         "newest_macro", "indicator_name",
     ),
 }
+MATCHED = any_word("asked", dict(fixed.ROUTES_ALL)["risk_scores"])
 CONTEXT = " || ".join(
-    f"CASE WHEN list_contains(string_split(datasets, ','), '{name}') THEN {text} || chr(10) ELSE '' END"
+    f"CASE WHEN list_contains(string_split(datasets, ','), '{name}') THEN {text} || "
+    + (f"CASE WHEN {MATCHED} THEN chr(10) ELSE '' END" if name == "risk_scores" else "chr(10)")
+    + " ELSE '' END"
     for name, text in DATASETS.items()
 )
 SQL["question_context"] = f"""
     SELECT query_id, datasets, left({CONTEXT}, 2500) AS data_context, coalesce(context, '') AS context
-    FROM (SELECT item_id AS query_id, {all_routes('text')} AS datasets FROM benchmark)
-    LEFT JOIN (SELECT query_id, left(string_agg('[' || source || ']: ' || left(text, 600) || chr(10) || chr(10), ''
+    FROM (SELECT item_id AS query_id, text AS asked, {all_routes('text')} AS datasets FROM benchmark)
+    LEFT JOIN (SELECT query_id, left(string_agg('[' || source || ' - ' || lang || ']: ' || left(text, 600) || chr(10) || chr(10), ''
                                      ORDER BY rank), 1500) AS context
                FROM benchmark_hits JOIN documents USING (doc_id) WHERE rank <= 3 GROUP BY 1) USING (query_id)
 """
 
 
-def shorter(sql: str, order: str) -> str:
-    """The dataset text from its first 15 rows."""
-    start, source = sql[: sql.rindex(" FROM ")], sql[sql.rindex(" FROM ") + 6 : -1]
-    return f"{start} FROM (SELECT * FROM {source} ORDER BY {order} LIMIT 15))"
+def first_rows(heading: str, columns: str, line: str, source: str, order: str) -> str:
+    """The dataset text of the first form: from its first 15 rows."""
+    return dataset(heading, columns, line, f"(SELECT * FROM {source} ORDER BY {order} LIMIT 15)", order)
 
 
-FIRST_TEXTS = " ".join(
-    f"WHEN '{name}' THEN {text if name == 'macro' else shorter(text, order)}"
-    for (name, text), order in zip(
-        DATASETS.items(),
-        ("tenths, customer_id", "outstanding_cents DESC, loan_id", "application_date DESC, application_id", ""),
-    )
-)
+DATASETS_FIRST = {
+    "risk_scores": first_rows(
+        "RISK SCORES DATA:", "company_name,composite_score,risk_grade,key_risk_drivers",
+        "company_name || ',' || score_text || ',' || risk_grade || ',' || key_risk_drivers", "graded", "tenths, customer_id",
+    ),
+    "loan_exposure": first_rows(
+        "LOAN DATA:", "company_name,loan_type,outstanding_balance,collateral_value,loan_status",
+        f"company_name || ',' || loan_type || ',' || {amount('outstanding_cents')} || ',' || {amount('collateral_cents')} "
+        "|| ',' || loan_status",
+        "loan_history JOIN customers USING (customer_id) WHERE loan_status = 'ACTIVE'", "outstanding_cents DESC, loan_id",
+    ),
+    "applications": first_rows(
+        "APPLICATION DATA:", "company_name,loan_type,requested_amount,application_status,ai_recommendation",
+        f"company_name || ',' || loan_type || ',' || {amount('requested_cents')} || ',' || application_status || ',' || "
+        "coalesce(ai_recommendation, '')",
+        "loan_applications JOIN customers USING (customer_id)", "application_date DESC, application_id",
+    ),
+    "macro": dataset(
+        "MACRO DATA:", "indicator_name,value,change_pct,report_date,source",
+        "indicator_name || ',' || value || ',' || coalesce(change_pct::VARCHAR, '') || ',' || report_date || ',' || "
+        "coalesce(source, '')",
+        "newest_macro", "indicator_name",
+    ),
+}
+FIRST_TEXTS = " ".join(f"WHEN '{name}' THEN {text}" for name, text in DATASETS_FIRST.items())
 SQL["question_context_first"] = f"""
     SELECT query_id, dataset, coalesce(CASE dataset {FIRST_TEXTS} END, '') AS data_context, coalesce(context, '') AS context
     FROM (SELECT item_id AS query_id, CASE {FIRST} END AS dataset FROM benchmark)
@@ -589,14 +640,13 @@ SQL["question_context_first"] = f"""
 """
 SQL["question_data"] = f"""
     SELECT conv_id, turn, datasets, left({CONTEXT}, 2500) AS data_context
-    FROM (SELECT conv_id, turn, {all_routes('text')} AS datasets FROM conversations WHERE role = 'user')
+    FROM (SELECT conv_id, turn, text AS asked, {all_routes('text')} AS datasets FROM conversations WHERE role = 'user')
 """
 
 
-def assessment_id(date: str) -> str:
+def assessment_id(date: str, run: str) -> str:
     return (
-        f"'CA-{date.replace('-', '')}-' || customer_id || '-' || "
-        f"(('0x' || substr(md5(customer_id || '{date}'), 1, 8))::BIGINT % 9000 + 1000)"
+        f"'CA-{date.replace('-', '')}-' || customer_id || '-' || left(md5(customer_id || '|{date}|{run}'), 12)"
     )
 
 
@@ -608,8 +658,9 @@ NARRATIVE = """
     || '; ' || coalesce(macro_text, 'N/A') || chr(10) || '## Recommendation' || chr(10) || recommendation
 """
 SQL["assessments"] = f"""
-    SELECT {assessment_id('2024-03-31')} AS assessment_id, customer_id, confidence_score, recommendation,
-           context AS regulatory_citations, {NARRATIVE} AS narrative,
+    SELECT {assessment_id('2024-03-31', 'run-1')} AS assessment_id, customer_id, confidence_score,
+           recommendation AS ai_recommendation,
+           context AS regulatory_citations, {NARRATIVE} AS ai_narrative,
            'Write a credit assessment as a senior credit analyst. Borrower: ' || company_name || ' (' || industry
            || '). Risk score: ' || score_text || ' of 108 (grade ' || risk_grade || '). Overdue category: '
            || sma_category || '. Risk drivers: ' || key_risk_drivers || '. Financials: ' || coalesce(financials, 'N/A')
@@ -620,9 +671,9 @@ SQL["assessments"] = f"""
     FROM assessed CROSS JOIN regulations
 """
 SQL["latest_assessment"] = f"""
-    SELECT {assessment_id('2024-06-30')} AS assessment_id, customer_id, DATE '2024-06-30' AS assessment_date,
-           composite_score AS risk_score, risk_grade, sma_category, recommendation, confidence_score,
-           {NARRATIVE} AS narrative
+    SELECT {assessment_id('2024-06-30', 'run-2')} AS assessment_id, customer_id, DATE '2024-06-30' AS assessment_date,
+           composite_score AS risk_score, risk_grade, sma_category, recommendation AS ai_recommendation, confidence_score,
+           {NARRATIVE} AS ai_narrative, '2024-06-30 17:00:00' AS generated_at
     FROM assessed
 """
 

@@ -12,7 +12,7 @@ from lendscope import fixed
 from lendscope.functions.numbers import grouped, money
 from lendscope.functions.text import clean_reply, markup_text, markup_title
 from lendscope.operators import search
-from lendscope.operators.maintenance import append, new_files, replace_by_key
+from lendscope.operators.maintenance import Versions, new_files, replace_by_key
 from lendscope.operators.quality import InSet, MaxLength, NotNull, Reference, Unique, check_rules
 from lendscope.operators.sections import join_ranges, plan_ranges
 from lendscope.plans import (
@@ -31,7 +31,7 @@ from lendscope.plans import (
 from lendscope.session import run_folder
 from lendscope.sources.derived import derived_book
 from lendscope.sources.documents import FieldRules, list_documents, parse_text
-from lendscope.sources.tables import Book
+from lendscope.sources.tables import Book, insert, stored_book
 from lendscope.streaming import macro_feed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +62,29 @@ def on_book(name: str) -> Callable[[Callable[[Book], DataFrame]], Callable[[Book
     return register
 
 
+_SCORES: dict[tuple[str, str], str] = {}
+
+
+def scored_book(spark: SparkSession, folder: str) -> Book:
+    """The derived book with its stored score table, which a session computes once per folder, as a refresh job would."""
+    book, key = derived_book(spark, folder), (spark.sparkContext.applicationId, folder)
+    if key not in _SCORES:
+        base = run_folder(spark, "scores")
+        scoring.publish_scores(book, base)
+        _SCORES[key] = f"{base}/risk_scores"
+    return book.replaced(risk_scores=Versions(spark, _SCORES[key]).read())
+
+
+def on_scores(name: str) -> Callable[[Callable[[Book], DataFrame]], Callable[[Book], DataFrame]]:
+    """Register a report over the stored score table under a query name."""
+
+    def register(build: Callable[[Book], DataFrame]) -> Callable[[Book], DataFrame]:
+        QUERIES[name] = lambda spark, folder: plain(build(scored_book(spark, folder)))
+        return build
+
+    return register
+
+
 def _columns(build: Callable[[Book], DataFrame], *columns: str) -> Callable[[Book], DataFrame]:
     return lambda book: build(book).select(*columns)
 
@@ -146,15 +169,15 @@ on_book("risk_signals")(signals.risk_signals)
 on_book("borrower_classification")(signals.borrower_classification)
 
 on_book("exposure_kpis")(portfolio.exposure_kpis)
-on_book("portfolio_kpis")(portfolio.portfolio_kpis)
-on_book("grade_counts")(portfolio.grade_counts)
-on_book("grade_distribution")(portfolio.grade_distribution)
+on_scores("portfolio_kpis")(portfolio.portfolio_kpis)
+on_scores("grade_counts")(portfolio.grade_counts)
+on_scores("grade_distribution")(portfolio.grade_distribution)
 on_book("sma_breakdown")(portfolio.sma_breakdown)
-on_book("sector_summary")(portfolio.sector_summary)
-on_book("scorecard")(portfolio.scorecard)
-on_book("high_risk_borrowers")(portfolio.high_risk_borrowers)
-on_book("worst_15")(portfolio.worst_rows)
-on_book("score_components")(portfolio.score_components)
+on_scores("sector_summary")(portfolio.sector_summary)
+on_scores("scorecard")(portfolio.scorecard)
+on_scores("high_risk_borrowers")(portfolio.high_risk_borrowers)
+on_scores("worst_15")(portfolio.worst_rows)
+on_scores("score_components")(portfolio.score_components)
 on_book("exposure_list")(portfolio.exposure_list)
 on_book("borrower_list")(borrowers.borrower_list)
 on_book("borrower_financials")(borrowers.borrower_financials)
@@ -172,10 +195,10 @@ def apps_filtered(book: Book) -> DataFrame:
     return applications.applications_filtered(book, ["PENDING", "ESCALATED", "REJECTED"])
 
 
-@on_book("semantic_query")
+@on_scores("semantic_query")
 def semantic_query(book: Book) -> DataFrame:
     result = semantic.query(
-        scoring.with_stored_scores(book),
+        book,
         measures=[
             "customers.total_borrowers", "risk_scores.avg_risk_score", "loan_history.total_outstanding",
             "loan_history.active_loan_count", "loan_applications.total_applications",
@@ -326,8 +349,13 @@ PROSE_RULES = FieldRules(
 )
 
 
+def decoded(docs: DataFrame) -> DataFrame:
+    """Documents as a decoder hands them over: the marks of the junk documents stand for bytes it could not read."""
+    return docs.withColumn("text", F.replace("text", F.lit("***"), F.lit("\ufffd")))
+
+
 def parsed_documents(book: Book) -> DataFrame:
-    return parse_text(documents(book), "text", markup=False)
+    return parse_text(decoded(documents(book)), "text", markup=False)
 
 
 def described_sections(docs: DataFrame) -> DataFrame:
@@ -414,19 +442,57 @@ def page_text(book: Book) -> DataFrame:
 
 @on_book("doc_errors")
 def doc_errors(book: Book) -> DataFrame:
-    return ingestion.error_rows(book.spark, parsed_documents(book))
+    """The line of every document that could not be read."""
+    return ingestion.error_rows(parsed_documents(book))
 
 
 @on_book("doc_run_log")
 def doc_run_log(book: Book) -> DataFrame:
     """The run that reads what is new: counts, status, result text."""
     detected = book["documents"].agg(F.count(F.lit(1))).scalar()
-    fresh = parse_text(new_files(documents(book), known_documents(book)), "text", markup=False)
+    fresh = parse_text(decoded(new_files(documents(book), known_documents(book))), "text", markup=False)
     sections = described_sections(fresh.filter(F.col("processing_status") == "SUCCESS").drop("parsed_text"))
     loaded = sections.filter(~ingestion.unusable()).agg(F.count(F.lit(1))).scalar()
     return ingestion.run_summary(detected, fresh, "run-2", loaded)
 
 
+def ingested(book: Book) -> ingestion.Library:
+    """Two runs of the ingestion job: over the labelled documents, and then over all of them."""
+    spark, base = book.spark, run_folder(book.spark, "library")
+    files = documents(book).withColumn("file_size", F.octet_length("text").cast("long"))
+    contents = files.select("file_name", "page_count", "text")
+    listing = files.select("doc_id", "file_name", "file_size", "file_hash")
+
+    def parse(new: DataFrame) -> DataFrame:
+        return parse_text(decoded(new.join(contents, "file_name")), "text", markup=False)
+
+    labelled = listing.join(book["labels"], "doc_id", "left_semi")
+    for run_id, listed in (("run-1", labelled), ("run-2", listing)):
+        ingestion.ingest(spark, base, listed.drop("doc_id"), parse, PROSE_RULES, run_id=run_id)
+    return ingestion.Library(spark, base)
+
+
+@on_book("ingest_log")
+def ingest_log(book: Book) -> DataFrame:
+    """The log rows of two ingestion runs, with the failures of each."""
+    rows = ingested(book).read_log()
+    return rows.select(
+        "run_id", "files_detected", "files_new", "files_processed", "files_failed", "policies_loaded", "status",
+        F.md5("error_summary").alias("error_hash"), "result",
+        (F.col("run_started_at") <= F.col("run_completed_at")).alias("is_timed"),
+    )
+
+
+@on_book("ingest_policies")
+def ingest_policies(book: Book) -> DataFrame:
+    """What counts after two ingestion runs: sections by title and content, and whether their ids are distinct."""
+    live = ingested(book).live_policies()
+    ids = live.agg(F.count_distinct("policy_id") == F.count(F.lit(1))).scalar()
+    return live.groupBy(F.md5("title").alias("title_hash"), "section", F.md5("content").alias("content_hash")).agg(
+        F.count(F.lit(1)).alias("times")
+    ).withColumn("has_distinct_ids", ids)
+
+
 @on_book("policy_sections")
 def policy_sections(book: Book) -> DataFrame:
     docs = documents(book).withColumnRenamed("text", "parsed_text")
@@ -473,13 +539,13 @@ def policies_filtered(book: Book) -> DataFrame:
 # --- macro feed ---
 
 
-def feed_folder(book: Book) -> str:
+def feed_folder(book: Book, folder: str | None = None) -> str:
     """The derived indicators as feed files: one array of records per day, and single objects and broken lines.
 
     A day has one record per indicator. Every day's broken line carries its date, and
     every day has one record whose value is no number.
     """
-    folder = run_folder(book.spark, "feed")
+    folder = folder or run_folder(book.spark, "feed")
     keys = [
         F.col(column).alias(key) if column != "region" else F.nullif("region", F.lit(fixed.REGION_DEFAULT)).alias(key)
         for key, column, _ in macro_feed.FEED_FIELDS
@@ -525,9 +591,14 @@ def feed_raw(book: Book) -> DataFrame:
 
 @on_book("feed_parse")
 def feed_parse(book: Book) -> DataFrame:
-    """The typed indicators after one run of the streaming job over the feed files."""
-    tables = macro_feed.run_feed(book.spark, feed_folder(book), run_folder(book.spark, "feed-tables"))
-    return tables.indicators().drop("batch")
+    """The current indicators after the streaming job has read first estimates and then the feed files that revise them."""
+    spark, base, folder = book.spark, run_folder(book.spark, "feed-tables"), run_folder(book.spark, "feed")
+    record = F.struct(*[F.col(column).alias(key) for key, column, _ in macro_feed.FEED_FIELDS])
+    estimates = book["macro_economic_indicators"].withColumn("value", F.col("value") + 1000)
+    estimates.select(F.to_json(record).alias("value")).write.text(f"{folder}/part=1")
+    macro_feed.run_feed(spark, folder, base)
+    feed_folder(book, f"{folder}/part=2")
+    return macro_feed.run_feed(spark, folder, base).current()
 
 
 @on_book("feed_quarantine")
@@ -538,12 +609,13 @@ def feed_quarantine(book: Book) -> DataFrame:
 
 @on_book("stream_refresh")
 def stream_refresh(book: Book) -> DataFrame:
-    """The score table that the streaming job published after it read the feed."""
+    """The score table that the streaming job published after it read the feed, from stored components."""
+    stored = scoring.stored_components(book)
     tables = macro_feed.run_feed(
         book.spark,
         feed_folder(book),
         run_folder(book.spark, "feed-tables"),
-        refresh=lambda indicators: scoring.risk_scores(book.replaced(macro_economic_indicators=indicators)),
+        refresh=lambda indicators: scoring.refreshed_scores(book, stored, indicators),
     )
     return tables.scores.read()
 
@@ -552,17 +624,18 @@ def stream_refresh(book: Book) -> DataFrame:
 def latest_macro_stream(book: Book) -> DataFrame:
     """Newest report per indicator, kept as streaming state over the feed files."""
     spark, target = book.spark, run_folder(book.spark, "latest")
+    versions = Versions(spark, f"{target}/table")
     stream = macro_feed.good_indicators(macro_feed.stream_feed(spark, feed_folder(book)))
     query = (
         macro_feed.latest_per_indicator(stream)
         .writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{target}/table"))
+        .foreachBatch(lambda batch, number: versions.write(batch, version=number))
         .option("checkpointLocation", f"{target}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{target}/table").select(
+    return versions.read().select(
         "indicator_name", "indicator_category", "value", "previous_value", "change_pct", "unit", "report_date", "source"
     )
 
@@ -627,23 +700,23 @@ def reply_cleanup(book: Book) -> DataFrame:
     )
 
 
-@on_book("question_context")
+@on_scores("question_context")
 def question_context(book: Book) -> DataFrame:
-    corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
+    corpus = book["documents"].select("doc_id", F.col("source").alias("title"), F.col("lang").alias("section"), "text")
     result = advisor.question_context(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
     return result.select(
         "query_id", F.array_join("datasets", ",").alias("datasets"), "data_context", "context"
     )
 
 
-@on_book("question_context_first")
+@on_scores("question_context_first")
 def question_context_first(book: Book) -> DataFrame:
     corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
     result = advisor.question_context_first(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
     return result.select("query_id", "dataset", "data_context", "context")
 
 
-@on_book("question_data")
+@on_scores("question_data")
 def question_data(book: Book) -> DataFrame:
     """The data half of the context for every user turn, some of which name a dataset."""
     asked = questions(book).withColumnRenamed("text", "query")
@@ -651,18 +724,23 @@ def question_data(book: Book) -> DataFrame:
     return result.select("conv_id", "turn", F.array_join("datasets", ",").alias("datasets"), "data_context")
 
 
-SEARCH_TEXT = "the and of"
+def benchmark_policies(book: Book) -> DataFrame:
+    """The documents as policies; each ends with a line naming its source and a norm, which the appraisal query can find."""
+    norms = F.array(*[F.lit(norm) for norm in ("provisioning norms", "capital adequacy", "credit appraisal", "other matters")])
+    line = F.concat(F.lit("\n"), F.element_at(norms, (F.col("doc_id") % 4 + 1).cast("int")))
+    return book["documents"].select(
+        F.col("doc_id").alias("policy_id"), F.col("source").alias("title"), F.concat("text", line).alias("content")
+    )
 
 
-def document_assessments(book: Book, run_date: str) -> DataFrame:
-    corpus = book["documents"].select(
-        F.col("doc_id").alias("policy_id"), F.col("source").alias("title"), F.col("text").alias("content")
-    )
-    return assessments.assessments(book, corpus, run_date, SEARCH_TEXT)
+def document_assessments(book: Book, run_date: str, run_id: str = "run-1", hour: int = 9) -> DataFrame:
+    """Assessments with the real appraisal query, as one run at a given hour generated them."""
+    made = F.expr(f"TIMESTAMP_NTZ '{run_date} {hour:02d}:00:00'")
+    return assessments.assessments(book, benchmark_policies(book), run_date, run_id=run_id, generated_at=made)
 
 
 ASSESSMENT = (
-    "assessment_id", "customer_id", "prompt", "narrative", "confidence_score", "recommendation", "regulatory_citations"
+    "assessment_id", "customer_id", "prompt", "ai_narrative", "confidence_score", "ai_recommendation", "regulatory_citations"
 )
 
 
@@ -673,12 +751,12 @@ def all_assessments(book: Book) -> DataFrame:
 
 @on_book("latest_assessment")
 def latest_assessment(book: Book) -> DataFrame:
-    """Two runs appended to the audit table, then the newest row per customer."""
-    target = run_folder(book.spark, "assessments")
-    for run_date in ("2024-03-31", "2024-06-30"):
-        append(document_assessments(book, run_date).drop("prompt"), target)
-    stored = assessments.latest_assessment(book.spark.read.parquet(target))
+    """Two runs of one day inserted into the audit table, then the newest row per customer."""
+    base = run_folder(book.spark, "assessments")
+    for run_id, hour in (("run-1", 9), ("run-2", 17)):
+        insert(document_assessments(book, "2024-06-30", run_id, hour), "credit_assessments", base)
+    stored = assessments.latest_assessment(stored_book(book.spark, base)["credit_assessments"])
     return stored.select(
-        "assessment_id", "customer_id", "assessment_date", "risk_score", "risk_grade", "sma_category", "recommendation",
-        "confidence_score", "narrative",
+        "assessment_id", F.col("customer_id").cast("long"), "assessment_date", "risk_score", "risk_grade", "sma_category", "ai_recommendation",
+        "confidence_score", "ai_narrative", F.col("generated_at").cast("string").alias("generated_at"),
     )

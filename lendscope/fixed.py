@@ -166,6 +166,12 @@ ROUTES_ALL = (
     ("macro", ("macro", "cpi", "inflation", "repo", "gdp", "industry", "sector", "outlook")),
 )
 ROUTE_DEFAULT = "risk_scores"
+ROUTE_HEADINGS_FIRST = {
+    "risk_scores": "RISK SCORES DATA:",
+    "loan_exposure": "LOAN DATA:",
+    "applications": "APPLICATION DATA:",
+    "macro": "MACRO DATA:",
+}
 ROUTE_HEADINGS = {
     "risk_scores": "PORTFOLIO RISK SCORES:",
     "loan_exposure": "LOAN EXPOSURE DATA:",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -45,33 +47,40 @@ def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
 class Versions:
     """A table kept as whole versions. A version is written completely before it is published.
 
-    Publishing appends one row to a small log, and readers take the highest
-    published version. A job that dies half-way leaves the old version in place, and
-    a repeated job with the same number writes the same folder again.
+    Every attempt has a folder of its own, and publishing appends one row (version, path) to a
+    small log. Readers take the highest published version, of several attempts at it
+    the one published last. A job that dies half-way, also one that repeats a version
+    that is live, leaves what was published untouched.
     """
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base.rstrip("/")
 
-    def published(self) -> int | None:
+    def _live(self) -> Row | None:
         log = f"{self.base}/published"
         if not table_exists(self.spark, log):
             return None
-        return self.spark.read.parquet(log).agg(F.max("version")).first()[0]
+        newest = F.max_by(F.struct("version", "path"), F.struct("version", "published_at")).alias("live")
+        return self.spark.read.parquet(log).agg(newest).first()["live"]
 
-    def path(self, version: int) -> str:
-        return f"{self.base}/version={version}"
+    def published(self) -> int | None:
+        live = self._live()
+        return None if live is None else live["version"]
 
     def write(self, df: DataFrame, version: int | None = None) -> int:
         """Write and publish the next (or the given) version."""
-        current = self.published()
         if version is None:
+            current = self.published()
             version = 0 if current is None else current + 1
-        df.write.mode("overwrite").parquet(self.path(version))
-        append(self.spark.range(1).select(F.lit(version).cast("long").alias("version")), f"{self.base}/published")
+        path = f"version={version}/attempt={uuid.uuid4().hex}"
+        df.write.parquet(f"{self.base}/{path}")
+        entry = self.spark.range(1).select(
+            F.lit(version).cast("long").alias("version"), F.lit(path).alias("path"), F.current_timestamp().alias("published_at")
+        )
+        append(entry, f"{self.base}/published")
         return version
 
     def read(self) -> DataFrame | None:
-        current = self.published()
-        return None if current is None else self.spark.read.parquet(self.path(current))
+        live = self._live()
+        return None if live is None else self.spark.read.parquet(f"{self.base}/{live['path']}")

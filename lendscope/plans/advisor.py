@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lendscope import fixed
 from lendscope.functions.text import fill, route_words
 from lendscope.operators.search import bm25, hit_rows
-from lendscope.plans.scoring import latest_macro, risk_scores
+from lendscope.plans.scoring import latest_macro
 from lendscope.sources.tables import Book
 
 
@@ -43,7 +43,7 @@ def csv_line(*columns: Column) -> Column:
 
 
 def _dataset_text(
-    df: DataFrame, dataset: str, columns: list[str], order: list[str], rows: int | None = None
+    df: DataFrame, heading: str, columns: list[str], order: list[str], rows: int | None = None
 ) -> DataFrame:
     """One row: heading, CSV head and the first lines (at most ``rows``), cut to the data context.
 
@@ -56,66 +56,68 @@ def _dataset_text(
     first = df.orderBy(*order).limit(enough).select(F.struct(*order).alias("key"), line.alias("line"))
     items = F.array_sort(F.collect_list(F.struct("key", "line")))
     body = F.array_join(F.transform(items, lambda item: item["line"]), "\n")
-    head = f"{fixed.ROUTE_HEADINGS[dataset]}\n{','.join(columns)}\n"
+    head = f"{heading}\n{','.join(columns)}\n"
     text = F.left(F.concat(F.lit(head), body, F.lit("\n")), F.lit(fixed.DATA_CONTEXT_LENGTH))
     return first.agg(text.alias("text"))
 
 
-def dataset_texts(book: Book, rows: int | None = None) -> dict[str, DataFrame]:
-    """The text of each dataset a question can be routed to, as one-row DataFrames; macro always has all rows."""
+# --- fixed values: the columns each dataset shows in the long and in the first, shorter form ---
+COLUMNS = {
+    "risk_scores": ["company_name", "sector", "composite_score", "risk_grade", "key_risk_drivers"],
+    "loan_exposure": ["company_name", "sector", "loan_type", "outstanding_balance", "collateral_value", "loan_status"],
+    "applications": [
+        "company_name", "loan_type", "requested_amount", "application_status", "ai_recommendation", "ai_recommendation_reason",
+    ],
+    "macro": ["indicator_name", "value", "change_pct", "report_date"],
+}
+COLUMNS_FIRST = {
+    "risk_scores": ["company_name", "composite_score", "risk_grade", "key_risk_drivers"],
+    "loan_exposure": ["company_name", "loan_type", "outstanding_balance", "collateral_value", "loan_status"],
+    "applications": ["company_name", "loan_type", "requested_amount", "application_status", "ai_recommendation"],
+    "macro": ["indicator_name", "value", "change_pct", "report_date", "source"],
+}
+ORDERS = {
+    "risk_scores": ["composite_score", "customer_id"],
+    "loan_exposure": ["_falling", "loan_id"],
+    "applications": ["_falling", "application_id"],
+    "macro": ["indicator_name"],
+}
+
+
+def dataset_texts(book: Book, first: bool = False) -> dict[str, DataFrame]:
+    """The text of each dataset a question can be routed to, as one-row DataFrames.
+
+    The first form shows fewer columns, only active loans, and the first rows of each dataset but macro.
+    """
     names = book["customers"].select("customer_id", "company_name", "sector")
-    scores = risk_scores(book).select(
-        "company_name", "sector", "composite_score", "risk_grade", "key_risk_drivers", "customer_id"
-    )
-    loans = (
-        book["loan_history"]
-        .join(names, "customer_id")
-        .withColumn("_falling", -F.col("outstanding_balance"))
-    )
-    applications = (
-        book["loan_applications"]
-        .join(names, "customer_id")
-        .withColumn("_falling", -F.datediff("application_date", F.lit("1970-01-01")))
-    )
+    loans = book["loan_history"].filter(F.col("loan_status") == "ACTIVE") if first else book["loan_history"]
+    applications = book["loan_applications"].join(names, "customer_id")
+    frames = {
+        "risk_scores": book["risk_scores"],
+        "loan_exposure": loans.join(names, "customer_id").withColumn("_falling", -F.col("outstanding_balance")),
+        "applications": applications.withColumn("_falling", -F.datediff("application_date", F.lit("1970-01-01"))),
+        "macro": latest_macro(book),
+    }
+    headings = fixed.ROUTE_HEADINGS_FIRST if first else fixed.ROUTE_HEADINGS
+    columns = COLUMNS_FIRST if first else COLUMNS
+    rows = {name: fixed.WORST_ROWS if first and name != "macro" else None for name in frames}
     return {
-        "risk_scores": _dataset_text(
-            scores,
-            "risk_scores",
-            ["company_name", "sector", "composite_score", "risk_grade", "key_risk_drivers"],
-            ["composite_score", "customer_id"],
-            rows,
-        ),
-        "loan_exposure": _dataset_text(
-            loans,
-            "loan_exposure",
-            ["company_name", "sector", "loan_type", "outstanding_balance", "collateral_value", "loan_status"],
-            ["_falling", "loan_id"],
-            rows,
-        ),
-        "applications": _dataset_text(
-            applications,
-            "applications",
-            ["company_name", "loan_type", "requested_amount", "application_status", "ai_recommendation",
-             "ai_recommendation_reason"],
-            ["_falling", "application_id"],
-            rows,
-        ),
-        "macro": _dataset_text(
-            latest_macro(book),
-            "macro",
-            ["indicator_name", "value", "change_pct", "report_date"],
-            ["indicator_name"],
-        ),
+        name: _dataset_text(frame, headings[name], columns[name], ORDERS[name], rows[name]) for name, frame in frames.items()
     }
 
 
 def data_context(book: Book, questions: DataFrame, question: str = "question") -> DataFrame:
     """Adds ``datasets`` and ``data_context``: the texts of all matching datasets, cut to the limit."""
-    routed = questions.withColumn("datasets", route_all(F.col(question)))
+    words = dict(fixed.ROUTES_ALL)[fixed.ROUTE_DEFAULT]
+    routed = questions.withColumn("datasets", route_all(F.col(question))).withColumn(
+        "_routed", F.coalesce(route_words(F.col(question), words), F.lit(False))
+    )
     pieces = []
     for dataset, text in dataset_texts(book).items():
         routed = routed.withColumn(f"_{dataset}", text.scalar())
-        pieces.append(F.when(F.array_contains("datasets", dataset), F.concat(F.col(f"_{dataset}"), F.lit("\n"))))
+        # The default text stands alone, without the break that follows a matching one.
+        end = F.when(F.col("_routed"), "\n").otherwise("") if dataset == fixed.ROUTE_DEFAULT else F.lit("\n")
+        pieces.append(F.when(F.array_contains("datasets", dataset), F.concat(F.col(f"_{dataset}"), end)))
     whole = F.left(F.array_join(F.array_compact(F.array(*pieces)), ""), F.lit(fixed.DATA_CONTEXT_LENGTH))
     return routed.withColumn("data_context", whole).drop(*[column for column in routed.columns if column[0] == "_"])
 
@@ -128,12 +130,14 @@ def policy_context(
     text: str,
     hits: int = fixed.HITS_ADVISOR,
     length: int = fixed.HIT_LENGTH,
-    form: str = "[{title}]: {text}\n\n",
+    form: str = "[{title} - {section}]: {text}\n\n",
     separator: str = "",
+    section: str = "section",
 ) -> DataFrame:
     """query_id and ``context``: the best hits by rank in the given form, each hit and the whole cut to its limit."""
     found = bm25(corpus, questions, hits, key, text)
-    line = fill(form, title=title, text=f"left({text}, {length})")
+    named = {"section": f"coalesce({section}, '')"} if "{section}" in form else {}
+    line = fill(form, title=title, text=f"left({text}, {length})", **named)
     lines = hit_rows(found, questions, hits, corpus, key, [line.alias("line")])
     items = F.transform(F.array_sort(F.collect_list(F.struct("rank", "line"))), lambda item: item["line"])
     context = F.left(F.array_join(items, separator), F.lit(fixed.POLICY_CONTEXT_LENGTH))
@@ -146,11 +150,11 @@ def _with_context(questions: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def question_context(
-    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str
+    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str, section: str = "section"
 ) -> DataFrame:
     """query_id, query, datasets, data_context and policy context ('' without a hit) of every question."""
     with_data = data_context(book, questions, "query")
-    return _with_context(with_data, policy_context(questions, corpus, key, title, text))
+    return _with_context(with_data, policy_context(questions, corpus, key, title, text, section=section))
 
 
 def question_context_first(
@@ -159,7 +163,7 @@ def question_context_first(
     """The shorter form: the first matching dataset with its first rows (none without a match) and two hits."""
     routed = questions.withColumn("dataset", route_first(F.col("query")))
     data = F.lit("")
-    for dataset, one_row in dataset_texts(book, fixed.WORST_ROWS).items():
+    for dataset, one_row in dataset_texts(book, first=True).items():
         routed = routed.withColumn(f"_{dataset}", one_row.scalar())
         data = F.when(F.col("dataset") == dataset, F.col(f"_{dataset}")).otherwise(data)
     with_data = routed.withColumn("data_context", data).select(*questions.columns, "dataset", "data_context")

@@ -67,11 +67,11 @@ def input_texts() -> dict[str, Column]:
     }
 
 
-def assessment_id(run_date: str) -> Column:
-    """Date, customer and four digits that follow from both, so a repeated run gives the same id."""
-    digest = F.conv(F.substring(F.md5(F.concat(F.col("customer_id").cast("string"), F.lit(run_date))), 1, 8), 16, 10)
-    suffix = digest.cast("long") % 9000 + 1000
-    return F.concat_ws("-", F.lit("CA"), F.lit(run_date.replace("-", "")), "customer_id", suffix.cast("string"))
+def assessment_id(run_date: str, run_id: str) -> Column:
+    """Date, customer and twelve digits that follow from both and the run: a run that is repeated gives the same ids, another
+    run of the same day gives others."""
+    digest = F.md5(F.concat_ws("|", F.col("customer_id").cast("string"), F.lit(run_date), F.lit(run_id)))
+    return F.concat_ws("-", F.lit("CA"), F.lit(run_date.replace("-", "")), "customer_id", F.left(digest, F.lit(12)))
 
 
 def assessments(
@@ -82,8 +82,10 @@ def assessments(
     provider: Provider | None = None,
     wanted: DataFrame | None = None,
     model: str = TEMPLATE_MODEL,
+    run_id: str = "run-1",
+    generated_at: Column | None = None,
 ) -> DataFrame:
-    """One assessment per customer (or per wanted customer), with its prompt and its audit columns."""
+    """One assessment per customer (or per wanted customer), with its prompt and the columns of the audit table."""
     scored = scored_customers(book)
     if wanted is not None:
         scored = scored.join(wanted.select("customer_id"), "customer_id", "left_semi")
@@ -104,22 +106,24 @@ def assessments(
     regulations = f"left(coalesce(_regulations, ''), {fixed.POLICY_CONTEXT_LENGTH})"
     rows = rows.withColumn("prompt", fill(PROMPT, **shared, regulations=regulations))
     audit = rows.select(
-        assessment_id(run_date).alias("assessment_id"),
+        assessment_id(run_date, run_id).alias("assessment_id"),
         "customer_id",
         F.to_date(F.lit(run_date)).alias("assessment_date"),
         F.col("composite_score").cast("double").alias("risk_score"),
         "risk_grade",
         "sma_category",
-        F.col("lending_recommendation").alias("recommendation"),
+        F.col("lending_recommendation").alias("ai_recommendation"),
         "prompt",
         fill(NARRATIVE, **shared, recommendation="lending_recommendation").alias("_template"),
         F.left("_regulations", F.lit(fixed.CITATION_LENGTH)).alias("regulatory_citations"),
         band("composite_score", fixed.CONFIDENCE).cast("double").alias("confidence_score"),
         F.lit(model).alias("model_used"),
+        F.current_user().alias("generated_by"),
+        (F.current_timestamp() if generated_at is None else generated_at).cast("timestamp_ntz").alias("generated_at"),
     )
     if provider is None:
-        return audit.withColumnRenamed("_template", "narrative")
-    return complete(audit.drop("_template"), "prompt", provider, "narrative")
+        return audit.withColumnRenamed("_template", "ai_narrative")
+    return complete(audit.drop("_template"), "prompt", provider, "ai_narrative")
 
 
 def result_text() -> Column:
@@ -127,7 +131,7 @@ def result_text() -> Column:
         F.lit("Assessment generated: "),
         "assessment_id",
         F.lit(" | Recommendation: "),
-        F.coalesce("recommendation", F.lit("PENDING")),
+        F.coalesce("ai_recommendation", F.lit("PENDING")),
         F.lit(" | Score: "),
         F.col("risk_score").cast("string"),
     )
@@ -135,4 +139,4 @@ def result_text() -> Column:
 
 def latest_assessment(stored: DataFrame) -> DataFrame:
     """The newest assessment of every customer."""
-    return latest(stored, ["customer_id"], [newest("assessment_date"), newest("assessment_id")])
+    return latest(stored, ["customer_id"], [newest("generated_at"), newest("assessment_id")])

@@ -11,16 +11,15 @@ from pyspark.sql import types as T
 
 from lendscope import fixed
 from lendscope.functions.text import fill, or_missing
+from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import append, new_files, read_or_empty, surviving
 from lendscope.operators.numbering import number_rows, padded_id
 from lendscope.operators.sections import split_sections
 from lendscope.providers import Provider, extract_fields
 from lendscope.session import materialize
 from lendscope.sources.documents import FieldRules, document_fields
-from lendscope.sources.schemas import SCHEMAS
-from lendscope.sources.tables import shaped
-
-ERRORS_PER_ROW = 100
+from lendscope.sources.schemas import DEFAULTS, SCHEMAS
+from lendscope.sources.tables import shaped, with_defaults
 
 
 def with_fields(
@@ -79,22 +78,20 @@ def replace_policies(spark: SparkSession, existing: DataFrame, sections: DataFra
     return kept.unionByName(assign_policy_ids(spark, batch, kept, order, written=True), allowMissingColumns=True)
 
 
-def error_rows(spark: SparkSession, docs: DataFrame, per_row: int = ERRORS_PER_ROW) -> DataFrame:
-    """``file: error`` of all failed documents in file order, joined by ' | ', ``per_row`` of them in each row.
+def error_rows(docs: DataFrame) -> DataFrame:
+    """One row per failed document: its name and the line ``file: error``."""
+    line = fill(fixed.ERROR_FORMAT, file="file_name", error=or_missing("error_message", ""))
+    return docs.filter(F.col("processing_status") == "FAILED").select("file_name", line.alias("line"))
+
+
+def error_text(docs: DataFrame) -> DataFrame:
+    """One row: the lines of all failed documents in the order of their names, joined by ' | '; NULL without any.
 
-    Up to ``per_row`` failures give the one text of a run's summary; more failures
-    go on in further rows (part 0, 1, 2, ...), so that none is dropped and no row grows without bound.
+    It is one value of one row of the run log, so it holds the failures of one run.
     """
-    failed = docs.filter(F.col("processing_status") == "FAILED").select("file_name", "error_message")
-    numbered = number_rows(spark, failed, ["file_name"], "_number")
-    line = fill(fixed.ERROR_FORMAT, file="file_name", error=or_missing("error_message", ""))
-    lines = F.array_sort(F.collect_list(F.struct("_number", line.alias("line"))))
-    text = F.array_join(F.transform(F.col("_lines"), lambda item: item["line"]), fixed.ERROR_SEPARATOR)
-    return (
-        numbered.groupBy(F.call_function("div", F.col("_number") - 1, F.lit(per_row)).alias("part"))
-        .agg(lines.alias("_lines"))
-        .select("part", text.alias("error_summary"))
-    )
+    lines = F.array_sort(F.collect_list(F.struct("file_name", "line")))
+    text = F.array_join(F.transform(lines, lambda item: item["line"]), fixed.ERROR_SEPARATOR)
+    return error_rows(docs).agg(F.nullif(text, F.lit("")).alias("error_summary"))
 
 
 def run_summary(detected: Column | int, docs: DataFrame, run_id: str, policies: Column | int) -> DataFrame:
@@ -116,7 +113,7 @@ def run_summary(detected: Column | int, docs: DataFrame, run_id: str, policies:
         "files_failed",
         as_column(policies).alias("policies_loaded"),
         F.when(F.col("files_failed") > 0, "PARTIAL").otherwise("SUCCESS").alias("status"),
-    )
+    ).withColumn("error_summary", error_text(docs).scalar())
     result = fill(
         fixed.RUN_RESULT_FORMAT,
         run="run_id",
@@ -140,9 +137,11 @@ LOG_SCHEMA = T.StructType(
 class Library:
     """The stored state of the ingestion. All tables only grow, so a run writes no more than its own batch.
 
-    ``documents`` holds every read attempt, ``policies`` the sections of every batch
-    and ``titles`` the titles each batch replaced. What counts now follows from the
-    batch numbers: a policy counts while its batch is the last one of its title.
+    ``documents`` holds every read attempt, ``policies`` the sections of every batch and ``titles``
+    the titles each batch replaced. Each table has a folder per batch, and a batch counts from when it is published,
+    which is the last thing a run does: a run that dies before leaves nothing that is
+    read, and the next one takes the same number and overwrites what is there. A policy
+    counts while its batch is the last one of its title.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -152,10 +151,28 @@ class Library:
         self.titles = f"{base}/policy_titles"
         self.quarantine = f"{base}/unusable_sections"
         self.errors = f"{base}/errors"
+        self.published = f"{base}/published_batches"
         self.log = f"{base}/pdf_processing_log"
 
+    def write(self, df: DataFrame, path: str, batch: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+
+    def publish(self, batch: int, run_id: str) -> None:
+        append(self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"), F.lit(run_id).alias("run_id")), self.published)
+
+    def batches(self) -> list[int]:
+        """The published batches: one number per run that was completed."""
+        return sorted(row["batch"] for row in read_or_empty(self.spark, self.published, PUBLISHED_SCHEMA).collect())
+
+    def read(self, path: str, schema: T.StructType) -> DataFrame:
+        """The rows of published batches, from their folders alone: what a dead run left is not even listed."""
+        folders = [f"{path}/batch={batch}" for batch in self.batches()]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", path).parquet(*folders).select(*schema.names)
+
     def read_documents(self) -> DataFrame:
-        return read_or_empty(self.spark, self.documents, DOCUMENT_SCHEMA)
+        return self.read(self.documents, DOCUMENT_SCHEMA)
 
     def known_files(self) -> DataFrame:
         """Hash of the newest successful read of every file."""
@@ -165,25 +182,29 @@ class Library:
         )
 
     def live_policies(self) -> DataFrame:
-        titles = read_or_empty(self.spark, self.titles, TITLE_SCHEMA)
-        last = titles.groupBy("title").agg(F.max("batch").alias("batch"))
-        return read_or_empty(self.spark, self.policies, POLICY_SCHEMA).join(last, ["title", "batch"], "left_semi")
+        last = self.read(self.titles, TITLE_SCHEMA).groupBy("title").agg(F.max("batch").alias("batch"))
+        return self.read(self.policies, POLICY_SCHEMA).join(last, ["title", "batch"], "left_semi")
 
     def next_batch(self) -> int:
-        """Higher than every batch that wrote anything, also one that died half-way."""
-        batches = self.read_documents().select("batch").unionByName(
-            read_or_empty(self.spark, self.titles, TITLE_SCHEMA).select("batch")
-        )
-        return (batches.agg(F.max("batch")).first()[0] or 0) + 1
+        """One above the last published batch."""
+        return max(self.batches(), default=0) + 1
+
+    def note(self, row: DataFrame) -> None:
+        """Append a row to the run log; columns that are not given get their declared defaults."""
+        missing = {name: F.lit(value) for name, value in DEFAULTS["pdf_processing_log"].items() if name not in row.columns}
+        append(shaped(row.withColumns(missing), LOG_SCHEMA), self.log)
 
     def read_log(self) -> DataFrame:
-        return read_or_empty(self.spark, self.log, LOG_SCHEMA)
+        """The last word on every run: RUNNING until it has ended."""
+        rows = read_or_empty(self.spark, self.log, LOG_SCHEMA)
+        return latest(rows, ["run_id"], [F.desc_nulls_last("run_completed_at"), F.desc("status")])
 
 
 _BATCH = T.StructField("batch", T.LongType())
 DOCUMENT_SCHEMA = T.StructType([*SCHEMAS["regulatory_docs_raw"].fields, _BATCH])
 POLICY_SCHEMA = T.StructType([*SCHEMAS["regulatory_policies"].fields, _BATCH])
 TITLE_SCHEMA = T.StructType([T.StructField("title", T.StringType()), _BATCH])
+PUBLISHED_SCHEMA = T.StructType([_BATCH, T.StructField("run_id", T.StringType())])
 
 
 def ingest(
@@ -198,22 +219,24 @@ def ingest(
     """One ingestion run over a listing (file_name, file_size, file_hash).
 
     ``parse`` gets the listed rows of the new files, reads their contents and adds
-    parsed_text, processing_status and error_message. Only new or changed files are parsed, and only their batch is written. A failed
-    file keeps its earlier text and policies and comes again in the next run. The
-    documents are recorded last: a run that dies before is repeated by the next one,
-    whose batch then replaces the half-written titles. A run that fails is logged as
-    FAILED with its message. Returns the one-line result.
+    parsed_text, processing_status and error_message (and page_count, where it is known). Only new or changed files
+    are parsed, and only their batch is written. A failed file keeps its earlier text and policies and comes again in
+    the next run. The log has a RUNNING row from the start on, and at the end one with the counts and
+    the failures, or FAILED with the message. Returns the one-line result.
     """
     run_id = run_id or str(uuid.uuid4())
     library = Library(spark, base)
     now = F.current_timestamp().cast("timestamp_ntz")
+    # The start is one value, however often it is read.
+    started = F.lit(spark.range(1).select(now).first()[0])
+    library.note(spark.range(1).select(F.lit(run_id).alias("run_id"), started.alias("run_started_at")))
     try:
-        batch = F.lit(library.next_batch()).cast("long")
+        batch = library.next_batch()
         # The list of new files is written, so that its true size decides how it meets the contents.
         todo = materialize(spark, new_files(listing, library.known_files()), "new-files")
-        fresh = parse(todo).withColumn("processed_at", now)
+        fresh = parse(todo).withColumns({"processed_at": now, "loaded_at": now})
         # Parsing and extraction may call a provider: run each once and keep the result.
-        parsed = materialize(spark, fresh, "parsed")
+        parsed = materialize(spark, with_defaults(fresh, DEFAULTS["regulatory_docs_raw"]), "parsed")
         good = parsed.filter(F.col("processing_status") == "SUCCESS")
         described = materialize(spark, with_fields(good, rules, provider), "described")
         sections = policy_sections(described)
@@ -223,16 +246,18 @@ def ingest(
         count_before = before.count()
         kept = surviving(before, described, "title")
         added = assign_policy_ids(spark, usable, kept, ["file_name", "piece_index"])
-        append(shaped(added.withColumns({"batch": batch, "created_at": now}), POLICY_SCHEMA), library.policies)
+        aside = sections.filter(unusable()).select("file_name", "piece_index", "title", "section", F.lit(run_id).alias("run_id"))
         titles = described.filter(F.col("title").isNotNull()).select("title").distinct()
-        append(titles.withColumn("batch", batch), library.titles)
-        append(sections.filter(unusable()).select("file_name", "piece_index", "title", "section"), library.quarantine)
-        append(error_rows(spark, parsed).withColumn("run_id", F.lit(run_id)), library.errors)
-        append(shaped(parsed.withColumn("batch", batch), DOCUMENT_SCHEMA), library.documents)
+        library.write(shaped(added.withColumn("created_at", now), POLICY_SCHEMA).drop("batch"), library.policies, batch)
+        library.write(titles, library.titles, batch)
+        library.write(aside, library.quarantine, batch)
+        library.write(error_rows(parsed).withColumn("run_id", F.lit(run_id)), library.errors, batch)
+        library.write(shaped(parsed, DOCUMENT_SCHEMA).drop("batch"), library.documents, batch)
+        library.publish(batch, run_id)
 
         loaded = library.live_policies().count() - count_before
-        summary = run_summary(listing.count(), parsed, run_id, loaded).withColumn("run_completed_at", now)
-        append(shaped(summary, LOG_SCHEMA), library.log)
+        summary = run_summary(listing.count(), parsed, run_id, loaded)
+        library.note(summary.withColumns({"run_started_at": started, "run_completed_at": now}))
         return library.read_log().filter(F.col("run_id") == run_id).first()["result"]
     except Exception as error:
         text = f"Run {run_id} FAILED: {error}"
@@ -241,9 +266,10 @@ def ingest(
             F.lit("FAILED").alias("status"),
             F.lit(str(error)).alias("error_summary"),
             F.lit(text).alias("result"),
+            started.alias("run_started_at"),
             now.alias("run_completed_at"),
         )
-        append(shaped(failed, LOG_SCHEMA), library.log)
+        library.note(failed)
         return text
 
 

@@ -1,4 +1,4 @@
-"""Portfolio reports over the score table and the loan book."""
+"""Portfolio reports over the stored score table (``book["risk_scores"]``) and the loan book."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from lendscope import fixed
 from lendscope.functions.banding import band
 from lendscope.functions.numbers import mean_score
-from lendscope.plans.scoring import risk_scores
 from lendscope.sources.tables import Book
 
 
@@ -28,7 +27,7 @@ def exposure_kpis(book: Book) -> DataFrame:
 
 
 def portfolio_kpis(book: Book) -> DataFrame:
-    scores = risk_scores(book).agg(
+    scores = book["risk_scores"].agg(
         F.count(F.lit(1)).alias("borrowers"),
         F.bround(mean_score("composite_score"), 0).cast("long").alias("avg_score"),
         F.count_if(high_risk()).alias("high_risk"),
@@ -52,12 +51,12 @@ def portfolio_kpis(book: Book) -> DataFrame:
 
 
 def grade_counts(book: Book) -> DataFrame:
-    return risk_scores(book).groupBy("risk_grade").agg(F.count(F.lit(1)).alias("count")).orderBy("risk_grade")
+    return book["risk_scores"].groupBy("risk_grade").agg(F.count(F.lit(1)).alias("count")).orderBy("risk_grade")
 
 
 def grade_distribution(book: Book) -> DataFrame:
     return (
-        risk_scores(book)
+        book["risk_scores"]
         .groupBy("risk_grade")
         .agg(
             F.count_distinct("customer_id").alias("borrower_count"),
@@ -80,7 +79,7 @@ def sma_breakdown(book: Book) -> DataFrame:
 def sector_summary(book: Book) -> DataFrame:
     """Customers without a sector are left out; halves round to even."""
     return (
-        risk_scores(book)
+        book["risk_scores"]
         .filter(F.col("sector").isNotNull())
         .groupBy("sector")
         .agg(
@@ -97,12 +96,12 @@ SCORECARD = ("customer_id", "company_name", "sector", "composite_score", "risk_g
 
 
 def scorecard(book: Book) -> DataFrame:
-    return risk_scores(book).select(*SCORECARD).orderBy(F.desc_nulls_last("composite_score"), "customer_id")
+    return book["risk_scores"].select(*SCORECARD).orderBy(F.desc_nulls_last("composite_score"), "customer_id")
 
 
 def high_risk_borrowers(book: Book) -> DataFrame:
     return (
-        risk_scores(book)
+        book["risk_scores"]
         .filter(high_risk())
         .select("customer_id", "company_name", "composite_score", "risk_grade", "key_risk_drivers")
         .orderBy("composite_score", "customer_id")
@@ -111,14 +110,14 @@ def high_risk_borrowers(book: Book) -> DataFrame:
 
 def worst_rows(book: Book, rows: int = fixed.WORST_ROWS) -> DataFrame:
     """The rows with the lowest scores: a top-k report."""
-    return risk_scores(book).select(*SCORECARD).orderBy("composite_score", "customer_id").limit(rows)
+    return book["risk_scores"].select(*SCORECARD).orderBy("composite_score", "customer_id").limit(rows)
 
 
 def score_components(book: Book) -> DataFrame:
     """One row per customer and component, with the component's maximum."""
     names = [name for name, _, _ in fixed.COMPONENTS]
     long = (
-        risk_scores(book)
+        book["risk_scores"]
         .select("customer_id", *[F.col(name).cast("decimal(6,1)").alias(name) for name in names])
         .unpivot("customer_id", names, "component", "score")
     )

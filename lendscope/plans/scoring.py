@@ -9,6 +9,7 @@ from lendscope import fixed
 from lendscope.functions.banding import band, label_score
 from lendscope.functions.numbers import SCORE, share
 from lendscope.functions.text import fill_sql, or_missing
+from lendscope.operators.maintenance import Versions
 from lendscope.operators.latest import latest, newest
 from lendscope.session import materialize
 from lendscope.sources.tables import Book
@@ -224,12 +225,11 @@ def drivers() -> Column:
     return F.array_join(F.array_compact(F.expr(f"array({applying})")), fixed.DRIVER_SEPARATOR)
 
 
-def scored_customers(book: Book) -> DataFrame:
-    """One wide row per customer: the inputs, the component scores, composite, grade and drivers.
+def customer_components(book: Book) -> DataFrame:
+    """One wide row per customer: the inputs and the component scores that no macro indicator changes.
 
     Every input is brought to one row per customer before its join, so no join
     multiplies rows, and the joins reuse the partitioning of the aggregates.
-    Scores, signals, classification and assessments all select from this frame.
     """
     financials = financial_scores(book).drop("financial_id")
     repayments = repayment_scores(book)
@@ -239,8 +239,12 @@ def scored_customers(book: Book) -> DataFrame:
     wide = with_industry(book)
     for part in (financials, repayments, cashflow, collateral, ratings):
         wide = wide.join(part, "customer_id", "left")
-    wide = with_macro(book, wide)
+    return wide
 
+
+def composed(book: Book, wide: DataFrame) -> DataFrame:
+    """Customers with their components, the macro scores of the book, composite, grade and drivers."""
+    wide = with_macro(book, wide)
     components = {name: F.coalesce(F.col(name), F.lit(0)) for name, _, _ in fixed.COMPONENTS[:-1]}
     components["macro_environment_score"] = F.coalesce(F.col("macro.macro_environment_score"), F.lit(0))
     components["key_risk_drivers"] = drivers()
@@ -252,6 +256,11 @@ def scored_customers(book: Book) -> DataFrame:
     )
 
 
+def scored_customers(book: Book) -> DataFrame:
+    """The frame that scores, signals, classification and assessments all select from."""
+    return composed(book, customer_components(book))
+
+
 def select_scores(scored: DataFrame) -> DataFrame:
     return scored.select(
         "customer_id",
@@ -279,6 +288,21 @@ def stamped(scores: DataFrame) -> DataFrame:
     return scores.withColumn("scored_at", F.current_timestamp().cast("timestamp_ntz"))
 
 
+def stored_components(book: Book) -> DataFrame:
+    """The customers' components, written once for refreshes that only bring new indicators."""
+    return materialize(book.spark, customer_components(book), "components")
+
+
+def refreshed_scores(book: Book, components: DataFrame, indicators: DataFrame) -> DataFrame:
+    """The score table from stored components and the current indicators: no fact table is read."""
+    return select_scores(composed(book.replaced(macro_economic_indicators=indicators), components))
+
+
+def publish_scores(book: Book, base: str) -> int:
+    """Compute the score table once and publish it below ``base``; all reports read it from there."""
+    return Versions(book.spark, f"{base}/risk_scores").write(stamped(risk_scores(book)))
+
+
 def with_stored_scores(book: Book) -> Book:
-    """The book with the score table computed once and written, for queries that read it several times."""
-    return book.replaced(risk_scores=materialize(book.spark, risk_scores(book), "risk-scores"))
+    """The book with the score table computed once, stamped and written: reports read it from there."""
+    return book.replaced(risk_scores=materialize(book.spark, stamped(risk_scores(book)), "risk-scores"))

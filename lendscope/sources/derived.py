@@ -181,7 +181,6 @@ def credit_ratings(book: Book) -> DataFrame:
     kinds = len(RATING_LABELS)
     return (
         book["orders"]
-        .filter(F.col("o_orderpriority") == "1-URGENT")
         .selectExpr(
             "o_orderkey AS rating_id",
             "o_custkey AS customer_id",

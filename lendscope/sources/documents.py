@@ -110,24 +110,25 @@ def parse_by_ranges(
     )
 
 
-UNREADABLE = "less than {percent} percent of the text is letters"
+UNREADABLE = "no readable text"
+#: What a decoder puts in place of bytes it cannot read.
+_UNDECODED = "\ufffd"
 
 
-def parse_text(df: DataFrame, text: str, markup: bool = True, letters_percent: int = 60) -> DataFrame:
+def parse_text(df: DataFrame, text: str, markup: bool = True) -> DataFrame:
     """Built-in parser, in column expressions: plain text, or the readable text of markup.
 
-    A document with too few letters is FAILED. Adds the same columns as :func:`parse_with`.
+    A document without any text, or with bytes that could not be decoded, is FAILED; numbers
+    and tables are text like any other. Adds the same columns as :func:`parse_with`.
     """
     body = markup_text(F.col(text)) if markup else F.col(text)
-    letters = F.length(F.regexp_replace("_body", r"[^\p{L}]", ""))
-    readable = letters * 100 >= F.length("_body") * letters_percent
-    failure = UNREADABLE.replace("{percent}", str(letters_percent))
+    readable = (F.length(F.trim("_body")) > 0) & ~F.contains("_body", F.lit(_UNDECODED))
     return (
         df.withColumn("_body", body)
-        .withColumn("_readable", F.coalesce(readable & (F.length("_body") > 0), F.lit(False)))
+        .withColumn("_readable", F.coalesce(readable, F.lit(False)))
         .withColumn("parsed_text", F.when(F.col("_readable"), F.col("_body")))
         .withColumn("processing_status", F.when(F.col("_readable"), "SUCCESS").otherwise("FAILED"))
-        .withColumn("error_message", F.when(~F.col("_readable"), F.lit(failure)))
+        .withColumn("error_message", F.when(~F.col("_readable"), F.lit(UNREADABLE)))
         .drop("_body", "_readable")
     )
 

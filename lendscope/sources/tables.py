@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lendscope.operators.maintenance import append
+from lendscope.operators.maintenance import Versions, append
 from lendscope.sources.schemas import DEFAULTS, SCHEMAS, TIME_DEFAULTS
 
 
@@ -47,13 +47,15 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
 def stored_book(spark: SparkSession, base: str) -> Book:
     """A book over ``base/<table>`` Parquet folders with the declared schemas.
 
-    Stored NULLs stay NULL: defaults belong to the writing of a row.
+    Stored NULLs stay NULL: defaults belong to the writing of a row. ``risk_scores``
+    is the version that `plans.scoring.publish_scores` published last.
     """
 
     def loader(name: str) -> Callable[[Book], DataFrame]:
         return lambda _: spark.read.schema(SCHEMAS[name]).parquet(f"{base}/{name}")
 
-    return Book(spark, {name: loader(name) for name in SCHEMAS})
+    scores = {"risk_scores": lambda _: Versions(spark, f"{base}/risk_scores").read()}
+    return Book(spark, {name: loader(name) for name in SCHEMAS} | scores)
 
 
 def shaped(df: DataFrame, schema: T.StructType) -> DataFrame:

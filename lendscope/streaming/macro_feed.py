@@ -34,14 +34,26 @@ INDICATOR_COLUMNS = [column for _, column, _ in FEED_FIELDS]
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 
 
-def _to_raw(lines: DataFrame) -> DataFrame:
+_FILE = "_metadata.file_name AS source_file", "_metadata.file_path AS source_path"
+
+
+def _document() -> Column:
+    """The one JSON value that ``value`` is; NULL where it is not one.
+
+    The parser alone would read the first value and pass over whatever follows.
+    """
+    held = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(held) == 1, F.get(held, F.lit(0)))
+
+
+def _to_raw(texts: DataFrame) -> DataFrame:
     """raw_data (variant), source_file and text of every record; raw_data is NULL where the text is not JSON.
 
     An outer array becomes one row per element.
     """
     records = (
-        lines.filter(F.length(F.trim("value")) > 0)
-        .withColumn("_document", F.try_parse_json("value"))
+        texts.filter(F.length(F.trim("value")) > 0)
+        .withColumn("_document", _document())
         .withColumn("_list", F.try_variant_get("_document", "$", "array<variant>"))
     )
     return records.select(
@@ -51,24 +63,38 @@ def _to_raw(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_feed(spark: SparkSession, folder: str, document_per_file: bool = False) -> DataFrame:
-    """All feed records of a folder as a batch."""
-    lines = spark.read.option("wholetext", document_per_file).text(folder)
-    return _to_raw(lines.select("value", F.col("_metadata.file_name").alias("source_file")))
+def records(lines: DataFrame) -> DataFrame:
+    """The records of feed files given as lines, whether a file has one value per line or one value over many lines.
 
+    Only a file with a line that is no JSON is read again as a whole; if that is one JSON
+    value, it counts instead of its lines. Such files are few and named by the driver;
+    large files of one value per line are never held in one piece.
+    """
+    broken = lines.filter((F.length(F.trim("value")) > 0) & _document().isNull())
+    paths = [row["source_path"] for row in broken.select("source_path").distinct().collect()]
+    if not paths:
+        return _to_raw(lines)
+    whole = lines.sparkSession.read.text(paths, wholetext=True).selectExpr("value", *_FILE).filter(_document().isNotNull())
+    rest = lines.join(whole.select("source_path"), "source_path", "left_anti")
+    return _to_raw(whole).unionByName(_to_raw(rest))
 
-def stream_feed(
-    spark: SparkSession, folder: str, document_per_file: bool = False, files_per_batch: int | None = None
-) -> DataFrame:
-    """Feed records as a stream: every file is read once, as the checkpoint of the query remembers.
 
-    A file holds one JSON value per line, or one JSON document when ``document_per_file`` is set.
-    """
-    reader = spark.readStream.schema(_TEXT).option("wholetext", document_per_file)
+def read_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """All feed records of a folder as a batch."""
+    return records(spark.read.text(folder).selectExpr("value", *_FILE))
+
+
+def stream_lines(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Lines of the feed files as a stream: every file is read once, as the checkpoint of the query remembers."""
+    reader = spark.readStream.schema(_TEXT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    lines = reader.format("text").load(folder)
-    return _to_raw(lines.select("value", F.col("_metadata.file_name").alias("source_file")))
+    return reader.format("text").load(folder).selectExpr("value", *_FILE)
+
+
+def stream_feed(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Feed records as a stream, for files of one JSON value per line."""
+    return _to_raw(stream_lines(spark, folder, files_per_batch))
 
 
 def parse_indicators(raw: DataFrame) -> DataFrame:
@@ -98,9 +124,11 @@ def quarantined(raw: DataFrame) -> DataFrame:
 
 
 def one_per_id(df: DataFrame) -> DataFrame:
-    """One row per indicator_id: the newest report, then the highest value."""
+    """One row per indicator_id: the last batch, in it the newest report, then the highest value."""
     return latest(
-        df, ["indicator_id"], [F.desc_nulls_last("report_date"), F.desc_nulls_last("value"), F.asc("indicator_name")]
+        df,
+        ["indicator_id"],
+        [F.desc("batch"), F.desc_nulls_last("report_date"), F.desc_nulls_last("value"), F.asc("indicator_name")],
     )
 
 
@@ -115,12 +143,16 @@ class FeedTables:
         self.checkpoint = f"{base}/checkpoint"
         self.scores = Versions(spark, f"{base}/risk_scores")
 
+    def _landed(self) -> DataFrame:
+        raw = SCHEMAS["macro_economic_raw"]
+        return read_or_empty(self.spark, self.raw_path, T.StructType([*raw.fields, T.StructField("text", T.StringType())]))
+
     def raw(self) -> DataFrame:
         """The landing table: every record that is JSON, with its file."""
-        return read_or_empty(self.spark, self.raw_path, SCHEMAS["macro_economic_raw"])
+        return self._landed().filter(F.col("raw_data").isNotNull()).drop("text")
 
     def indicators(self) -> DataFrame:
-        """All accepted indicators, without the batch column."""
+        """All accepted indicators, repeated and revised ones too, with the batch they came in."""
         schema = T.StructType(
             [field for field in SCHEMAS["macro_economic_indicators"].fields if field.name in INDICATOR_COLUMNS]
         )
@@ -129,23 +161,21 @@ class FeedTables:
         )
         return stored.select(*INDICATOR_COLUMNS, "batch")
 
-    def add(self, batch: DataFrame, batch_id: int) -> None:
-        """Write one micro-batch into its own folder: a repeated batch overwrites itself.
+    def current(self) -> DataFrame:
+        """One row per indicator_id: what came last, so that a revision counts."""
+        return one_per_id(self.indicators()).drop("batch")
+
+    def add(self, lines: DataFrame, batch_id: int) -> None:
+        """Write one micro-batch into its own folders: a repeated batch overwrites itself.
 
-        Indicators that an earlier batch already holds are left out.
+        The records are landed once; what is accepted and what is set aside is read from there.
         """
-        batch.persist()
-        try:
-            landed = batch.filter(F.col("raw_data").isNotNull()).select(
-                "raw_data", "source_file", F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")
-            )
-            landed.write.mode("overwrite").parquet(f"{self.raw_path}/batch={batch_id}")
-            quarantined(batch).write.mode("overwrite").parquet(f"{self.quarantine_path}/batch={batch_id}")
-            earlier = self.indicators().filter(F.col("batch") < batch_id).select("indicator_id")
-            fresh = one_per_id(good_indicators(batch)).join(earlier, "indicator_id", "left_anti")
-            fresh.write.mode("overwrite").parquet(f"{self.indicators_path}/batch={batch_id}")
-        finally:
-            batch.unpersist()
+        landing = f"{self.raw_path}/batch={batch_id}"
+        now = F.current_timestamp().cast("timestamp_ntz").alias("loaded_at")
+        records(lines).select("raw_data", "source_file", now, "text").write.mode("overwrite").parquet(landing)
+        batch = self.spark.read.schema(self._landed().schema).parquet(landing)
+        quarantined(batch).write.mode("overwrite").parquet(f"{self.quarantine_path}/batch={batch_id}")
+        good_indicators(batch).write.mode("overwrite").parquet(f"{self.indicators_path}/batch={batch_id}")
 
 
 def run_feed(
@@ -153,30 +183,29 @@ def run_feed(
     folder: str,
     base: str,
     refresh: Callable[[DataFrame], DataFrame] | None = None,
-    document_per_file: bool = False,
     files_per_batch: int | None = None,
 ) -> FeedTables:
     """Read what is new in the feed folder, then stop.
 
-    Each micro-batch is appended and, with ``refresh`` (a function from all
-    indicators to the score table), the scores are written as a new version that is
-    published last. Without new files nothing runs at all.
+    Each micro-batch is appended. With ``refresh`` (a function from the current
+    indicators to the score table) the scores are then written once, after the last
+    batch, as a new version that is published last; a run that died before is made
+    up for, because the version counts the batches it holds. Without new files nothing runs at all.
     """
     tables = FeedTables(spark, base)
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        tables.add(batch, batch_id)
-        if refresh is not None:
-            tables.scores.write(refresh(tables.indicators().drop("batch")), version=batch_id)
-
     query: StreamingQuery = (
-        stream_feed(spark, folder, document_per_file, files_per_batch)
-        .writeStream.foreachBatch(on_batch)
+        stream_lines(spark, folder, files_per_batch)
+        .writeStream.foreachBatch(tables.add)
         .option("checkpointLocation", tables.checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    if refresh is not None:
+        newest = tables.indicators().agg(F.max("batch")).first()[0]
+        published = tables.scores.published()
+        if newest is not None and (published is None or published < newest):
+            tables.scores.write(refresh(tables.current()), version=newest)
     return tables
 
 

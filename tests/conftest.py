@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from lendscope.plans.scoring import risk_scores  # noqa: E402
 from lendscope.session import local_session  # noqa: E402
 from lendscope.sources.schemas import SCHEMAS  # noqa: E402
 from lendscope.sources.tables import Book  # noqa: E402
@@ -37,10 +38,8 @@ def make_book(spark):
     """A book from ``name=[row, ...]``; tables that are not given are empty."""
 
     def make(**tables):
-        return Book(
-            spark,
-            {name: (lambda _, name=name: make_table(spark, name, tables.get(name, []))) for name in SCHEMAS},
-        )
+        loaders = {name: (lambda _, name=name: make_table(spark, name, tables.get(name, []))) for name in SCHEMAS}
+        return Book(spark, loaders | {"risk_scores": risk_scores})
 
     return make
 

@@ -3,8 +3,10 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from lendscope.operators.latest import latest, newest
+from lendscope.operators.maintenance import Versions
 from lendscope.streaming import macro_feed
 
 
@@ -58,19 +60,25 @@ def test_bad_records_go_aside_and_the_rest_counts(spark, feed, tmp_path):
     assert reasons == ["missing or mistyped column"] * 3 + ["not JSON"]
 
 
-def test_whole_file_documents(spark, feed, tmp_path):
+def test_line_files_and_whole_documents_in_one_folder(spark, feed, tmp_path):
     (feed / "a.json").write_text(json.dumps([record(1), record(2)], indent=2))
     (feed / "b.json").write_text(json.dumps(record(3), indent=2))
-    tables = run(spark, feed, tmp_path, document_per_file=True)
-    assert sorted(row["indicator_id"] for row in tables.indicators().collect()) == ["i1", "i2", "i3"]
+    (feed / "c.json").write_text(json.dumps(record(4)) + "\n" + json.dumps(record(5)) + " trailing\n" + json.dumps(record(6)))
+    (feed / "d.json").write_text("[\n" + json.dumps(record(7)) + ",\n" + json.dumps(record(8)) + "\n]\n")
+    tables = run(spark, feed, tmp_path)
+    assert sorted(row["indicator_id"] for row in tables.indicators().collect()) == ["i1", "i2", "i3", "i4", "i6", "i7", "i8"]
+    aside = spark.read.parquet(tables.quarantine_path).collect()
+    assert [(row["source_file"], row["reason"]) for row in aside] == [("c.json", "not JSON")]
 
 
-def test_an_indicator_counts_once(spark, feed, tmp_path):
+def test_a_revision_counts_and_nothing_is_dropped(spark, feed, tmp_path):
     (feed / "a.json").write_text(json.dumps([record(1, value=1.0), record(1, value=2.0)]))
-    run(spark, feed, tmp_path)
-    (feed / "b.json").write_text(json.dumps(record(1, value=9.0)))
     tables = run(spark, feed, tmp_path)
-    assert [row["value"] for row in tables.indicators().collect()] == [2.0]
+    assert [row["value"] for row in tables.current().collect()] == [2.0]
+    (feed / "b.json").write_text(json.dumps(record(1, value=0.5)))
+    tables = run(spark, feed, tmp_path)
+    assert sorted(row["value"] for row in tables.indicators().collect()) == [0.5, 1.0, 2.0]
+    assert [row["value"] for row in tables.current().collect()] == [0.5]
 
 
 def test_late_report_does_not_displace(spark, feed, tmp_path):
@@ -107,7 +115,7 @@ def test_late_report_in_streaming_state(spark, feed, tmp_path):
     assert [row["value"] for row in spark.read.parquet(f"{target}/2").collect()] == [7.0]
 
 
-def test_refresh_publishes_scores_after_each_batch(spark, feed, tmp_path):
+def test_refresh_publishes_scores_after_the_last_batch(spark, feed, tmp_path):
     refresh = lambda indicators: indicators.groupBy("indicator_name").count()
     for number in range(3):
         (feed / f"{number}.json").write_text(json.dumps(record(number)))
@@ -119,10 +127,24 @@ def test_refresh_publishes_scores_after_each_batch(spark, feed, tmp_path):
 def test_a_repeated_batch_changes_nothing(spark, feed, tmp_path):
     (feed / "a.json").write_text(json.dumps([record(1), record(2)]))
     tables = run(spark, feed, tmp_path)
-    again = macro_feed.read_feed(spark, f"file://{feed}")
-    tables.add(again, 0)
+    lines = spark.read.text(f"file://{feed}").selectExpr(
+        "value", "_metadata.file_name AS source_file", "_metadata.file_path AS source_path"
+    )
+    tables.add(lines, 0)
     assert tables.indicators().count() == 2
 
 
+def test_a_repeated_version_that_dies_leaves_the_published_one(spark, tmp_path):
+    versions = Versions(spark, f"file://{tmp_path}/scores")
+    versions.write(spark.range(3), version=0)
+    opened = versions.read()
+    broken = spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("dies"))).alias("id"))
+    with pytest.raises(Exception, match="dies"):
+        versions.write(broken, version=0)
+    assert versions.published() == 0 and versions.read().count() == 3 and opened.count() == 3
+    versions.write(spark.range(4), version=0)
+    assert versions.read().count() == 4 and opened.count() == 3
+
+
 def test_empty_feed(spark, feed, tmp_path):
     assert run(spark, feed, tmp_path).indicators().count() == 0

@@ -74,7 +74,12 @@ def test_runs(spark, folder, tmp_path):
     assert str(live[0]["effective_date"]) == "2024-04-01"
     assert live[0]["category"] == "PROVISIONING"
     errors = spark.read.parquet(state.errors).collect()
-    assert [(row["part"], row["error_summary"]) for row in errors] == [(0, "policies/bad.pdf: cannot read page 1")]
+    assert [(row["file_name"], row["line"]) for row in errors] == [("policies/bad.pdf", "policies/bad.pdf: cannot read page 1")]
+    row = state.read_log().first()
+    assert row["error_summary"] == "policies/bad.pdf: cannot read page 1" and row["status"] == "PARTIAL"
+    assert row["run_started_at"] <= row["run_completed_at"]
+    stored = state.read_documents().collect()
+    assert all(row["loaded_at"] is not None and row["page_count"] == 0 for row in stored)
 
     # Nothing changed: only the failed file comes again, and the policies stay.
     second = run(spark, folder, base, "r2")
@@ -114,15 +119,55 @@ def test_failed_run_is_logged(spark, folder, tmp_path):
     assert row["status"] == "FAILED" and row["error_summary"] == "parser is not there"
 
 
-def test_errors_are_cut_into_rows_and_none_is_lost(spark):
+@pytest.mark.parametrize("dies_at", range(6))
+def test_a_run_that_dies_is_repeated_whole(spark, folder, tmp_path, monkeypatch, dies_at):
+    base = f"file://{tmp_path}/library"
+    run(spark, folder, base, "r1")
+    write(folder, "policies/one.pdf", circular("Asset rules", ("Scope", "Applies to every lender")))
+    calls, write_batch, publish = [], ingestion.Library.write, ingestion.Library.publish
+
+    def dying(step):
+        def attempt(self, *given):
+            done = step(self, *given) if len(calls) != dies_at or step is write_batch else None
+            calls.append(step)
+            if len(calls) == dies_at + 1:
+                raise RuntimeError("the driver is gone")
+            return done
+
+        return attempt
+
+    monkeypatch.setattr(ingestion.Library, "write", dying(write_batch))
+    monkeypatch.setattr(ingestion.Library, "publish", dying(publish))
+    assert run(spark, folder, base, "r2") == "Run r2 FAILED: the driver is gone"
+    monkeypatch.undo()
+    state = ingestion.Library(spark, base)
+    assert state.live_policies().count() == 5  # nothing of the dead run is read
+    assert run(spark, folder, base, "r3").endswith("Processed: 1 | Failed: 1 | Policies loaded: -1")
+    live = state.live_policies().orderBy("policy_id").collect()
+    assert [(row["policy_id"], row["section"]) for row in live] == [
+        ("REG001", "Capital rules"), ("REG002", "Ratio"), ("REG003", "Asset rules"), ("REG004", "Scope"),
+    ]
+    log = {row["run_id"]: row["status"] for row in state.read_log().collect()}
+    assert log == {"r1": "PARTIAL", "r2": "FAILED", "r3": "PARTIAL"}
+
+
+def test_a_started_run_is_in_the_log(spark, tmp_path):
+    state = ingestion.Library(spark, f"file://{tmp_path}/library")
+    state.note(spark.range(1).selectExpr("'r1' AS run_id", "current_timestamp() AS run_started_at"))
+    row = state.read_log().first()
+    assert row["status"] == "RUNNING" and row["files_new"] == 0 and row["run_completed_at"] is None
+
+
+def test_error_text_in_file_order(spark):
     docs = spark.range(25).select(
-        F.format_string("f%03d", "id").alias("file_name"),
+        F.format_string("f%03d", F.lit(24) - F.col("id")).alias("file_name"),
         F.lit("FAILED").alias("processing_status"),
-        F.lit("bad").alias("error_message"),
-    )
-    found = sorted(ingestion.error_rows(spark, docs, per_row=10).collect(), key=lambda row: row["part"])
-    assert [row["error_summary"].count("bad") for row in found] == [10, 10, 5]
-    assert " | ".join(row["error_summary"] for row in found).split(" | ") == [f"f{n:03d}: bad" for n in range(25)]
+        F.when(F.col("id") != 3, F.lit("bad")).alias("error_message"),
+    ).repartition(4)
+    lines = [f"f{n:03d}: {'' if n == 21 else 'bad'}" for n in range(25)]
+    assert ingestion.error_text(docs).first()["error_summary"] == " | ".join(lines)
+    assert sorted(row["line"] for row in ingestion.error_rows(docs).collect()) == lines
+    assert ingestion.error_text(docs.limit(0)).first()["error_summary"] is None
 
 
 def test_fields_from_a_provider(spark):
@@ -148,9 +193,12 @@ def test_title_skips_blank_lines_and_marks(spark):
 def test_markup_is_read_as_text(spark):
     html = "<html><head><title>A &amp; B</title><style>p{}</style><script>var x='<p>';</script></head><body><!-- no -->" \
         "<p>Hello &lt;you&gt;</p><p>again</p></body></html>"
-    row = parse_text(spark.createDataFrame([(html,), ("<p>1234</p>",)], "html string").coalesce(1), "html").collect()
+    pages = [(html,), ("<table><td>12.50</td><td>100 %</td></table>",), ("<p> </p>",), ("<p>a\ufffdb</p>",), (None,)]
+    row = parse_text(spark.createDataFrame(pages, "html string").coalesce(1), "html").collect()
     assert row[0]["parsed_text"] == "A & B Hello <you> again" and row[0]["processing_status"] == "SUCCESS"
-    assert row[1]["processing_status"] == "FAILED" and row[1]["parsed_text"] is None
+    # Tables of numbers are text; nothing, and bytes that were not decoded, are not.
+    assert row[1]["processing_status"] == "SUCCESS" and "12.50" in row[1]["parsed_text"]
+    assert [(r["processing_status"], r["parsed_text"]) for r in row[2:]] == [("FAILED", None)] * 3
 
 
 def test_recent_by_time(spark):

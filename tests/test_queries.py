@@ -5,9 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check import TABLES, rows
+from lendscope.checks import oracle
+from lendscope.checks.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,7 @@ def sql():
 
 def test_every_query_has_check_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
 
 
 def test_entry(spark):

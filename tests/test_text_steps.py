@@ -66,6 +66,7 @@ def book(make_book):
         loan_history=[
             {"loan_id": "l0", "customer_id": "c0", "loan_status": "ACTIVE", "outstanding_balance": 10, "loan_type": "T"},
             {"loan_id": "l1", "customer_id": "c0", "loan_status": "ACTIVE", "outstanding_balance": 20, "loan_type": "T"},
+            {"loan_id": "l2", "customer_id": "c2", "loan_status": "CLOSED", "loan_type": "X"},
         ],
         loan_applications=[
             {"application_id": "a1", "customer_id": "c0", "application_date": day, "ai_recommendation": "APPROVE",
@@ -115,19 +116,19 @@ def test_model_filters_and_names(book):
 
 def policies(spark):
     return spark.createDataFrame(
-        [("REG001", "Capital", "capital adequacy norms " * 200), ("REG002", "Other", "nothing")],
-        "policy_id string, title string, content string",
+        [("REG001", "Capital", "Ratio", "capital adequacy norms " * 200), ("REG002", "Other", None, "nothing")],
+        "policy_id string, title string, section string, content string",
     )
 
 
 def test_assessments(spark, book):
     found = {row["customer_id"]: row for row in assessments.assessments(book, policies(spark), "2024-03-31").collect()}
     row = found["c0"]
-    assert row["assessment_id"].startswith("CA-20240331-c0-") and len(row["assessment_id"]) == len("CA-20240331-c0-1234")
+    assert row["assessment_id"].startswith("CA-20240331-c0-") and len(row["assessment_id"]) == len("CA-20240331-c0-123456789abc")
     assert "Financials: N/A" in row["prompt"] and "Regulations: Capital: capital adequacy norms" in row["prompt"]
     assert row["confidence_score"] == 0.6 and row["model_used"] == "template"
     assert row["regulatory_citations"].startswith("Capital: ") and len(row["regulatory_citations"]) == 2000
-    assert row["narrative"].count("## ") == 5
+    assert row["ai_narrative"].count("## ") == 5
 
 
 def test_assessments_with_a_provider_for_some(spark, book):
@@ -137,15 +138,17 @@ def test_assessments_with_a_provider_for_some(spark, book):
         model="counter",
     ).collect()
     assert [row["customer_id"] for row in found] == ["c1"]
-    assert found[0]["narrative"] == str(len(found[0]["prompt"])) and found[0]["model_used"] == "counter"
+    assert found[0]["ai_narrative"] == str(len(found[0]["prompt"])) and found[0]["model_used"] == "counter"
 
 
 def test_newest_assessment(spark, book):
-    both = assessments.assessments(book, policies(spark), "2024-03-31").unionByName(
-        assessments.assessments(book, policies(spark), "2024-06-30")
+    run = lambda run_id, hour: assessments.assessments(
+        book, policies(spark), "2024-03-31", run_id=run_id, generated_at=F.expr(f"TIMESTAMP_NTZ '2024-03-31 {hour}:00:00'")
     )
+    both = run("r1", "17").unionByName(run("r2", "09"))
     found = assessments.latest_assessment(both).collect()
-    assert len(found) == 3 and {str(row["assessment_date"]) for row in found} == {"2024-06-30"}
+    assert len(found) == 3 and {row["generated_at"].hour for row in found} == {17}
+    assert both.select("assessment_id").distinct().count() == 6
     assert both.select(assessments.result_text()).first()[0].startswith("Assessment generated: CA-2024")
 
 
@@ -164,7 +167,7 @@ def test_question_context(spark, book):
         book, questions, policies(spark), "policy_id", "title", "content").collect()}
     assert found[1]["data_context"].startswith("LOAN EXPOSURE DATA:\ncompany_name,sector,loan_type,")
     assert "N0,S,T,20.00,,ACTIVE\nN0,S,T,10.00,,ACTIVE" in found[1]["data_context"]
-    assert found[1]["context"].startswith("[Capital]: capital adequacy") and len(found[1]["context"]) <= 1500
+    assert found[1]["context"].startswith("[Capital - Ratio]: capital adequacy") and len(found[1]["context"]) <= 1500
     assert found[2]["datasets"] == ["risk_scores"] and found[2]["context"] == ""
 
 
@@ -172,6 +175,9 @@ def test_short_question_context(spark, book):
     questions = spark.createDataFrame([(1, "capital adequacy of loan exposure"), (2, "zzz")], "query_id long, query string")
     found = {row["query_id"]: row for row in advisor.question_context_first(
         book, questions, policies(spark), "policy_id", "title", "content").collect()}
-    assert found[1]["dataset"] == "loan_exposure" and "N0,S,T,20.00,,ACTIVE" in found[1]["data_context"]
+    assert found[1]["dataset"] == "loan_exposure" and found[1]["data_context"].startswith(
+        "LOAN DATA:\ncompany_name,loan_type,outstanding_balance,collateral_value,loan_status\nN0,T,20.00,,ACTIVE\n"
+    )
+    assert "CLOSED" not in found[1]["data_context"]
     assert found[1]["context"].startswith("Capital: capital adequacy") and len(found[1]["context"]) == 509
     assert found[2]["dataset"] is None and found[2]["data_context"] == "" and found[2]["context"] == ""
