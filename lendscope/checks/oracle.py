@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from lendscope import fixed
 from lendscope.checks.derivation_sql import with_ctes
+from lendscope.operators.quality import MaxLength, NotNull, Reference, Unique
+from lendscope.sources.schemas import RULES
 
 SQL: dict[str, str] = {}
 
@@ -678,5 +680,60 @@ SQL["latest_assessment"] = f"""
 """
 
 
+# Of the columns with a declared rule, those that the derived tables have.
+DERIVED_COLUMNS = {
+    "customers": ["customer_id", "company_name", "sector", "industry", "country", "risk_tier"],
+    "company_financials": ["financial_id", "customer_id", "fiscal_year", "fiscal_quarter"],
+    "loan_history": ["loan_id", "customer_id", "loan_type", "sanctioned_amount", "loan_status", "purpose", "currency"],
+    "loan_repayment": ["repayment_id", "loan_id", "customer_id", "due_date", "payment_status"],
+    "bank_transactions": ["transaction_id", "customer_id", "transaction_date", "transaction_type"],
+    "credit_ratings": ["rating_id", "customer_id", "rating_agency", "rating", "rating_date", "rating_outlook"],
+    "industry_trends": ["trend_id", "sector", "industry", "report_date", "quarter", "outlook", "key_risk_factors"],
+    "macro_economic_indicators": [
+        "indicator_id", "indicator_name", "indicator_category", "value", "report_date", "unit", "frequency", "source", "region",
+    ],
+    "loan_applications": [
+        "application_id", "customer_id", "application_date", "loan_type", "application_status", "ai_recommendation",
+        "ai_recommendation_reason", "officer_decision", "currency",
+    ],
+}
+# Columns that the check's tables leave out: the derivation gives every row a value that keeps the rule.
+KEPT_BY_DERIVATION = {
+    ("loan_history", "currency"), ("bank_transactions", "transaction_date"), ("bank_transactions", "transaction_type"),
+    ("credit_ratings", "rating_agency"), ("industry_trends", "quarter"), ("loan_applications", "currency"),
+}
+
+
+def rule_sql(table: str, rule) -> str:
+    """One row: table, rule, column and violations."""
+    column = rule.columns if isinstance(rule, Unique) else rule.column
+    shown = "sanctioned_cents" if column == "sanctioned_amount" else column
+    if isinstance(rule, Unique):
+        kind, count = "unique", f"(SELECT count(*) FROM (SELECT {shown} FROM {table} GROUP BY 1 HAVING count(*) > 1))"
+    elif isinstance(rule, Reference):
+        kind = "reference"
+        count = f"""(SELECT count(*) FROM {table} WHERE {shown} IS NOT NULL
+            AND {shown} NOT IN (SELECT {rule.parent_column} FROM {rule.parent}))"""
+    else:
+        if isinstance(rule, NotNull):
+            kind, broken = "not_null", f"{shown} IS NULL"
+        elif isinstance(rule, MaxLength):
+            kind, broken = "length", f"length({shown}::VARCHAR) > {rule.length}"
+        else:
+            kind, broken = "domain", f"{shown} NOT IN ({', '.join(repr(value) for value in rule.values)})"
+        count = f"(SELECT count(*) FROM {table} WHERE {broken})"
+    if (table, column) in KEPT_BY_DERIVATION:
+        count = "0"
+    return f"SELECT '{table}' AS table_name, '{kind}' AS rule, '{column}' AS column_name, {count} AS violations"
+
+
+SQL["dq_declared"] = " UNION ALL ".join(
+    rule_sql(table, rule)
+    for table, columns in DERIVED_COLUMNS.items()
+    for rule in RULES[table]
+    if (rule.columns if isinstance(rule, Unique) else rule.column) in columns
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in SQL.items()}

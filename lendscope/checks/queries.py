@@ -29,8 +29,9 @@ from lendscope.plans import (
     signals,
 )
 from lendscope.session import run_folder
-from lendscope.sources.derived import derived_book
+from lendscope.sources.derived import DERIVED, derived_book
 from lendscope.sources.documents import FieldRules, list_documents, parse_text
+from lendscope.sources.schemas import RULES
 from lendscope.sources.tables import Book, insert, stored_book
 from lendscope.streaming import macro_feed
 
@@ -261,6 +262,17 @@ def dq_domain(book: Book) -> DataFrame:
     )
 
 
+@on_book("dq_declared")
+def dq_declared(book: Book) -> DataFrame:
+    """Every declared rule of every derived table, as far as its columns are derived."""
+    listed = []
+    for name in DERIVED:
+        known = set(book[name].columns)
+        rules = [rule for rule in RULES.get(name, ()) if (rule.columns if isinstance(rule, Unique) else rule.column) in known]
+        listed += [(name, rules)] if rules else []
+    return _all_rules(book, listed)
+
+
 # --- scalar functions ---
 
 

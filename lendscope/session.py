@@ -31,15 +31,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     return spark
 
 
-def cluster_session(shuffle_partitions: int = 20_000) -> SparkSession:
-    """A session for large tables; the master and spark.checkpoint.dir come from the cluster.
+#: Bytes of input that one shuffle partition is planned for.
+SHUFFLE_BYTES = 256 << 20
 
-    Shuffles start fine-grained, so that one partition fits into memory at any table
-    size, and the adaptive rules join small partitions and split skewed ones.
+
+def partitions_for(input_bytes: int, least: int = 200) -> int:
+    """Shuffle partitions for an input, a quarter of a gigabyte each: 100 TB give about 400,000."""
+    return max(least, -(-input_bytes // SHUFFLE_BYTES))
+
+
+def cluster_session(input_bytes: int) -> SparkSession:
+    """A session for a job over ``input_bytes`` of tables; the master and spark.checkpoint.dir come from the cluster.
+
+    Shuffles start with partitions sized from the input, and the adaptive rules join small ones
+    and split skewed ones.
     """
     return (
         SparkSession.builder.appName("lendscope")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.shuffle.partitions", str(partitions_for(input_bytes)))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -140,48 +140,108 @@ TIME_DEFAULTS: dict[str, tuple[str, ...]] = {
     "pdf_processing_log": ("run_started_at",),
 }
 
-# --- fixed values: keys, references, domains and lengths ---
-RULES: dict[str, list] = {
-    "customers": [
-        Unique("customer_id"), NotNull("customer_id"), NotNull("company_name"), MaxLength("customer_id", 20),
-        MaxLength("company_name", 200),
-    ],
-    "company_financials": [
-        Unique("financial_id"), NotNull("fiscal_year"), Reference("customer_id", "customers", "customer_id"),
-    ],
-    "loan_history": [
-        Unique("loan_id"), NotNull("loan_type"), NotNull("sanctioned_amount"),
-        Reference("customer_id", "customers", "customer_id"),
-    ],
+# --- fixed values: declared text lengths ---
+LENGTHS: dict[str, dict[str, int]] = {
+    "customers": {
+        "customer_id": 10, "company_name": 200, "sector": 100, "industry": 100, "country": 50, "state_province": 100,
+        "relationship_manager": 100, "company_type": 50, "stock_exchange": 50, "website": 200, "risk_tier": 20,
+    },
+    "company_financials": {"financial_id": 20, "customer_id": 10, "fiscal_quarter": 2},
+    "loan_history": {
+        "loan_id": 15, "customer_id": 10, "loan_type": 50, "collateral_type": 100, "loan_status": 30, "purpose": 200,
+        "currency": 3,
+    },
+    "loan_repayment": {"repayment_id": 20, "loan_id": 15, "customer_id": 10, "payment_status": 20},
+    "bank_transactions": {
+        "transaction_id": 20, "customer_id": 10, "account_number": 20, "transaction_type": 20, "transaction_category": 50,
+        "description": 500, "month_year": 7,
+    },
+    "credit_ratings": {
+        "rating_id": 20, "customer_id": 10, "rating_agency": 50, "rating_type": 30, "rating": 10, "rating_outlook": 20,
+        "previous_rating": 10, "rating_action": 20,
+    },
+    "industry_trends": {
+        "trend_id": 20, "sector": 100, "industry": 100, "quarter": 10, "outlook": 20, "key_risk_factors": 500,
+        "data_source": 100,
+    },
+    "loan_applications": {
+        "application_id": 20, "customer_id": 20, "loan_type": 50, "purpose": 500, "collateral_offered": 200,
+        "application_status": 20, "assigned_officer": 100, "ai_recommendation": 20, "ai_recommendation_reason": 1000,
+        "officer_decision": 20, "officer_remarks": 500, "currency": 3,
+    },
+    "macro_economic_raw": {"source_file": 500},
+    "macro_economic_indicators": {
+        "indicator_id": 30, "indicator_name": 50, "indicator_category": 30, "unit": 20, "frequency": 20, "source": 100,
+        "region": 50,
+    },
+    "regulatory_policies": {
+        "policy_id": 20, "title": 500, "issuing_authority": 100, "document_type": 50, "section": 1000, "content": 16000,
+        "reference_number": 100, "category": 50, "relevance_to_lending": 200,
+    },
+    "credit_assessments": {
+        "assessment_id": 50, "customer_id": 20, "risk_grade": 2, "sma_category": 10, "ai_recommendation": 30,
+        "ai_narrative": 16000, "regulatory_citations": 2000, "model_used": 50, "generated_by": 100,
+    },
+    "regulatory_docs_raw": {"file_hash": 64, "processing_status": 20},
+    "pdf_processing_log": {"run_id": 36, "status": 20},
+}
+
+# --- fixed values: keys, required columns, references and domains ---
+KEYS: dict[str, str] = {
+    "customers": "customer_id",
+    "company_financials": "financial_id",
+    "loan_history": "loan_id",
+    "loan_repayment": "repayment_id",
+    "bank_transactions": "transaction_id",
+    "credit_ratings": "rating_id",
+    "industry_trends": "trend_id",
+    "loan_applications": "application_id",
+    "macro_economic_indicators": "indicator_id",
+    "regulatory_policies": "policy_id",
+    "credit_assessments": "assessment_id",
+}
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "customers": ("customer_id", "company_name"),
+    "company_financials": ("financial_id", "customer_id", "fiscal_year"),
+    "loan_history": ("loan_id", "customer_id", "loan_type", "sanctioned_amount"),
+    "loan_repayment": ("repayment_id", "loan_id", "customer_id", "due_date"),
+    "bank_transactions": ("transaction_id", "customer_id", "transaction_date", "transaction_type"),
+    "credit_ratings": ("rating_id", "customer_id", "rating_agency", "rating", "rating_date"),
+    "industry_trends": ("trend_id", "sector", "industry", "report_date"),
+    "loan_applications": ("application_id", "customer_id", "application_date"),
+    "macro_economic_raw": ("raw_data",),
+    "macro_economic_indicators": ("indicator_id", "indicator_name", "indicator_category", "value", "report_date"),
+    "regulatory_policies": ("policy_id", "title", "issuing_authority", "content"),
+    "credit_assessments": ("assessment_id", "customer_id"),
+    "pdf_processing_log": ("run_id",),
+}
+REFERENCES: dict[str, list[Reference]] = {
+    "company_financials": [Reference("customer_id", "customers", "customer_id")],
+    "loan_history": [Reference("customer_id", "customers", "customer_id")],
     "loan_repayment": [
-        Unique("repayment_id"), NotNull("due_date"), Reference("loan_id", "loan_history", "loan_id"),
-        Reference("customer_id", "customers", "customer_id"),
-    ],
-    "bank_transactions": [
-        Unique("transaction_id"), NotNull("transaction_date"), NotNull("transaction_type"),
-        Reference("customer_id", "customers", "customer_id"),
-    ],
-    "credit_ratings": [
-        Unique("rating_id"), NotNull("rating"), NotNull("rating_date"),
-        Reference("customer_id", "customers", "customer_id"),
-    ],
-    "industry_trends": [
-        Unique("trend_id"), NotNull("sector"), NotNull("industry"), NotNull("report_date"),
-        InSet("outlook", fixed.OUTLOOK_DOMAIN),
+        Reference("loan_id", "loan_history", "loan_id"), Reference("customer_id", "customers", "customer_id"),
     ],
+    "bank_transactions": [Reference("customer_id", "customers", "customer_id")],
+    "credit_ratings": [Reference("customer_id", "customers", "customer_id")],
+}
+DOMAINS: dict[str, list[InSet]] = {
+    "industry_trends": [InSet("outlook", fixed.OUTLOOK_DOMAIN)],
     "loan_applications": [
-        Unique("application_id"), NotNull("customer_id"), NotNull("application_date"),
         InSet("application_status", fixed.APPLICATION_STATUS_DOMAIN),
         InSet("ai_recommendation", fixed.RECOMMENDATIONS),
         InSet("officer_decision", fixed.OFFICER_DECISION_DOMAIN),
     ],
-    "macro_economic_indicators": [
-        Unique("indicator_id"), NotNull("indicator_name"), NotNull("value"), NotNull("report_date"),
-        InSet("indicator_category", fixed.INDICATOR_CATEGORY_DOMAIN),
-    ],
-    "regulatory_policies": [
-        Unique("policy_id"), NotNull("title"), NotNull("issuing_authority"), NotNull("content"),
-    ],
-    "credit_assessments": [Unique("assessment_id"), NotNull("customer_id")],
-    "pdf_processing_log": [NotNull("run_id")],
+    "macro_economic_indicators": [InSet("indicator_category", fixed.INDICATOR_CATEGORY_DOMAIN)],
+}
+
+#: Every declared rule of a table.
+RULES: dict[str, list] = {
+    name: [
+        *([Unique(KEYS[name])] if name in KEYS else []),
+        *(NotNull(column) for column in REQUIRED.get(name, ())),
+        *(MaxLength(column, length) for column, length in LENGTHS[name].items()),
+        *DOMAINS.get(name, ()),
+        *REFERENCES.get(name, ()),
+    ]
+    for name in LENGTHS
 }
