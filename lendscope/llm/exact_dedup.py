@@ -41,7 +41,7 @@ def merged_runs(rows: DataFrame, leaves: int = LEAVES, fan_in: int = FAN_IN) ->
         F.lit(1).cast("long").alias("group_size"),
     )
     width = leaves
-    while width > 1:
+    while True:
         width = -(-width // fan_in)
         # The largest of structs is taken by sort aggregation: sorted runs in, one sorted run out.
         runs = (
@@ -49,6 +49,8 @@ def merged_runs(rows: DataFrame, leaves: int = LEAVES, fan_in: int = FAN_IN) ->
             .groupBy("run", *key)
             .agg(F.max("keep").alias("keep"), F.sum("group_size").alias("group_size"))
         )
+        if width == 1:
+            break
     return runs.drop("run")
 
 
