@@ -680,6 +680,14 @@ SQL["latest_assessment"] = f"""
 """
 
 
+SQL["search_policies"] = f"""
+    SELECT query_id, doc_id, score, lang, source,
+           row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank
+    FROM benchmark_hits JOIN documents USING (doc_id) WHERE lang IN ('de', 'fr')
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= {fixed.HITS_POLICY_PAGE}
+"""
+
+
 # Of the columns with a declared rule, those that the derived tables have.
 DERIVED_COLUMNS = {
     "customers": ["customer_id", "company_name", "sector", "industry", "country", "risk_tier"],

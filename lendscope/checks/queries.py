@@ -664,6 +664,14 @@ def search_bm25(book: Book) -> DataFrame:
     return search.bm25(book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE)
 
 
+@on_book("search_policies")
+def search_policies(book: Book) -> DataFrame:
+    """The best documents of two languages for every question, with their source."""
+    return search.search(
+        book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE, "doc_id", "text", {"lang": ["de", "fr"]}, ("lang", "source")
+    )
+
+
 def label_centres(book: Book) -> DataFrame:
     """One query per label: the sum of its vectors, which points the same way as their mean."""
     items = book["embeddings"].select("label", F.posexplode("embedding").alias("place", "x"))

@@ -32,9 +32,14 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), NO_WORD), "")
 
 
-def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text: str = "text") -> DataFrame:
+def bm25(
+    corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", text: str = "text", where: Column | None = None
+) -> DataFrame:
     """The ``k`` best documents per query: query_id, rank, ``key``, score.
 
+    With ``where``, a condition on the corpus, only documents that meet it are ranked;
+    how rare a word is still follows from the whole corpus.
+
     ``queries`` has query_id and query. Only documents that share a word with the
     query are ranked; equal scores go by ``key``. The query words are counted first:
     a bounded set is sent to every task, which drops all other corpus words and
@@ -81,9 +86,30 @@ def bm25(corpus: DataFrame, queries: DataFrame, k: int, key: str = "doc_id", tex
         .groupBy("query_id", key)
         .agg(F.round(F.sum(weight), SCORE_DIGITS).alias("score"))
     )
+    if where is not None:
+        scores = scores.join(corpus.filter(where).select(key), key, "left_semi")
     return ranked(scores, ["query_id"], [F.desc("score"), F.asc(key)], k).select("query_id", "rank", key, "score")
 
 
+def search(
+    corpus: DataFrame,
+    queries: DataFrame,
+    k: int,
+    key: str,
+    text: str,
+    filters: dict[str, list] | None = None,
+    columns: tuple[str, ...] = (),
+) -> DataFrame:
+    """The ``k`` best documents per query whose attributes have one of the given values each, with the chosen columns."""
+    where = None
+    for name, values in (filters or {}).items():
+        met = F.col(name).isin([value for value in values if value is not None])
+        met = met | F.col(name).isNull() if None in values else met
+        where = met if where is None else where & met
+    found = bm25(corpus, queries, k, key, text, where)
+    return hit_rows(found, queries, k, corpus, key, list(columns)).select("query_id", "rank", key, "score", *columns)
+
+
 def hit_rows(found: DataFrame, queries: DataFrame, k: int, corpus: DataFrame, key: str, columns: list) -> DataFrame:
     """The hits with columns of their documents.
 
@@ -137,7 +163,7 @@ def _best_of_batches(ids: list, queries: list, k: int, key: str, exclude_own: bo
         length = np.linalg.norm(matrix, axis=1, keepdims=True)
         return matrix / np.where(length > 0, length, 1.0)
 
-    asked = unit_rows(queries)
+    asked, names = unit_rows(queries), np.array(ids)
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -145,18 +171,14 @@ def _best_of_batches(ids: list, queries: list, k: int, key: str, exclude_own: bo
                 continue
             keys = frame[key].to_numpy()
             similarity = np.round(unit_rows(frame["_vector"].tolist()) @ asked.T, SCORE_DIGITS) + 0.0
-            found = []
-            for place, query_id in enumerate(ids):
-                mine = similarity[:, place]
-                allowed = keys != query_id if exclude_own else np.ones(len(keys), dtype=bool)
-                values = mine[allowed]
-                if len(values) > k:
-                    # Equal values at the border all stay; the final ranking settles them by key.
-                    allowed = allowed & (mine >= np.partition(values, len(values) - k)[len(values) - k])
-                found.append(
-                    pd.DataFrame({"query_id": query_id, key: keys[allowed], "similarity": mine[allowed]})
-                )
-            yield pd.concat(found, ignore_index=True)
+            if exclude_own:
+                similarity[keys[:, None] == names[None, :]] = -np.inf
+            kept = similarity > -np.inf
+            if len(keys) > k:
+                # Equal values at the border all stay; the final ranking settles them by key.
+                kept &= similarity >= np.partition(similarity, len(keys) - k, axis=0)[len(keys) - k]
+            row, place = np.nonzero(kept)
+            yield pd.DataFrame({"query_id": names[place], key: keys[row], "similarity": similarity[row, place]})
 
     return batches
 

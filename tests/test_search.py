@@ -69,6 +69,20 @@ def test_documents_of_hits_stay_where_they_are(spark, capsys, monkeypatch):
     assert sorted((row["rank"], row["text"]) for row in both.collect())[0] == (1, "word 5")
 
 
+def test_search_with_filters_and_columns(spark):
+    rng = random.Random(5)
+    docs = [(key, text, "ab"[key % 2] if key % 5 else None) for key, text in corpus(rng, 60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, kind string").repartition(3)
+    asked = spark.createDataFrame([(1, "Capital norms: risk?")], "query_id long, query string")
+    everything = brute_bm25([doc[:2] for doc in docs], "Capital norms: risk?", 100)
+    for values in (["a"], ["b", None], []):
+        found = search.search(df, asked, 4, "doc_id", "text", {"kind": values}, ("kind",)).collect()
+        kinds = {key: kind for key, _, kind in docs}
+        want = [key for _, key, _ in everything if kinds[key] in values][:4]
+        assert [r["doc_id"] for r in sorted(found, key=lambda r: r["rank"])] == want
+        assert all(r["kind"] == kinds[r["doc_id"]] for r in found)
+
+
 def vectors(rng, count):
     made = [(place, [rng.uniform(-1, 1) for _ in range(6)], place % 3) for place in range(count)]
     return made + [(count, made[0][1], 0), (count + 1, [0.0] * 6, 1)]
