@@ -11,27 +11,21 @@ from lendscope.session import materialize
 _PLACE_BITS = 33
 
 
-def number_rows(
-    spark: SparkSession, df: DataFrame, order: list[str], name: str, written: bool = False
-) -> DataFrame:
+def number_rows(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Adds 1, 2, 3, ... in the given order, whose columns must identify a row and not be NULL.
 
-    The rows are written once, so that whatever computes them runs once (``written``
-    says that they are read from a table already). Only their
-    order columns are then range-partitioned and sorted: every partition holds one
-    stretch of the order, and a row's number is its place plus the rows of the
-    stretches before, of which there are as many as partitions. The stretches are
-    written too, because a second range-partitioning could cut elsewhere.
+    The rows are range-partitioned and sorted by their order columns and written once, each with its
+    partition and its place there. Every partition holds one stretch of the order, and a row's
+    number is its place plus the rows of the stretches before, of which there are as many as
+    partitions: no row is moved a second time.
     """
-    rows = df if written else materialize(spark, df, "rows")
     tag = F.monotonically_increasing_id()
     stretches = materialize(
         spark,
-        rows.select(*order)
-        .repartitionByRange(*order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .select(
-            *order,
+            "*",
             F.shiftright(tag, _PLACE_BITS).alias("_part"),
             tag.bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias("_place"),
         ),
@@ -43,10 +37,9 @@ def number_rows(
         .agg(F.count(F.lit(1)).alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    numbers = stretches.join(F.broadcast(before), "_part").select(
-        *order, (F.col("_before") + F.col("_place") + 1).alias(name)
-    )
-    return rows.join(numbers, order)
+    # One row per partition, so its size is bounded by their number.
+    numbered = stretches.join(F.broadcast(before), "_part")
+    return numbered.select(*df.columns, (F.col("_before") + F.col("_place") + 1).alias(name))
 
 
 def padded_id(prefix: str, number: Column, digits: int) -> Column:

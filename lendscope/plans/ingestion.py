@@ -59,10 +59,10 @@ def highest_number(policies: DataFrame) -> Column:
 
 
 def assign_policy_ids(
-    spark: SparkSession, sections: DataFrame, existing: DataFrame | None, order: list[str], written: bool = False
+    spark: SparkSession, sections: DataFrame, existing: DataFrame | None, order: list[str]
 ) -> DataFrame:
     """Running ids in the order of file and piece, continuing after the highest existing one."""
-    numbered = number_rows(spark, sections, order, "_number", written)
+    numbered = number_rows(spark, sections, order, "_number")
     number = F.col("_number")
     if existing is not None:
         numbered = numbered.withColumn("_highest", highest_number(existing))
@@ -75,7 +75,7 @@ def replace_policies(spark: SparkSession, existing: DataFrame, sections: DataFra
     """Policies without those whose title is in the new batch, plus the new batch under new ids."""
     batch = materialize(spark, sections, "batch")
     kept = surviving(existing, batch, "title")
-    return kept.unionByName(assign_policy_ids(spark, batch, kept, order, written=True), allowMissingColumns=True)
+    return kept.unionByName(assign_policy_ids(spark, batch, kept, order), allowMissingColumns=True)
 
 
 def error_rows(docs: DataFrame) -> DataFrame:
