@@ -7,12 +7,14 @@ asked for. What is compared is hashes, dealt by hash; texts move once, by docume
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lendscope.llm.common import buckets, texts
-from lendscope.llm.parcels import PARCEL, pack, runs
+from lendscope.llm.parcels import PARCEL, PARCEL_ARROW, owners, pack, runs
 from lendscope.llm.wordhash import slices, text_buffers, windows, words
 
 WINDOW = 13
@@ -21,7 +23,6 @@ SHORTEST = 7
 #: Windows of a task that are brought together before they are sent on.
 HELD_WINDOWS = 3_000_000
 
-VERDICTS = "doc_id long, codes binary, marks binary"
 #: What is known of a window of a document: it repeats, as its first place (REPEATED) or a later one (LATER).
 REPEATED, LATER = 1, 2
 
@@ -99,30 +100,28 @@ def first_level(length: int, width: int, count: int):
     return step
 
 
-def compare(width: int):
-    """A step over parcels sorted by bucket: verdicts on the windows that several documents hold."""
+def compare(width: int, last: bool, count: int):
+    """A step over parcels sorted by bucket: the windows of each document that other documents hold too.
+
+    At the last level only those that a document with a smaller id holds are told.
+    """
     kind_of_code = np.uint32 if width == 4 else np.uint64
+    least_mark = LATER if last else REPEATED
 
     def settle(parcels):
         """All parcels of one bucket at once."""
-        docs = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(s, np.uint32)) for d, s, *_ in parcels])
+        docs = np.concatenate([owners(d, s) for d, s, *_ in parcels])
         codes = np.concatenate([np.frombuffer(c, kind_of_code) for _, _, c, _ in parcels])
         marks = np.concatenate([np.frombuffer(m, np.uint8) for *_, m in parcels])
         codes, docs, marks = judge(codes, docs, marks)
-        return codes[marks > 0], docs[marks > 0], marks[marks > 0]
-
-    def rows(codes, docs, marks):
-        order = np.argsort(docs, kind="stable")
-        codes, docs, marks = codes[order], docs[order], marks[order]
-        stops = np.append(runs(docs), len(docs)).tolist()
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(docs[stops[:-1]], pa.int64()),
-                pa.array([codes[a:b].tobytes() for a, b in zip(stops, stops[1:])], pa.binary()),
-                pa.array([marks[a:b].tobytes() for a, b in zip(stops, stops[1:])], pa.binary()),
-            ],
-            ["doc_id", "codes", "marks"],
-        )
+        return codes[marks >= least_mark], docs[marks >= least_mark]
+
+    def rows(codes, docs):
+        """Verdicts as parcels again, now for the buckets of their documents."""
+        distinct, place = np.unique(docs, return_inverse=True)
+        home = np.array([zlib.crc32(str(i).encode()) % count for i in distinct.tolist()], np.int64)[place]
+        unmarked = np.zeros(len(codes), np.uint8)
+        return pack(home, unmarked.astype(np.int8), docs, codes, unmarked, codes.dtype.itemsize)
 
     def step(batches):
         bucket, held, done, size = None, [], [], 0
@@ -131,9 +130,8 @@ def compare(width: int):
             for place in range(batch.num_rows):
                 number, kind, *parcel = (column[place].as_py() for column in columns)
                 if kind == 1:  # settled by the sender
-                    docs = np.repeat(np.frombuffer(parcel[0], np.int64), np.frombuffer(parcel[1], np.uint32))
-                    done.append((np.frombuffer(parcel[2], kind_of_code), docs, np.frombuffer(parcel[3], np.uint8)))
-                    size += len(docs)
+                    done.append((np.frombuffer(parcel[2], kind_of_code), owners(parcel[0], parcel[1])))
+                    size += len(done[-1][0])
                     continue
                 if number != bucket and held:
                     done.append(settle(held))
@@ -146,35 +144,39 @@ def compare(width: int):
                 done, size = [], 0
         if held:
             done.append(settle(held))
-        if done and sum(len(x[0]) for x in done):
+        if sum(len(x[0]) for x in done):
             yield rows(*(np.concatenate(x) for x in zip(*done)))
 
     return step
 
 
-def _verdicts(parcels: DataFrame, width: int) -> DataFrame:
-    """Verdicts by document, as arrays of parts from the buckets; a document has as many rows as tasks that met it."""
-    compared = parcels.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare(width), VERDICTS)
-    return compared.groupBy("doc_id").agg(F.collect_list("codes").alias("codes"), F.collect_list("marks").alias("marks"))
+def _verdicts(parcels: DataFrame, width: int, last: bool, count: int) -> DataFrame:
+    """Parcels by the hash bucket of windows -> parcels of verdicts by the bucket of documents."""
+    return parcels.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(compare(width, last, count), PARCEL)
 
 
-def _known(codes_parts, marks_parts, kind_of_code):
-    """Codes of one document in order, with their strongest mark."""
-    if not codes_parts:
-        return np.zeros(0, kind_of_code), np.zeros(0, np.uint8)
-    codes = np.concatenate([np.frombuffer(part, kind_of_code) for part in codes_parts])
-    marks = np.concatenate([np.frombuffer(part, np.uint8) for part in marks_parts])
-    order = np.argsort(codes, kind="stable")
-    codes, marks = codes[order], marks[order]
-    heads = runs(codes)
-    return codes[heads], (np.maximum.reduceat(marks, heads) if len(heads) else marks)
-
-
-def _documents(batch, length: int, width: int):
-    """For each document of a batch: its place, its slice's words, the places and marks of its windows of ``length``."""
+def _told(parcels: pa.Table, width: int) -> dict[int, np.ndarray]:
+    """The codes of each document that the parcels of its bucket name, in order."""
     kind_of_code = np.uint32 if width == 4 else np.uint64
-    offsets, data = text_buffers(batch.column("text"))
-    parts, marks = batch.column("codes"), batch.column("marks")
+    rows = list(zip(*(parcels.column(name).to_pylist() for name in ("docs", "sizes", "codes"))))
+    if not rows:
+        return {}
+    docs = np.concatenate([owners(d, s) for d, s, _ in rows])
+    codes = np.concatenate([np.frombuffer(c, kind_of_code) for *_, c in rows])
+    order = np.lexsort((codes, docs))
+    docs, codes = docs[order], codes[order]
+    stops = np.append(runs(docs), len(docs)).tolist()
+    return {int(docs[a]): codes[a:b] for a, b in zip(stops, stops[1:])}
+
+
+def _documents(docs: pa.Table, told: dict[int, np.ndarray], length: int, width: int, every: bool):
+    """For each document (of ``every`` bucket or only those that were told of): its row, its slice's words, its place there,
+    and places and verdicts of its windows."""
+    ids = docs.column("doc_id").to_pylist()
+    if not every:
+        docs = docs.filter(pa.array([i in told for i in ids], pa.bool_()))
+        ids = docs.column("doc_id").to_pylist()
+    offsets, data = text_buffers(docs.column("text"))
     for at, end in slices(offsets):
         part = offsets[at : end + 1]
         found = words(part - part[0], data[part[0] : part[-1]], lower=False)
@@ -183,68 +185,64 @@ def _documents(batch, length: int, width: int):
         bounds = np.searchsorted(place, found.first)
         for i in range(end - at):
             a, b = bounds[i], bounds[i + 1]
-            known, kept = _known(parts[at + i].as_py(), marks[at + i].as_py(), kind_of_code)
-            state = np.zeros(b - a, np.uint8)
-            if len(known) and b > a:
-                spot = np.minimum(np.searchsorted(known, codes[a:b]), len(known) - 1)
-                state = np.where(known[spot] == codes[a:b], kept[spot], 0).astype(np.uint8)
-            yield at + i, found, i, place[a:b], state
+            known = told.get(ids[at + i])
+            state = np.zeros(b - a, bool)
+            if known is not None and b > a:
+                state = known[np.minimum(np.searchsorted(known, codes[a:b]), len(known) - 1)] == codes[a:b]
+            yield ids[at + i], found, i, place[a:b], state
 
 
 def next_level(short: int, short_width: int, length: int, width: int, count: int):
-    """A step from documents with verdicts on the shorter windows to parcels of the longer ones that may repeat."""
-
-    def step(batches):
-        sender = _Sender(width, count)
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
-            last = None
-            for row, found, i, place, state in _documents(batch, short, short_width):
-                if found is not last:  # one pass over the windows of a slice
-                    long_place, long_hash = windows(found.hashes, found.first, length)
-                    bounds, last = np.searchsorted(long_place, found.first), found
-                mine = long_hash[bounds[i] : bounds[i + 1]]
-                count_ = len(mine)
-                if count_:
-                    shift = length - short
-                    alive = (state[:count_] > 0) & (state[shift : shift + count_] > 0)
-                    yield from sender.add(mine[alive], np.full(int(alive.sum()), ids[row], np.int64))
-        yield from sender.flush()
+    """A step from a bucket's documents and verdicts on shorter windows to parcels of the longer ones that may repeat."""
+
+    def step(docs: pa.Table, verdicts: pa.Table) -> pa.Table:
+        sender, made, last = _Sender(width, count), [], None
+        for doc_id, found, i, place, state in _documents(docs, _told(verdicts, short_width), short, short_width, False):
+            if found is not last:  # one pass over the windows of a slice
+                long_place, long_hash = windows(found.hashes, found.first, length)
+                bounds, last = np.searchsorted(long_place, found.first), found
+            mine = long_hash[bounds[i] : bounds[i + 1]]
+            if len(mine):
+                shift = length - short
+                alive = state[: len(mine)] & state[shift : shift + len(mine)]
+                made += sender.add(mine[alive], np.full(int(alive.sum()), doc_id, np.int64))
+        made += sender.flush()
+        return pa.Table.from_batches(made, PARCEL_ARROW)
 
     return step
 
 
 def _remover(window: int, width: int):
-    """A step from documents with verdicts to what is left of them."""
-
-    def step(batches):
-        for batch in batches:
-            out = []
-            for row, found, i, place, state in _documents(batch, window, width):
-                a, b = int(found.first[i]), int(found.first[i + 1])
-                depth = np.zeros(b - a + 1, np.int64)
-                later = place[state == LATER] - a
-                np.add.at(depth, later, 1)
-                np.add.at(depth, np.minimum(later + window, b - a), -1)
-                gone = np.cumsum(depth[:-1]) > 0
-                text = found.data
-                kept = b" ".join(
-                    text[s:e].tobytes() for s, e in zip(found.starts[a:b][~gone].tolist(), found.ends[a:b][~gone].tolist())
-                )
-                out.append((b - a, int(gone.sum()), kept.decode()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    pa.array([x[0] for x in out], pa.int64()),
-                    pa.array([x[1] for x in out], pa.int64()),
-                    pa.array([x[2] for x in out], pa.string()),
-                ],
-                ["doc_id", "n_words", "n_removed", "kept_text"],
+    """A step from a bucket's documents and verdicts to what is left of the documents."""
+
+    def step(docs: pa.Table, verdicts: pa.Table) -> pa.Table:
+        out = []
+        for doc_id, found, i, place, state in _documents(docs, _told(verdicts, width), window, width, True):
+            a, b = int(found.first[i]), int(found.first[i + 1])
+            depth = np.zeros(b - a + 1, np.int64)
+            later = place[state] - a
+            np.add.at(depth, later, 1)
+            np.add.at(depth, np.minimum(later + window, b - a), -1)
+            gone = np.cumsum(depth[:-1]) > 0
+            text = found.data
+            kept = b" ".join(
+                text[s:e].tobytes() for s, e in zip(found.starts[a:b][~gone].tolist(), found.ends[a:b][~gone].tolist())
             )
+            out.append((doc_id, b - a, int(gone.sum()), kept.decode()))
+        columns = list(zip(*out)) if out else [[]] * 4
+        types = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        return pa.table([pa.array(list(c), t) for c, t in zip(columns, types)], ["doc_id", "n_words", "n_removed", "kept_text"])
 
     return step
 
 
+def _untouched(batches):
+    """Documents that take no part in the comparison, as they are."""
+    step = _remover(1, 8)
+    for batch in batches:
+        yield from step(pa.Table.from_batches([batch]), PARCEL_ARROW.empty_table()).to_batches()
+
+
 def remove_repeated(docs: DataFrame, window: int = WINDOW, shortest: int = SHORTEST) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_removed, kept_text.
 
@@ -254,24 +252,25 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, shortest: int = SHORT
     count as one document when windows are compared; a row without an id is
     never compared and keeps its text. An empty table gives an empty result.
 
-    Each level's windows are dealt to hash buckets whose number follows the input, packed by task and bucket. A
+    Each level's windows are dealt to hash buckets whose number follows the input, packed by task and bucket, and what is found
+    goes to the buckets of documents, packed likewise, where a bucket holds a few megabytes of text. A
     passage that a third of all documents share costs a task one entry to compare;
     its other places are settled where they are met. Levels below the last carry
     half hashes, which may keep a window too many alive but lose none.
     """
     rows = texts(docs)
-    named = rows.where("doc_id IS NOT NULL")
     count = buckets(docs)
+    home = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(count)).cast("int")
+    named = rows.where("doc_id IS NOT NULL").withColumn("bucket", home)
     lengths = levels(window, shortest)
     widths = [4] * (len(lengths) - 1) + [8]
-    verdicts = _verdicts(named.mapInArrow(first_level(lengths[0], widths[0], count), PARCEL), widths[0])
-    # The same exchange of (doc_id, text) serves every level below and the removal itself.
+    parcels = named.select("doc_id", "text").mapInArrow(first_level(lengths[0], widths[0], count), PARCEL)
+    verdicts = _verdicts(parcels, widths[0], len(lengths) == 1, count)
+    # The same exchange of texts by bucket serves every level below and the removal itself.
+    meet = lambda step, schema: named.groupBy("bucket").cogroup(verdicts.groupBy("bucket")).applyInArrow(step, schema)
     for place in range(1, len(lengths)):
-        alive = named.join(verdicts, "doc_id")
         step = next_level(lengths[place - 1], widths[place - 1], lengths[place], widths[place], count)
-        verdicts = _verdicts(alive.mapInArrow(step, PARCEL), widths[place])
+        verdicts = _verdicts(meet(step, PARCEL), widths[place], place == len(lengths) - 1, count)
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
-    judged = named.join(verdicts, "doc_id", "left")
-    none = F.lit(None).cast("array<binary>")
-    nameless = rows.where("doc_id IS NULL").withColumn("codes", none).withColumn("marks", none)
-    return judged.unionByName(nameless).mapInArrow(_remover(window, widths[-1]), schema)
+    nameless = rows.where("doc_id IS NULL").mapInArrow(_untouched, schema)
+    return meet(_remover(window, widths[-1]), schema).unionByName(nameless)
