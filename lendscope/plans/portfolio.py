@@ -130,12 +130,12 @@ def score_components(book: Book) -> DataFrame:
 
 
 def exposure_list(book: Book) -> DataFrame:
-    """ACTIVE loans with their customer, largest balance first."""
+    """ACTIVE loans with their customer, largest balance first; as everywhere, falling order puts NULL before all values."""
     loans = book["loan_history"].filter(F.col("loan_status") == "ACTIVE")
     return (
         loans.join(book["customers"], "customer_id")
         .select(
             "loan_id", "company_name", "sector", "loan_type", "outstanding_balance", "collateral_value", "loan_status"
         )
-        .orderBy(F.desc_nulls_last("outstanding_balance"), "loan_id")
+        .orderBy(F.desc_nulls_first("outstanding_balance"), "loan_id")
     )
