@@ -1,19 +1,21 @@
 """Information-theoretic removal of personal data, with DataFrame functions only.
 
-Base spans are found by pattern. Each value found (an address, a number) is a protected entity. Terms near an
-entity may give it away even when the entity itself is masked: the corpus tells how strongly. With
-c(e, t) the documents in which term t stands near entity e, n(t) those that hold t anywhere and n(e) those that hold
-e, of N, a term discloses of the entity's information -log(n(e) / N) the part
+Base spans are found by pattern. Each value found (an address, a number) is a protected entity. Terms of the
+documents that hold an entity may give it away even when the entity itself is masked: the corpus tells how strongly.
+With c(e, t) the documents that hold both entity e and term t, n(t) those that hold t and n(e) those that hold e, of N,
+a term discloses of the entity's information -log(n(e) / N) the part
 
-    disclosure(e, t) = log(c(e, t) * N / (n(e) * n(t))) / log(N / n(e)),
+    disclosure(e, t) = log(p(e | t) * N / n(e)) / log(N / n(e)),    p(e | t) = c(e, t) / n(t),
 
-its pointwise mutual information with the entity against the entity's own information. From `GENERALISE` on the
-term is replaced by a general word, from `REMOVE` on it is taken out.
+its pointwise mutual information with the entity against the entity's own information. A pair that fewer than `SUPPORT`
+documents hold is judged too, by a smoothed p: the missing documents are added to the term's as ones that hold
+the entity at the rate of the corpus. From `GENERALISE` on the term is replaced by a general word, from `REMOVE`
+on it is taken out, wherever it stands in a document that holds the entity.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lendscope.llm.common import texts
 from lendscope.session import materialize
@@ -29,11 +31,11 @@ PATTERNS = {
 }
 #: What a text must hold for a pattern to be worth a look.
 HINTS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
-#: Characters before and after an entity in which terms count as near.
+#: No limit of the method, which judges whole documents: the window in which tests count by hand.
 NEAR = 80
 #: A term is a word of letters of at least this length; the pattern's own words.
 TERM = r"\p{L}{4,}"
-#: Documents in which an entity and a term must stand together before the estimate counts.
+#: Documents that must hold an entity and a term before their estimate counts as it is; below it is smoothed.
 SUPPORT = 3
 GENERALISE = 0.6
 REMOVE = 0.9
@@ -121,110 +123,132 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(value) if kind == "email" else _digits(value) if kind != "ip" else value)
 
 
-def mentions(found: DataFrame) -> DataFrame:
-    """One row per span: place, entity, and the texts next to it with their first places."""
+def _terms(text: Column) -> Column:
+    """The terms of a text in order, in lower case."""
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
-    def named(kind):
-        return F.transform(
-            kind, lambda x: F.struct(_entity(kind, x["value"]).alias("entity"), x["start"].alias("start"), x["end"].alias("end"))
-        )
 
-    every = F.concat(*map(named, KINDS))
-    begin = F.greatest(F.col("span.start") - NEAR, F.lit(0))
-    return found.select("place", "text", F.explode(every).alias("span")).select(
-        "place",
-        "span.entity",
-        F.explode(
-            F.array(
-                F.struct(begin.alias("from"), F.substring("text", begin + 1, F.col("span.start") - begin).alias("near")),
-                F.struct(F.col("span.end").alias("from"), F.substring("text", F.col("span.end") + 1, F.lit(NEAR)).alias("near")),
-            )
-        ).alias("side"),
-    ).select("place", "entity", "side.from", "side.near")
+def holders(found: DataFrame) -> DataFrame:
+    """One row per row that holds an entity: place, its distinct entities and its distinct terms."""
 
+    def named(kind):
+        return F.transform(kind, lambda x: _entity(kind, x["value"]))
 
-def _terms(near: Column, begin: Column) -> Column:
-    """Terms of a short text: array of (start, end, term)."""
-    values = F.regexp_extract_all(near, F.lit(TERM), F.lit(0))
-    gaps = F.split(near, TERM, -1)
-    places = F.sequence(F.lit(1), F.size(values))
-    before = lambda i: F.aggregate(
-        F.sequence(F.lit(1), i), F.lit(0), lambda n, k: n + F.length(F.element_at(gaps, k)) + F.when(k < i, F.length(F.element_at(values, k))).otherwise(0)
+    return found.where(" OR ".join(f"size({kind}) > 0" for kind in KINDS)).select(
+        "place", F.array_distinct(F.concat(*map(named, KINDS))).alias("entities"), F.array_distinct(_terms(F.col("text"))).alias("words")
     )
-    made = F.transform(
-        places,
-        lambda i: F.struct(
-            (begin + before(i)).alias("start"),
-            (begin + before(i) + F.length(F.element_at(values, i))).alias("end"),
-            F.lower(F.element_at(values, i)).alias("term"),
-        ),
-    )
-    return F.when(F.size(values) > 0, made)
 
 
-def near_terms(found: DataFrame) -> DataFrame:
-    """One row per term near an entity: place, entity, start, end, term."""
-    return mentions(found).select("place", "entity", F.explode(_terms(F.col("near"), F.col("from"))).alias("t")).select(
-        "place", "entity", "t.start", "t.end", "t.term"
+def meetings(spark: SparkSession, held: DataFrame) -> DataFrame:
+    """place, entity, term: what meets in each document. Entities of the very same documents meet the same terms and are one.
+
+    ``entity`` is (n: the documents that hold it, and two hashes that stand for them).
+    """
+    mentions = held.select("place", F.explode("entities").alias("named"))
+    # Every sum is taken in the tasks first, so an entity of very many documents sends a few rows.
+    where = F.struct(
+        F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("place")).alias("a"),
+        F.bit_xor(F.xxhash64("place", F.lit("b"))).alias("b"),
+    )
+    known = materialize(spark, mentions.groupBy(F.col("named").alias("name")).agg(where.alias("entity")), "pii-entities")
+    alike = mentions.join(known, F.col("named") == F.col("name")).groupBy("place").agg(F.collect_set("entity").alias("alike"))
+    held = held.select(F.col("place").alias("holder"), "words")
+    return (
+        alike.join(held, F.col("place") == F.col("holder"))
+        .select("place", "words", F.explode("alike").alias("entity"))
+        .select("place", "entity", F.explode("words").alias("term"))
     )
 
 
-def disclosures(found: DataFrame, near: DataFrame, support: int = SUPPORT) -> DataFrame:
+def disclosures(docs: DataFrame, met: DataFrame, support: int = SUPPORT) -> DataFrame:
     """entity, term, disclosure: how much of the entity's information the term gives away, over all documents.
 
-    Every count is of documents and is summed in each task before it moves. A word's count
-    is taken only for terms that stand near an entity often enough.
+    Every count is of documents and is summed in each task before it moves. The words' counts are written, so
+    that a word of very many pairs is a side of a plain join, which can be split.
     """
-    together = near.select("entity", "term", "place").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c"))
-    together = together.where(F.col("c") >= support)
-    entities = near.select("entity", "place").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    terms = together.select("term").distinct()
-    words = found.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("word"))
-    totals = words.groupBy("word").agg(F.count(F.lit(1)).alias("n_t")).join(terms, F.col("word") == F.col("term")).select("term", "n_t")
-    n = found.agg(F.greatest(F.count(F.lit(1)), F.lit(2)).cast("double").alias("n"))
-    information = F.log(F.col("n") / F.col("n_e"))
+    spark = docs.sparkSession
+    together = met.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("c"))
+    words = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("word"))
+    totals = materialize(spark, words.groupBy("word").agg(F.count(F.lit(1)).alias("n_t")), "pii-words")
+    n = docs.agg(F.greatest(F.count(F.lit(1)), F.lit(2)).cast("double").alias("n"))
+    rate = F.col("entity.n") / F.col("n")
+    missing = F.greatest(F.lit(support) - F.col("c"), F.lit(0))
+    given = (F.col("c") + missing * rate) / (F.col("n_t") + missing)
     return (
-        together.join(entities, "entity")
-        .join(totals, "term")
+        together.join(totals, F.col("term") == F.col("word"))
         .withColumn("n", n.scalar())
-        .where("n_e < n")
-        .select("entity", "term", (F.log(F.col("c") * F.col("n") / (F.col("n_e") * F.col("n_t"))) / information).alias("disclosure"))
+        .where("entity.n < n")
+        .select("entity", "term", (F.log(given / rate) / -F.log(rate)).alias("disclosure"))
+    )
+
+
+def _marked(text: Column, strong: Column) -> Column:
+    """All occurrences of the terms in ``strong``, a map of term to disclosure: array of (start, end, term, disclosure)."""
+    values = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    gaps = F.transform(F.split(text, TERM, -1), lambda x: F.length(x))
+    steps = F.zip_with(
+        gaps,
+        values,
+        lambda gap, value: F.struct(
+            gap.alias("gap"), F.length(value).alias("size"), F.lower(value).alias("term"), F.try_element_at(strong, F.lower(value)).alias("part")
+        ),
     )
+    type_ = "array<struct<start:int,end:int,term:string,disclosure:double>>"
+    found = F.aggregate(
+        F.filter(steps, lambda x: x["term"].isNotNull()),
+        F.struct(F.lit(0).alias("at"), F.array().cast(type_).alias("found")),
+        lambda so_far, x: F.struct(
+            (so_far["at"] + x["gap"] + x["size"]).alias("at"),
+            F.when(
+                x["part"].isNotNull(),
+                F.array_append(
+                    so_far["found"],
+                    F.struct(
+                        (so_far["at"] + x["gap"]).alias("start"),
+                        (so_far["at"] + x["gap"] + x["size"]).alias("end"),
+                        x["term"].alias("term"),
+                        x["part"].alias("disclosure"),
+                    ),
+                ),
+            )
+            .otherwise(so_far["found"])
+            .alias("found"),
+        ),
+        lambda so_far: so_far["found"],
+    )
+    return F.when(strong.isNotNull(), found).otherwise(F.array().cast(type_))
 
 
 def personal_data(docs: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
     """One row per row of ``docs``: doc_id, text, one array of (start, end, value) per base kind, and ``terms``, an array
-    of (start, end, term, disclosure, removed) of the words that give an entity away.
+    of (start, end, term, disclosure, removed) of the words that give away an entity of the document.
 
     A null text is the empty one and holds nothing; ids may be null or repeat, each row is its own document. An empty table
     gives an empty result. Offsets are code points, ends exclusive.
     """
     spark = docs.sparkSession
     found = base_spans(docs)
-    # Only rows with a span carry their text on; they are read more than once.
-    holding = found.where(" OR ".join(f"size({kind}) > 0" for kind in KINDS))
-    near = materialize(spark, near_terms(holding), "pii-near")
-    strong = disclosures(texts(docs), near, support).where(F.col("disclosure") >= generalise)
+    met = meetings(spark, materialize(spark, holders(found), "pii-holders"))
+    strong = materialize(spark, disclosures(texts(docs), met, support).where(F.col("disclosure") >= generalise), "pii-strong")
     marks = (
-        near.join(strong, ["entity", "term"])
-        .groupBy("place", "start", "end", "term")
+        met.join(strong, ["entity", "term"])
+        .groupBy("place", "term")
         .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("place")
-        .agg(
-            F.sort_array(
-                F.collect_list(F.struct("start", "end", "term", "disclosure", (F.col("disclosure") >= remove).alias("removed")))
-            ).alias("terms")
-        )
+        .groupBy(F.col("place").alias("marked"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("strong"))
     )
-    marks = marks.withColumnRenamed("place", "marked")
     every = found.join(marks, F.col("place") == F.col("marked"), "left")
-    none = F.array().cast("array<struct<start:int,end:int,term:string,disclosure:double,removed:boolean>>")
     # A term inside a base span is part of it.
     outside = F.filter(
-        F.coalesce("terms", none),
+        _marked(F.col("text"), F.col("strong")),
         lambda t: ~F.exists(F.concat(*KINDS), lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])),
     )
-    return every.select("doc_id", "text", *KINDS, outside.alias("terms"))
+    terms = F.transform(
+        outside,
+        lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), t["term"].alias("term"), t["disclosure"].alias("disclosure"), (t["disclosure"] >= remove).alias("removed")),
+    )
+    return every.select("doc_id", "text", *KINDS, terms.alias("terms"))
 
 
 def _listed(*groups: tuple[str, Column]) -> Column:

@@ -104,6 +104,23 @@ def test_terms_by_disclosure(spark):
     assert clean[60] == texts[60]
 
 
+def test_terms_far_from_the_entity_and_of_few_documents(spark):
+    far = " ".join(["plain"] * 60)
+    texts = [f"Quillon {far} {'jo@x.org' if i < 4 else 'plain'} {far} quillon" for i in range(4)]
+    texts += [f"Ostrava {far} ann@y.org"] + [far] * 45
+    docs = spark.createDataFrame([(i, t, "en", "p", "e", "t") for i, t in enumerate(texts)], SCHEMA)
+    found = pii.personal_data(docs)
+    rows = {r.doc_id: r for r in found.collect()}
+    clean = {r.doc_id: r.clean for r in found.select("doc_id", pii.sanitised(found).alias("clean")).collect()}
+    for i in range(4):  # every occurrence, however far
+        assert [t.start for t in rows[i].terms] == [0, len(texts[i]) - 7] and "quillon" not in clean[i].lower()
+    # One document is too few for the plain estimate, 1: two more without more than the corpus' share of the entity.
+    n = len(texts)
+    (only,) = rows[4].terms
+    assert only.term == "ostrava" and abs(only.disclosure - math.log((1 + 2 / n) / 3 * n) / math.log(n)) < 1e-9 and not only.removed
+    assert "[term]" in clean[4] and all(rows[i].terms == [] for i in range(5, n))
+
+
 def test_empty_table_and_plan(spark):
     none = spark.createDataFrame([], SCHEMA)
     found = pii.personal_data(none)
