@@ -18,6 +18,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Below this mean probability no language is believed; code-switched prose stays above it.
 LEAST_LANGUAGE_SCORE = 0.35
+#: Near copies share this percentage of their n-grams of so many words; op2 has its own contract of 4 and 85.
+NEAR_COPY_WORDS = 5
+NEAR_COPY_PERCENT = 80
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +35,7 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def ngram_jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the least id."""
-    return jaccard.drop_near_copies(docs)
+    return jaccard.drop_near_copies(docs, NEAR_COPY_WORDS, NEAR_COPY_PERCENT)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -124,6 +124,19 @@ def test_stages(spark):
     assert {p.doc_id for p in after} == {r.doc_id for r in before}
 
 
+def test_near_copies_of_the_stage(spark):
+    text = [f"w{i}" for i in range(100)]
+    scattered = [f"v{i}" for i in range(96)]
+    edited = [w if i % 48 != 24 else "edited" for i, w in enumerate(scattered)]
+    rows = [(1, text), (2, text + [f"new{i}" for i in range(20)]), (3, scattered), (4, edited), (5, text[:70])]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", 1) for i, t in rows], SCHEMA)
+    sets = {i: {tuple(t[k : k + 5]) for k in range(len(t) - 4)} for i, t in rows}
+    linked = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    assert linked == {(1, 2), (3, 4)}
+    stage = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"]
+    assert sorted(r.doc_id for r in stage(spark, docs, FOLDER).collect()) == [1, 3, 5]
+
+
 def test_empty_documents_run_through(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"file://{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"file://{tmp_path}/benchmark.parquet")
