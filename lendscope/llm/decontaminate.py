@@ -18,7 +18,7 @@ from lendscope.llm.common import texts
 
 #: Edits allowed, as a part of an item's characters.
 MAX_ERROR = 0.08
-#: An item with fewer characters is no passage: it would be found by chance.
+#: Below so many characters an item is short. Short ones are sought like all others; it is no limit of the search.
 SHORTEST_ITEM = 40
 #: Items go through the documents in blocks of so many characters, whose automaton every task can hold.
 BLOCK_CHARS = 1 << 19
@@ -28,6 +28,8 @@ HITS = "doc_id long, item_id long, distance long, start long, end long"
 
 _BLANK = re.compile(r"\s")
 _BLANKS = re.compile(r"  +")
+# Scripts without blanks between words: Thai to Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
 
 
 def _flat(text: str | None) -> str:
@@ -94,6 +96,14 @@ class Pattern:
         return best, end
 
 
+def _in_word(text: str, place: int) -> bool:
+    """Whether a word of a script with blanks between words goes on across ``place``."""
+    if not 0 < place < len(text):
+        return False
+    pair = text[place - 1 : place + 1]
+    return all(c.isalnum() and not _UNSPACED.match(c) for c in pair)
+
+
 class Finder:
     """Searches documents for a block of items."""
 
@@ -116,10 +126,17 @@ class Finder:
     def search(self, text: str) -> Iterator[tuple[int, int, int, int]]:
         """(item_id, distance, start, end) of the nearest occurrence of every item that the text holds."""
         around: dict[int, set[int]] = {}
+        whole: set[int] = set()
         for last, (length, owners) in self.automaton.iter(text):
             begin = last + 1 - length
             for number, start in owners:
-                around.setdefault(number, set()).add(begin - start)
+                item_id, _, budget = self.items[number]
+                if budget:
+                    around.setdefault(number, set()).add(begin - start)
+                # An item that may not differ is its only piece; it must not be a part of longer words.
+                elif number not in whole and not _in_word(text, begin) and not _in_word(text, last + 1):
+                    whole.add(number)
+                    yield item_id, 0, begin, last + 1
         for number, origins in around.items():
             item_id, item, budget = self.items[number]
             if number not in self.patterns:
@@ -168,7 +185,7 @@ def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterato
     held, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
         item = normalised(row["text"])
-        if len(item) >= SHORTEST_ITEM:
+        if item:
             held.append((row["item_id"], item))
             size += len(item)
             if size >= block_chars:
@@ -184,10 +201,10 @@ def contaminations(
     """One row per document and benchmark item found in it: doc_id, item_id, distance, start, end.
 
     The whole item must stand in the document with at most ``max_error`` of its characters edited, letter case and
-    blanks apart. start and end are code points of the document's text, of the nearest occurrence.
+    blanks apart. An item too short for a single edit must stand there as it is, between ends of words where its script has them.
+    start and end are code points of the document's text, of the nearest occurrence.
     Documents without a hit have no row. Null
-    and empty texts hold nothing; items that are null or shorter than `SHORTEST_ITEM` are not
-    sought; repeated rows and ids count each by themselves. Empty tables give an empty result.
+    and empty texts hold nothing; null and empty items are not sought; repeated rows and ids count each by themselves. Empty tables give an empty result.
 
     The benchmark is the stated set of queries: it passes in blocks of bounded size, each of which every
     document meets in its own task, so nothing is shuffled and no group of documents is gathered.

@@ -69,6 +69,30 @@ def test_against_the_whole_table(spark):
     )
 
 
+def test_short_items(spark):
+    items = [(1, "Who wrote Hamlet?"), (2, "水の化学式は何ですか"), (3, "pi"), (4, "Name the largest moon of Saturn"), (5, " "), (6, "法国")]
+    docs = [
+        (10, "Quiz: who  wrote\nHAMLET? Nobody knows"),
+        (11, "問題:水の化学式は何ですか。答え"),
+        (12, "pint of opium, rapid pi3"),
+        (13, "value of PI, about three"),
+        (14, "he asked: nme the largest mooon of saturn!"),
+        (15, "他在法国住"),
+        (16, "clean"),
+        (17, None),
+        (18, "who wrxte hxmlet? two edits of 17 characters are too many"),
+        (19, "spin the pi"),
+    ]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.distance): docs[r.doc_id - 10][1][r.start : r.end] for r in d.contaminations(frame, bench).collect()}
+    assert set(found) == {(10, 1, 0), (11, 2, 0), (13, 3, 0), (14, 4, 2), (15, 6, 0), (19, 3, 0)}
+    assert found[10, 1, 0] == "who  wrote\nHAMLET?" and found[11, 2, 0] == items[1][1] and found[13, 3, 0] == "PI" and found[15, 6, 0] == "法国"
+    for doc_id, item, distance in found:
+        assert least_distance(d.normalised(dict(items)[item]), d.normalised(dict(docs)[doc_id])) == distance
+    assert sorted(r.doc_id for r in d.drop_contaminated(frame, bench).collect()) == [12, 16, 17, 18]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "text", "en", "p", "i")], SCHEMA)
     bench = spark.createDataFrame([(1, "t" * 60)], "item_id long, text string")
