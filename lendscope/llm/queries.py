@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lendscope.llm import decontaminate, exact_dedup, jaccard, langid, packing, pii, quality, substrings, token_counts, toxicity
+from lendscope.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard,
+    langid,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    substrings,
+    token_counts,
+    toxicity,
+)
 from lendscope.llm.common import table
 from lendscope.session import run_folder
 
@@ -64,6 +76,10 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -75,8 +91,10 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.SQL,
+    "op11_prefix_trie": prefix_trie.SQL,
 }
