@@ -18,6 +18,8 @@ from lendscope.llm import (
     substrings,
     token_counts,
     toxicity,
+    turn_repair,
+    vector_cells,
 )
 from lendscope.llm.common import table
 from lendscope.session import run_folder
@@ -80,6 +82,14 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
 
 
+def op12_exact_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_cells.nearest(table(spark, folder, "embeddings"))
+
+
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
@@ -92,9 +102,12 @@ QUERIES: dict[str, Query] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_exact_search": op12_exact_search,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
+    "op12_exact_search": vector_cells.SQL,
 }
