@@ -5,13 +5,14 @@ hashed into a table of weights, and a matrix of learned transitions couples neig
 code-switched text lean on those around them. Marginals come from forward-backward
 over stretches of words, all stretches of a batch at once. A document's scores are its words' mean marginals.
 
-The field is trained here by gradient ascent of the conditional likelihood, on a bounded sample of labelled documents.
-Labels are per document; so that transitions are learned from more than
-unbroken runs, training stretches are also spliced from documents of different languages.
+The field is trained here by gradient ascent of the conditional likelihood, on a bounded sample of labelled documents, in
+one task of an executor; only its weights reach the driver. Labels are per document; so that transitions are learned
+from more than unbroken runs, training stretches are also spliced from documents of different languages.
 """
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,8 @@ from lendscope.llm.wordhash import mix, slices, text_buffers, words
 SAMPLE_PER_LANGUAGE = 250
 #: Words of one stretch: the chain that forward-backward runs over.
 STRETCH = 32
-#: Words of training in all; a bound on the driver's work.
-TRAINING_WORDS = 160_000
+#: Stretches that training takes of one document, evenly over its length.
+STRETCHES_PER_DOCUMENT = 6
 ROUNDS = 12
 RATE = 0.35
 DECAY = 1e-4
@@ -120,27 +121,20 @@ def stretches(counts: np.ndarray, length: int = STRETCH) -> tuple[np.ndarray, np
 
 
 def train(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 17) -> Model | None:
-    """A field for the languages of ``sample``, (text, language) rows in a fixed order; None without any."""
+    """A field for the languages of ``sample``, (stretch of words, language) rows in a fixed order; None without any."""
     languages = sorted({lang for _, lang in sample})
     if not languages:
         return None
     size = len(languages)
     rng = np.random.default_rng(seed)
-    # Words of the sample in stretches; the texts are taken in turn until there are words enough.
     offsets, data = text_buffers(pa.array([text for text, _ in sample]))
     found = words(offsets, data, lower=True)
     labels = np.array([languages.index(lang) for _, lang in sample])
     counts = found.counts
-    stretch, place = stretches(counts)
+    stretch, _ = stretches(counts)
     label = np.repeat(labels, counts)
     pieces = np.split(np.arange(len(stretch)), np.flatnonzero(np.diff(stretch)) + 1)
-    pieces = [pieces[i] for i in rng.permutation(len(pieces))]
-    chosen, total = [], 0
-    for piece in pieces:
-        if total >= TRAINING_WORDS:
-            break
-        chosen.append(piece)
-        total += len(piece)
+    chosen = [pieces[i] for i in rng.permutation(len(pieces))]
     # A third of the stretches is spliced from two, which mostly differ in language.
     for i in range(0, len(chosen) - 1, 3):
         a, b = chosen[i], chosen[i + 1]
@@ -149,10 +143,10 @@ def train(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 17) -
     chosen = [piece for piece in chosen if len(piece)]
     model = Model(
         languages,
-        *(np.zeros((TABLE, size)) for _ in range(3)),
-        bias=np.zeros(size),
-        start=np.zeros(size),
-        transitions=np.eye(size),
+        *(np.zeros((TABLE, size), np.float32) for _ in range(3)),
+        bias=np.zeros(size, np.float32),
+        start=np.zeros(size, np.float32),
+        transitions=np.eye(size, dtype=np.float32),
     )
     if not chosen:
         return model
@@ -166,20 +160,20 @@ def train(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 17) -
     wide = np.diff(np.append(first, len(trigram)))
     taken = np.repeat(first[rows] - (np.cumsum(wide[rows]) - wide[rows]), wide[rows]) + np.arange(int(wide[rows].sum()))
     features = trigram[taken], np.cumsum(wide[rows]) - wide[rows], affixes[rows], lexicon[rows]
-    truth = np.eye(size)[label[rows]]
+    truth = np.eye(size, dtype=np.float32)[label[rows]]
     follows = np.flatnonzero(column > 0)
     seen = np.zeros((size, size))
     np.add.at(seen, (label[rows][follows - 1], label[rows][follows]), 1)
     begins = truth[column == 0].sum(axis=0)
     weights = [model.trigrams, model.affixes, model.lexicon, model.bias, model.start, model.transitions]
     squares = [np.full_like(w, 1e-6) for w in weights]
-    share = 1 / np.sqrt(np.repeat(wide[rows], wide[rows]))
+    share = (1 / np.sqrt(np.repeat(wide[rows], wide[rows]))).astype(np.float32)
 
     def summed(index, values):
         return np.stack([np.bincount(index, values[:, k], TABLE) for k in range(size)], axis=1)
 
     for _ in range(rounds):
-        scores = np.zeros((len(chosen), STRETCH, size))
+        scores = np.zeros((len(chosen), STRETCH, size), np.float32)
         scores[row, column] = emissions(model, features)
         marginals, expected = forward_backward(scores, mask, model, pairs=True)
         error = truth - marginals[row, column]
@@ -192,7 +186,7 @@ def train(sample: list[tuple[str, str]], rounds: int = ROUNDS, seed: int = 17) -
             seen - expected,
         ]
         for weight, square, gradient in zip(weights, squares, gradients):
-            gradient = gradient - DECAY * len(rows) / TABLE * weight
+            gradient = (gradient - DECAY * len(rows) / TABLE * weight).astype(np.float32)
             square += gradient**2
             weight += RATE * gradient / np.sqrt(square)
     return model
@@ -230,8 +224,42 @@ def _labeller(model: Model):
     return step
 
 
-def sample_of(docs: DataFrame, held_out, per_language: int = SAMPLE_PER_LANGUAGE) -> list[tuple[str, str]]:
-    """At most ``per_language`` labelled (text, language) rows of each language outside the held-out fold, in a fixed order."""
+def _cutter(most: int):
+    """A step from labelled documents to ``most`` of their stretches, as texts: (lang, order, part, stretch)."""
+
+    def step(batches):
+        for batch in batches:
+            langs, orders, parts, texts = [], [], [], []
+            for lang, order, text in zip(*(batch.column(n).to_pylist() for n in range(3))):
+                offsets, data = text_buffers(pa.array([text]))
+                found = words(offsets, data, lower=False)
+                count = -(-len(found.starts) // STRETCH)
+                for part in sorted({i * count // most for i in range(most)} if count > most else range(count)):
+                    first, last = part * STRETCH, min((part + 1) * STRETCH, len(found.starts)) - 1
+                    langs.append(lang)
+                    orders.append(order)
+                    parts.append(part)
+                    texts.append(data[found.starts[first] : found.ends[last]].tobytes().decode())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(orders, pa.int64()), pa.array(parts, pa.int64()), pa.array(texts, pa.string())],
+                ["lang", "order", "part", "stretch"],
+            )
+
+    return step
+
+
+def _train_all(batches):
+    """The one task that trains: all stretches of the sample, in their order, to the model's weights."""
+    sample = [row for batch in batches for row in zip(batch.column(3).to_pylist(), batch.column(0).to_pylist())]
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(sample))], pa.binary())], ["model"])
+
+
+def sample_of(docs: DataFrame, held_out, per_language: int = SAMPLE_PER_LANGUAGE, per_document: int = STRETCHES_PER_DOCUMENT) -> DataFrame:
+    """(lang, order, part, stretch): up to ``per_document`` stretches of each of at most ``per_language`` labelled documents a language.
+
+    The documents are those outside the held-out fold with the least hash of their id. So every language
+    trains on a like share, whatever the lengths of its texts, and no whole text leaves its task.
+    """
     named = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out)
     order = F.xxhash64("doc_id")
     ranked = named.select("doc_id", "lang").withColumn(
@@ -240,8 +268,15 @@ def sample_of(docs: DataFrame, held_out, per_language: int = SAMPLE_PER_LANGUAGE
     chosen = ranked.where(F.col("n") <= per_language).select(F.col("doc_id").alias("chosen"))
     # A few hundred ids a language, whatever the table holds.
     rows = named.join(F.broadcast(chosen.distinct()), F.col("doc_id") == F.col("chosen"), "left_semi")
-    found = rows.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "lang").collect()
-    return [(r["text"], r["lang"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["lang"], r["text"]))]
+    rows = rows.select("lang", F.col("doc_id").cast("long").alias("order"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(_cutter(per_document), "lang string, order long, part long, stretch string")
+
+
+def trained(docs: DataFrame, held_out, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
+    """The field for the labels of ``docs``. The sample, which has a fixed bound, meets in one task; a lost one trains the same again."""
+    sample = sample_of(docs, held_out, per_language).repartition(1).sortWithinPartitions("order", "part", "lang", "stretch")
+    found = sample.mapInArrow(_train_all, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else None
 
 
 def labelled(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -266,7 +301,7 @@ def languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataF
     or one without a letter, is ``und`` with score 0, and so are all when no label can be learned from. Null and
     repeated ids are judged like all others; documents without an id or a label are not learned from.
     """
-    model = train(sample_of(docs, in_fold("doc_id"), per_language))
+    model = trained(docs, in_fold("doc_id"), per_language)
     return labelled(docs.select("doc_id", "text"), model).select(
         "doc_id", in_fold("doc_id").alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score")
     )
@@ -274,7 +309,7 @@ def languages(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> DataF
 
 def keep_known(docs: DataFrame, least_score: float, per_language: int = SAMPLE_PER_LANGUAGE) -> DataFrame:
     """The rows of ``docs`` whose language is known with ``least_score`` at least, with their own columns."""
-    model = train(sample_of(docs, in_fold("doc_id"), per_language))
+    model = trained(docs, in_fold("doc_id"), per_language)
     return labelled(docs, model).where(
         (F.col("_lang_pred") != NO_LANGUAGE) & (F.col("_lang_score") >= least_score)
     ).select(*docs.columns)
