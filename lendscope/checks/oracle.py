@@ -521,6 +521,7 @@ SQL["latest_macro_stream"] = SQL["latest_macro"]
 
 # --- search, routing, assessments ---
 SQL["search_bm25"] = "SELECT query_id, rank, doc_id, score FROM benchmark_hits WHERE rank <= 5"
+SQL["search_scan"] = SQL["search_refreshed"] = SQL["search_bm25"]
 SIMILARITY = "round(list_cosine_similarity(embedding::DOUBLE[], centre), 6)"
 SQL["search_topk"] = f"""
     SELECT label AS query_id, vec_id, similarity, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, vec_id)

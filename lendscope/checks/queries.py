@@ -12,9 +12,10 @@ from lendscope import fixed
 from lendscope.functions.numbers import grouped, money
 from lendscope.functions.text import clean_reply, markup_text, markup_title
 from lendscope.operators import search
-from lendscope.operators.maintenance import Versions, new_files, replace_by_key
+from lendscope.operators.maintenance import Versions, input_state, new_files, replace_by_key
 from lendscope.operators.quality import InSet, MaxLength, NotNull, Reference, Unique, check_rules
 from lendscope.operators.sections import join_ranges, plan_ranges
+from lendscope.operators.word_index import WordIndex, where_any
 from lendscope.plans import (
     advisor,
     applications,
@@ -63,12 +64,14 @@ def on_book(name: str) -> Callable[[Callable[[Book], DataFrame]], Callable[[Book
     return register
 
 
-_SCORES: dict[tuple[str, str], str] = {}
+_SCORES: dict[tuple, str] = {}
+_SCORED = ("customer", "supplier", "part", "nation", "region", "orders", "lineitem", "events")
 
 
 def scored_book(spark: SparkSession, folder: str) -> Book:
-    """The derived book with its stored score table, which a session computes once per folder, as a refresh job would."""
-    book, key = derived_book(spark, folder), (spark.sparkContext.applicationId, folder)
+    """The derived book with its stored score table, which a session computes once per state of the files, as a refresh job would."""
+    book = derived_book(spark, folder)
+    key = (spark.sparkContext.applicationId, *(input_state(book[name]) for name in _SCORED))
     if key not in _SCORES:
         base = run_folder(spark, "scores")
         scoring.publish_scores(book, base)
@@ -551,8 +554,10 @@ def policies_filtered(book: Book) -> DataFrame:
 # --- macro feed ---
 
 
-def feed_folder(book: Book, folder: str | None = None) -> str:
-    """The derived indicators as feed files: one array of records per day, and single objects and broken lines.
+def feed_folder(book: Book, folder: str | None = None, by_line: bool = False) -> str:
+    """The derived indicators as feed files, which hold arrays, objects over many lines and broken lines in any order.
+
+    ``by_line`` writes every value on one line.
 
     A day has one record per indicator. Every day's broken line carries its date, and
     every day has one record whose value is no number.
@@ -567,7 +572,8 @@ def feed_folder(book: Book, folder: str | None = None) -> str:
     record = F.to_json(F.struct(*keys))
     days = indicators.filter(~cpi).groupBy("report_date").agg(F.sort_array(F.collect_list(record)).alias("records"))
     arrays = days.select(F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value"))
-    objects = indicators.filter(cpi).select(record.alias("value"))
+    whole = record if by_line else F.to_json(F.struct(*keys), {"pretty": "true"})
+    objects = indicators.filter(cpi).select(whole.alias("value"))
     date = F.col("report_date").cast("string")
     broken = days.select(
         F.explode(
@@ -577,7 +583,7 @@ def feed_folder(book: Book, folder: str | None = None) -> str:
             )
         ).alias("value")
     )
-    arrays.unionByName(objects).unionByName(broken).write.text(folder)
+    arrays.unionByName(objects).unionByName(broken).coalesce(4).write.text(folder)
     return folder
 
 
@@ -637,7 +643,7 @@ def latest_macro_stream(book: Book) -> DataFrame:
     """Newest report per indicator, kept as streaming state over the feed files."""
     spark, target = book.spark, run_folder(book.spark, "latest")
     versions = Versions(spark, f"{target}/table")
-    stream = macro_feed.good_indicators(macro_feed.stream_feed(spark, feed_folder(book)))
+    stream = macro_feed.good_indicators(macro_feed.stream_feed(spark, feed_folder(book, by_line=True)))
     query = (
         macro_feed.latest_per_indicator(stream)
         .writeStream.outputMode("complete")
@@ -659,17 +665,53 @@ def benchmark_questions(book: Book) -> DataFrame:
     return book["benchmark"].select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
+_INDEXES: dict[tuple, tuple[WordIndex, str]] = {}
+
+
+def corpus_index(name: str, corpus: DataFrame, key: str, text: str, attributes: tuple[str, ...] = ()) -> WordIndex:
+    """The stored index of a corpus, which a session keeps; it is refreshed when the files below have changed, as the service does."""
+    spark = corpus.sparkSession
+    place = (spark.sparkContext.applicationId, name, *sorted({path.rsplit("/", 2)[0] for path in corpus.inputFiles()}))
+    state = input_state(corpus)
+    if place not in _INDEXES or _INDEXES[place][1] != state:
+        index = _INDEXES[place][0] if place in _INDEXES else WordIndex(spark, run_folder(spark, "word-index"), key, attributes)
+        index.refresh(corpus, text)
+        _INDEXES[place] = index, state
+    return _INDEXES[place][0]
+
+
+def document_index(book: Book) -> WordIndex:
+    return corpus_index("documents", book["documents"], "doc_id", "text", ("lang", "source"))
+
+
 @on_book("search_bm25")
 def search_bm25(book: Book) -> DataFrame:
-    return search.bm25(book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE)
+    return document_index(book).best(benchmark_questions(book), fixed.HITS_POLICY_PAGE)
 
 
 @on_book("search_policies")
 def search_policies(book: Book) -> DataFrame:
     """The best documents of two languages for every question, with their source."""
-    return search.search(
-        book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE, "doc_id", "text", {"lang": ["de", "fr"]}, ("lang", "source")
-    )
+    where = where_any({"lang": ["de", "fr"]})
+    return document_index(book).best(benchmark_questions(book), fixed.HITS_POLICY_PAGE, where, ("lang", "source"))
+
+
+@on_book("search_scan")
+def search_scan(book: Book) -> DataFrame:
+    """The same ranking without an index, as for a corpus that is searched once."""
+    return search.bm25(book["documents"], benchmark_questions(book), fixed.HITS_POLICY_PAGE)
+
+
+@on_book("search_refreshed")
+def search_refreshed(book: Book) -> DataFrame:
+    """The ranking by an index of an older corpus - some documents missing, some longer, some since removed - after its refresh."""
+    docs, number = book["documents"].select("doc_id", "text"), F.col("doc_id")
+    older = docs.where(number % 10 != 0).withColumn("text", F.when(number % 10 == 1, F.concat("text", F.lit(" older words"))).otherwise(F.col("text")))
+    removed = docs.where(number % 10 == 2).select((-number - 1).alias("doc_id"), "text")
+    index = WordIndex(book.spark, run_folder(book.spark, "word-index"), "doc_id")
+    index.refresh(older.unionByName(removed), "text")
+    index.refresh(docs, "text")
+    return index.best(benchmark_questions(book), fixed.HITS_POLICY_PAGE)
 
 
 def label_centres(book: Book) -> DataFrame:
@@ -723,7 +765,9 @@ def reply_cleanup(book: Book) -> DataFrame:
 @on_scores("question_context")
 def question_context(book: Book) -> DataFrame:
     corpus = book["documents"].select("doc_id", F.col("source").alias("title"), F.col("lang").alias("section"), "text")
-    result = advisor.question_context(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
+    result = advisor.question_context(
+        book, benchmark_questions(book), corpus, "doc_id", "title", "text", index=document_index(book)
+    )
     return result.select(
         "query_id", F.array_join("datasets", ",").alias("datasets"), "data_context", "context"
     )
@@ -732,7 +776,9 @@ def question_context(book: Book) -> DataFrame:
 @on_scores("question_context_first")
 def question_context_first(book: Book) -> DataFrame:
     corpus = book["documents"].select("doc_id", F.col("source").alias("title"), "text")
-    result = advisor.question_context_first(book, benchmark_questions(book), corpus, "doc_id", "title", "text")
+    result = advisor.question_context_first(
+        book, benchmark_questions(book), corpus, "doc_id", "title", "text", index=document_index(book)
+    )
     return result.select("query_id", "dataset", "data_context", "context")
 
 
@@ -756,7 +802,9 @@ def benchmark_policies(book: Book) -> DataFrame:
 def document_assessments(book: Book, run_date: str, run_id: str = "run-1", hour: int = 9) -> DataFrame:
     """Assessments with the real appraisal query, as one run at a given hour generated them."""
     made = F.expr(f"TIMESTAMP_NTZ '{run_date} {hour:02d}:00:00'")
-    return assessments.assessments(book, benchmark_policies(book), run_date, run_id=run_id, generated_at=made)
+    policies = benchmark_policies(book)
+    index = corpus_index("policies", policies, "policy_id", "content")
+    return assessments.assessments(book, policies, run_date, run_id=run_id, generated_at=made, index=index)
 
 
 ASSESSMENT = (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -29,6 +30,22 @@ def new_files(listing: DataFrame, known: DataFrame) -> DataFrame:
     return listing.join(done, ["file_name", "file_hash"], "left_anti")
 
 
+def input_state(df: DataFrame) -> str:
+    """A digest of the files a DataFrame reads: it changes when one is added, removed or written again.
+
+    Folders are listed, no file is opened.
+    """
+    spark = df.sparkSession
+    files = set(df.inputFiles())
+    conf, state = spark._jsc.hadoopConfiguration(), []
+    for folder in sorted({name.rsplit("/", 1)[0] for name in files}):
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        for status in path.getFileSystem(conf).listStatus(path):
+            if status.getPath().toUri().toString() in files or status.getPath().toString() in files:
+                state.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr((sorted(files), sorted(state))).encode()).hexdigest()
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lendscope import fixed
 from lendscope.functions.text import fill, route_words
 from lendscope.operators.search import bm25, hit_rows
+from lendscope.operators.word_index import WordIndex
 from lendscope.plans.scoring import latest_macro
 from lendscope.sources.tables import Book
 
@@ -133,9 +134,13 @@ def policy_context(
     form: str = "[{title} - {section}]: {text}\n\n",
     separator: str = "",
     section: str = "section",
+    index: WordIndex | None = None,
 ) -> DataFrame:
-    """query_id and ``context``: the best hits by rank in the given form, each hit and the whole cut to its limit."""
-    found = bm25(corpus, questions, hits, key, text)
+    """query_id and ``context``: the best hits by rank in the given form, each hit and the whole cut to its limit.
+
+    With the corpus' stored index, only the hits are read from the corpus.
+    """
+    found = bm25(corpus, questions, hits, key, text) if index is None else index.best(questions, hits)
     named = {"section": f"coalesce({section}, '')"} if "{section}" in form else {}
     line = fill(form, title=title, text=f"left({text}, {length})", **named)
     lines = hit_rows(found, questions, hits, corpus, key, [line.alias("line")])
@@ -150,15 +155,22 @@ def _with_context(questions: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def question_context(
-    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str, section: str = "section"
+    book: Book,
+    questions: DataFrame,
+    corpus: DataFrame,
+    key: str,
+    title: str,
+    text: str,
+    section: str = "section",
+    index: WordIndex | None = None,
 ) -> DataFrame:
     """query_id, query, datasets, data_context and policy context ('' without a hit) of every question."""
     with_data = data_context(book, questions, "query")
-    return _with_context(with_data, policy_context(questions, corpus, key, title, text, section=section))
+    return _with_context(with_data, policy_context(questions, corpus, key, title, text, section=section, index=index))
 
 
 def question_context_first(
-    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str
+    book: Book, questions: DataFrame, corpus: DataFrame, key: str, title: str, text: str, index: WordIndex | None = None
 ) -> DataFrame:
     """The shorter form: the first matching dataset with its first rows (none without a match) and two hits."""
     routed = questions.withColumn("dataset", route_first(F.col("query")))
@@ -168,6 +180,6 @@ def question_context_first(
         data = F.when(F.col("dataset") == dataset, F.col(f"_{dataset}")).otherwise(data)
     with_data = routed.withColumn("data_context", data).select(*questions.columns, "dataset", "data_context")
     contexts = policy_context(
-        questions, corpus, key, title, text, fixed.HITS_ADVISOR_FIRST, fixed.HIT_LENGTH_FIRST, "{title}: {text}", "\n"
+        questions, corpus, key, title, text, fixed.HITS_ADVISOR_FIRST, fixed.HIT_LENGTH_FIRST, "{title}: {text}", "\n", index=index
     )
     return _with_context(with_data, contexts)

@@ -10,6 +10,7 @@ from lendscope.functions.banding import band
 from lendscope.functions.text import fill, or_missing
 from lendscope.operators.latest import latest, newest
 from lendscope.operators.search import bm25, hit_rows
+from lendscope.operators.word_index import WordIndex
 from lendscope.plans.scoring import scored_customers
 from lendscope.plans.signals import MARGIN_PERCENT, classified
 from lendscope.providers import Provider, complete
@@ -31,11 +32,20 @@ TEMPLATE_MODEL = "template"
 
 
 def search_context(
-    policies: DataFrame, query: str, hits: int, key: str = "policy_id", text: str = "content", title: str = "title"
+    policies: DataFrame,
+    query: str,
+    hits: int,
+    key: str = "policy_id",
+    text: str = "content",
+    title: str = "title",
+    index: WordIndex | None = None,
 ) -> DataFrame:
-    """One row: ``title: content`` of the best hits, in rank order, cut to the length that can be used."""
+    """One row: ``title: content`` of the best hits, in rank order, cut to the length that can be used.
+
+    With the policies' stored index, no policy but the hits is read.
+    """
     asked = policies.sparkSession.range(1).select(F.col("id").alias("query_id"), F.lit(query).alias("query"))
-    found = bm25(policies, asked, hits, key, text)
+    found = bm25(policies, asked, hits, key, text) if index is None else index.best(asked, hits)
     # Only the first characters of a hit can reach the citation.
     line = F.concat(title, F.lit(": "), F.left(text, F.lit(fixed.CITATION_LENGTH))).alias("line")
     best = hit_rows(found, asked, hits, policies, key, [line])
@@ -84,13 +94,14 @@ def assessments(
     model: str = TEMPLATE_MODEL,
     run_id: str = "run-1",
     generated_at: Column | None = None,
+    index: WordIndex | None = None,
 ) -> DataFrame:
     """One assessment per customer (or per wanted customer), with its prompt and the columns of the audit table."""
     scored = scored_customers(book)
     if wanted is not None:
         scored = scored.join(wanted.select("customer_id"), "customer_id", "left_semi")
     rows = classified(scored).withColumns(input_texts())
-    rows = rows.withColumn("_regulations", search_context(policies, query, fixed.HITS_ASSESSMENT).scalar())
+    rows = rows.withColumn("_regulations", search_context(policies, query, fixed.HITS_ASSESSMENT, index=index).scalar())
     shared = {
         "company": "company_name",
         "industry": "industry",

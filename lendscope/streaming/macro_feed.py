@@ -14,6 +14,7 @@ from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import Versions, read_or_empty
 from lendscope.sources.schemas import DEFAULTS, SCHEMAS
 from lendscope.sources.tables import with_defaults
+from lendscope.streaming.record_scan import scanned_records
 
 # --- fixed values: feed keys, the columns they fill and their types ---
 FEED_FIELDS = (
@@ -34,7 +35,11 @@ INDICATOR_COLUMNS = [column for _, column, _ in FEED_FIELDS]
 _TEXT = T.StructType([T.StructField("value", T.StringType())])
 
 
-_FILE = "_metadata.file_name AS source_file", "_metadata.file_path AS source_path"
+_FILE = (
+    "_metadata.file_name AS source_file",
+    "_metadata.file_path AS source_path",
+    "_metadata.file_block_start AS source_block",
+)
 
 
 def _document() -> Column:
@@ -64,19 +69,21 @@ def _to_raw(texts: DataFrame) -> DataFrame:
 
 
 def records(lines: DataFrame) -> DataFrame:
-    """The records of feed files given as lines, whether a file has one value per line or one value over many lines.
+    """The records of feed files given as lines: one value a line, values and arrays over many lines, or all of these mixed.
 
-    Only a file with a line that is no JSON is read again as a whole; if that is one JSON
-    value, it counts instead of its lines. Such files are few and named by the driver;
-    large files of one value per line are never held in one piece.
+    Files whose every line is JSON are read line by line, in parallel. Only those with a line that is none are
+    scanned for the ends of their records, each in one task that holds one record at a time. What is no JSON then either
+    stays a record, without a value.
     """
-    broken = lines.filter((F.length(F.trim("value")) > 0) & _document().isNull())
-    paths = [row["source_path"] for row in broken.select("source_path").distinct().collect()]
-    if not paths:
+    if "source_block" not in lines.columns:
+        lines = lines.withColumn("source_block", F.lit(0).cast("long"))
+    lines = lines.withColumn("_at", F.monotonically_increasing_id())
+    broken = lines.filter((F.length(F.trim("value")) > 0) & _document().isNull()).select("source_path").distinct()
+    if broken.isEmpty():
         return _to_raw(lines)
-    whole = lines.sparkSession.read.text(paths, wholetext=True).selectExpr("value", *_FILE).filter(_document().isNotNull())
-    rest = lines.join(whole.select("source_path"), "source_path", "left_anti")
-    return _to_raw(whole).unionByName(_to_raw(rest))
+    torn = scanned_records(lines.join(broken, "source_path", "left_semi"))
+    whole = lines.join(broken, "source_path", "left_anti")
+    return _to_raw(torn).unionByName(_to_raw(whole))
 
 
 def read_feed(spark: SparkSession, folder: str) -> DataFrame:
