@@ -11,14 +11,16 @@ from lendscope.session import materialize
 _PLACE_BITS = 33
 
 
-def number_rows(spark: SparkSession, df: DataFrame, order: list[str], name: str) -> DataFrame:
+def number_rows(spark: SparkSession, df: DataFrame, order: list[str], name: str, written: bool = False) -> DataFrame:
     """Adds 1, 2, 3, ... in the given order, whose columns must identify a row and not be NULL.
 
-    The rows are range-partitioned and sorted by their order columns and written once, each with its
+    Dealing out by ranges reads its input twice, once for a sample of the order columns. So the rows are written
+    first, unless they are a written table already. The rows are range-partitioned and sorted by their order columns and written once, each with its
     partition and its place there. Every partition holds one stretch of the order, and a row's
     number is its place plus the rows of the stretches before, of which there are as many as
     partitions: no row is moved a second time.
     """
+    df = df if written else materialize(spark, df, "numbering")
     tag = F.monotonically_increasing_id()
     stretches = materialize(
         spark,

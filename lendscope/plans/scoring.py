@@ -15,15 +15,16 @@ from lendscope.session import materialize
 from lendscope.sources.tables import Book
 
 FINANCIAL_ORDER = ("fiscal_year", "fiscal_quarter", "financial_id")
+RATING_ORDER = ("rating_date", "rating_id")
 
 
 def latest_financials(book: Book) -> DataFrame:
     """Newest statement per customer. A yearly statement (NULL quarter) counts as newer than Q4 of its year."""
-    return latest(book["company_financials"], ["customer_id"], [newest(column) for column in FINANCIAL_ORDER])
+    return financial_state(book["company_financials"])
 
 
 def latest_rating(book: Book) -> DataFrame:
-    return latest(book["credit_ratings"], ["customer_id"], [newest("rating_date"), newest("rating_id")])
+    return rating_state(book["credit_ratings"])
 
 
 def latest_industry(book: Book) -> DataFrame:
@@ -48,27 +49,36 @@ def statement_scores(statements: DataFrame) -> DataFrame:
     )
 
 
-def financial_scores(book: Book) -> DataFrame:
+# Each fact table is brought to one row per customer, its state, from which the scores follow. Where a
+# state is stored (see `plans.score_state`), it stands in for the fact table.
+
+
+def financial_state(statements: DataFrame) -> DataFrame:
+    return latest(statements, ["customer_id"], [newest(column) for column in FINANCIAL_ORDER])
+
+
+def financial_scores(book: Book, state: DataFrame | None = None) -> DataFrame:
     total = F.col("de_score") + F.col("cr_score") + F.col("icr_score") + F.col("npm_score")
-    return statement_scores(latest_financials(book)).withColumn("financial_health_score", total)
+    statements = latest_financials(book) if state is None else state
+    return statement_scores(statements).withColumn("financial_health_score", total)
 
 
-def repayment_summary(book: Book) -> DataFrame:
-    return (
-        book["loan_repayment"]
-        .groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("payments"),
-            F.count_if(F.col("payment_status") == "ON_TIME").alias("on_time"),
-            F.max("days_overdue").alias("max_overdue"),
-        )
-        .withColumn("on_time_pct", share(F.col("on_time"), F.col("payments"), 100))
+def repayment_state(repayments: DataFrame) -> DataFrame:
+    return repayments.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("payments"),
+        F.count_if(F.col("payment_status") == "ON_TIME").alias("on_time"),
+        F.max("days_overdue").alias("max_overdue"),
     )
 
 
-def repayment_scores(book: Book) -> DataFrame:
+def repayment_summary(book: Book, state: DataFrame | None = None) -> DataFrame:
+    state = repayment_state(book["loan_repayment"]) if state is None else state
+    return state.withColumn("on_time_pct", share(F.col("on_time"), F.col("payments"), 100))
+
+
+def repayment_scores(book: Book, state: DataFrame | None = None) -> DataFrame:
     """Adds the score columns to the summary: share paid on time and worst delay."""
-    scored = repayment_summary(book).withColumns(
+    scored = repayment_summary(book, state).withColumns(
         {
             "ontime_score": share(F.col("on_time"), F.col("payments"), fixed.ONTIME_MAXIMUM),
             "overdue_score": band("max_overdue", fixed.OVERDUE_DAYS),
@@ -77,20 +87,24 @@ def repayment_scores(book: Book) -> DataFrame:
     return scored.withColumn("repayment_score", (F.col("ontime_score") + F.col("overdue_score")).cast(SCORE))
 
 
-def cashflow_scores(book: Book) -> DataFrame:
-    sums = (
-        book["bank_transactions"]
-        .groupBy("customer_id")
-        .agg(
-            F.sum("credit_amount").alias("credit"),
-            F.sum("debit_amount").alias("debit"),
-            F.min("running_balance").alias("min_balance"),
-            F.avg("running_balance").alias("avg_balance"),
-            F.count_if(F.col("running_balance") < 0).alias("negative_rows"),
-        )
+def cashflow_state(transactions: DataFrame) -> DataFrame:
+    return transactions.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("transactions"),
+        F.sum("credit_amount").alias("credit"),
+        F.count("credit_amount").alias("credits"),
+        F.sum("debit_amount").alias("debit"),
+        F.count("debit_amount").alias("debits"),
+        F.sum("running_balance").alias("balance"),
+        F.count("running_balance").alias("balances"),
+        F.min("running_balance").alias("min_balance"),
+        F.count_if(F.col("running_balance") < 0).alias("negative_rows"),
     )
+
+
+def cashflow_scores(book: Book, state: DataFrame | None = None) -> DataFrame:
+    sums = cashflow_state(book["bank_transactions"]) if state is None else state
     flow = "credit / nullif(debit, 0)"
-    steady = "min_balance / nullif(avg_balance, 0)"
+    steady = "min_balance / nullif(balance / balances, 0)"
     scored = sums.select(
         "customer_id",
         band(flow, fixed.CREDIT_TO_DEBIT).alias("net_flow_score"),
@@ -105,25 +119,34 @@ def cashflow_scores(book: Book) -> DataFrame:
     return scored.withColumn("cashflow_behavior_score", total)
 
 
-def collateral_scores(book: Book) -> DataFrame:
+def collateral_state(loans: DataFrame) -> DataFrame:
+    active = loans.filter(F.col("loan_status") == "ACTIVE")
+    return active.groupBy("customer_id").agg(
+        F.count(F.lit(1)).alias("loans"),
+        F.sum("outstanding_balance").alias("total_outstanding"),
+        F.count("outstanding_balance").alias("outstandings"),
+        F.sum("collateral_value").alias("total_collateral"),
+        F.count("collateral_value").alias("collaterals"),
+    )
+
+
+def collateral_scores(book: Book, state: DataFrame | None = None) -> DataFrame:
     """Cover of the ACTIVE loans; a customer without one has no row here."""
-    return (
-        book["loan_history"]
-        .filter(F.col("loan_status") == "ACTIVE")
-        .groupBy("customer_id")
-        .agg(
-            F.sum("outstanding_balance").alias("total_outstanding"),
-            F.sum("collateral_value").alias("total_collateral"),
-        )
-        .withColumn(
-            "collateral_score",
-            band("total_collateral / nullif(total_outstanding, 0)", fixed.COLLATERAL_COVER),
-        )
+    state = collateral_state(book["loan_history"]) if state is None else state
+    return state.select(
+        "customer_id",
+        "total_outstanding",
+        "total_collateral",
+        band("total_collateral / nullif(total_outstanding, 0)", fixed.COLLATERAL_COVER).alias("collateral_score"),
     )
 
 
-def rating_scores(book: Book) -> DataFrame:
-    scored = latest_rating(book).withColumns(
+def rating_state(ratings: DataFrame) -> DataFrame:
+    return latest(ratings, ["customer_id"], [newest(column) for column in RATING_ORDER])
+
+
+def rating_scores(book: Book, state: DataFrame | None = None) -> DataFrame:
+    scored = (latest_rating(book) if state is None else state).withColumns(
         {
             "rating_num_score": label_score("rating", fixed.RATING_SCORE, fixed.RATING_SCORE_OTHERWISE),
             "outlook_score": label_score(
@@ -225,17 +248,21 @@ def drivers() -> Column:
     return F.array_join(F.array_compact(F.expr(f"array({applying})")), fixed.DRIVER_SEPARATOR)
 
 
-def customer_components(book: Book) -> DataFrame:
+def customer_components(book: Book, states: dict[str, DataFrame] | None = None) -> DataFrame:
     """One wide row per customer: the inputs and the component scores that no macro indicator changes.
 
     Every input is brought to one row per customer before its join, so no join
-    multiplies rows, and the joins reuse the partitioning of the aggregates.
+    multiplies rows, and the joins reuse the partitioning of the aggregates. With ``states``, one
+    by the name of each fact table, no fact table is read.
     """
-    financials = financial_scores(book).drop("financial_id")
-    repayments = repayment_scores(book)
-    cashflow = cashflow_scores(book)
-    collateral = collateral_scores(book)
-    ratings = rating_scores(book).select("customer_id", "rating", "rating_outlook", "rating_num_score", "rating_score")
+    given = states or {}
+    financials = financial_scores(book, given.get("company_financials")).drop("financial_id")
+    repayments = repayment_scores(book, given.get("loan_repayment"))
+    cashflow = cashflow_scores(book, given.get("bank_transactions"))
+    collateral = collateral_scores(book, given.get("loan_history"))
+    ratings = rating_scores(book, given.get("credit_ratings")).select(
+        "customer_id", "rating", "rating_outlook", "rating_num_score", "rating_score"
+    )
     wide = with_industry(book)
     for part in (financials, repayments, cashflow, collateral, ratings):
         wide = wide.join(part, "customer_id", "left")

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 
 from lendscope import fixed
 from lendscope.functions.text import markup_text, route_words
+from lendscope.operators.maintenance import Versions
 from lendscope.operators.sections import join_ranges, plan_ranges
+from lendscope.session import materialize
 
 Parser = Callable[..., str]
 
@@ -20,21 +22,23 @@ Parser = Callable[..., str]
 def list_documents(spark: SparkSession, folder: str, below: str = "policies/", name: str = "*.pdf") -> DataFrame:
     """file_name (path below ``folder``), file_size and file_hash of every file under ``folder/below``.
 
-    Sub-folders are included.
+    Sub-folders are included. All files are read; see :class:`Manifest` for a folder that is listed again and again.
     """
+    return _files(spark, folder, below, name).select(
+        "file_name", F.col("length").alias("file_size"), F.md5("content").alias("file_hash")
+    )
+
+
+def _files(spark: SparkSession, folder: str, below: str, name: str) -> DataFrame:
+    """Every file under ``folder/below``; Spark opens one only where its content is asked for."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", name)
         .load(f"{folder.rstrip('/')}/{below}")
     )
-    marker = f"/{below}"
-    inside = F.substring_index("path", marker, -1)
-    return files.select(
-        F.concat(F.lit(below), inside).alias("file_name"),
-        F.col("length").alias("file_size"),
-        F.md5("content").alias("file_hash"),
-    )
+    inside = F.substring_index("path", f"/{below}", -1)
+    return files.withColumn("file_name", F.concat(F.lit(below), inside))
 
 
 def read_contents(spark: SparkSession, folder: str, name: str = "*") -> DataFrame:
@@ -48,6 +52,52 @@ def read_contents(spark: SparkSession, folder: str, name: str = "*") -> DataFram
     )
 
 
+def contents_of(wanted: DataFrame, folder: str, below: str = "policies/", name: str = "*.pdf") -> DataFrame:
+    """``wanted`` (file_name, modified and others) with the bytes of those files as ``content``.
+
+    Files older than the oldest that is wanted are passed over by the reader, unopened.
+    """
+    spark = wanted.sparkSession
+    oldest = wanted.agg(F.min("modified")).first()[0]
+    files = _files(spark, folder, below, name).where(F.col("modificationTime") >= F.lit(oldest))
+    return wanted.join(files.select("file_name", "content"), "file_name")
+
+
+class Manifest:
+    """The files below a folder with size, time of change and hash, kept as published versions below ``base``.
+
+    A refresh lists the folder and opens only files that are new, or differ from the last version in size or time.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, folder: str, below: str = "policies/", name: str = "*.pdf"):
+        self.spark = spark
+        self.folder, self.below, self.name = folder, below, name
+        self.versions = Versions(spark, base)
+
+    def read(self) -> DataFrame:
+        """file_name, file_size, modified, file_hash as the last refresh found them."""
+        return self.versions.read()
+
+    def refresh(self) -> int:
+        """Publish what is there now; the number of files that were opened."""
+        listed = _files(self.spark, self.folder, self.below, self.name).select(
+            "file_name", F.col("length").alias("file_size"), F.col("modificationTime").alias("modified")
+        )
+        listed = materialize(self.spark, listed, "listing")
+        known = self.versions.read()
+        if known is None:
+            known = listed.limit(0).withColumn("file_hash", F.lit(""))
+        same = listed.join(known, ["file_name", "file_size", "modified"])
+        changed = materialize(self.spark, listed.join(known, ["file_name", "file_size", "modified"], "left_anti"), "changed-files")
+        opened = changed.count()
+        if opened:
+            read = contents_of(changed, self.folder, self.below, self.name)
+            same = same.unionByName(read.withColumn("file_hash", F.md5("content")).select(*same.columns))
+        if opened or known.count() != listed.count():
+            self.versions.write(same)
+        return opened
+
+
 _ADDED = T.StructType(
     [
         T.StructField("parsed_text", T.StringType()),
@@ -150,7 +200,9 @@ class FieldRules(NamedTuple):
 
 
 def _group(text: Column, pattern: str) -> Column:
-    return F.nullif(F.trim(F.regexp_extract(text, pattern, 1)), F.lit(""))
+    # As an array of one, so that the pattern is sought once and not again for the comparison.
+    found = F.array(F.trim(F.regexp_extract(text, pattern, 1)))
+    return F.get(F.transform(found, lambda value: F.when(value != "", value)), F.lit(0))
 
 
 def document_fields(text: str, rules: FieldRules = FieldRules()) -> dict[str, Column]:
