@@ -15,8 +15,8 @@ from lendscope.session import materialize
 
 #: Documents of one range: a posting list is cut by ranges, and each piece has its own bound.
 RANGE_BITS = 8
-#: Ranges that a query reads before it has a threshold, those with the largest bounds.
-FIRST_RANGES = 4
+#: Ranges that a query reads before it has a threshold, the one with the largest bound.
+FIRST_RANGES = 1
 #: Segments that are merged into one when a refresh finds as many.
 MERGE_AT = 16
 #: Refreshes that start again because another one was faster, before they give up.
@@ -36,7 +36,7 @@ class WordIndex:
     """Posting lists of a corpus below ``base``, written in segments that never change.
 
     A segment holds what one refresh found new: ``documents`` (key, place, size, mark, attributes, words), ``postings`` (word, range, n,
-    most_times, least_size, entries), ``gone`` (the places in earlier segments that it replaces or removes) and ``counts``
+    most_times, least_size, least_times, most_size, entries), ``gone`` (the places in earlier segments that it replaces or removes) and ``counts``
     (changes of the number of documents, of words, and of the documents that hold each word). It is read only after its entry in
     the log is written; runs that died leave nothing that is read, and a refresh that another one has overtaken starts again
     from the newer state. The key must identify a document and not be NULL.
@@ -47,8 +47,9 @@ class WordIndex:
         self.base = base.rstrip("/")
         self.key = key
         self.attributes = tuple(attributes)
-        self.log = CommitLog(spark, f"{self.base}/log", "path string, base boolean")
+        self.log = CommitLog(spark, f"{self.base}/log", "path string, base boolean, n_gone long")
         self._live: list[dict] | None = None
+        self._frames: dict[str, DataFrame | None] = {}
 
     # --- segments ---
 
@@ -60,15 +61,16 @@ class WordIndex:
         if self._live is None or again:
             rows = self.log.entries()
             start = max((place for place, row in enumerate(rows) if row["base"]), default=0)
-            self._live = rows[start:]
+            self._live, self._frames = rows[start:], {}
         return self._live
 
     def _read(self, table: str) -> DataFrame | None:
-        parts = [
-            self.spark.read.parquet(f"{self.base}/{row['path']}/{table}").withColumn("segment", F.lit(row["number"]).cast("long"))
-            for row in self.segments()
-        ]
-        return reduce(DataFrame.unionByName, parts) if parts else None
+        segments = self.segments()
+        if table not in self._frames:
+            paths = [(row["number"], f"{self.base}/{row['path']}/{table}") for row in segments]
+            parts = [self.spark.read.parquet(path).withColumn("segment", F.lit(number).cast("long")) for number, path in paths]
+            self._frames[table] = reduce(DataFrame.unionByName, parts) if parts else None
+        return self._frames[table]
 
     def _gone(self) -> DataFrame:
         """(segment, place) of documents that a later segment replaced or removed."""
@@ -117,7 +119,7 @@ class WordIndex:
             path, added, lost = self._write(rows, gone)
             if live and not added and not lost:
                 return 0
-            if self._publish(path, not live):
+            if self._publish(path, not live, lost):
                 if len(self.segments()) >= MERGE_AT:
                     self.merge()
                 return added
@@ -127,11 +129,11 @@ class WordIndex:
         """One segment of all live documents, from their stored words: no text is read. False if a refresh was faster."""
         live = self.documents().select(self.key, *self.attributes, "mark", "words")
         path, *_ = self._write(live, None)
-        return self._publish(path, True)
+        return self._publish(path, True, 0)
 
-    def _publish(self, path: str, base: bool) -> bool:
+    def _publish(self, path: str, base: bool, n_gone: int) -> bool:
         after = self._live[-1]["number"] if self._live else 0
-        done = self.log.commit(after + 1, path=path, base=base)
+        done = self.log.commit(after + 1, path=path, base=base, n_gone=n_gone)
         self.segments(again=True)
         return done
 
@@ -159,6 +161,8 @@ class WordIndex:
             F.count(F.lit(1)).alias("n"),
             F.max("times").alias("most_times"),
             F.min("size").alias("least_size"),
+            F.min("times").alias("least_times"),
+            F.max("size").alias("most_size"),
             F.sort_array(F.collect_list(F.struct("place", "size", "times"))).alias("entries"),
         )
         postings.sortWithinPartitions("word", "range").write.parquet(f"{here}/postings")
@@ -184,10 +188,11 @@ class WordIndex:
     def scored(self, queries: DataFrame, k: int, where: Column | None = None) -> DataFrame:
         """(query_id, segment, place, score) of all documents that had to be scored to know each query's ``k`` best.
 
-        Every piece of a posting list knows its most frequent entry and its shortest document, which bound what its word can
-        add to a score. A query first scores its ranges with the largest sums of bounds, which gives a threshold; then
-        the ranges whose sum reaches it, and of those only documents that hold a word which the others' bounds
-        cannot do without. With ``where``, a condition on the attributes, no other document is scored at all.
+        Every piece of a posting list knows its most and least frequent entries and its shortest and longest documents, which
+        bound what its word adds to a score. ``k`` documents that hold one word score its lower bounds at least: a first
+        threshold, which needs no posting. The query's range with the largest sum of upper bounds gives a better one; then the ranges
+        whose sum reaches that are scored. Of any range only documents are that hold a word which
+        the others' bounds cannot do without. With ``where``, a condition on the attributes, no other document is scored at all.
         """
         spark = self.spark
         asked = queries.select("query_id", F.explode(F.array_distinct(words(F.col("query")))).alias("word"))
@@ -204,8 +209,11 @@ class WordIndex:
             length = F.lit(1 - LENGTH_WEIGHT) + F.lit(LENGTH_WEIGHT) * F.col(size) / F.col("mean")
             return F.col("rarity") * F.col(times) * (SATURATION + 1) / (F.col(times) + SATURATION * length)
 
-        heads = self._read("postings").select("segment", "range", "word", "most_times", "least_size").join(weights, "word")
-        heads = heads.select("segment", "range", "word", "rarity", "mean", weight("most_times", "least_size").alias("bound"))
+        known = ["segment", "range", "word", "n"]
+        heads = self._read("postings").select(*known, "most_times", "least_size", "least_times", "most_size").join(weights, "word")
+        heads = heads.select(
+            *known, "rarity", "mean", weight("most_times", "least_size").alias("bound"), weight("least_times", "most_size").alias("floor")
+        )
         heads = materialize(spark, heads.join(asked, "word"), "index-heads")
         here = ["query_id", "segment", "range"]
         ranges = heads.groupBy(*here).agg(F.sum("bound").alias("reach"))
@@ -232,12 +240,20 @@ class WordIndex:
             return summed.agg(F.round(F.sum("_weight"), SCORE_DIGITS).alias("score"))
 
         unknown = F.lit(float("-inf"))
-        first = materialize(spark, scores(ranges.where(F.col("_n") <= FIRST_RANGES).select(*here), unknown), "index-first")
+        if where is None and not any(row["n_gone"] for row in self.segments()):
+            falling = Window.partitionBy("query_id", "word").orderBy(F.desc("floor"), "segment", "range").rowsBetween(Window.unboundedPreceding, 0)
+            held = heads.withColumn("_held", F.sum("n").over(falling)).where(F.col("_held") >= k)
+            ranges = ranges.join(held.groupBy("query_id").agg(F.max("floor").alias("_least")), "query_id", "left")
+        else:  # of the entries counted, some may be gone or not be asked for
+            ranges = ranges.withColumn("_least", unknown)
+        ranges = ranges.withColumn("_least", F.coalesce("_least", unknown)).where(F.col("reach") + SLACK >= F.col("_least"))
+        first = scores(ranges.where(F.col("_n") <= FIRST_RANGES).select(*here, "_least"), F.col("_least"))
+        first = materialize(spark, first, "index-first")
         best = Window.partitionBy("query_id").orderBy(F.desc("score"))
         kth = first.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k)
         kth = kth.groupBy("query_id").agg(F.min("score").alias("_kth"), F.count(F.lit(1)).alias("_found")).where(F.col("_found") == k)
         rest = ranges.where(F.col("_n") > FIRST_RANGES).join(kth.select("query_id", "_kth"), "query_id", "left")
-        rest = rest.withColumn("_kth", F.coalesce("_kth", unknown)).where(F.col("reach") + SLACK >= F.col("_kth"))
+        rest = rest.withColumn("_kth", F.greatest("_least", F.coalesce("_kth", unknown))).where(F.col("reach") + SLACK >= F.col("_kth"))
         return first.unionByName(scores(rest.select(*here, "_kth"), F.col("_kth")))
 
     def best(self, queries: DataFrame, k: int, where: Column | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
