@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lendscope import fixed
 from lendscope.functions.text import fill, or_missing
+from lendscope.operators.commits import CommitLog, Conflict
 from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import append, new_files, read_or_empty, surviving
 from lendscope.operators.numbering import number_rows, padded_id
@@ -138,10 +139,10 @@ class Library:
     """The stored state of the ingestion. All tables only grow, so a run writes no more than its own batch.
 
     ``documents`` holds every read attempt, ``policies`` the sections of every batch and ``titles``
-    the titles each batch replaced. Each table has a folder per batch, and a batch counts from when it is published,
-    which is the last thing a run does: a run that dies before leaves nothing that is
-    read, and the next one takes the same number and overwrites what is there. A policy
-    counts while its batch is the last one of its title.
+    the titles each batch replaced. Each table has a folder per batch, whose number a run claims for itself, and a batch counts
+    from when it is published, which is the last thing a run does: a run that dies before leaves
+    nothing that is read. Of two runs at a time the second one to publish finds that the tables have moved on, and
+    starts again from what the other has left to do. A policy counts while its batch is the last one of its title.
     """
 
     def __init__(self, spark: SparkSession, base: str):
@@ -151,18 +152,20 @@ class Library:
         self.titles = f"{base}/policy_titles"
         self.quarantine = f"{base}/unusable_sections"
         self.errors = f"{base}/errors"
-        self.published = f"{base}/published_batches"
+        self.published = CommitLog(spark, f"{base}/published_batches", "batch long, run_id string")
+        self.claimed = CommitLog(spark, f"{base}/claimed_batches", "run_id string")
         self.log = f"{base}/pdf_processing_log"
 
     def write(self, df: DataFrame, path: str, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
-    def publish(self, batch: int, run_id: str) -> None:
-        append(self.spark.range(1).select(F.lit(batch).cast("long").alias("batch"), F.lit(run_id).alias("run_id")), self.published)
+    def publish(self, batch: int, run_id: str, seen: int) -> bool:
+        """Make a batch count; False when another run has published since ``seen`` was the last entry."""
+        return self.published.commit(seen + 1, batch=batch, run_id=run_id)
 
     def batches(self) -> list[int]:
         """The published batches: one number per run that was completed."""
-        return sorted(row["batch"] for row in read_or_empty(self.spark, self.published, PUBLISHED_SCHEMA).collect())
+        return sorted(entry["batch"] for entry in self.published.entries())
 
     def read(self, path: str, schema: T.StructType) -> DataFrame:
         """The rows of published batches, from their folders alone: what a dead run left is not even listed."""
@@ -185,9 +188,12 @@ class Library:
         last = self.read(self.titles, TITLE_SCHEMA).groupBy("title").agg(F.max("batch").alias("batch"))
         return self.read(self.policies, POLICY_SCHEMA).join(last, ["title", "batch"], "left_semi")
 
-    def next_batch(self) -> int:
-        """One above the last published batch."""
-        return max(self.batches(), default=0) + 1
+    def next_batch(self, run_id: str) -> int:
+        """A number above all earlier ones, claimed by this run: no other one writes into its folders."""
+        number = max(self.claimed.last(), *self.batches(), 0) + 1
+        while not self.claimed.commit(number, run_id=run_id):
+            number += 1
+        return number
 
     def note(self, row: DataFrame) -> None:
         """Append a row to the run log; columns that are not given get their declared defaults."""
@@ -204,7 +210,8 @@ _BATCH = T.StructField("batch", T.LongType())
 DOCUMENT_SCHEMA = T.StructType([*SCHEMAS["regulatory_docs_raw"].fields, _BATCH])
 POLICY_SCHEMA = T.StructType([*SCHEMAS["regulatory_policies"].fields, _BATCH])
 TITLE_SCHEMA = T.StructType([T.StructField("title", T.StringType()), _BATCH])
-PUBLISHED_SCHEMA = T.StructType([_BATCH, T.StructField("run_id", T.StringType())])
+#: Runs that start again because another one has published meanwhile, before they give up.
+ATTEMPTS = 5
 
 
 def ingest(
@@ -231,29 +238,34 @@ def ingest(
     started = F.lit(spark.range(1).select(now).first()[0])
     library.note(spark.range(1).select(F.lit(run_id).alias("run_id"), started.alias("run_started_at")))
     try:
-        batch = library.next_batch()
-        # The list of new files is written, so that its true size decides how it meets the contents.
-        todo = materialize(spark, new_files(listing, library.known_files()), "new-files")
-        fresh = parse(todo).withColumns({"processed_at": now, "loaded_at": now})
-        # Parsing and extraction may call a provider: run each once and keep the result.
-        parsed = materialize(spark, with_defaults(fresh, DEFAULTS["regulatory_docs_raw"]), "parsed")
-        good = parsed.filter(F.col("processing_status") == "SUCCESS")
-        described = materialize(spark, with_fields(good, rules, provider), "described")
-        sections = policy_sections(described)
-        usable = _policy_columns(sections.filter(~unusable()), run_id)
-
-        before = library.live_policies()
-        count_before = before.count()
-        kept = surviving(before, described, "title")
-        added = assign_policy_ids(spark, usable, kept, ["file_name", "piece_index"])
-        aside = sections.filter(unusable()).select("file_name", "piece_index", "title", "section", F.lit(run_id).alias("run_id"))
-        titles = described.filter(F.col("title").isNotNull()).select("title").distinct()
-        library.write(shaped(added.withColumn("created_at", now), POLICY_SCHEMA).drop("batch"), library.policies, batch)
-        library.write(titles, library.titles, batch)
-        library.write(aside, library.quarantine, batch)
-        library.write(error_rows(parsed).withColumn("run_id", F.lit(run_id)), library.errors, batch)
-        library.write(shaped(parsed, DOCUMENT_SCHEMA).drop("batch"), library.documents, batch)
-        library.publish(batch, run_id)
+        for _ in range(ATTEMPTS):
+            seen = library.published.last()
+            batch = library.next_batch(run_id)
+            # The list of new files is written, so that its true size decides how it meets the contents.
+            todo = materialize(spark, new_files(listing, library.known_files()), "new-files")
+            fresh = parse(todo).withColumns({"processed_at": now, "loaded_at": now})
+            # Parsing and extraction may call a provider: run each once and keep the result.
+            parsed = materialize(spark, with_defaults(fresh, DEFAULTS["regulatory_docs_raw"]), "parsed")
+            good = parsed.filter(F.col("processing_status") == "SUCCESS")
+            described = materialize(spark, with_fields(good, rules, provider), "described")
+            sections = policy_sections(described)
+            usable = _policy_columns(sections.filter(~unusable()), run_id)
+
+            before = library.live_policies()
+            count_before = before.count()
+            kept = surviving(before, described, "title")
+            added = assign_policy_ids(spark, usable, kept, ["file_name", "piece_index"])
+            aside = sections.filter(unusable()).select("file_name", "piece_index", "title", "section", F.lit(run_id).alias("run_id"))
+            titles = described.filter(F.col("title").isNotNull()).select("title").distinct()
+            library.write(shaped(added.withColumn("created_at", now), POLICY_SCHEMA).drop("batch"), library.policies, batch)
+            library.write(titles, library.titles, batch)
+            library.write(aside, library.quarantine, batch)
+            library.write(error_rows(parsed).withColumn("run_id", F.lit(run_id)), library.errors, batch)
+            library.write(shaped(parsed, DOCUMENT_SCHEMA).drop("batch"), library.documents, batch)
+            if library.publish(batch, run_id, seen):
+                break
+        else:
+            raise Conflict(f"{ATTEMPTS} other runs published meanwhile")
 
         loaded = library.live_policies().count() - count_before
         summary = run_summary(listing.count(), parsed, run_id, loaded)

@@ -151,6 +151,26 @@ def test_a_run_that_dies_is_repeated_whole(spark, folder, tmp_path, monkeypatch,
     assert log == {"r1": "PARTIAL", "r2": "FAILED", "r3": "PARTIAL"}
 
 
+def test_two_runs_at_a_time_lose_nothing(spark, folder, tmp_path, monkeypatch):
+    base, other, write_batch = f"file://{tmp_path}/library", [], ingestion.Library.write
+
+    def overtaken(self, *given):
+        if not other:  # another run begins after this one has claimed its batch, and ends before it
+            other.append("fast")
+            write(folder, "policies/late.pdf", circular("Late rules", ("Start", "From April"), ("End", "In May")))
+            other.append(run(spark, folder, base, "fast"))
+        return write_batch(self, *given)
+
+    monkeypatch.setattr(ingestion.Library, "write", overtaken)
+    text = run(spark, folder, base, "slow")
+    assert "Processed: 3" in other[1] and "New: 1 | Processed: 0 | Failed: 1" in text  # what is left is the broken file
+    state, alone = ingestion.Library(spark, base), ingestion.Library(spark, f"file://{tmp_path}/alone")
+    assert state.batches() == [2, 3]  # the first one, given up, is read by nobody
+    run(spark, folder, f"file://{tmp_path}/alone", "only")
+    rows = lambda library: sorted((r["policy_id"], r["title"], r["section"], r["content"]) for r in library.live_policies().collect())
+    assert rows(state) == rows(alone) and len(rows(state)) == 8
+
+
 def test_a_started_run_is_in_the_log(spark, tmp_path):
     state = ingestion.Library(spark, f"file://{tmp_path}/library")
     state.note(spark.range(1).selectExpr("'r1' AS run_id", "current_timestamp() AS run_started_at"))
