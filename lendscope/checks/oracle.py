@@ -517,6 +517,7 @@ SQL["feed_quarantine"] = """
     SELECT '{"indicator_id": "typed-' || report_date || '", "value": "high"}', 'missing or mistyped column' FROM feed_days
 """
 SQL["stream_refresh"] = RISK_SCORES
+SQL["doc_fields_asked"] = SQL["doc_fields"]
 SQL["doc_manifest"] = SQL["doc_listing"]
 SQL["ingest_files"] = SQL["ingest_policies"]
 SQL["scores_from_changes"] = RISK_SCORES

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +33,7 @@ from lendscope.plans import (
     semantic,
     signals,
 )
+from lendscope.providers import Replies
 from lendscope.session import materialize, run_folder
 from lendscope.sources.derived import DERIVED, derived_book
 from lendscope.sources.documents import FieldRules, Manifest, contents_of, list_documents, parse_by_ranges, parse_text
@@ -467,6 +471,40 @@ def doc_fields(book: Book) -> DataFrame:
     return ingestion.with_fields(docs, PROSE_RULES).select("doc_id", *fixed.DOCUMENT_FIELDS)
 
 
+def rule_provider(requests: pd.Series) -> pd.Series:
+    """A provider that answers the questions by the rules of the invented prose; it fails on what is no request."""
+
+    def group(pattern: str, text: str) -> str | None:
+        found = re.search(pattern, text, re.ASCII)
+        return (found.group(1).strip(" ") or None) if found else None
+
+    def answer(request: str) -> str:
+        asked = json.loads(request)
+        text, rules = asked["text"], PROSE_RULES
+        lowered = text.lower()
+        known = {
+            "title": group(r"^\s*(?:#+ )?([^\n]+)", text),
+            "issuing_authority": group(rules.issuing_authority, text),
+            "reference_number": group(rules.reference_number, text),
+            "effective_date": group(rules.effective_date, text),
+            "category": next((label for label, words in rules.categories if any(word in lowered for word in words)), None),
+        }
+        return json.dumps({"response": {name: known[name] for name in asked["questions"]}})
+
+    return requests.map(answer)
+
+
+@on_book("doc_fields_asked")
+def doc_fields_asked(book: Book) -> DataFrame:
+    """The document fields as a provider answers them in two runs over one reply table; the second asks what is new."""
+    docs = documents(book).withColumnRenamed("text", "parsed_text")
+    replies = Replies(book.spark, run_folder(book.spark, "replies"), "rules")
+    known = docs.join(book["labels"], "doc_id", "left_semi")
+    ingestion.with_fields(known, provider=rule_provider, questions=fixed.DOCUMENT_QUESTIONS, replies=replies)
+    found = ingestion.with_fields(docs, provider=rule_provider, questions=fixed.DOCUMENT_QUESTIONS, replies=replies)
+    return found.select("doc_id", *fixed.DOCUMENT_FIELDS)
+
+
 @on_book("page_text")
 def page_text(book: Book) -> DataFrame:
     text = markup_text(F.col("html"))

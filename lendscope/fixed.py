@@ -133,6 +133,13 @@ SIGNAL_FIELDS = (
 )
 RECOMMENDATIONS = ("APPROVE", "CONDITIONAL_APPROVE", "ESCALATE", "REJECT")
 DOCUMENT_FIELDS = ("title", "issuing_authority", "reference_number", "effective_date", "category")
+DOCUMENT_QUESTIONS = {
+    "title": "What is the document called?",
+    "issuing_authority": "Which organisation issued it?",
+    "reference_number": "What is its reference or circular number?",
+    "effective_date": "When does it take effect, or when was it issued? Answer as YYYY-MM-DD.",
+    "category": "Which one is it: ASSET_CLASSIFICATION, PROVISIONING, CAPITAL_ADEQUACY, EXPOSURE_LIMITS, RESOLUTION or INSOLVENCY?",
+}
 DOCUMENT_TYPE = "Master Circular"
 RELEVANCE_FORMAT = "Production pipeline | Run: {run}"
 APPRAISAL_QUERY = "credit appraisal provisioning norms capital adequacy"

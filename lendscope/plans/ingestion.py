@@ -16,7 +16,7 @@ from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import append, new_files, read_or_empty, surviving
 from lendscope.operators.numbering import number_rows, padded_id
 from lendscope.operators.sections import split_sections
-from lendscope.providers import Provider, extract_fields
+from lendscope.providers import Provider, Replies, extract_fields
 from lendscope.session import materialize
 from lendscope.sources.documents import FieldRules, document_fields
 from lendscope.sources.schemas import DEFAULTS, SCHEMAS
@@ -24,12 +24,16 @@ from lendscope.sources.tables import shaped, with_defaults
 
 
 def with_fields(
-    docs: DataFrame, rules: FieldRules = FieldRules(), provider: Provider | None = None
+    docs: DataFrame,
+    rules: FieldRules = FieldRules(),
+    provider: Provider | None = None,
+    questions: dict[str, str] | None = None,
+    replies: Replies | None = None,
 ) -> DataFrame:
-    """Adds the document fields, by column rules or by a provider."""
+    """Adds the document fields, by column rules or by a provider, which is told the questions if there are any."""
     if provider is None:
         return docs.withColumns(document_fields("parsed_text", rules))
-    found = extract_fields(docs, "parsed_text", fixed.DOCUMENT_FIELDS, provider)
+    found = extract_fields(docs, "parsed_text", fixed.DOCUMENT_FIELDS, provider, questions, replies)
     return found.withColumn("effective_date", F.try_to_date("effective_date", "yyyy-MM-dd"))
 
 
@@ -222,6 +226,8 @@ def ingest(
     rules: FieldRules = FieldRules(),
     provider: Provider | None = None,
     run_id: str | None = None,
+    questions: dict[str, str] | None = None,
+    replies: Replies | None = None,
 ) -> str:
     """One ingestion run over a listing (file_name, file_size, file_hash).
 
@@ -247,7 +253,7 @@ def ingest(
             # Parsing and extraction may call a provider: run each once and keep the result.
             parsed = materialize(spark, with_defaults(fresh, DEFAULTS["regulatory_docs_raw"]), "parsed")
             good = parsed.filter(F.col("processing_status") == "SUCCESS")
-            described = materialize(spark, with_fields(good, rules, provider), "described")
+            described = materialize(spark, with_fields(good, rules, provider, questions, replies), "described")
             sections = policy_sections(described)
             usable = _policy_columns(sections.filter(~unusable()), run_id)
 
