@@ -461,3 +461,23 @@ def drop_near_copies(docs: DataFrame, size: int = SHINGLE, percent: int = PERCEN
     """The rows of ``docs`` that name their component, and rows without an id, with all their columns."""
     gone = jaccard_components(docs, size, percent).where("doc_id != component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(w[s : s + 3], ' ')) AS code
+  FROM texts, range(1, CASE WHEN len(w) = 0 THEN 1 ELSE greatest(len(w) - 2, 2) END) r(s)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_shared FROM shingles a JOIN shingles b ON a.code = b.code AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT x, y FROM shared JOIN sizes s ON s.doc_id = x JOIN sizes t ON t.doc_id = y WHERE 100 * n_shared >= 85 * (s.n + t.n - n_shared)),
+sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM sides UNION SELECT reach.x, sides.y FROM reach JOIN sides ON sides.x = reach.y),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id
+FROM texts LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON least.x = doc_id
+"""

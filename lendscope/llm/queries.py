@@ -107,7 +107,10 @@ QUERIES: dict[str, Query] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_ngram_jaccard_join": jaccard.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op9_substring_dedup": substrings.SQL,
     "op11_prefix_trie": prefix_trie.SQL,
     "op12_exact_search": vector_cells.SQL,
+    "op13_turn_repair": turn_repair.SQL,
 }

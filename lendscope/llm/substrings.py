@@ -274,3 +274,17 @@ def remove_repeated(docs: DataFrame, window: int = WINDOW, shortest: int = SHORT
     schema = "doc_id long, n_words long, n_removed long, kept_text string"
     nameless = rows.where("doc_id IS NULL").mapInArrow(_untouched, schema)
     return meet(_remover(window, widths[-1]), schema).unionByName(nameless)
+
+
+SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, s, md5(array_to_string(w[s : s + 12], ' ')) AS code FROM texts, range(1, len(w) - 11) r(s)),
+least AS (SELECT code, min(doc_id) AS first FROM windows GROUP BY code),
+repeated AS (SELECT doc_id, s FROM windows JOIN least USING (code) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, s + o AS p FROM repeated, range(13) r(o)),
+words AS (SELECT doc_id, p, w[p] AS word FROM texts, range(1, len(w) + 1) r(p)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM texts LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

@@ -350,3 +350,75 @@ def repair(conversations: DataFrame, least_block: int = LEAST_BLOCK) -> DataFram
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.lit(NO_TEXT)).alias("repaired_sha256"),
     )
+
+
+# crc32 of `conv_id:turn`, bit by bit, as this SQL has no function of that name.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+  lambda c: ord(c)::BIGINT)), lambda k, b: list_reduce(list_prepend(xor(k, b), [1::BIGINT, 2, 3, 4, 5, 6, 7, 8]),
+    lambda v, i: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)), 4294967295::BIGINT)"""
+
+
+def _cost_of(side: str, state: str) -> str:
+    return f"CASE {state} WHEN 'e' THEN {side}.e WHEN 's' THEN {side}.s WHEN 'u' THEN {side}.u ELSE {side}.a END"
+
+
+SQL = f"""
+WITH RECURSIVE raw AS (
+  SELECT coalesce(CAST(conv_id AS VARCHAR), ' ') AS conv, turn, coalesce(role, ' ') AS role0, coalesce(text, ' ') AS text0 FROM conversations),
+hit AS (SELECT *, {_CRC} % 20 AS h FROM raw),
+left_over AS (
+  SELECT conv, turn, role0, text0, CASE WHEN h = 4 THEN 'user' ELSE role0 END AS role,
+         CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text0, '[.!?]', '', 'g') ELSE text0 END AS text
+  FROM hit, range(CASE WHEN h = 3 THEN 2 ELSE 1 END) WHERE h <> 0),
+placed AS (
+  SELECT conv, turn, role, text, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+         row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role0, text0) AS i
+  FROM left_over),
+rows AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv, role, text) THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+            ELSE '' END AS fault, lag(initial) OVER (PARTITION BY conv ORDER BY i) AS before FROM placed),
+costs AS (  -- what keeping or reroling a row adds, if it may stay at all
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000000 WHEN fault = 'truncated' THEN 1 ELSE 0 END AS stay FROM rows),
+back AS (  -- the least cost from each state before row i: nothing, system, user or assistant put out last
+  SELECT conv, max(i) + 1 AS i, 0::BIGINT AS e, 4::BIGINT AS s, 2::BIGINT AS u, 0::BIGINT AS a FROM rows GROUP BY conv
+  UNION ALL
+  SELECT conv, i, least(e, 2 + u, 4 + a), least(s, 2 + u, 4 + a), least(u, 2 + a), least(a, 2 + u) FROM (
+    SELECT r.conv, r.i,
+           least(3 + b.e, r.stay + least(2 + b.u, CASE r.initial WHEN 's' THEN b.s WHEN 'u' THEN b.u ELSE 1000000000 END)) AS e,
+           least(3 + b.s, r.stay + least(2 + b.u, CASE r.initial WHEN 'u' THEN b.u ELSE 1000000000 END)) AS s,
+           least(3 + b.u, r.stay + least(2 + b.a, CASE r.initial WHEN 'a' THEN b.a ELSE 1000000000 END)) AS u,
+           least(3 + b.a, r.stay + least(2 + b.u, CASE r.initial WHEN 'u' THEN b.u ELSE 1000000000 END)) AS a
+    FROM back b JOIN costs r ON r.conv = b.conv AND r.i = b.i - 1)),
+walk AS (
+  SELECT conv, 1::BIGINT AS i, 'e' AS state, '' AS audit, [] :: VARCHAR[] AS lines FROM back WHERE i = 1
+  UNION ALL
+  SELECT conv, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+         CASE edit WHEN 'D' THEN state WHEN 'K' THEN initial ELSE due END, audit || edit,
+         CASE edit WHEN 'D' THEN lines WHEN 'K' THEN lines || [role || ':' || text]
+              ELSE lines || [CASE due WHEN 'u' THEN 'user:' ELSE 'assistant:' END || CASE edit WHEN 'R' THEN text ELSE '' END] END
+  FROM (
+    SELECT *, CASE WHEN text IS NOT NULL AND 3 + after_delete = now THEN 'D' WHEN 2 + after_insert = now THEN 'I'
+                   WHEN may_keep AND stay + after_keep = now THEN 'K' ELSE 'R' END AS edit
+    FROM (
+      SELECT w.*, r.role, r.text, r.initial, r.stay, d.due,
+             {_cost_of('b', 'w.state')} AS now, {_cost_of('n', 'w.state')} AS after_delete, {_cost_of('b', 'd.due')} AS after_insert,
+             {_cost_of('n', 'r.initial')} AS after_keep,
+             (w.state = 'e' AND r.initial = 's') OR (w.state IN ('e', 's', 'a') AND r.initial = 'u') OR (w.state = 'u' AND r.initial = 'a') AS may_keep
+      FROM walk w JOIN back b ON b.conv = w.conv AND b.i = w.i LEFT JOIN back n ON n.conv = w.conv AND n.i = w.i + 1
+      LEFT JOIN costs r ON r.conv = w.conv AND r.i = w.i
+      JOIN (VALUES ('e', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')) d(state, due) ON d.state = w.state
+      WHERE r.text IS NOT NULL OR w.state IN ('s', 'u')))),
+ended AS (
+  SELECT w.conv, w.audit, sha256(coalesce(array_to_string(w.lines, chr(10)), '')) AS repaired_sha256
+  FROM walk w JOIN (SELECT conv, max(i) + 1 AS i FROM rows GROUP BY conv) l ON l.conv = w.conv AND l.i = w.i WHERE w.state IN ('e', 'a')),
+counts AS (
+  SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+         count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows GROUP BY conv)
+SELECT CAST(nullif(o.conv, ' ') AS BIGINT) AS conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank,
+       coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+       coalesce(b.e, 0) AS cost, coalesce(x.audit, '') AS audit, coalesce(x.repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv FROM raw) o LEFT JOIN counts c ON c.conv = o.conv LEFT JOIN back b ON b.conv = o.conv AND b.i = 1
+LEFT JOIN ended x ON x.conv = o.conv
+"""

@@ -34,8 +34,6 @@ def test_registered_query(spark, name):
         cursor = sql.execute(queries.SQL[name])
         columns = [column[0] for column in cursor.description]
         assert rows(df.columns, [tuple(row) for row in found]) == rows(columns, cursor.fetchall())
-    elif name == "op13_turn_repair":
-        assert len(found) == spark.read.parquet(f"{FOLDER}/conversations.parquet").select("conv_id").distinct().count()
     elif name not in ("op1_decontamination", "op7_packing"):
         assert len(found) == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
 
