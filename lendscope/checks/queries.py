@@ -778,20 +778,10 @@ def scores_from_changes(book: Book) -> DataFrame:
 
 @on_book("latest_macro_stream")
 def latest_macro_stream(book: Book) -> DataFrame:
-    """Newest report per indicator, kept as streaming state over the feed files."""
-    spark, target = book.spark, run_folder(book.spark, "latest")
-    versions = Versions(spark, f"{target}/table")
-    stream = macro_feed.good_indicators(macro_feed.stream_feed(spark, feed_folder(book, by_line=True)))
-    query = (
-        macro_feed.latest_per_indicator(stream)
-        .writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, number: versions.write(batch, version=number))
-        .option("checkpointLocation", f"{target}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return versions.read().select(
+    """Newest report per indicator, kept as streaming state over the feed files, two of them a batch, and merged into a table."""
+    spark = book.spark
+    live = macro_feed.follow_latest(spark, feed_folder(book, by_line=True), run_folder(spark, "latest"), 2)
+    return live.read().select(
         "indicator_name", "indicator_category", "value", "previous_value", "change_pct", "unit", "report_date", "source"
     )
 

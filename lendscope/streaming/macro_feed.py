@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lendscope import fixed
 from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import Versions, read_or_empty
+from lendscope.session import materialize
 from lendscope.sources.schemas import DEFAULTS, SCHEMAS
 from lendscope.sources.tables import with_defaults
 from lendscope.streaming.record_scan import scanned_records
@@ -227,3 +228,38 @@ def latest_per_indicator(stream: DataFrame) -> DataFrame:
         )
     )
     return stream.groupBy("indicator_name").agg(newest.alias("newest")).select("indicator_name", "newest.*")
+
+
+def merge_news(versions: Versions, news: DataFrame, number: int) -> bool:
+    """Bring the live table of newest reports up to a batch of them; without anything that differs nothing is written.
+
+    A batch that is delivered again finds its rows in the table already.
+    """
+    live = versions.read()
+    if live is not None:
+        news = materialize(news.sparkSession, news.select(*live.columns).subtract(live), "news")
+    if news.isEmpty():
+        return False
+    rest = news if live is None else live.join(news, "indicator_name", "left_anti").unionByName(news)
+    versions.write(rest, version=number)
+    return True
+
+
+def follow_latest(spark: SparkSession, folder: str, base: str, files_per_batch: int | None = None) -> Versions:
+    """Read what is new in a feed of one value per line into the table of each indicator's newest report, then stop.
+
+    The newest reports are streaming state; a batch gives out only the indicators that it has brought reports of, and
+    only those that differ from the live table are merged into it.
+    """
+    versions = Versions(spark, f"{base}/latest")
+    stream = good_indicators(stream_feed(spark, folder, files_per_batch))
+    query: StreamingQuery = (
+        latest_per_indicator(stream)
+        .writeStream.outputMode("update")
+        .foreachBatch(lambda batch, number: merge_news(versions, batch, number))
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return versions

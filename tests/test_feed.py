@@ -115,6 +115,20 @@ def test_late_report_in_streaming_state(spark, feed, tmp_path):
     assert [row["value"] for row in spark.read.parquet(f"{target}/2").collect()] == [7.0]
 
 
+def test_only_news_is_merged_into_the_live_table(spark, feed, tmp_path):
+    def step(name, *records):
+        (feed / name).write_text("\n".join(map(json.dumps, records)))
+        live = macro_feed.follow_latest(spark, f"file://{feed}", f"file://{tmp_path}/live")
+        return live.published(), {row["indicator_name"]: row["value"] for row in live.read().collect()}
+
+    assert step("a.json", record(1, value=5.0, date="2024-03-01"), record(2, "REPO_RATE", 6.5)) == (0, {"CPI_GENERAL": 5.0, "REPO_RATE": 6.5})
+    # A late report, and one that came before, change nothing: no version is written.
+    assert step("b.json", record(3, value=3.0, date="2024-01-01"), record(2, "REPO_RATE", 6.5))[0] == 0
+    assert step("c.json", record(4, value=7.0, date="2024-04-01")) == (2, {"CPI_GENERAL": 7.0, "REPO_RATE": 6.5})
+    live = Versions(spark, f"file://{tmp_path}/live/latest")
+    assert not macro_feed.merge_news(live, live.read().limit(1), 2)  # a batch that is delivered again
+
+
 def test_refresh_publishes_scores_after_the_last_batch(spark, feed, tmp_path):
     refresh = lambda indicators: indicators.groupBy("indicator_name").count()
     for number in range(3):
