@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lendscope import fixed
 from lendscope.operators.latest import latest
 from lendscope.operators.maintenance import Versions, read_or_empty
 from lendscope.session import materialize
