@@ -22,6 +22,8 @@ SCORE_DIGITS = 6
 MAX_QUERIES = 1000
 MAX_QUERY_WORDS = 500_000
 MAX_HITS = 500_000
+#: Pairs of a query and a document that one task sums scores of, at most.
+PAIRS_PER_TASK = 1_000_000
 
 
 NO_WORD = r"[^\p{L}\p{N}]+"
@@ -80,7 +82,11 @@ def bm25(
     )
     length = F.lit(1 - LENGTH_WEIGHT) + F.lit(LENGTH_WEIGHT) * F.col("_size") / F.col("_mean")
     weight = F.col("_rarity") * F.col("_times") * (SATURATION + 1) / (F.col("_times") + SATURATION * length)
-    by_document = counts.repartition(key) if small else counts
+    by_document = counts
+    if small:
+        pairs = counts.filter(F.col("_word") == "").count() * queries.count()
+        tasks = max(spark.sparkContext.defaultParallelism, -(-pairs // PAIRS_PER_TASK))
+        by_document = counts.repartition(tasks, key)
     scores = (
         by_document.join(bounded(weights), "_word")
         .groupBy("query_id", key)
