@@ -21,6 +21,8 @@ FIRST_RANGES = 1
 MERGE_AT = 16
 #: Refreshes that start again because another one was faster, before they give up.
 ATTEMPTS = 5
+#: Words that one task counts, about.
+WORDS_PER_TASK = 500_000
 #: What rounding a score may have added.
 SLACK = 10.0**-SCORE_DIGITS
 
@@ -149,11 +151,15 @@ class WordIndex:
         none = self.spark.createDataFrame([], "segment long, place long")
         (none if gone is None else gone).select(F.col("segment").alias("old_segment"), "place").write.parquet(f"{here}/gone")
         docs, left = (self.spark.read.parquet(f"{here}/{name}") for name in ("documents", "gone"))
-        n_docs, n_gone = docs.count(), left.count()
+        (n_docs, n_words), n_gone = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first(), left.count()
         if not n_docs and not n_gone and gone is not None and self.segments():
             return path, 0, 0
         piece = F.shiftright("place", RANGE_BITS).alias("range")
-        counted = docs.select(piece, "place", "size", F.explode("words").alias("word")).groupBy("word", "range", "place", "size").agg(
+        # The words move once, as whole documents by range: counting and collecting them needs no other shuffle. The number of
+        # tasks is given, because a task's postings are many times larger than the documents it reads.
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-n_words // WORDS_PER_TASK))
+        dealt = docs.select(piece, "place", "size", "words").repartition(tasks, "range")
+        counted = dealt.select("range", "place", "size", F.explode("words").alias("word")).groupBy("word", "range", "place", "size").agg(
             F.count(F.lit(1)).cast("int").alias("times")
         )
         # A group has at most as many entries as a range has documents, however frequent its word is.
