@@ -11,7 +11,7 @@ from lendscope.functions.text import fill, or_missing
 from lendscope.operators.latest import latest, newest
 from lendscope.operators.search import bm25, hit_rows
 from lendscope.operators.word_index import WordIndex
-from lendscope.plans.scoring import scored_customers
+from lendscope.plans.scoring import composed, scored_customers
 from lendscope.plans.signals import MARGIN_PERCENT, classified
 from lendscope.providers import Provider, complete
 from lendscope.sources.tables import Book
@@ -95,9 +95,13 @@ def assessments(
     run_id: str = "run-1",
     generated_at: Column | None = None,
     index: WordIndex | None = None,
+    components: DataFrame | None = None,
 ) -> DataFrame:
-    """One assessment per customer (or per wanted customer), with its prompt and the columns of the audit table."""
-    scored = scored_customers(book)
+    """One assessment per customer (or per wanted customer), with its prompt and the columns of the audit table.
+
+    With ``components``, as `plans.scoring.stored_components` keeps them for several runs, no fact table is read.
+    """
+    scored = scored_customers(book) if components is None else composed(book, components)
     if wanted is not None:
         scored = scored.join(wanted.select("customer_id"), "customer_id", "left_semi")
     rows = classified(scored).withColumns(input_texts())

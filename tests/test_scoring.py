@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from lendscope.functions.numbers import mean_score
-from lendscope.plans import portfolio, scoring, signals
+from lendscope.plans import assessments, portfolio, scoring, signals
 from lendscope.sources.derived import derived_book
 from lendscope.sources.schemas import SCHEMAS
-from lendscope.sources.tables import stored_book
+from lendscope.sources.tables import Book, stored_book
 
 DAY = dt.date(2024, 1, 15)
 
@@ -199,3 +199,19 @@ def test_running_balances_group_by_slice_not_by_customer(spark, capsys):
     assert "Join" not in plan
     last = plan[plan.index("Exchange") :].splitlines()[0]
     assert "customer_id" in last and "_slice" in last
+
+
+def test_an_order_enters_one_group_of_statements(spark, capsys):
+    derived_book(spark, "/root/testdata/sf0.001")["company_financials"].explain()
+    assert "Expand" not in capsys.readouterr().out
+
+
+def test_assessments_from_stored_components_read_no_fact_table(spark, book):
+    policies = spark.createDataFrame([("p1", "Capital", "credit appraisal")], "policy_id string, title string, content string")
+    components = scoring.stored_components(book)
+    alone = Book(spark, {"macro_economic_indicators": lambda _: book["macro_economic_indicators"]})
+    made = F.expr("TIMESTAMP_NTZ '2024-03-31 09:00:00'")
+    run = lambda of, **given: sorted(
+        assessments.assessments(of, policies, "2024-03-31", generated_at=made, **given).collect(), key=lambda row: row["customer_id"]
+    )
+    assert run(alone, components=components) == run(book)
