@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from lendscope import fixed
 from lendscope.functions.text import fill, route_words
 from lendscope.operators.search import bm25, hit_rows
-from lendscope.operators.word_index import WordIndex
+from lendscope.operators.word_index import WordIndex, where_any
 from lendscope.plans.scoring import latest_macro
+from lendscope.session import materialize
 from lendscope.sources.tables import Book
 
 
@@ -46,13 +47,8 @@ def csv_line(*columns: Column) -> Column:
 def _dataset_text(
     df: DataFrame, heading: str, columns: list[str], order: list[str], rows: int | None = None
 ) -> DataFrame:
-    """One row: heading, CSV head and the first lines (at most ``rows``), cut to the data context.
-
-    A line has at least the commas between its columns and its break, so the limit
-    cannot be reached by more than limit / columns lines; taking that many sorted rows
-    loses nothing.
-    """
-    enough = min(rows or fixed.DATA_CONTEXT_LENGTH, fixed.DATA_CONTEXT_LENGTH // len(columns) + 1)
+    """One row: heading, CSV head and the first lines (at most ``rows``), cut to the data context."""
+    enough = _enough(columns, rows)
     line = csv_line(*[F.col(column) for column in columns])
     first = df.orderBy(*order).limit(enough).select(F.struct(*order).alias("key"), line.alias("line"))
     items = F.array_sort(F.collect_list(F.struct("key", "line")))
@@ -85,6 +81,26 @@ ORDERS = {
 }
 
 
+def _enough(columns: list[str], rows: int | None) -> int:
+    """Rows that can reach the data context: a line has at least the commas between its columns and its break."""
+    return min(rows or fixed.DATA_CONTEXT_LENGTH, fixed.DATA_CONTEXT_LENGTH // len(columns) + 1)
+
+
+def first_named(rows: DataFrame, names: DataFrame, order: list[str], most: int) -> DataFrame:
+    """Rows with the name of their customer, among them the ``most`` first in the order, whose last column is the rows' key.
+
+    Twice as many keys are taken first, and only their customers looked up; as long as enough of them have one, nothing but
+    the rows of these keys meets the customers, or whatever the rows are derived from. Otherwise all rows do.
+    """
+    key = order[-1]
+    keys = materialize(rows.sparkSession, rows.select("customer_id", *order).orderBy(*order).limit(2 * most), "first-keys")
+    named = keys.join(names.select("customer_id"), "customer_id").groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()
+    if sum(row["n"] for row in named) < most and keys.count() == 2 * most:
+        return rows.join(names, "customer_id")
+    wanted = where_any({key: [row[key] for row in named]})
+    return rows.where(wanted).join(names, "customer_id")
+
+
 def dataset_texts(book: Book, first: bool = False) -> dict[str, DataFrame]:
     """The text of each dataset a question can be routed to, as one-row DataFrames.
 
@@ -92,16 +108,20 @@ def dataset_texts(book: Book, first: bool = False) -> dict[str, DataFrame]:
     """
     names = book["customers"].select("customer_id", "company_name", "sector")
     loans = book["loan_history"].filter(F.col("loan_status") == "ACTIVE") if first else book["loan_history"]
-    applications = book["loan_applications"].join(names, "customer_id")
+    headings = fixed.ROUTE_HEADINGS_FIRST if first else fixed.ROUTE_HEADINGS
+    columns = COLUMNS_FIRST if first else COLUMNS
+    rows = {name: fixed.WORST_ROWS if first and name != "macro" else None for name in columns}
+
+    def of_customers(name: str, df: DataFrame) -> DataFrame:
+        return first_named(df, names, ORDERS[name], _enough(columns[name], rows[name]))
+
+    days = -F.datediff("application_date", F.lit("1970-01-01"))
     frames = {
         "risk_scores": book["risk_scores"],
-        "loan_exposure": loans.join(names, "customer_id").withColumn("_falling", -F.col("outstanding_balance")),
-        "applications": applications.withColumn("_falling", -F.datediff("application_date", F.lit("1970-01-01"))),
+        "loan_exposure": of_customers("loan_exposure", loans.withColumn("_falling", -F.col("outstanding_balance"))),
+        "applications": of_customers("applications", book["loan_applications"].withColumn("_falling", days)),
         "macro": latest_macro(book),
     }
-    headings = fixed.ROUTE_HEADINGS_FIRST if first else fixed.ROUTE_HEADINGS
-    columns = COLUMNS_FIRST if first else COLUMNS
-    rows = {name: fixed.WORST_ROWS if first and name != "macro" else None for name in frames}
     return {
         name: _dataset_text(frame, headings[name], columns[name], ORDERS[name], rows[name]) for name, frame in frames.items()
     }
