@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from lendscope.checks import queries
 from lendscope.sources import documents
 from lendscope.sources.documents import Manifest, contents_of, list_documents, parse_by_ranges
 
@@ -58,3 +59,17 @@ def test_each_file_is_opened_once_for_parsing(spark, tmp_path):
     assert "BatchEvalPython" not in plan  # names alone open no file
     texts = parse_by_ranges(files, "file_name", "content", "pages", lambda content, start, end: content[start:end].decode(), 2)
     assert {row["file_name"]: row["parsed_text"] for row in texts.collect()} == {"policies/1.pdf": "\n\nab\n\nab", "policies/2.pdf": "\n\nab\n\nab\n\nab"}
+
+
+def test_documents_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    moved = []
+    deal = queries.dealt_documents
+    monkeypatch.setattr(queries, "dealt_documents", lambda docs: moved.append(sorted(row["text"] for row in docs.collect())) or deal(docs))
+    rows = [(n, f"text {n}") for n in range(20)]
+    queries.document_files(spark.createDataFrame(rows, "doc_id long, text string"), f"file://{tmp_path}/a")
+    assert moved == [] and len(list((tmp_path / "a").rglob("*.txt"))) == 20
+    queries.document_files(spark.createDataFrame([*rows, (3, "again"), (None, "x"), (None, "y"), (21, None)], "doc_id long, text string"), f"file://{tmp_path}/b")
+    assert moved == [["again", "text 3", "x", "y"]]
+    files = {path.name: path.read_text() for path in (tmp_path / "b").rglob("*.txt")}
+    assert len(files) == 22 and files["doc_id=3.txt"] == "again\ntext 3\n" and files["doc_id=4.txt"] == "text 4\n" and files["doc_id=21.txt"] == "\n"
+    assert files["doc_id=__HIVE_DEFAULT_PARTITION__.txt"] == "x\ny\n"
